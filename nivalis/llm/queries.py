@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, mixing
-from nivalis.llm.common import read
+from nivalis.llm import decontam, exactdedup, langid, mixing, tokens, toxicity, urls
+from nivalis.llm.common import held_out, read
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +89,38 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
+    "op4_url_filter": op4_url_filter,
+    "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_token_counts": op9_token_counts,
+    "op10_language": op10_language,
 }
 SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op8_exact_dedup": OP8_SQL}
