@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, tokens, toxicity, urls
+from nivalis.llm import decontam, exactdedup, langid, mixing, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -89,6 +89,21 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder FROM pages)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN holder END AS refers_to
+FROM p
+"""
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -117,10 +132,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
+    "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
 }
-SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op8_exact_dedup": OP8_SQL}
