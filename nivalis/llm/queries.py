@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, tokens, toxicity, urls, warc
+from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -79,6 +79,28 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(read(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, coalesce(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END), []) AS s FROM d),
+sh AS (SELECT doc_id, unnest(s) AS x FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+links AS (
+  SELECT p.a, p.b FROM (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS c FROM sh l JOIN sh r ON l.x = r.x AND l.doc_id <> r.doc_id GROUP BY ALL) p
+  JOIN sizes l ON l.doc_id = p.a JOIN sizes r ON r.doc_id = p.b WHERE 100 * c >= 75 * (l.n + r.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT sizes.doc_id, n AS n_shingles, min(b) AS component_id, sizes.doc_id = min(b) AS kept
+FROM sizes JOIN reach ON reach.a = sizes.doc_id GROUP BY sizes.doc_id, n
+"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -135,8 +157,9 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
 }
-SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL}
