@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, tokens, toxicity, urls, warc
+from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, suffix, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -79,13 +79,39 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+dup AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS rn FROM w) WHERE rn > 1),
+isl AS (SELECT doc_id, s, sum((s > coalesce(p, -1000) + 100)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS g
+        FROM (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM dup)),
+spans AS (SELECT doc_id, g, min(s) AS a, max(s) + 100 AS b FROM isl GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans),
+kept AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+                string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS k
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN k IS NULL THEN h ELSE k || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(read(spark, sf_dir, "documents"))
 
 
 OP7_SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, coalesce(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
@@ -157,9 +183,10 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op6_repeats": op6_repeats,
     "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
 }
-SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL}
