@@ -11,7 +11,8 @@ owns a run of consecutive draws of the source's permuted blocks; runs are
 disjoint. Rows are put in a hashed order inside each shard only.
 
 All tables beyond the documents are small: one row per source and block (4096
-per source at most), one per shard and source. Blocks spread any source, hot
+per source at most), one per shard and source. They are written to the shared
+folder as they come, which keeps each plan short. Blocks spread any source, hot
 or not, over 4096 keys. All draws come from hashes, so reruns agree.
 
 Defined results. A null text has size 0. A null source is a source of its own,
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from nivalis.llm.common import stash
+
 BLOCKS = 4096
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -104,26 +107,17 @@ _LN_FACT = (
 
 
 def _ln_choose(n: str, k: str) -> str:
-    return "(" + " - ".join(_LN_FACT.format(x=f"({x})").join("()") for x in (n, k, f"{n} - {k}")) + ")"
-
-
-def _hypergeometric(total: str, marked: str, drawn: str, u: str) -> str:
-    """SQL: the marked ones among `drawn` of `total`, by inversion at u, with log-weights from the lowest value on."""
-    low = f"greatest(0L, {drawn} - ({total} - {marked}))"
-    high = f"least({marked}, {drawn})"
-    start = f"({_ln_choose(marked, low)} + {_ln_choose(f'({total} - {marked})', f'({drawn} - {low})')} - {_ln_choose(total, drawn)})"
-    return f"""aggregate(
-        sequence({low}, {high}),
-        named_struct('lp', CAST(NULL AS DOUBLE), 'cdf', 0.0D, 'x', CAST(NULL AS BIGINT)),
-        (a, k) -> CASE WHEN a.x IS NOT NULL THEN a ELSE named_struct(
-            'lp', coalesce(a.lp + ln(CAST({marked} - k + 1 AS DOUBLE) * ({drawn} - k + 1)
-                                     / (CAST(k AS DOUBLE) * ({total} - {marked} - {drawn} + k))), {start}),
-            'cdf', a.cdf + exp(coalesce(a.lp + ln(CAST({marked} - k + 1 AS DOUBLE) * ({drawn} - k + 1)
-                                     / (CAST(k AS DOUBLE) * ({total} - {marked} - {drawn} + k))), {start})),
-            'x', CASE WHEN k >= {high} OR a.cdf + exp(coalesce(a.lp + ln(CAST({marked} - k + 1 AS DOUBLE) * ({drawn} - k + 1)
-                                     / (CAST(k AS DOUBLE) * ({total} - {marked} - {drawn} + k))), {start})) >= {u}
-                      THEN k END) END,
-        a -> coalesce(a.x, {low}))"""
+    return "(" + " - ".join("(" + _LN_FACT.format(x=f"({x})") + ")" for x in (n, k, f"{n} - {k}")) + ")"
+
+
+#: The marked ones among v.drawn of v.total, v.marked of which are marked: the first value whose distribution function reaches v.u.
+_HYPERGEOMETRIC = f"""aggregate(
+    sequence(v.low, v.high),
+    named_struct('cdf', 0.0D, 'x', CAST(NULL AS BIGINT)),
+    (a, k) -> CASE WHEN a.x IS NOT NULL THEN a ELSE transform(
+        array(a.cdf + exp({_ln_choose("v.marked", "k")} + {_ln_choose("(v.total - v.marked)", "(v.drawn - k)")} - {_ln_choose("v.total", "v.drawn")})),
+        c -> named_struct('cdf', c, 'x', CASE WHEN c >= v.u OR k >= v.high THEN k END))[0] END,
+    a -> a.x)"""
 
 
 def splitting_tree(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -139,18 +133,19 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
         "0L AS node", "transform(q, s -> s.rank) AS ranks", "transform(q, s -> s.draws) AS q"
     )
     for level in range(depth):
-        u = f"((shiftrightunsigned(xxhash64(node, {level}, i), 11)) + 0.5D) / 9007199254740992.0D"
-        draw = _hypergeometric("s.total", "q[i]", "s.left", u)
+        u = f"(shiftrightunsigned(xxhash64(node, {level}, i), 11) + 0.5D) / 9007199254740992.0D"
         left = f"""aggregate(
             sequence(0, size(q) - 1),
-            named_struct('total', aggregate(q, 0L, (t, v) -> t + v),
-                         'left', (aggregate(q, 0L, (t, v) -> t + v) + pmod(node + {level}, 2)) div 2,
-                         'out', CAST(array() AS ARRAY<BIGINT>)),
-            (s, i) -> transform(array({draw}), x ->
-                named_struct('total', s.total - q[i], 'left', s.left - x, 'out', concat(s.out, array(x))))[0],
+            named_struct('total', n, 'left', (n + pmod(node + {level}, 2)) div 2, 'out', CAST(array() AS ARRAY<BIGINT>)),
+            (s, i) -> transform(
+                transform(array(named_struct(
+                    'total', s.total, 'marked', q[i], 'drawn', s.left, 'u', {u},
+                    'low', greatest(0L, s.left - (s.total - q[i])), 'high', least(q[i], s.left))), v -> {_HYPERGEOMETRIC}),
+                x -> named_struct('total', s.total - q[i], 'left', s.left - x, 'out', concat(s.out, array(x))))[0],
             s -> s.out)"""
         nodes = (
             nodes.where("size(q) > 0")
+            .selectExpr("node", "ranks", "q", "aggregate(q, 0L, (t, v) -> t + v) AS n")
             .selectExpr("node", "ranks", "q", f"{left} AS l")
             .selectExpr("node", "ranks", "explode(array(struct(0L AS side, l AS q), struct(1L AS side, zip_with(q, l, (a, b) -> a - b) AS q))) AS h")
             .selectExpr("node * 2 + h.side AS node", "ranks", "h.q AS q")
@@ -162,7 +157,7 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def mix_plan(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
     """doc_id, source, size, block, source_size, target, taken and the shards that get the document, one row per document."""
-    own = sized(docs)
+    own = stash(sized(docs), "mix-sizes")
     draws = plan_blocks(own, shards, **options).withColumnsRenamed({"source": "of", "block": "of_block"})
     return own.join(draws, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))).select(
         "doc_id", "source", "size", "block", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards"
@@ -171,12 +166,12 @@ def mix_plan(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
 
 def plan_blocks(own: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
     """source, block, source_size, target and the array of shards that draw the block."""
-    blocks = own.groupBy("source", "block").agg(F.sum("size").alias("words"))
-    drawn = block_draws(blocks, targets(blocks, **options))
+    blocks = stash(own.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
+    drawn = stash(block_draws(blocks, targets(blocks, **options)), "mix-draws")
     quotas = drawn.groupBy("rank").agg(F.sum("draws").cast("long").alias("draws"))
     before = W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     slots = (
-        splitting_tree(quotas, shards)
+        stash(splitting_tree(quotas, shards), "mix-tree")
         .withColumn("start", F.coalesce(F.sum("quota").over(before), F.lit(0)))
         .where("quota > 0")
         .selectExpr("rank", "shard", "explode(sequence(start, start + quota - 1)) AS slot")
