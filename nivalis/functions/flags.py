@@ -53,7 +53,8 @@ def combine_classification(cls: Column, state_cloud: Column, saltpan: Column, no
 
 def angle_weight(along: Column, cross: Column) -> Column:
     """Percent: the smaller the footprint, the more."""
-    return F.least(F.lit(100), F.round(100 / (along * cross))).cast("int")
+    weight = F.round(100 / (along * cross))
+    return F.when(weight.isNotNull(), F.least(F.lit(100), weight).cast("int"))
 
 
 def observation_weight(flags: dict[str, Column], others: list[Column], tables=WEIGHTS) -> Column:

@@ -44,7 +44,8 @@ def canopy_correction(cover: Column, view_zenith: Column, shape: float = 2.7) ->
 def corrected_snow_fraction(viewable: Column, shade: Column, canopy: Column, ice: Column) -> Column:
     """Viewable snow as a percentage of what shade, canopy and ice leave free, not below the ice."""
     free = 100 - F.least(shade + canopy + ice, F.lit(99))
-    return F.greatest(F.least(F.lit(100), F.round(viewable * 100 / free)), ice).cast("int")
+    share = F.greatest(F.least(F.lit(100), F.round(viewable * 100 / free)), ice)
+    return F.when(viewable.isNotNull(), share.cast("int"))
 
 
 def sun_on_slope(mu0: Column, azimuth: Column, slope: Column, aspect: Column) -> Column:
@@ -56,7 +57,7 @@ def sun_on_slope(mu0: Column, azimuth: Column, slope: Column, aspect: Column) ->
     turned = 180 - azimuth
     phi = F.when(turned > 180, turned - 360).when(turned < -180, turned + 360).otherwise(turned)
     mu = mu0 * F.cos(F.radians(slope)) + F.sqrt(1 - mu0 * mu0) * F.sin(F.radians(slope)) * F.cos(F.radians(phi - aspect))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), mu))
+    return F.when(mu.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), mu)))
 
 
 def observed_albedo(clean: Column, deltavis: Column, share: float = 0.63) -> Column:

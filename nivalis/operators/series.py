@@ -94,8 +94,10 @@ def interpolate_linear(px: DataFrame, column: str, ends: str = "extrapolate", ke
     """
     w = by_day(keys)
     at = F.when(F.col(column).isNotNull(), F.struct(F.unix_date("obs_date").alias("d"), F.col(column).cast("double").alias("v")))
-    before, after = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
-    px = px.withColumns({"_p": F.last(at, True).over(before), "_n": F.first(at, True).over(after)})
+    # Looking forward is looking back in the reversed order: a frame up to the last row would be evaluated anew for every row.
+    before = w.rowsBetween(W.unboundedPreceding, 0)
+    after = W.partitionBy(*keys).orderBy(F.desc("obs_date")).rowsBetween(W.unboundedPreceding, 0)
+    px = px.withColumns({"_p": F.last(at, True).over(before), "_n": F.last(at, True).over(after)})
     if ends == "extrapolate":
         ranks = px.withColumns({"_up": F.count(column).over(before), "_down": F.count(column).over(after)})
         own = F.when(F.col(column).isNotNull(), F.struct(F.unix_date("obs_date").alias("d"), F.col(column).cast("double").alias("v")))
