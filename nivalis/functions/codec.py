@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def encode(value: Column, divisor: float, nodata: int, low: int = 0, high: int | None = None) -> Column:
     """The stored integer: times the divisor, rounded half away from zero, saturated to [low, high]; null is nodata."""
     most = nodata if high is None else high
-    return F.coalesce(F.greatest(F.lit(low), F.least(F.lit(most), F.round(value * divisor))).cast("int"), F.lit(nodata))
+    stored = F.greatest(F.lit(low), F.least(F.lit(most), F.round(value * divisor))).cast("int")
+    return F.when(value.isNotNull(), stored).otherwise(nodata)
 
 
 def decode(stored: Column, divisor: float, nodata: int) -> Column:

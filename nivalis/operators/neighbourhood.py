@@ -34,18 +34,19 @@ def over_blocks(px: DataFrame, day: list[str], halo: int, values: list[str], wor
     kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(pdf.block_row.iloc[0]) * block, int(pdf.block_col.iloc[0]) * block
-        side = block + 2 * halo
-        r, c = pdf.row.to_numpy() - r0 + halo, pdf.col.to_numpy() - c0 + halo
-        present = np.zeros((side, side), bool)
+        # Arrays as large as what the block holds; beyond it there is nothing to be seen.
+        r0, c0 = int(pdf.row.min()), int(pdf.col.min())
+        r, c = pdf.row.to_numpy() - r0, pdf.col.to_numpy() - c0
+        shape = (int(r.max()) + 1, int(c.max()) + 1)
+        present = np.zeros(shape, bool)
         present[r, c] = True
         arrays = {}
         for v in values:
-            a = np.full((side, side), np.nan)
+            a = np.full(shape, np.nan)
             a[r, c] = pdf[v].to_numpy(dtype=float, na_value=np.nan)
             arrays[v] = a
         found = work(arrays, present)
-        own = (r >= halo) & (r < side - halo) & (c >= halo) & (c < side - halo)
+        own = (pdf.row.to_numpy() // block == pdf.block_row.to_numpy()) & (pdf.col.to_numpy() // block == pdf.block_col.to_numpy())
         result = pdf.loc[own, [*day, "row", "col"]].copy()
         for name in out:
             result[name] = found[name][r[own], c[own]]
@@ -84,6 +85,8 @@ def cloud_share(cloud: np.ndarray, bands: list[np.ndarray], reach: int = 5) -> n
     for band in bands:
         for k in np.unique(band[band > 0]):
             here = band == k
+            if not (cloud & here).any():
+                continue
             share = shifted_sum((cloud & here).astype(float), reach, weight) / np.maximum(shifted_sum(here.astype(float), reach, weight), 1e-12)
             out = np.where(here, np.maximum(out, np.floor(100 * share + 0.5)), out)
     return out
