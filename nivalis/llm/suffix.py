@@ -34,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import SMALL_ROWS, stash, text_bytes, texts
+from nivalis.llm.common import stash, text_bytes, texts
 
 LENGTH = 100
 GRAM = 32
 SHALLOW = 24
 MANY = 2000
 LONGEST = 200  # windows in a segment
+MOST_BROADCAST = 300_000  # array elements of about 40 bytes
 PIECE = 1 << 20
 CHUNK = 1 << 18
 LAST = (1 << 63) - 1
@@ -256,9 +257,10 @@ def repeated_ranges(classes: list) -> list:
     return merged
 
 
-def _with_rows(rows: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
-    """Documents joined with a row each of another table; that is broadcast if its count allows."""
-    return rows.join(F.broadcast(per_doc) if per_doc.count() <= SMALL_ROWS // 2 else per_doc, ROW, how)
+def _with_rows(rows: DataFrame, per_doc: DataFrame, array: str, how: str) -> DataFrame:
+    """Documents joined with a row each of another table; that is broadcast if the elements of its arrays are few enough."""
+    elements = per_doc.agg(F.sum(F.size(array))).first()[0] or 0
+    return rows.join(F.broadcast(per_doc) if elements <= MOST_BROADCAST else per_doc, ROW, how)
 
 
 def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -276,7 +278,7 @@ def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
                 )
 
     schema = pa.schema([("key", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
-    return _with_rows(rows, per_doc, "inner").mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int").select(*out)
+    return _with_rows(rows, per_doc, "cuts", "inner").mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int").select(*out)
 
 
 def _sorted_ranges(cut: DataFrame) -> DataFrame:
@@ -348,19 +350,32 @@ def merge(spans: list) -> list[tuple[int, int]]:
     return out
 
 
+def _merged(found: DataFrame) -> DataFrame:
+    """Each document's ranges as an array of maximal runs."""
+    kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+
+    def run(batches):
+        for batch in batches:
+            spans = [[{"from": a, "to": b} for a, b in merge([(s["from"], s["to"]) for s in x])] for x in batch.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(spans, kind)], [*ROW, "spans"])
+
+    per_doc = found.groupBy(*ROW).agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    return per_doc.mapInArrow(run, "doc_id long, tie long, spans array<struct<`from`:long,`to`:long>>")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (from, to; in bytes, the removed runs) and kept (the remaining bytes) for every row."""
     ids = docs.select("doc_id").groupBy("doc_id").count()
     unique = ids.where("count > 1").isEmpty()
     rows = _rows(docs, unique)
-    per_doc = stash(ranges(rows).groupBy(*ROW).agg(F.collect_set(F.struct("from", "to")).alias("spans")), "suffix-ranges")
+    per_doc = stash(_merged(ranges(rows)), "suffix-ranges")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             spans, kept, sizes = [], [], []
             for text, found in zip(texts(batch), batch.column("spans").to_pylist()):
-                merged = merge([(s["from"], s["to"]) for s in found or ()])
+                merged = [(s["from"], s["to"]) for s in found or ()]
                 parts, at = [], 0
                 for a, b in merged:
                     parts.append(text[at:a])
@@ -372,6 +387,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"]
             )
 
-    out = _with_rows(rows, per_doc, "left").select("doc_id", "text", "spans")
+    out = _with_rows(rows, per_doc, "spans", "left").select("doc_id", "text", "spans")
     out = out.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<`from`:long,`to`:long>>, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
