@@ -58,13 +58,13 @@ def over_blocks(px: DataFrame, day: list[str], halo: int, values: list[str], wor
 
 
 def shifted_sum(a: np.ndarray, reach: int, weight: Callable[[int, int], float]) -> np.ndarray:
-    """Weighted sum over the (2 reach + 1) square around each place; outside counts 0."""
-    padded = np.pad(a, reach)
-    n, m = a.shape
+    """Weighted sum over the (2 reach + 1) square around each place of the last two axes; outside counts 0."""
+    padded = np.pad(a, [(0, 0)] * (a.ndim - 2) + [(reach, reach)] * 2)
+    n, m = a.shape[-2:]
     out = np.zeros(a.shape)
     for i in range(2 * reach + 1):
         for j in range(2 * reach + 1):
-            out += weight(i - reach, j - reach) * padded[i : i + n, j : j + m]
+            out += weight(i - reach, j - reach) * padded[..., i : i + n, j : j + m]
     return out
 
 
@@ -83,12 +83,11 @@ def cloud_share(cloud: np.ndarray, bands: list[np.ndarray], reach: int = 5) -> n
     weight = lambda i, j: 1 / (np.hypot(i, j) + 1)
     out = np.zeros(cloud.shape)
     for band in bands:
-        for k in np.unique(band[band > 0]):
-            here = band == k
-            if not (cloud & here).any():
-                continue
+        steps = np.unique(band[cloud & (band > 0)])
+        if len(steps):
+            here = band == steps[:, None, None]
             share = shifted_sum((cloud & here).astype(float), reach, weight) / np.maximum(shifted_sum(here.astype(float), reach, weight), 1e-12)
-            out = np.where(here, np.maximum(out, np.floor(100 * share + 0.5)), out)
+            out = np.maximum(out, np.where(here, np.floor(100 * share + 0.5), 0).max(axis=0))
     return out
 
 
