@@ -11,12 +11,13 @@ as many as its sketch has more than the needed overlap less one, and values that
 no other class has are no list at all. Common passages are thereby listed only
 under documents that consist of them for the most part.
 
-No list is turned into all its pairs at once. In each of `HUB_ROUNDS` rounds a list
-names one hub (by a hash that changes with the round), and members of other
-components are compared with it; then what is found is contracted. Pairs that
-still span two components of a list are then all compared, once each, which is
-exact and, the copies being contracted, small. A comparison first estimates the
-similarity from the union of two sketches, then verifies it on the full sets.
+No list is turned into all its pairs at once. In each round a list names one hub (by
+a hash of its own that changes with the round), and members of other components
+are compared with it; then what is found is contracted. Rounds go on while the
+pairs that still span two components of a list are more than `FEW` times the
+lists' entries (`HUB_ROUNDS` at most); then these pairs are all compared, once each,
+which is exact. A comparison first estimates the similarity from the union of
+two sketches, then verifies it on the full sets.
 
 Components grow by label propagation with pointer jumping; no links, labels or
 sketches of all documents reach the driver. Copies join their class through at
@@ -47,7 +48,8 @@ K = 64
 LARGE_OVERLAP = 34
 MARGIN = 0.2
 CREWS = 64
-HUB_ROUNDS = 2
+HUB_ROUNDS = 5
+FEW = 1
 PIECE = 1 << 17  # words hashed at a time
 
 BASE = 0x9E3779B97F4A7C15
@@ -198,12 +200,23 @@ def lists(reps: DataFrame) -> DataFrame:
     own = W.partitionBy("cls")
     rank = F.row_number().over(own.orderBy("df", "v")) + F.col("len") - F.count("*").over(own)
     found = found.withColumn("rank", rank).where(F.col("rank") <= F.col("len") - needed(F.col("n")) + 1)
-    return found.select("v", "cls", "n")
+    return found.select("v", "cls", "n", "rank")
 
 
-def _fits(a: str, b: str) -> Column:
-    """Sizes that allow the similarity asked for."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _fits(a: str, b: str, rank_a: str = "rank", rank_b: str = "other_rank") -> Column:
+    """Sizes that allow the similarity asked for, and a value early enough in both orders for these sizes.
+
+    The first value that two linked sets share has at least the overlap less one after it in
+    either sketch. The overlap follows from both sizes: sets up to K shingles exactly; of larger ones
+    the larger set's sketch is a random sample of it, four standard deviations allowed for.
+    """
+    low, high = F.least(a, b).cast("double"), F.greatest(a, b).cast("double")
+    common = (low + high) * PERCENT / (100 + PERCENT)
+    share = F.least(common / high, F.lit(1.0))
+    sampled = F.greatest(F.lit(float(LARGE_OVERLAP)), K * share - 4 * F.sqrt(K * share * (1 - share)))
+    overlap = F.when(low > K, F.floor(sampled)).otherwise(F.ceil(common - 1e-9) - F.greatest(F.lit(0.0), high - K))
+    early = [F.col(r) <= F.least(F.col(n), F.lit(K)) - overlap + 1 for n, r in ((a, rank_a), (b, rank_b))]
+    return (low * 100 >= high * PERCENT) & early[0] & early[1]
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -213,19 +226,21 @@ def _pairs(found: DataFrame) -> DataFrame:
 def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """cls and comp for all classes that have a link."""
     posted = stash(lists(reps), "near-lists")
+    entries = posted.count()
     labels, tested = None, None
     for round_ in range(HUB_ROUNDS + 1):
         now = posted.withColumn("comp", F.col("cls"))
         if labels is not None:
-            now = posted.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        if round_ < HUB_ROUNDS:
-            hub = F.min_by(F.struct(F.col("cls").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp")), F.xxhash64("cls", F.lit(round_)))
+            now = stash(posted.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "near-now")
+        last = round_ == HUB_ROUNDS or _spanning(now) <= FEW * entries
+        if not last:
+            hub = F.min_by(F.struct(F.col("cls").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp"), F.col("rank").alias("other_rank")), F.xxhash64("v", "cls", F.lit(round_)))
             hubs = now.groupBy("v").agg(hub.alias("h")).select("v", "h.*")
             found = now.join(hubs, "v").where((F.col("comp") != F.col("other_comp")) & _fits("n", "other_n"))
         else:
             mixed = now.groupBy("v").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("v")
             now = now.join(mixed, "v")
-            others = now.selectExpr("v", "cls AS other", "n AS other_n", "comp AS other_comp")
+            others = now.selectExpr("v", "cls AS other", "n AS other_n", "comp AS other_comp", "rank AS other_rank")
             found = now.join(others, "v").where((F.col("comp") < F.col("other_comp")) & _fits("n", "other_n"))
         pairs = _pairs(found)
         if tested is not None:
@@ -233,26 +248,30 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         pairs = stash(pairs, "near-pairs")
         likely = stash(_likely(pairs, reps), "near-likely")
         tested = pairs if tested is None else tested.union(pairs)
-        if likely.isEmpty():
-            continue
-        edges = stash(_verified(likely, docs), "near-links")
-        if edges.isEmpty():
-            continue
-        if labels is None:
-            labels = connected(edges).selectExpr("node AS cls", "comp")
-            continue
-        lifted = edges
-        for side in ("a", "b"):
-            lifted = lifted.join(labels.selectExpr(f"cls AS {side}", f"comp AS comp_{side}"), side, "left")
-        lifted = lifted.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a != b")
-        if lifted.isEmpty():
-            continue
-        top = connected(lifted).selectExpr("node AS comp", "comp AS top")
-        lower = labels.join(top, "comp", "left").select("cls", F.coalesce("top", "comp").alias("comp"))
-        # Classes that were on their own until now are nodes of `top`, but not of the labels.
-        fresh = top.selectExpr("comp AS cls", "top AS comp").join(labels, "cls", "left_anti")
-        labels = stash(lower.unionByName(fresh), "near-labels")
-    return labels
+        edges = None if likely.isEmpty() else stash(_verified(likely, docs), "near-links")
+        if edges is not None and not edges.isEmpty():
+            labels = connected(edges).selectExpr("node AS cls", "comp") if labels is None else _contracted(labels, edges)
+        if last:
+            return labels
+
+
+def _spanning(now: DataFrame) -> int:
+    """Pairs of list entries in different components, counted from the sizes of the components in each list."""
+    sizes = now.groupBy("v", "comp").agg(F.count("*").alias("c")).groupBy("v").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    return int(sizes.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0)
+
+
+def _contracted(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels after further links: these are lifted to components and connected there."""
+    lifted = edges
+    for side in ("a", "b"):
+        lifted = lifted.join(labels.selectExpr(f"cls AS {side}", f"comp AS comp_{side}"), side, "left")
+    lifted = lifted.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a != b")
+    top = connected(lifted).selectExpr("node AS comp", "comp AS top")
+    lower = labels.join(top, "comp", "left").select("cls", F.coalesce("top", "comp").alias("comp"))
+    # Classes that were on their own until now are nodes of `top`, but not of the labels.
+    fresh = top.selectExpr("comp AS cls", "top AS comp").join(labels, "cls", "left_anti")
+    return stash(lower.unionByName(fresh), "near-labels")
 
 
 def components(docs: DataFrame) -> DataFrame:
