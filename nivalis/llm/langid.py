@@ -79,7 +79,7 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
     grams = words.mapInArrow(count_grams, schema).groupBy("lang", "term").agg(F.sum("n").alias("n"))
     known = _most_frequent(words, max_words, 2)
     pieces = _most_frequent(grams, max_grams, 1)
-    langs = sorted({lang for counts in (known, pieces) for _, of in counts for lang in of})
+    langs = sorted({lang for counts in (known, pieces) for _, of in counts for lang, _ in of})
     return {
         "langs": langs,
         "words": _log_frequencies(known, langs, lambda t: 0),
@@ -89,7 +89,8 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
 
 def _most_frequent(counts: DataFrame, most: int, least: int) -> list:
     by_term = counts.groupBy("term").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("of"))
-    return [(r.term, r.of) for r in by_term.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(most).select("term", "of").collect()]
+    table = by_term.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(most).select("term", "of").toArrow()
+    return [(term, tuple(of)) for b in table.to_batches(max_chunksize=10_000) for term, of in zip(*(c.to_pylist() for c in b.columns))]
 
 
 def _log_frequencies(counts: list, langs: list, group) -> dict:
@@ -98,12 +99,13 @@ def _log_frequencies(counts: list, langs: list, group) -> dict:
     sizes: Counter = Counter()
     for term, of in counts:
         sizes[group(term)] += 1
-        for lang, n in of.items():
+        for lang, n in of:
             totals[group(term), lang] += n
-    return {
-        term: tuple(math.log((of.get(lang, 0) + 0.5) / (totals[group(term), lang] + 0.5 * sizes[group(term)])) for lang in langs)
-        for term, of in counts
-    }
+    out = {}
+    for term, of in counts:
+        found = dict(of)
+        out[term] = tuple(math.log((found.get(lang, 0) + 0.5) / (totals[group(term), lang] + 0.5 * sizes[group(term)])) for lang in langs)
+    return out
 
 
 class WordVectors(dict):
