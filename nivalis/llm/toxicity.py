@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import bounded_sample, fold, held_out, texts
+from nivalis.llm.common import bounded_sample, chunks, fold, held_out, texts
 from nivalis.llm.decontam import words_of
 
 MAX_LABELLED = 200_000
@@ -72,7 +72,7 @@ class WordScores(dict):
         self.terms = terms
 
     def __missing__(self, word: bytes) -> float:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         score = self[word] = max((self.terms.get(t, 0.0) for t in terms_of(word))) - DRIFT
         return score
@@ -132,13 +132,15 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 def _terms(own: DataFrame, max_terms: int) -> dict:
     def count(batches):
         for batch in batches:
-            by_label = (Counter(), Counter())
-            for toxic, text in zip(batch.column("toxic").to_pylist(), texts(batch)):
-                by_label[toxic].update({t for w in set(words_of(text)) for t in terms_of(w)})
-            keys = list(by_label[0].keys() | by_label[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), *(pa.array([c[k] for k in keys], pa.int64()) for c in by_label)], ["term", "clean", "toxic"]
-            )
+            data, labels = texts(batch), batch.column("toxic").to_pylist()
+            for start, stop in chunks(data):
+                by_label = (Counter(), Counter())
+                for toxic, text in zip(labels[start:stop], data[start:stop]):
+                    by_label[toxic].update({t for w in set(words_of(text)) for t in terms_of(w)})
+                keys = list(by_label[0].keys() | by_label[1].keys())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), *(pa.array([c[k] for k in keys], pa.int64()) for c in by_label)], ["term", "clean", "toxic"]
+                )
 
     n = {r.toxic: r.n for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = n.get(0, 0), n.get(1, 0)
