@@ -20,7 +20,6 @@ ID = ["tile", "row", "col", "obs_date"]
 IDS = 'tile, "row", col, obs_date'
 PIX = 'PARTITION BY tile, "row", col'
 W = f"{PIX} ORDER BY obs_date"
-BANDS = [F.col(f"b{k}") for k in range(1, 8)]
 
 
 def query(oracle: str | None = None):
@@ -33,6 +32,10 @@ def query(oracle: str | None = None):
     return register
 
 
+def _bands():
+    return [F.col(f"b{k}") for k in range(1, 8)]
+
+
 def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pixels on all days of the whole range of dates (two scalars fetched first)."""
     px = A.pixel_days(spark, sf_dir)
@@ -259,7 +262,7 @@ _MASKS = " | ".join(f"(CASE WHEN b{k} < 5 THEN 2 WHEN b{k} > 90 THEN 4 ELSE 0 EN
 
 @query(sql("px", f"SELECT {IDS}, m AS sensor_mask, m <> 0 AS no_input FROM (SELECT *, {_MASKS} AS m FROM px)"))
 def o15_pack_sensor_mask(spark, d):
-    m = bits.pack_masks([codec.cut_min_max(b, 5, 90)[1] for b in BANDS])
+    m = bits.pack_masks([codec.cut_min_max(b, 5, 90)[1] for b in _bands()])
     return A.pixel_days(spark, d).select(*ID, m.alias("sensor_mask"), (m != 0).alias("no_input"))
 
 
@@ -269,7 +272,7 @@ _ND = "round(({a} - {b}) / nullif(({a} + {b})::DOUBLE, 0), 6)"
 @query(sql("px", f"""SELECT {IDS}, {_ND.format(a="b3", b="b6")} AS ndsi, {_ND.format(a="b2", b="b1")} AS ndvi,
   round(sqrt({" + ".join(f"b{k}::DOUBLE * b{k}" for k in range(1, 8))}) / sqrt(7.0::DOUBLE), 6) AS norm, b6 < 20 AS swir_low FROM px"""))
 def o16_spectral_indices(spark, d):
-    found = optics.spectral_indices(BANDS)
+    found = optics.spectral_indices(_bands())
     return A.pixel_days(spark, d).select(*ID, *[(F.round(c, 6) if k != "swir_low" else c).alias(k) for k, c in found.items()])
 
 
@@ -319,7 +322,7 @@ def o21_corrected_snow_fraction(spark, d):
 
 @query(sql("px", f"SELECT {IDS}, b1 > 35 AND b2 > 35 AND b3 > 31 AND b4 > 31 AND b5 > 30 AND b6 > 22 AS bright FROM px"))
 def o22_bright_cloud_flag(spark, d):
-    return A.pixel_days(spark, d).select(*ID, flags.bright_cloud(BANDS[:6]).alias("bright"))
+    return A.pixel_days(spark, d).select(*ID, flags.bright_cloud(_bands()[:6]).alias("bright"))
 
 
 @query(sql("px static", f"""SELECT {IDS}, (CASE WHEN (b3 - b6) / nullif((b3 + b6)::DOUBLE, 0) < -0.5 THEN 2 ELSE 0 END) | (CASE WHEN snow > 0 AND snow <= 10 THEN 4 ELSE 0 END)
