@@ -41,7 +41,6 @@ GRAM = 32
 SHALLOW = 24
 MANY = 2000
 LONGEST = 200  # windows in a segment
-MOST_BROADCAST = 300_000  # array elements of about 40 bytes
 PIECE = 1 << 20
 CHUNK = 1 << 18
 LAST = (1 << 63) - 1
@@ -257,12 +256,6 @@ def repeated_ranges(classes: list) -> list:
     return merged
 
 
-def _with_rows(rows: DataFrame, per_doc: DataFrame, array: str, how: str) -> DataFrame:
-    """Documents joined with a row each of another table; that is broadcast if the elements of its arrays are few enough."""
-    elements = per_doc.agg(F.sum(F.size(array))).first()[0] or 0
-    return rows.join(F.broadcast(per_doc) if elements <= MOST_BROADCAST else per_doc, ROW, how)
-
-
 def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """key, many, bytes and place of each class's first occurrence."""
     per_doc = stash(classes.groupBy(*ROW).agg(F.collect_list(F.struct("key", "many", "start", "n")).alias("cuts")), "suffix-cuts")
@@ -278,7 +271,7 @@ def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
                 )
 
     schema = pa.schema([("key", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
-    return _with_rows(rows, per_doc, "cuts", "inner").mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int").select(*out)
+    return rows.join(per_doc, ROW).mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int").select(*out)
 
 
 def _sorted_ranges(cut: DataFrame) -> DataFrame:
@@ -387,6 +380,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"]
             )
 
-    out = _with_rows(rows, per_doc, "spans", "left").select("doc_id", "text", "spans")
+    out = rows.join(per_doc, ROW, "left").select("doc_id", "text", "spans")
     out = out.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<`from`:long,`to`:long>>, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
