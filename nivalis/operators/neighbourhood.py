@@ -54,7 +54,9 @@ def over_blocks(px: DataFrame, day: list[str], halo: int, values: list[str], wor
 
     schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), f"row {kinds['row']}", f"col {kinds['col']}", *(f"{k} {t}" for k, t in out.items())])
     slim = px.select(*day, "row", "col", *values)
-    return in_blocks(slim, day, halo, block).groupBy(*keys).applyInPandas(run, schema)
+    # Few bytes, much work: a stated number of partitions is not coalesced.
+    tasks = int(px.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return in_blocks(slim, day, halo, block).repartition(tasks, *keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def shifted_sum(a: np.ndarray, reach: int, weight: Callable[[int, int], float]) -> np.ndarray:
