@@ -13,13 +13,14 @@ from nivalis.operators.series import PIXEL, interpolate_linear
 RANGES = {"albedo": (0, 100), "deltavis": (0, 75), "radiative_forcing": (0, 500)}
 
 
-def albedo_job(px: DataFrame, static: DataFrame, luts: dict[str, tuple], soot: float = 0.0) -> DataFrame:
+def albedo_job(px: DataFrame, static: DataFrame, luts: dict[str, tuple], soot: float = 0.0, keys=PIXEL) -> DataFrame:
     """albedo_mu0 and albedo_muz (clean), deltavis, radiative_forcing and observed albedos, where grain size and dust exist.
 
     `luts` maps albedo, deltavis and radiative_forcing to (axes, values) over mu0, mu, root of grain
-    size, dust (a share) and soot. Zeniths and azimuths are filled in time, nearest at the ends.
+    size, dust (a share) and soot. Zeniths and azimuths are filled in time, nearest at the ends
+    of a series (one for each of the keys).
     """
-    px = interpolate_linear(interpolate_linear(px, "solar_zenith", "nearest"), "solar_azimuth", "nearest")
+    px = interpolate_linear(interpolate_linear(px, "solar_zenith", "nearest", keys), "solar_azimuth", "nearest", keys)
     px = px.join(static.select(*PIXEL, "slope", "aspect"), PIXEL, "left")
     mu0 = F.cos(F.radians("solar_zenith_filled"))
     grain = F.greatest(F.lit(1), F.least(F.lit(1999), F.col("grain_size")))

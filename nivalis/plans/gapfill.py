@@ -43,32 +43,36 @@ def fill_seasons(a: dict[str, np.ndarray], fix: bool, limit: float = 10, least_d
     return dict(zip(OUT, (view, total, grain, dust)))
 
 
-def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None = None, version: int = 1, viirs: bool = False, months_for_peak: int = 8, cols: int = 2400) -> DataFrame:
+def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None = None, version: int = 1, viirs: bool = False, months_for_peak: int = 8, cols: int = 2400, by_year: bool = False) -> DataFrame:
     """Gap-free rows of every pixel and day of the window, with run lengths, flags and snow-cover days.
 
     Needs snow, total, grain, dust, weight and both filters. One shuffle brings the pixels' days
-    together for the windows, a second one the pixel groups for the splines.
+    together for the windows, a second one the pixel groups for the splines. With by_year each water
+    year of the window that a pixel has rows in is a season of its own (cut off at the window's ends).
     """
     start, end = F.to_date(F.lit(first)), F.to_date(F.lit(last))
-    days = densify(px.where(F.col("obs_date").between(start, end)), start, end)
+    own, keys = px.where(F.col("obs_date").between(start, end)), list(PIXEL)
+    if by_year:
+        own, keys = own.withColumn("water_year", water_year(F.col("obs_date"))), [*PIXEL, "water_year"]
+        start = F.greatest(start, F.make_date(F.col("water_year") - 1, F.lit(10), F.lit(1)))
+        end = F.least(end, F.make_date(F.col("water_year"), F.lit(9), F.lit(30)))
+    days = densify(own, start, end, keys)
     missing, free = nodata_or_zero(F.coalesce("nodata_filter", F.lit(1)), F.coalesce("zero_filter", F.lit(0)), version, viirs)
     z = F.when(missing, None).when(free, 0).otherwise(F.col("snow"))
     days = days.withColumn("snow", z)
-    days = unobserved_runs(days, F.col("snow").isNotNull())
-    days = rare_observations(days, "snow")
+    days = unobserved_runs(days, F.col("snow").isNotNull(), keys)
+    days = rare_observations(days, "snow", keys=keys)
     if static is not None:
         days = days.join(static.select(*PIXEL, F.col("ice_fraction").alias("ice")), PIXEL, "left")
     else:
         days = days.withColumn("ice", F.lit(0))
     kinds = {f.name: f.dataType.simpleString() for f in days.schema.fields}
-    count = (pd.Timestamp(last) - pd.Timestamp(first)).days + 1
-    grid = np.arange(np.datetime64(first), np.datetime64(last) + 1)
-    fix = count >= months_for_peak * 30
     carried = ["days_since_last_observation", "days_without_observation", "is_rare"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        grid = np.unique(pdf["obs_date"].to_numpy().astype("datetime64[D]"))
         _, at, a = matrix(pdf, ["snow", "total", "grain", "dust", "weight", "ice"], grid)
-        filled = fill_seasons(a, fix)
+        filled = fill_seasons(a, len(grid) >= months_for_peak * 30)
         out = pdf[[*PIXEL, "obs_date", *carried]].copy()
         for name in OUT:
             x = filled[name][at[0], at[1]]
@@ -77,7 +81,7 @@ def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None
 
     fields = [*PIXEL, "obs_date", *carried]
     schema = ", ".join([*(f"{c} {kinds[c]}" for c in fields), *(f"{c} int" for c in OUT)])
-    slim = pixel_groups(days.select(*fields, "snow", "total", "grain", "dust", "weight", "ice"), cols)
-    filled = slim.groupBy("tile", "_group").applyInPandas(run, schema)
+    slim = pixel_groups(days.select(*fields, *keys[len(PIXEL) :], "snow", "total", "grain", "dust", "weight", "ice"), cols)
+    filled = slim.groupBy("tile", "_group", *keys[len(PIXEL) :]).applyInPandas(run, schema)
     filled = filled.withColumn("water_year", water_year(F.col("obs_date")))
     return filled.withColumn("snow_cover_days", snow_cover_days(F.col("snow_fraction")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -962,18 +963,23 @@ def o81_unmix_job(spark, d):
     return found.select(*ID, "viewable_snow_fraction", "snow_fraction", "grain_size", "dust", "residual", "zero_filter", "grain_size_dust")
 
 
-def _season(spark, d):
+def _seasons(spark, d):
+    """All water years of the data, the last one up to the last day."""
     from nivalis.plans.gapfill import gap_fill_job
 
     px = A.pixel_days(spark, d).withColumns({
         "total": F.col("snow"), "nodata_filter": F.when(F.col("snow").isNull(), 1).otherwise(0), "zero_filter": F.when(F.col("snow") == 0, 64).otherwise(0),
     })
-    return gap_fill_job(px, "1999-10-01", "2000-09-30", A.static(spark, d), cols=10)
+    low, high = px.agg(F.min("obs_date"), F.max("obs_date")).first()
+    if low is None:
+        low = high = dt.date(1999, 10, 1)
+    first = dt.date(low.year - (low.month < 10), 10, 1)
+    return gap_fill_job(px, first.isoformat(), high.isoformat(), A.static(spark, d), cols=10, by_year=True)
 
 
 @query()
 def o83_gap_fill_job(spark, d):
-    return _season(spark, d)
+    return _seasons(spark, d)
 
 
 @query()
@@ -981,8 +987,8 @@ def o84_albedo_job(spark, d):
     from nivalis.plans.albedo import albedo_job
 
     sun = A.pixel_days(spark, d).select(*ID, "solar_zenith", (F.col("b1") * 3).alias("solar_azimuth"))
-    px = _season(spark, d).join(sun, ID, "left")
-    found = albedo_job(px, A.static(spark, d), _luts())
+    px = _seasons(spark, d).join(sun, ID, "left")
+    found = albedo_job(px, A.static(spark, d), _luts(), keys=["tile", "row", "col", "water_year"])
     return found.select(*ID, "albedo_mu0", "albedo_muz", "deltavis", "radiative_forcing", "albedo_observed_mu0", "albedo_observed_muz")
 
 
@@ -1006,5 +1012,4 @@ def o85_statistics_job(spark, d):
 
     px = joins.with_static(A.pixel_days(spark, d), A.static(spark, d).select("tile", "row", "col", "elevation"))
     new = daily_job(px, A.bridge(spark, d), "snow", "grain", 7).withColumn("update_date", F.lit("2002-01-01").cast("date"))
-    old = A.stat(spark, d).where("day % 7 = 0")
-    return statistics_job(old, new, _NOW)
+    return statistics_job(A.stat(spark, d), new, _NOW)
