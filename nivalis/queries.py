@@ -150,11 +150,21 @@ for _mode in (0, 20, 99):
 @query(sql("px", """SELECT DISTINCT tile, "row", col, last_day(obs_date) AS obs_date,
   year(last_day(obs_date)) + (month(last_day(obs_date)) >= 10)::INT AS water_year FROM px"""))
 def o07_write_daily(spark, d):
+    """Writes all pixel-days by their days; the SQL asks for the months they are in."""
+    return _daily(spark, d).select("tile", "row", "col", F.last_day("obs_date").alias("obs_date"), "water_year").distinct()
+
+
+def _daily(spark, d):
     path = folders.new_folder(spark, "daily")
-    px = A.pixel_days(spark, d).select(*ID, "snow", "grain", "dust").withColumn("obs_date", F.last_day("obs_date"))
-    px = px.dropDuplicates(ID)  # months as days: a partition for each day of seven years would be many tiny files here
+    px = A.pixel_days(spark, d).select(*ID, "snow", "grain", "dust")
     tables.write_daily(px, path)
-    return spark.read.parquet(path).select(*ID, "water_year")
+    return spark.read.schema(px.withColumn("water_year", F.lit(0)).schema).parquet(path)
+
+
+@query(sql("px", f"SELECT {IDS}, snow, grain, dust, year(obs_date) + (month(obs_date) >= 10)::INT AS water_year FROM px"))
+def o07_read_daily(spark, d):
+    """The same tables as o07_write_daily, with all days and values."""
+    return _daily(spark, d).select(*ID, "snow", "grain", "dust", "water_year")
 
 
 # The year of the web series: the last one of the data.

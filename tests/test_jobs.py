@@ -132,3 +132,25 @@ def test_statistics_query_takes_all_old_rows(spark):
     assert any(k[1] != 7 and k[2] % 7 for k in found)
     for k, values in expected.items():
         assert found[k] == pytest.approx(values), k
+
+
+def test_daily_tables_hold_every_day_and_value(spark, monkeypatch):
+    """What the query writes, read file by file."""
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    from nivalis.sources import tables
+
+    paths, write = [], tables.write_daily
+    monkeypatch.setattr(tables, "write_daily", lambda df, path: (paths.append(path), write(df, path)))
+    queries.QUERIES["o07_write_daily"](spark, DATA).collect()
+    found, files = [], list(pathlib.Path(paths[0].removeprefix("file://")).rglob("*.parquet"))
+    for f in files:
+        part = dict(p.split("=") for p in f.parts if "=" in p)
+        day = dt.date.fromisoformat(part["obs_date"])
+        assert int(part["water_year"]) == water_year(day)
+        found += [(part["tile"], r["row"], r["col"], day, r["snow"], r["grain"], r["dust"]) for r in pq.ParquetFile(f).read().to_pylist()]
+    px = adapters.pixel_days(spark, DATA).select("tile", "row", "col", "obs_date", "snow", "grain", "dust").collect()
+    assert len(found) == len(px) and set(found) == {tuple(r) for r in px}
+    assert len(files) == len({(r.tile, r.obs_date) for r in px})
