@@ -9,6 +9,8 @@ from pyspark.sql.window import Window as W
 from nivalis.functions.quantiles import percentile_hazen
 
 PIXEL_KM2 = (2 * 3.141592653589793 * 6371.007181 / 36 / 2400) ** 2
+#: Ranges of values that a group's percentiles are looked up in.
+RANGES = 128
 STAT_KEY = ["water_year", "day", "subdivision_id", "var_id"]
 #: Ids of the daily statistics, and of the first of each kind of extreme year.
 DAILY_IDS = {"snow_area_km2": 1, "mean_value": 2, "smoothed_median": 3}
@@ -21,6 +23,33 @@ def histogram(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("n"))
 
 
+def histogram_percentiles(counts: DataFrame, keys: list[str], percents: dict[str, float], value: str = "value") -> DataFrame:
+    """Per group with values: Hazen percentiles of the values, each counted n times (see histogram).
+
+    No task needs all values of a group: they fall into ranges (whose bounds are estimates, which only
+    the sizes of tasks depend on), and running sums are taken over ranges first, then within the few
+    ranges in which the positions lie.
+    """
+    own = counts.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum("n").alias("n"))
+    bounds = own.groupBy(*keys).agg(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 1000).alias("_bounds"))
+    own = own.join(bounds, keys).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
+    group = W.partitionBy(*keys)
+    ranges = own.groupBy(*keys, "_range").agg(F.sum("n").alias("_in"))
+    ranges = ranges.withColumns({"_total": F.sum("_in").over(group), "_before": F.sum("_in").over(group.orderBy("_range").rowsBetween(W.unboundedPreceding, 0)) - F.col("_in")})
+    total = F.col("_total")
+    at = {c: F.greatest(F.lit(1.0), F.least(total.cast("double"), total * p / 100 + 0.5)) for c, p in percents.items()}
+    asked = F.array(*[F.struct(F.lit(c).alias("name"), (a - F.floor(a)).alias("share"), F.floor(a).alias("low"), F.least(F.floor(a) + 1, total).alias("high")) for c, a in at.items()])
+    asked = ranges.withColumn("_a", F.explode(asked)).select(*keys, "_range", "_before", "_in", "_a.name", "_a.share", F.explode(F.map_from_arrays(F.array(F.lit("low"), F.lit("high")), F.array("_a.low", "_a.high"))).alias("side", "place"))
+    asked = asked.where((F.col("place") > F.col("_before")) & (F.col("place") <= F.col("_before") + F.col("_in")))
+    asked = asked.select(*keys, "_range", "name", "share", "side", (F.col("place") - F.col("_before")).alias("place"))
+    within = own.join(asked.select(*keys, "_range").distinct(), [*keys, "_range"])
+    within = within.withColumn("_upto", F.sum("n").over(W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, 0)))
+    hits = within.join(asked, [*keys, "_range"]).where((F.col("place") <= F.col("_upto")) & (F.col("place") > F.col("_upto") - F.col("n")))
+    side = lambda c, s: F.max(F.when((F.col("name") == c) & (F.col("side") == s), F.col(value).cast("double")))
+    share = lambda c: F.max(F.when(F.col("name") == c, F.col("share")))
+    return hits.groupBy(*keys).agg(*[(side(c, "low") + share(c) * (side(c, "high") - side(c, "low"))).alias(c) for c in percents])
+
+
 def smoothed_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per group: n, the median m, and (n/2 - #(x < m)) / (#(x = m) + 0.1) + m - 0.5.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.codec import round_out
-from nivalis.functions.quantiles import percentile_hazen
+from nivalis.operators.stats import histogram_percentiles
 
 
 def subdivision_paths(links: DataFrame) -> DataFrame:
@@ -45,12 +45,10 @@ def web_metadata(stat: DataFrame, links: DataFrame, names: DataFrame, wide: bool
     """Per root and variable: first and last water year, number of subdivisions, and a display range around the 5th and 95th percentile."""
     own = stat.join(members_of_roots(links).withColumnRenamed("member_id", "subdivision_id"), "subdivision_id")
     values = own.groupBy("root_id", "var_id", "stat_value").agg(F.count("*").alias("n"), F.min("water_year").alias("first"), F.max("water_year").alias("last"))
+    found = values.groupBy("root_id", "var_id").agg(F.min("first").alias("first_year"), F.max("last").alias("last_year"))
     # Percentiles from the counts of distinct values: their positions by running sums.
-    found = values.groupBy("root_id", "var_id").agg(
-        F.min("first").alias("first_year"), F.max("last").alias("last_year"),
-        F.array_sort(F.collect_list(F.when(F.col("stat_value").isNotNull(), F.col("stat_value").cast("double")))).alias("x"),
-    )
-    low, high = round_out(percentile_hazen(F.col("x"), 5), percentile_hazen(F.col("x"), 95), wide)
+    found = found.join(histogram_percentiles(values, ["root_id", "var_id"], {"p5": 5, "p95": 95}, "stat_value"), ["root_id", "var_id"], "left")
+    low, high = round_out(F.col("p5"), F.col("p95"), wide)
     sizes = own.groupBy("root_id", "var_id").agg(F.count_distinct("subdivision_id").alias("subdivisions"))
     out = found.select("root_id", "var_id", "first_year", "last_year", low.alias("range_low"), high.alias("range_high")).join(sizes, ["root_id", "var_id"])
     return named(out, names, "root_id")

@@ -450,10 +450,9 @@ def o34_colours(spark, d):
 
 @query(sql("px", f"""SELECT tile, (floor({_hazen("x", 5)} / 50) * 50)::BIGINT AS low, (ceil({_hazen("x", 95)} / 50) * 50)::BIGINT AS high FROM (SELECT tile, list(grain ORDER BY grain) AS x FROM px GROUP BY tile)"""))
 def o34_display_range(spark, d):
-    from nivalis.functions.quantiles import percentile_hazen
-
-    x = A.pixel_days(spark, d).groupBy("tile").agg(F.array_sort(F.collect_list("grain")).alias("x"))
-    low, high = codec.round_out(percentile_hazen(F.col("x"), 5), percentile_hazen(F.col("x"), 95), True)
+    px = A.pixel_days(spark, d)
+    x = px.select("tile").distinct().join(stats.histogram_percentiles(stats.histogram(px, ["tile"], "grain"), ["tile"], {"p5": 5, "p95": 95}), "tile", "left")
+    low, high = codec.round_out(F.col("p5"), F.col("p95"), True)
     return x.select("tile", low.alias("low"), high.alias("high"))
 
 
@@ -861,9 +860,20 @@ def o86_subdivision_tree(spark, d):
 (SELECT *, subdivision_id * 5 + 100 + var_id AS member_id FROM stat) JOIN (SELECT DISTINCT root_id, unnest([u.id, l.id]) AS member_id FROM roots JOIN hier u ON u.group_id = root_id LEFT JOIN hier l ON l.group_id = u.id) USING (member_id)
 LEFT JOIN names ON names.id = root_id GROUP BY root_id, var_id""", roots=_ROOTS))
 def o87_web_metadata(spark, d):
+    return _web_metadata(spark, d).select("root_id", "var_id", "first_year", "last_year", "subdivisions", "name")
+
+
+def _web_metadata(spark, d):
     links, names = A.hierarchy(spark, d)
     own = A.stat(spark, d).withColumn("subdivision_id", F.expr("subdivision_id * 5 + 100 + var_id"))
-    return tree.web_metadata(own, links, names).select("root_id", "var_id", "first_year", "last_year", "subdivisions", "name")
+    return tree.web_metadata(own, links, names)
+
+
+@query(sql("stat hier", f"""SELECT root_id, var_id, (floor({_hazen("x", 5)} / 50) * 50)::BIGINT AS range_low, (ceil({_hazen("x", 95)} / 50) * 50)::BIGINT AS range_high FROM
+(SELECT root_id, var_id, list(stat_value ORDER BY stat_value) AS x FROM (SELECT *, subdivision_id * 5 + 100 + var_id AS member_id FROM stat)
+ JOIN (SELECT DISTINCT root_id, unnest([u.id, l.id]) AS member_id FROM roots JOIN hier u ON u.group_id = root_id LEFT JOIN hier l ON l.group_id = u.id) USING (member_id) GROUP BY ALL)""", roots=_ROOTS))
+def o87_display_range(spark, d):
+    return _web_metadata(spark, d).select("root_id", "var_id", "range_low", "range_high")
 
 
 # --- look-up tables, splines, neighbours, unmixing, jobs ------------------------

@@ -154,3 +154,29 @@ def test_daily_tables_hold_every_day_and_value(spark, monkeypatch):
     px = adapters.pixel_days(spark, DATA).select("tile", "row", "col", "obs_date", "snow", "grain", "dust").collect()
     assert len(found) == len(px) and set(found) == {tuple(r) for r in px}
     assert len(files) == len({(r.tile, r.obs_date) for r in px})
+
+
+def test_display_range_counts_repeated_values(spark):
+    from nivalis.plans import tree
+
+    values = {(1, 0): [0.0] * 90 + [float(100 * i) for i in range(1, 11)], (2, 0): [float(i * i % 977) for i in range(1000)], (2, 1): [None, None]}
+    stat = spark.createDataFrame([(2000, s * 10, v, x) for (s, v), xs in values.items() for x in xs], "water_year int, subdivision_id int, var_id int, stat_value double")
+    links = spark.createDataFrame([(1, 10, 0), (2, 20, 0)], "group_id int, id int, display int")
+    names = spark.createDataFrame([(1, "one")], "id int, name string")
+    found = {(r.root_id, r.var_id): (r.range_low, r.range_high) for r in tree.web_metadata(stat, links, names).collect()}
+    outer = lambda x: (math.floor(hazen(x, 5) / 50) * 50, math.ceil(hazen(x, 95) / 50) * 50)
+    assert found == {(1, 0): outer(values[1, 0]), (2, 0): outer(values[2, 0]), (2, 1): (None, None)}
+
+
+@pytest.mark.parametrize("name", ["o87_display_range", "o34_display_range", "o87_web_metadata", "o07_read_daily"])
+def test_queries_equal_their_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    from pathlib import Path
+
+    with duckdb.connect() as db:
+        for p in Path(DATA).glob("*.parquet"):
+            db.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+        cursor = db.execute(queries.SQL[name])
+        columns = [c[0] for c in cursor.description]
+        expected = sorted(map(repr, cursor.fetchall()))
+    assert sorted(repr(tuple(r)) for r in queries.QUERIES[name](spark, DATA).select(*columns).collect()) == expected
