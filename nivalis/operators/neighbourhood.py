@@ -117,13 +117,17 @@ def idw_fill(px: DataFrame, value: str, target: str, day: list[str], decimals: i
     return pairs.groupBy(*day, "row", "col").agg((F.sum(w * F.col("s")) / F.sum(w)).alias(f"{value}_idw"))
 
 
-def springs(a: np.ndarray, sweeps: int = 500, tolerance: float = 1e-6) -> np.ndarray:
+#: Steps of conjugate gradients on any raster; ten for each cell come on top. In exact arithmetic one for each hole is enough.
+MOST_STEPS = 1000
+
+
+def springs(a: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
     """Fills nans by springs between neighbours (nodes with slack zero; each hole is the mean of its 8 neighbours, diagonal ones weaker)."""
-    return _relaxed(a, [(i, j, 1 / np.hypot(i, j)) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j], sweeps, tolerance)
+    return _solved(a, [(i, j, 1 / np.hypot(i, j)) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j], tolerance)
 
 
-def plate(a: np.ndarray, sweeps: int = 2000, tolerance: float = 1e-6) -> np.ndarray:
-    """Fills nans by a thin plate (fourth derivatives vanish): damped conjugate gradients on the squared Laplacian over the holes."""
+def plate(a: np.ndarray, tolerance: float = 1e-6) -> np.ndarray:
+    """Fills nans by a thin plate (fourth derivatives vanish): conjugate gradients on the squared Laplacian over the holes."""
     holes = np.isnan(a)
     if not holes.any() or holes.all():
         return a
@@ -148,36 +152,38 @@ def plate(a: np.ndarray, sweeps: int = 2000, tolerance: float = 1e-6) -> np.ndar
 
     x = springs(a)
     apply = lambda v: np.where(holes, adjoint(laplacian(v)), 0.0)
-    r = -apply(x)
-    p, rr = r.copy(), float((r * r).sum())
-    start = rr
-    for _ in range(sweeps):
-        if rr <= tolerance**2 * max(start, 1e-30):
-            break
-        q = apply(p)
-        step = rr / max(float((p * q).sum()), 1e-300)
-        x, r = x + step * p, r - step * q
-        new = float((r * r).sum())
-        p, rr = r + new / rr * p, new
-    return x
+    return _conjugate(x, -apply(x), apply, 1.0, tolerance)
 
 
-def _relaxed(a: np.ndarray, offsets: list, sweeps: int, tolerance: float) -> np.ndarray:
+def _solved(a: np.ndarray, offsets: list, tolerance: float) -> np.ndarray:
+    """Each hole the weighted mean of its neighbours, by conjugate gradients until the residual is small."""
     holes = np.isnan(a)
     if not holes.any() or holes.all():
         return a
-    x = np.where(holes, np.nanmean(a), a)
     n, m = a.shape
-    inside = np.pad(np.ones((n, m)), 1)
-    total = sum(w * inside[1 + i : 1 + i + n, 1 + j : 1 + j + m] for i, j, w in offsets)
-    for _ in range(sweeps):
-        p = np.pad(x, 1)
-        mean = sum(w * p[1 + i : 1 + i + n, 1 + j : 1 + j + m] for i, j, w in offsets) / total
-        move = np.where(holes, mean - x, 0.0)
-        x = x + move
-        if np.abs(move).max() <= tolerance * max(1.0, np.abs(x).max()):
-            break
-    return x
+    around = lambda v: (lambda p: sum(w * p[1 + i : 1 + i + n, 1 + j : 1 + j + m] for i, j, w in offsets))(np.pad(v, 1))
+    total = around(np.ones((n, m)))
+    apply = lambda v: np.where(holes, total * v - around(v), 0.0)
+    x = np.where(holes, np.nanmean(a), a)
+    r = -apply(x)
+    return _conjugate(x, r, apply, total, tolerance)
+
+
+def _conjugate(x, r, apply, scale, tolerance: float) -> np.ndarray:
+    """Conjugate gradients from x with residual r, scaled by the diagonal; raises if the residual does not fall below the tolerance's share of the first one."""
+    first = float(np.sqrt((r * r).sum()))
+    z = r / scale
+    p, rz = z.copy(), float((r * z).sum())
+    for _ in range(MOST_STEPS + 10 * r.size):
+        if float(np.sqrt((r * r).sum())) <= tolerance * max(first, 1e-12):
+            return x
+        q = apply(p)
+        step = rz / max(float((p * q).sum()), 1e-300)
+        x, r = x + step * p, r - step * q
+        z = r / scale
+        new = float((r * z).sum())
+        p, rz = z + new / rz * p, new
+    raise RuntimeError(f"holes were not filled to a tolerance of {tolerance}")
 
 
 def inpaint(px: DataFrame, value: str, day: list[str], rows: int, cols: int, method: str = "springs") -> DataFrame:

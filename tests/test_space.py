@@ -128,3 +128,20 @@ def test_daily_job_equals_daily_stats(spark):
         assert a[r.subdivision_id, 1] == pytest.approx(r.snow_area_km2)
         assert a[r.subdivision_id, 2] == pytest.approx(r.mean_value)
         assert a[r.subdivision_id, 3] == pytest.approx(r.smoothed_median)
+
+
+@pytest.mark.parametrize("method", ["springs", "plate"])
+def test_inpaint_converges_in_a_hole_of_100_pixels(method):
+    """A ramp solves both systems exactly, whatever the size of the hole."""
+    true = np.tile(np.linspace(0, 90, 120), (120, 1)) + np.arange(120)[:, None] / 3
+    holed = true.copy()
+    holed[10:110, 10:110] = np.nan
+    assert np.abs(getattr(neighbourhood, method)(holed) - true).max() < 1e-2
+
+
+def test_inpaint_says_when_it_does_not_converge(monkeypatch):
+    holed = np.tile(np.arange(30.0), (30, 1))
+    holed[5:25, 5:25] = np.nan
+    monkeypatch.setattr(neighbourhood, "MOST_STEPS", -10 * holed.size)
+    with pytest.raises(RuntimeError):
+        neighbourhood.springs(holed)
