@@ -10,8 +10,8 @@ length-normalised log-likelihood difference (rejected less accepted) is above a
 threshold; that is calibrated on a fifth of the rule-decided urls, which the
 counts leave out, as the cut that best separates the two kinds.
 
-Each model keeps at most `MAX_STRINGS` strings, the most frequent ones, so what is
-broadcast is bounded.
+Models of at most `MAX_STRINGS` strings each are broadcast. Larger ones stay in Spark,
+whole, and urls are scored by joins, with the same results.
 
 Defined results. A null url, or one without ://, has empty host and path, fits no
 rule and is judged as the empty string. Without urls of both kinds everything
@@ -30,8 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nivalis.llm.common import stash
+
 ORDER = 4
 MAX_STRINGS = 300_000
+HOT_STRINGS = 10_000
 BINS = 100
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 START = "\x02"
@@ -106,22 +109,79 @@ def difference(url: str | None, accepted: Markov, rejected: Markov) -> float:
     return (rejected.log_likelihood(u) - accepted.log_likelihood(u)) / (len(u) + 1)
 
 
-def _counts(urls: DataFrame, most: int) -> dict[str, dict[str, int]]:
-    def count(batches):
+def _exploded(urls: DataFrame, keys: list[str], of) -> DataFrame:
+    """Counts n of the strings s that of() gives, per keys; added up within each batch only."""
+    kinds = {f.name: f.dataType.simpleString() for f in urls.schema.fields}
+
+    def run(batches):
         for batch in batches:
             seen: Counter = Counter()
-            for kind, url in zip(batch.column("by_rule").to_pylist(), batch.column("url").to_pylist()):
-                seen.update((kind, s) for s in strings_of(url))
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(seen.values()), pa.int64())],
-                ["kind", "s", "n"],
-            )
+            for *own, url in zip(*(batch.column(k).to_pylist() for k in [*keys, "url"])):
+                seen.update((*own, s) for s in of(url or ""))
+            found = list(zip(*seen)) or [()] * (len(keys) + 1)
+            arrays = [pa.array(c, batch.schema.field(k).type) for k, c in zip(keys, found)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found[-1], pa.string()), pa.array(list(seen.values()), pa.int64())], [*keys, "s", "n"])
+
+    return urls.select(*keys, "url").mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", s string, n long")
+
 
-    found = urls.select("by_rule", "url").mapInArrow(count, "kind string, s string, n long").groupBy("kind", "s").agg(F.sum("n").alias("n"))
-    return {
-        kind: {r.s: r.n for r in found.where(F.col("kind") == kind).orderBy(F.desc("n"), "s").limit(most).collect()} for kind in ("allow", "block")
-    }
+def _counts(urls: DataFrame) -> DataFrame:
+    """kind, s and n: all strings of both kinds."""
+    found = _exploded(urls, ["by_rule"], strings_of).groupBy(F.col("by_rule").alias("kind"), "s").agg(F.sum("n").alias("n"))
+    return stash(found, "url-counts")
+
+
+def windows_of(url: str, order: int = ORDER):
+    """Every character with its longest context: what its probability depends on."""
+    s = START + url + END
+    for end in range(2, len(s) + 1):
+        yield s[max(0, end - order - 1) : end]
+
+
+def _scored_by_joins(urls: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """urls with their difference, as of Markov models of any size: nothing but bounded parts of them is broadcast.
+
+    A character's probability depends on its longest string only, so each distinct one is worked out once,
+    from the shorter ones up; a string meets at most an alphabet of others under a key. Strings that are in
+    many urls are joined to them by broadcast; there are at most as many as HOT_STRINGS.
+    """
+    kinds = ("allow", "block")
+    of = lambda kind, what: F.coalesce(F.sum(F.when(F.col("kind") == kind, what)), F.lit(0))
+    own = counts.groupBy("s").agg(*[of(k, F.col("n")).alias(f"n_{k}") for k in kinds])
+    context = F.expr("substring(s, 1, char_length(s) - 1)").alias("context")
+    contexts = counts.groupBy(context).agg(*[x for k in kinds for x in (of(k, F.col("n")).alias(f"total_{k}"), of(k, F.lit(1)).alias(f"kinds_{k}"))])
+    contexts = stash(contexts, "url-contexts")
+    empty = contexts.where("context = ''").first()
+    rows = stash(urls.withColumn("_row", F.monotonically_increasing_id()), "url-rows")
+    parts = stash(_exploded(rows, ["_row"], windows_of), "url-windows")
+    windows = stash(parts.groupBy("s").agg(F.count("*").alias("uses")), "url-distinct")
+    ends = windows.select(F.explode(F.expr(f"transform(sequence(1, least({order + 1}, char_length(s))), i -> right(s, i))")).alias("s")).distinct()
+    wanted = ends.join(own, "s", "left").na.fill(0, [f"n_{k}" for k in kinds])
+    wanted = stash(wanted.select("*", context, F.expr("substring(s, 2)").alias("shorter"), F.char_length("s").alias("size")), "url-wanted")
+    found, levels = None, []
+    for size in range(1, order + 2):
+        level = wanted.where(F.col("size") == size)
+        if size == 1:
+            level = level.withColumns({f"{c}_{k}": F.lit(empty[f"{c}_{k}"]) for k in kinds for c in ("total", "kinds")} | {f"q_{k}": F.lit(1 / 256) for k in kinds})
+        else:
+            level = level.join(contexts.where(F.char_length("context") == size - 1), "context", "left")
+            level = level.join(found.select(F.col("s").alias("shorter"), *[F.col(f"p_{k}").alias(f"q_{k}") for k in kinds]), "shorter")
+        p = lambda k: (F.col(f"n_{k}") + F.col(f"kinds_{k}") * F.col(f"q_{k}")) / (F.col(f"total_{k}") + F.col(f"kinds_{k}"))
+        found = stash(level.select("s", *[F.when(F.col(f"total_{k}") > 0, p(k)).otherwise(F.col(f"q_{k}")).alias(f"p_{k}") for k in kinds]), "url-level")
+        levels.append(found)
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    log = windows.join(every, "s").select("s", "uses", (F.log("p_block") - F.log("p_allow")).alias("d"))
+    log = stash(log, "url-logs")
+    many = max(1, math.ceil((windows.agg(F.sum("uses")).first()[0] or 0) / HOT_STRINGS))  # no more than HOT_STRINGS have this many
+    hot, rest = log.where(F.col("uses") >= many).select("s", "d"), log.where(F.col("uses") < many).select("s", "d")
+    common = F.broadcast(hot.withColumn("hot", F.lit(True)))
+    tagged = parts.join(common, "s", "left")
+    sums = tagged.where("hot").select("_row", "n", "d").unionByName(tagged.where("hot IS NULL").drop("d", "hot").join(rest, "s").select("_row", "n", "d"))
+    sums = sums.groupBy("_row").agg(F.sum(F.col("n") * F.col("d")).alias("d"))
+    length = F.coalesce(F.char_length("url"), F.lit(0)) + 1
+    return rows.join(sums, "_row").withColumn("difference", F.col("d") / length).select(*urls.columns, "difference")
 
 
 def _scored(urls: DataFrame, models) -> DataFrame:
@@ -157,12 +217,18 @@ def judge(pages: DataFrame, rules=RULES, max_strings: int = MAX_STRINGS) -> Data
     own = decided(pages, rules)
     ruled = own.where("rule IS NOT NULL")
     calibrates = F.crc32(F.col("url").cast("binary")) % 5 == 0
-    counts = _counts(ruled.where(~calibrates), max_strings)
+    counts = _counts(ruled.where(~calibrates))
+    sizes = {r.kind: r["count"] for r in counts.groupBy("kind").count().collect()}
     open_ones = own.where("rule IS NULL")
-    if counts["allow"] and counts["block"]:
-        models = pages.sparkSession.sparkContext.broadcast((Markov(counts["allow"]), Markov(counts["block"])))
-        cut = _threshold(_scored(ruled.where(calibrates).select("url", "by_rule"), models))
-        scored = _scored(open_ones, models)
+    if len(sizes) == 2:
+        if max(sizes.values()) <= max_strings:
+            of = lambda kind: {r.s: r.n for r in counts.where(F.col("kind") == kind).select("s", "n").collect()}
+            models = pages.sparkSession.sparkContext.broadcast((Markov(of("allow")), Markov(of("block"))))
+            score = lambda urls: _scored(urls, models)
+        else:
+            score = lambda urls: _scored_by_joins(urls, counts)
+        cut = _threshold(score(ruled.where(calibrates).select("url", "by_rule")))
+        scored = score(open_ones)
         verdict = F.when(F.col("difference") > cut, "block").otherwise("allow")
     else:
         scored, verdict = open_ones.withColumn("difference", F.lit(None).cast("double")), F.lit("allow")

@@ -352,3 +352,15 @@ def test_pipeline_stages(spark, tmp_path, corpus):
         if name != "mixing":
             assert now.columns == before.columns and 0 < now.count() <= before.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count() > 0
+
+
+def test_url_models_of_any_size_judge_alike(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghé😀") for _ in range(rng.randint(1, 9)))
+    hosts = ("http://a.com/", "http://b.net/es/", "http://c.org/")
+    rows = [(i, rng.choice(hosts) + word() + "/" + word()) for i in range(400)] + [(400, None), (401, "http://c.org/x"), (402, "http://c.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    whole, cut = ({r.page_id: (r.rule, r.verdict, r.difference) for r in urls.judge(pages, max_strings=m).collect()} for m in (10**9, 50))
+    assert set(whole) == set(cut) == set(range(403))
+    for i, (rule, verdict, d) in whole.items():
+        assert cut[i][:2] == (rule, verdict) and (cut[i][2] is None if d is None else cut[i][2] == pytest.approx(d))
