@@ -46,7 +46,7 @@ SHINGLE = 5
 PERCENT = 75
 K = 64
 LARGE_OVERLAP = 34
-MARGIN = 0.2
+MARGIN = 0.25
 CREWS = 64
 HUB_ROUNDS = 5
 FEW = 1

@@ -354,6 +354,21 @@ def test_pipeline_stages(spark, tmp_path, corpus):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count() > 0
 
 
+def test_a_low_estimate_does_not_drop_a_link(spark):
+    """Of sets at 0.75 and more, whose union's 64 smallest values have 32 to 35 in common by chance."""
+    rng = np.random.default_rng(1)
+    pairs, reps, rest = [], [], np.sort(rng.integers(1 << 40, 1 << 60, 1000))
+    for i, common in enumerate((32, 33, 35)):
+        low = rng.permutation(np.arange(1, 65))
+        both, one = low[:common], low[common:]
+        sets = [np.sort(np.concatenate([both, one[k::2], rest])) for k in (0, 1)]
+        assert len(np.intersect1d(*sets)) / len(np.union1d(*sets)) >= 0.75
+        pairs.append((2 * i, 2 * i + 1))
+        reps += [(2 * i + k, [int(v) for v in s[: neardup.K]]) for k, s in enumerate(sets)]
+    found = neardup._likely(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(reps, "cls long, sketch array<bigint>"))
+    assert {tuple(r) for r in found.collect()} == set(pairs)
+
+
 def test_url_models_of_any_size_judge_alike(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghé😀") for _ in range(rng.randint(1, 9)))
