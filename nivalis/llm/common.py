@@ -49,6 +49,11 @@ def maybe_broadcast(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFr
     return F.broadcast(df) if rows <= limit else df
 
 
+def crews(spark: SparkSession) -> int:
+    """Into how many parts a key that copies share is split before they meet: grows with the shuffle partitions."""
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that learning must not touch: crc32 of the id as text, modulo 4, is 2. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -77,6 +82,14 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def small(batches, most: int = 4 << 20):
+    """Slices of Arrow batches with about `most` bytes each (on average, one row at least), so that Python holds few objects at a time."""
+    for batch in batches:
+        step = max(1, most * batch.num_rows // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def texts(batch, column: str = "text") -> list[bytes]:
     """A column of an Arrow batch as UTF-8 bytes; null counts as empty."""
     import pyarrow as pa

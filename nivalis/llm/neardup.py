@@ -11,21 +11,24 @@ as many as its sketch has more than the needed overlap less one, and values that
 no other class has are no list at all. Common passages are thereby listed only
 under documents that consist of them for the most part.
 
-No list is turned into all its pairs at once. In each round a list names one hub (by
-a hash of its own that changes with the round), and members of other components
-are compared with it; then what is found is contracted. Rounds go on while the
-pairs that still span two components of a list are more than `FEW` times the
-lists' entries (`HUB_ROUNDS` at most); then these pairs are all compared, once each,
-which is exact. A comparison first estimates the similarity from the union of
-two sketches, then verifies it on the full sets.
+No list is turned into all its pairs. It names one hub, the class with the fewest
+values that nobody else has, and members of other components are compared with
+it (the union-sketch estimate first, then the full sets); what is linked is one
+component from then on. Classes in lists that still span components are near
+misses of each other: they get sketches as long as their sets, and so lists whose
+bounds are exact for every pair of sizes. A class that is not like the hub of its
+group has, as a rule, more values of its own than any link allows and is under no
+list any more. These lists go through the same turn with a hub; only then pairs
+of entries in different components are compared, all of them, on the full sets.
 
 Components grow by label propagation with pointer jumping; no links, labels or
-sketches of all documents reach the driver. Copies join their class through at
-most 64 crews, so no join key is hot.
+sketches of all documents reach the driver. Copies join their class through crews,
+as many as there are shuffle partitions (64 at least), so no join key is hot.
 
 Defined results. Texts without words have 0 shingles and are linked with nothing; a
 text of fewer than 5 words is one shingle. Rows without doc_id are linked with
-nothing and have no component. Rows with the same doc_id are one document. An
+nothing and have no component. Rows with the same doc_id are one document, linked
+with what any of its texts is linked with. An
 empty table gives an empty result; further columns are ignored by components()
 and carried by keep_one().
 """
@@ -40,16 +43,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from nivalis.llm.common import maybe_broadcast, stash, texts
+from nivalis.llm.common import crews, maybe_broadcast, small, stash, texts
 
 SHINGLE = 5
 PERCENT = 75
 K = 64
 LARGE_OVERLAP = 34
 MARGIN = 0.25
-CREWS = 64
-HUB_ROUNDS = 5
-FEW = 1
 PIECE = 1 << 17  # words hashed at a time
 
 BASE = 0x9E3779B97F4A7C15
@@ -106,13 +106,13 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
+        for batch in small(batches):
             n, sig, sketch = [], [], []
             for text in texts(batch):
                 h = shingle_hashes(text, powers)
                 n.append(len(h))
                 sig.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-                sketch.append(h[:K])
+                sketch.append(h[:K].copy())  # else the whole set stays in memory
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
                 ["doc_id", "n", "sig", "sketch"],
@@ -120,21 +120,22 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = own.mapInArrow(run, "doc_id long, n long, sig binary, sketch array<bigint>")
-    return found.withColumn("crew", F.pmod(F.xxhash64("doc_id"), F.lit(CREWS)))
+    return found.withColumn("crew", F.pmod(F.xxhash64("doc_id"), F.lit(crews(docs.sparkSession))))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """cls and its whole sorted set (64-bit hashes as bytes), for the classes in ids."""
+    """cls, n and the whole sorted set of 64-bit hashes, for the classes in ids; a class whose doc_id repeats keeps one row."""
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
-            sets = [shingle_hashes(t, powers).tobytes() for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sets, pa.binary())], ["cls", "members"])
+        for batch in small(batches):
+            sets = [shingle_hashes(t, powers) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "n", "members"]
+            )
 
     own = docs.select(F.col("doc_id").cast("long").alias("cls"), F.col("text").cast("string").alias("text"))
-    wanted = own.join(maybe_broadcast(ids, ids.count()), "cls", "left_semi")
-    return wanted.mapInArrow(run, "cls long, members binary")
+    return own.join(ids, "cls", "left_semi").mapInArrow(run, "cls long, n long, members array<bigint>")
 
 
 def union_estimate(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
@@ -144,38 +145,45 @@ def union_estimate(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
     return np.count_nonzero(both <= union[-1]) / len(union) if len(union) else 0.0
 
 
-def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose estimated similarity is not far below the limit."""
+def _sides(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) with the arrays of both classes, va and vb."""
+    for side in ("a", "b"):
+        pairs = pairs.join(values.select(F.col("cls").alias(side), F.col(name).alias(f"v{side}")), side)
+    return pairs.select("a", "b", "va", "vb")
+
+
+def _chosen(pairs: DataFrame, keep) -> DataFrame:
+    """The pairs (a, b) for which keep(va, vb) holds."""
 
     def run(batches):
-        for batch in batches:
-            sides = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("sa", "sb")]
-            keep = []
-            for i in range(batch.num_rows):
-                a, b = (v[o[i] : o[i + 1]] for o, v in sides)
-                keep.append(union_estimate(a, b) >= PERCENT / 100 - MARGIN)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch in small(batches):
+            sides = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("va", "vb")]
+            kept = [keep(*(v[o[i] : o[i + 1]] for o, v in sides)) for i in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    both = pairs.join(reps.selectExpr("cls AS a", "sketch AS sa"), "a").join(reps.selectExpr("cls AS b", "sketch AS sb"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose estimated similarity is not far below the limit."""
+    return _chosen(_sides(pairs, reps, "sketch"), lambda a, b: union_estimate(a, b) >= PERCENT / 100 - MARGIN)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets have the similarity asked for."""
 
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ma"), batch.column("mb")):
-                a, b = (np.frombuffer(v.as_buffer(), np.int64) for v in (x, y))
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def keep(a, b):
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+    return _chosen(_sides(pairs, sets, "members"), keep)
+
 
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The same for pairs whose sets are still to be made."""
+    pairs = stash(pairs, "near-likely")
     ids = pairs.selectExpr("explode(array(a, b)) AS cls").distinct()
-    sets = stash(full_sets(docs, ids), "near-sets")
-    both = pairs.join(sets.selectExpr("cls AS a", "members AS ma"), "a").join(sets.selectExpr("cls AS b", "members AS mb"), "b")
-    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long")
+    return _similar(pairs, stash(full_sets(docs, ids), "near-sets"))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -192,73 +200,90 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def lists(reps: DataFrame) -> DataFrame:
-    """The inverted lists: value, class, n, for each class under its rarest shared values."""
-    entries = reps.select("cls", "n", F.size("sketch").alias("len"), F.explode("sketch").alias("v"))
+def _ranked(entries: DataFrame) -> DataFrame:
+    """Entries (v, cls, n, len) of values that two classes have, each with its rank from rare to common and `alone`.
+
+    `len` is the number of values that a class retains, `alone` the number of those that it has for itself; these rank first.
+    """
     shared = entries.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    found = entries.join(shared, "v").dropDuplicates(["v", "cls"])
     own = W.partitionBy("cls")
-    rank = F.row_number().over(own.orderBy("df", "v")) + F.col("len") - F.count("*").over(own)
-    found = found.withColumn("rank", rank).where(F.col("rank") <= F.col("len") - needed(F.col("n")) + 1)
-    return found.select("v", "cls", "n", "rank")
+    found = entries.join(shared, "v").withColumn("alone", F.col("len") - F.count("*").over(own))
+    return found.withColumn("rank", F.row_number().over(own.orderBy("df", "v")) + F.col("alone"))
 
 
-def _fits(a: str, b: str, rank_a: str = "rank", rank_b: str = "other_rank") -> Column:
-    """Sizes that allow the similarity asked for, and a value early enough in both orders for these sizes.
+def lists(reps: DataFrame) -> DataFrame:
+    """The inverted lists of the sketches: value, class, n, rank, alone, for each class under its rarest shared values."""
+    found = _ranked(reps.select("cls", "n", F.size("sketch").alias("len"), F.explode("sketch").alias("v")))
+    return found.where(F.col("rank") <= F.col("len") - needed(F.col("n")) + 1).select("v", "cls", "n", "rank", "alone")
+
+
+def long_lists(sets: DataFrame) -> DataFrame:
+    """The same with sketches as long as the sets, so that bounds on ranks hold without a margin."""
+    found = _ranked(sets.select("cls", "n", F.col("n").alias("len"), F.explode("members").alias("v")))
+    return found.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).select("v", "cls", "n", "rank", "alone")
+
+
+def _in_size(a: str = "n", b: str = "other_n") -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
-    The first value that two linked sets share has at least the overlap less one after it in
-    either sketch. The overlap follows from both sizes: sets up to K shingles exactly; of larger ones
-    the larger set's sketch is a random sample of it, four standard deviations allowed for.
+
+def _fits(a: str = "n", b: str = "other_n", rank_a: str = "rank", rank_b: str = "other_rank") -> Column:
+    """Of entries of two long lists: sizes that allow the similarity, and a value early enough in both orders for these sizes.
+
+    The first value that two linked sets share has at least their overlap less one after it in either set.
     """
-    low, high = F.least(a, b).cast("double"), F.greatest(a, b).cast("double")
-    common = (low + high) * PERCENT / (100 + PERCENT)
-    share = F.least(common / high, F.lit(1.0))
-    sampled = F.greatest(F.lit(float(LARGE_OVERLAP)), K * share - 4 * F.sqrt(K * share * (1 - share)))
-    overlap = F.when(low > K, F.floor(sampled)).otherwise(F.ceil(common - 1e-9) - F.greatest(F.lit(0.0), high - K))
-    early = [F.col(r) <= F.least(F.col(n), F.lit(K)) - overlap + 1 for n, r in ((a, rank_a), (b, rank_b))]
-    return (low * 100 >= high * PERCENT) & early[0] & early[1]
+    overlap = F.ceil((F.col(a) + F.col(b)) * PERCENT / (100 + PERCENT) - 1e-9)
+    return _in_size(a, b) & (F.col(rank_a) <= F.col(a) - overlap + 1) & (F.col(rank_b) <= F.col(b) - overlap + 1)
 
 
 def _pairs(found: DataFrame) -> DataFrame:
     return found.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """cls and comp for all classes that have a link."""
-    posted = stash(lists(reps), "near-lists")
-    entries = posted.count()
-    labels, tested = None, None
-    for round_ in range(HUB_ROUNDS + 1):
-        now = posted.withColumn("comp", F.col("cls"))
-        if labels is not None:
-            now = stash(posted.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "near-now")
-        last = round_ == HUB_ROUNDS or _spanning(now) <= FEW * entries
-        if not last:
-            hub = F.min_by(F.struct(F.col("cls").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp"), F.col("rank").alias("other_rank")), F.xxhash64("v", "cls", F.lit(round_)))
-            hubs = now.groupBy("v").agg(hub.alias("h")).select("v", "h.*")
-            found = now.join(hubs, "v").where((F.col("comp") != F.col("other_comp")) & _fits("n", "other_n"))
-        else:
-            mixed = now.groupBy("v").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("v")
-            now = now.join(mixed, "v")
-            others = now.selectExpr("v", "cls AS other", "n AS other_n", "comp AS other_comp", "rank AS other_rank")
-            found = now.join(others, "v").where((F.col("comp") < F.col("other_comp")) & _fits("n", "other_n"))
-        pairs = _pairs(found)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stash(pairs, "near-pairs")
-        likely = stash(_likely(pairs, reps), "near-likely")
-        tested = pairs if tested is None else tested.union(pairs)
-        edges = None if likely.isEmpty() else stash(_verified(likely, docs), "near-links")
-        if edges is not None and not edges.isEmpty():
-            labels = connected(edges).selectExpr("node AS cls", "comp") if labels is None else _contracted(labels, edges)
-        if last:
-            return labels
+def _with_comp(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return posted.withColumn("comp", F.col("cls"))
+    return posted.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+
+
+OTHER = [("cls", "other"), ("n", "other_n"), ("comp", "other_comp"), ("rank", "other_rank")]
+
+
+def _hub_pairs(now: DataFrame, fits: Column) -> DataFrame:
+    """Each entry with its list's hub, the class with the fewest values of its own, if that is of another component."""
+    hub = F.min_by(F.struct(*[F.col(c).alias(o) for c, o in OTHER]), F.struct("alone", F.xxhash64("cls")))
+    hubs = now.groupBy("v").agg(hub.alias("h")).select("v", "h.*")
+    return _pairs(now.join(hubs, "v").where((F.col("comp") != F.col("other_comp")) & fits))
 
 
-def _spanning(now: DataFrame) -> int:
-    """Pairs of list entries in different components, counted from the sizes of the components in each list."""
-    sizes = now.groupBy("v", "comp").agg(F.count("*").alias("c")).groupBy("v").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    return int(sizes.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0)
+def _spanning_lists(now: DataFrame) -> DataFrame:
+    mixed = now.groupBy("v").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("v")
+    return now.join(mixed, "v", "left_semi")
+
+
+def links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """cls and comp for all classes that have a link."""
+    posted = stash(lists(reps), "near-lists")
+    pairs = stash(_hub_pairs(_with_comp(posted, None), _in_size()), "near-pairs")
+    labels = _joined(None, _verified(_likely(pairs, reps), docs))
+    # What is left spans components of a list: settled on long lists.
+    todo = stash(_spanning_lists(_with_comp(posted, labels)).select("cls").distinct(), "near-todo")
+    sets = stash(full_sets(docs, todo), "near-sets")
+    posted = stash(long_lists(sets), "near-long-lists")
+    pairs = stash(_hub_pairs(_with_comp(posted, labels), _fits()), "near-pairs")
+    labels = _joined(labels, _similar(pairs, sets))
+    now = stash(_spanning_lists(_with_comp(posted, labels)), "near-now")
+    others = now.select("v", *[F.col(c).alias(o) for c, o in OTHER])
+    pairs = stash(_pairs(now.join(others, "v").where((F.col("comp") < F.col("other_comp")) & _fits())), "near-pairs")
+    return _joined(labels, _similar(pairs, sets))
+
+
+def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """The labels after further links."""
+    edges = stash(edges, "near-links")
+    if edges.isEmpty():
+        return labels
+    return connected(edges).selectExpr("node AS cls", "comp") if labels is None else _contracted(labels, edges)
 
 
 def _contracted(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -277,13 +302,14 @@ def _contracted(labels: DataFrame, edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs."""
     slim = stash(sketches(docs), "near-sketches")
-    crews = slim.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig", "n", "crew").agg(F.min("doc_id").alias("low"))
-    crews = stash(crews, "near-crews")
-    classes = crews.groupBy("sig", "n").agg(F.min("low").alias("cls"))
+    by_crew = slim.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig", "n", "crew").agg(F.min("doc_id").alias("low"))
+    by_crew = stash(by_crew, "near-crews")
+    classes = by_crew.groupBy("sig", "n").agg(F.min("low").alias("cls"))
     first = classes.select("sig", "n", F.col("cls").alias("doc_id"))
-    reps = stash(slim.join(first, ["sig", "n", "doc_id"]).selectExpr("doc_id AS cls", "n", "sketch"), "near-classes")
+    reps = slim.join(first, ["sig", "n", "doc_id"]).dropDuplicates(["sig", "n", "doc_id"])
+    reps = stash(reps.selectExpr("doc_id AS cls", "n", "sketch"), "near-classes")
     labels = links(docs, reps)
-    routes = crews.select("sig", "n", "crew").join(classes, ["sig", "n"])
+    routes = by_crew.select("sig", "n", "crew").join(classes, ["sig", "n"])
     if labels is None:
         routes = routes.withColumn("comp", F.col("cls"))
     else:

@@ -379,3 +379,50 @@ def test_url_models_of_any_size_judge_alike(spark):
     assert set(whole) == set(cut) == set(range(403))
     for i, (rule, verdict, d) in whole.items():
         assert cut[i][:2] == (rule, verdict) and (cut[i][2] is None if d is None else cut[i][2] == pytest.approx(d))
+
+
+def test_links_near_the_limit_are_found(spark):
+    """10,000 pairs of sets of 65 to 400 shingles with a similarity of 0.75 to 0.78, each set linked with its partner only."""
+    rng = random.Random(12)
+    rows, n_pairs = [], 10_000
+    for i in range(n_pairs):
+        size = rng.randint(65, 400)
+        union = [rng.getrandbits(60) for _ in range(size)]
+        low = -(-75 * size // 100)
+        common = rng.randint(low, max(low, 78 * size // 100))
+        rest = rng.randint((size - common) // 3, size - common - (size - common) // 3)
+        for k, own in enumerate((union[:common] + union[common : common + rest], union[:common] + union[common + rest :])):
+            own = sorted(own)
+            rows.append((2 * i + k, len(own), own))
+    made = spark.createDataFrame(rows, "cls long, n long, members array<bigint>")
+    reps = made.select("cls", "n", F.slice("members", 1, neardup.K).alias("sketch"))
+    posted = neardup.lists(reps)
+    met = neardup._likely(neardup._hub_pairs(neardup._with_comp(posted, None), neardup._in_size()), reps)
+    linked = neardup._similar(met, made)
+    assert linked.where("a % 2 = 0 AND b = a + 1").count() >= 0.999 * n_pairs and linked.count() <= n_pairs
+
+
+def test_a_dense_group_of_near_misses(spark):
+    """One template with many or few edits: most pairs are just not alike; components equal brute force."""
+    rng = random.Random(13)
+    base, rows = prose(rng, 120).split(), []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.choice((0, 1, 2, 4, 6, 8, 12))):
+            words[rng.randrange(len(words))] = f"edit{rng.getrandbits(40)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    found = neardup.components(documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: root(i) for i in sets}
