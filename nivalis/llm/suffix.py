@@ -8,15 +8,18 @@ strings are judged on the input; overlaps count.
    `GRAM`-byte strings, so equal windows have equal keys. Consecutive windows of
    one key form a segment (about 3 for 100 bytes). Segments whose key occurs
    once, and only once within itself, hold nothing that repeats.
-2. Segments with equal bytes (128 bits of independent hashes over them and their
-   length agree) form a class; all but its first occurrence are removed whole.
-3. Where a key has several classes, the suffixes at their window starts are sorted
-   deep-shallow: multikey quicksort, 8 bytes at a time, to a depth of `SHALLOW`
-   bytes, and blind tries for the groups that still agree. Suffixes that agree over
-   LENGTH bytes are compared byte for byte there; all but the earliest are removed.
-   A key with more than `MANY` classes, such as that of a line common to all
-   documents, is not sorted in one task: its windows are grouped one by one by a
-   digest, which is exact as well and spreads them over the cluster.
+2. Equal segments need to be sorted only once: those of one key, length and 128-bit
+   hash form a class, of which the first occurrence goes on; the windows of the
+   others repeat it and are removed.
+3. The suffixes at the window starts of a key's classes are sorted deep-shallow:
+   multikey quicksort, 8 bytes being one character, to a depth of `SHALLOW` bytes, and
+   blind tries for the groups that still agree. Many keys are sorted together, each
+   step of the sort as one array operation. Suffixes that agree over LENGTH bytes are
+   compared byte for byte there; all but the earliest are removed.
+   A key's suffixes are sorted in one task. A key with more than `MANY` classes,
+   such as that of a line common to all documents, is first split by the outer bytes of
+   its windows, and what is still together is sorted in crews, then the first ones of
+   all crews once more; so no group grows with the data.
 4. Removed ranges are merged per document and cut out.
 
 Defined results. A null text is empty. Documents without an id come after all
@@ -34,17 +37,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import stash, text_bytes, texts
+from nivalis.llm.common import crews, small, stash, text_bytes, texts
 
 LENGTH = 100
 GRAM = 32
 SHALLOW = 24
 MANY = 2000
+OUTER = 16
 LONGEST = 200  # windows in a segment
+TOGETHER = 1 << 18  # suffixes sorted together, if their keys allow
 PIECE = 1 << 20
 CHUNK = 1 << 18
 LAST = (1 << 63) - 1
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 ROW = ["doc_id", "tie"]
 
 
@@ -93,13 +98,13 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def segments(pieces: list[bytes]):
-    """For texts laid end to end: piece, start, number of windows, key, digest and whether the key repeats inside."""
+def segments(pieces: list[bytes], digests: bool = True):
+    """For texts laid end to end: key, whether it repeats inside, and, if asked for, piece, start, number of windows and two digests."""
     sizes = np.array([len(p) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none, none, np.zeros(0, bool)
+        return (none, np.zeros(0, bool), *([none] * 5 if digests else ()))
     width = LENGTH - GRAM + 1
     first = Hashes(data, BASES[0])
     grams = first.every(GRAM)
@@ -126,10 +131,12 @@ def segments(pieces: list[bytes]):
         at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         starts, counts = np.repeat(starts, parts) + at * LONGEST, np.minimum(LONGEST, np.repeat(counts, parts) - at * LONGEST)
     key = low[starts]
-    digest = Hashes(data, BASES[1]).of(starts, starts + counts + LENGTH - 1)
-    owner = np.searchsorted(ends, starts, side="right")
     inside = np.isin(key, repeated) if len(repeated) else np.zeros(len(key), bool)
-    return owner, starts - begins[owner], counts, key.view(np.int64), digest.view(np.int64), inside
+    if not digests:
+        return key.view(np.int64), inside
+    found = [Hashes(data, base).of(starts, starts + counts + LENGTH - 1).view(np.int64) for base in BASES[1:]]
+    owner = np.searchsorted(ends, starts, side="right")
+    return key.view(np.int64), inside, owner, starts - begins[owner], counts, *found
 
 
 def _rows(docs: DataFrame, unique: bool) -> DataFrame:
@@ -139,121 +146,161 @@ def _rows(docs: DataFrame, unique: bool) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), tie.alias("tie"), own.alias("text"))
 
 
+def _pieces(batches):
+    """Lists of (row, offset, bytes) of about CHUNK bytes; long texts in pieces that overlap by a window less a byte."""
+    for batch in batches:
+        pieces, held = [], 0
+        for i, text in enumerate(batch.column("text")):
+            text = text.as_py()
+            for at in range(0, max(1, len(text) - LENGTH + 1), PIECE):
+                pieces.append((i, at, text[at : at + PIECE + LENGTH - 1]))
+                held += len(pieces[-1][2])
+                if held >= CHUNK:
+                    yield batch, pieces
+                    pieces, held = [], 0
+        if pieces:
+            yield batch, pieces
+
+
+def _key_rows(rows: DataFrame) -> DataFrame:
+    """key and inside of every segment, to be counted."""
+
+    def run(batches):
+        for _, pieces in _pieces(batches):
+            key, inside = segments([p[2] for p in pieces], digests=False)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(inside)], ["key", "inside"])
+
+    return rows.select("text").mapInArrow(run, "key long, inside boolean")
+
+
 def _segment_rows(rows: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            data, ids, ties = batch.column("text").to_pylist(), batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
-            pieces, held = [], 0
-
-            def flush():
-                which, at = np.array([p[0] for p in pieces], np.int64), np.array([p[1] for p in pieces], np.int64)
-                owner, start, n, key, digest, inside = segments([p[2] for p in pieces])
-                doc = which[owner]
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (key, digest, ids[doc], ties[doc], at[owner] + start, n.astype(np.int32), inside)],
-                    ["key", "digest", "doc_id", "tie", "start", "n", "inside"],
-                )
-
-            for i, text in enumerate(data):
-                for at in range(0, max(1, len(text) - LENGTH + 1), PIECE):
-                    pieces.append((i, at, text[at : at + PIECE + LENGTH - 1]))
-                    held += len(pieces[-1][2])
-                    if held >= CHUNK:
-                        yield flush()
-                        pieces, held = [], 0
-            if pieces:
-                yield flush()
-
-    return rows.mapInArrow(run, "key long, digest long, doc_id long, tie long, start long, n int, inside boolean")
-
-
-class BlindTrie:
-    """Suffixes that agree over a prefix, in order; equal ones (over LENGTH bytes) share a leaf.
-
-    Inner nodes hold the depth at which their children first differ; the way down looks at
-    those bytes only, and one full comparison with the leaf reached tells where to branch.
-    """
+        for batch, pieces in _pieces(batches):
+            ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
+            which, at = np.array([p[0] for p in pieces], np.int64), np.array([p[1] for p in pieces], np.int64)
+            key, inside, owner, start, n, d1, d2 = segments([p[2] for p in pieces])
+            doc = which[owner]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key, d1, d2, ids[doc], ties[doc], at[owner] + start, n.astype(np.int32), inside)],
+                ["key", "d1", "d2", "doc_id", "tie", "start", "n", "inside"],
+            )
 
-    def __init__(self, string: bytes, item):
-        self.root: list = [None, string, [item]]  # leaf: depth None
-
-    def add(self, string: bytes, item) -> None:
-        node = self.root
-        while node[0] is not None:
-            node = node[1].get(string[node[0]]) or next(iter(node[1].values()))
-        other = node[1]
-        if other == string:
-            node[2].append(item)
-            return
-        low, high = 0, len(string)  # the first byte that differs
-        while high - low > 1:
-            mid = (low + high) // 2
-            low, high = (mid, high) if other[:mid] == string[:mid] else (low, mid)
-        depth, above, node = low, None, self.root
-        while node[0] is not None and node[0] < depth:
-            above, node = node, node[1][string[node[0]]]
-        leaf = [None, string, [item]]
-        if node[0] == depth:
-            node[1][string[depth]] = leaf
-            return
-        split = [depth, {string[depth]: leaf, other[depth]: node}]
-        if above is None:
-            self.root = split
-        else:
-            above[1][string[above[0]]] = split
-
-    def groups(self):
-        """Lists of items with equal strings, in the strings' order."""
-        stack = [self.root]
-        while stack:
-            node = stack.pop()
-            if node[0] is None:
-                yield node[2]
-            else:
-                stack += [node[1][b] for b in sorted(node[1], reverse=True)]
-
-
-def sorted_groups(strings: list[bytes]):
-    """Indices of equal strings (all of LENGTH bytes), group by group in the strings' order, sorted deep-shallow."""
-    stack = [(list(range(len(strings))), 0)] if strings else []
-    while stack:
-        items, depth = stack.pop()
-        if len(items) == 1:
-            yield items
-        elif depth >= SHALLOW:
-            trie = BlindTrie(strings[items[0]], items[0])
-            for i in items[1:]:
-                trie.add(strings[i], i)
-            yield from trie.groups()
-        else:
-            parts = [strings[i][depth : depth + 8] for i in items]
-            pivot = sorted((parts[0], parts[len(parts) // 2], parts[-1]))[1]
-            less, same, more = [], [], []
-            for i, p in zip(items, parts):
-                (same if p == pivot else less if p < pivot else more).append(i)
-            stack += [(x, d) for x, d in ((more, depth), (same, depth + 8), (less, depth)) if x]
-
-
-def repeated_ranges(classes: list) -> list:
-    """Of the classes (bytes, doc_id, tie, start, n) of one key: ranges (doc_id, tie, from, to) to be removed."""
-    strings, places = [], []
-    for data, doc, tie, start, n in classes:
-        for t in range(n):
-            strings.append(data[t : t + LENGTH])
-            places.append((doc, tie, start + t))
-    found = []
-    for group in sorted_groups(strings):
-        if len(group) > 1:
-            first = min(places[i] for i in group)
-            found += [places[i] for i in group if places[i] != first]
-    found.sort()
-    merged: list = []
-    for doc, tie, at in found:
-        if merged and merged[-1][:2] == [doc, tie] and at <= merged[-1][3]:
-            merged[-1][3] = at + LENGTH
-        else:
-            merged.append([doc, tie, at, at + LENGTH])
-    return merged
+    return rows.mapInArrow(run, "key long, d1 long, d2 long, doc_id long, tie long, start long, n int, inside boolean")
+
+
+def _regrouped(places: np.ndarray, heads: np.ndarray, *columns) -> np.ndarray:
+    """New group heads of sorted places: a group starts where the old head or one of the columns changes."""
+    new = np.ones(len(places), bool)
+    new[1:] = heads[1:] != heads[:-1]
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return places[np.flatnonzero(new)[np.cumsum(new) - 1]]
+
+
+def _open_places(heads: np.ndarray, done: np.ndarray) -> np.ndarray:
+    """Places in groups of two and more that are not known to be equal."""
+    follows = np.zeros(len(heads), bool)
+    follows[1:] = heads[1:] == heads[:-1]
+    several = follows.copy()
+    several[:-1] |= follows[1:]
+    return np.flatnonzero(several & ~done)
+
+
+def deep_shallow(data: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the strings of LENGTH bytes at `at` by key and bytes: their order, and for each place the head of its group of equal strings.
+
+    Down to SHALLOW bytes each step is a step of multikey quicksort for all open groups at
+    once. Then each group grows a blind trie: its first string is a leaf, every other one is
+    compared with that leaf once, and those that leave it at the same depth by the same byte
+    are below one new node, whose strings go on in the same way.
+    """
+    order = np.argsort(keys, kind="stable")
+    places = np.arange(len(at))
+    heads = _regrouped(places, keys[order]) if len(at) else places
+    done = np.zeros(len(at), bool)
+    for depth in range(0, SHALLOW, 8):
+        live = _open_places(heads, done)
+        items = order[live]
+        word = data[(at[items] + depth)[:, None] + np.arange(8)].view(">u8")[:, 0].astype(np.uint64)
+        by = np.lexsort((word, heads[live]))
+        order[live] = items[by]
+        heads[live] = _regrouped(live, heads[live], word[by])
+    rest = np.arange(SHALLOW, LENGTH)
+    while len(live := _open_places(heads, done)):
+        items, leaf = order[live], order[heads[live]]
+        own = data[at[items][:, None] + rest]
+        differs = own != data[at[leaf][:, None] + rest]
+        depth = np.where(differs.any(1), differs.argmax(1), len(rest))  # where it leaves the leaf
+        inner = np.minimum(depth, len(rest) - 1)
+        byte = own[np.arange(len(items)), inner].astype(np.int64)
+        of_leaf = data[at[leaf] + SHALLOW + inner].astype(np.int64)
+        side = np.where(depth == len(rest), 0, np.sign(byte - of_leaf))
+        byte[side == 0] = 0
+        by = np.lexsort((byte, -side * depth, side, heads[live]))
+        order[live] = items[by]
+        heads[live] = _regrouped(live, heads[live], side[by], depth[by], byte[by])
+        done[live] = side[by] == 0
+    return order, heads
+
+
+def repeats(data: np.ndarray, at: np.ndarray, keys: np.ndarray, place: tuple) -> np.ndarray:
+    """For each string of LENGTH bytes: whether an equal one of its key has an earlier place (doc_id, tie, start)."""
+    order, heads = deep_shallow(data, at, keys)
+    sizes = np.bincount(heads, minlength=len(heads))[heads]
+    several = order[sizes > 1]
+    by = np.lexsort((*(p[several] for p in reversed(place)), heads[sizes > 1]))
+    group = heads[sizes > 1][by]
+    later = np.zeros(len(at), bool)
+    later[several[by[1:]]] = group[1:] == group[:-1]
+    return later
+
+
+def merged_ranges(doc: np.ndarray, tie: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """doc_id, tie, from, to of the runs that strings of LENGTH bytes at these places cover."""
+    by = np.lexsort((at, tie, doc))
+    doc, tie, at = doc[by], tie[by], at[by]
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] > at[:-1] + LENGTH)
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(at)]])[: len(first)] - 1
+    return [doc[first], tie[first], at[first], at[last] + LENGTH]
+
+
+def _whole_keys(batches, key: str, size):
+    """Tables of whole keys, of rows sorted by key; about TOGETHER suffixes each, or one key."""
+    held, count = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+        if held and held[-1].column(key)[-1].as_py() == keys[0]:
+            starts = starts[1:]
+        done = np.concatenate([[0], np.cumsum(size(batch))])
+        at, base = 0, count
+        for s in starts.tolist():
+            if base + done[s] - done[at] >= TOGETHER:
+                yield pa.Table.from_batches([*held, batch.slice(at, s - at)])
+                held, at, base = [], s, 0
+        if at < batch.num_rows:
+            held.append(batch.slice(at))
+            count = base + done[-1] - done[at]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _windows(table: pa.Table, key: str, n: np.ndarray):
+    """The strings of a table's rows (bytes, n window starts): data, offsets, keys, row numbers and window numbers in a row."""
+    chunks = [c for c in table.column("bytes").chunks if len(c)]
+    data = np.frombuffer(b"".join(v for c in chunks for v in c.to_pylist()), np.uint8)
+    begins = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
+    row = np.repeat(np.arange(len(n)), n)
+    t = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return data, begins[row] + t, _column(table, key)[row], row, t
 
 
 def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -262,75 +309,81 @@ def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     out = ["key", "many", "bytes", "doc_id", "tie", "start", "n"]
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                text, doc, tie = (batch.column(c)[i].as_py() for c in ("text", "doc_id", "tie"))
-                cuts = batch.column("cuts")[i].as_py()
-                yield pa.RecordBatch.from_pylist(
-                    [{**c, "bytes": text[c["start"] : c["start"] + c["n"] + LENGTH - 1], "doc_id": doc, "tie": tie} for c in cuts], schema
-                )
+        for batch in small(batches):
+            texts_, cuts = batch.column("text").to_pylist(), batch.column("cuts")
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(cuts.offsets.to_numpy()))
+            key, many, start, n = cuts.flatten().flatten()
+            data = [texts_[d][a:b] for d, a, b in zip(doc.tolist(), start.to_pylist(), (start.to_numpy() + n.to_numpy() + LENGTH - 1).tolist())]
+            ids = [pa.array(batch.column(c).to_numpy()[doc]) for c in ROW]
+            yield pa.RecordBatch.from_arrays([key, many, pa.array(data, pa.binary()), *ids, start, n], out)
 
-    schema = pa.schema([("key", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
-    return rows.join(per_doc, ROW).mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int").select(*out)
+    return rows.join(per_doc, ROW).mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int")
 
 
 def _sorted_ranges(cut: DataFrame) -> DataFrame:
     """Ranges to be removed, from the classes of each key; keys are dealt over the cluster, groups are bounded."""
 
     def run(batches):
-        held, current = [], None
-
-        def out(found):
-            cols = list(zip(*found)) or [(), (), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "tie", "from", "to"])
-
-        for batch in batches:
-            found = []
-            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "bytes", "doc_id", "tie", "start", "n"))):
-                if key != current:
-                    found += repeated_ranges(held)
-                    held, current = [], key
-                held.append(row)
-            yield out(found)
-        yield out(repeated_ranges(held))
-
-    own = cut.where("NOT many").repartition("key").sortWithinPartitions("key")
+        for table in _whole_keys(batches, "key", lambda batch: batch.column("n").to_numpy()):
+            n = _column(table, "n").astype(np.int64)
+            data, at, keys, row, t = _windows(table, "key", n)
+            doc, tie, start = (_column(table, c)[row] for c in ("doc_id", "tie", "start"))
+            later = repeats(data, at, keys, (doc, tie, start + t))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged_ranges(doc[later], tie[later], (start + t)[later])], ["doc_id", "tie", "from", "to"])
+
+    own = cut.where("NOT many").select("key", "bytes", "doc_id", "tie", "start", "n").repartition("key").sortWithinPartitions("key")
     return own.mapInArrow(run, "doc_id long, tie long, `from` long, `to` long")
 
 
-def _window_ranges(cut: DataFrame) -> DataFrame:
-    """The same for keys of very many classes: each window on its own, grouped by a digest."""
+def _window_ranges(cut: DataFrame, parts: int) -> DataFrame:
+    """The same for keys of very many classes: each window under a finer key, sorted in crews, then the first ones of the crews."""
 
-    def run(batches):
+    def windows(batches):
         for batch in batches:
-            rows = []
-            for data, doc, tie, start, n in zip(*(batch.column(c).to_pylist() for c in ("bytes", "doc_id", "tie", "start", "n"))):
-                rows += [(hashlib.blake2b(data[t : t + LENGTH], digest_size=16).digest(), doc, tie, start + t) for t in range(n)]
-            cols = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["window", "doc_id", "tie", "at"]
-            )
-
-    windows = stash(cut.where("many").mapInArrow(run, "window binary, doc_id long, tie long, at long"), "suffix-windows")
-    place = F.struct("doc_id", "tie", "at")
-    firsts = windows.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
-    return windows.join(firsts, "window").where(place != F.col("first")).selectExpr("doc_id", "tie", "at AS `from`", f"at + {LENGTH} AS `to`")
+            for i in range(0, batch.num_rows, 1000):
+                rows = []
+                columns = (batch.column(c).slice(i, 1000).to_pylist() for c in ("key", "bytes", "doc_id", "tie", "start", "n"))
+                for key, data, doc, tie, start, n in zip(*columns):
+                    for t in range(n):
+                        w = data[t : t + LENGTH]
+                        outer = hashlib.blake2b(key.to_bytes(8, "little", signed=True) + w[:OUTER] + w[-OUTER:], digest_size=8).digest()
+                        rows.append((int.from_bytes(outer, "little", signed=True), w, doc, tie, start + t))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], names)
+
+    def sort(batches):
+        for table in _whole_keys(batches, "group", lambda batch: np.ones(batch.num_rows, np.int64)):
+            data, at, keys, _, _ = _windows(table, "group", np.ones(table.num_rows, np.int64))
+            later = repeats(data, at, keys, tuple(_column(table, c) for c in ("doc_id", "tie", "start")))
+            table = table.append_column("later", pa.array(later))
+            yield from table.select([*names, "later"]).to_batches()
+
+    names = ["fine", "bytes", "doc_id", "tie", "start"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "fine long, bytes binary, doc_id long, tie long, start long"
+
+    def turn(rows: DataFrame, *salt: Column) -> DataFrame:
+        grouped = rows.withColumn("group", F.xxhash64("fine", *salt)).repartition("group").sortWithinPartitions("group")
+        return stash(grouped.mapInArrow(sort, f"{schema}, later boolean"), "suffix-windows")
+
+    crew = turn(cut.where("many").mapInArrow(windows, schema), F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
+    last = turn(crew.where("NOT later").drop("later"))
+    return crew.union(last).where("later").selectExpr("doc_id", "tie", "start AS `from`", f"start + {LENGTH} AS `to`")
 
 
 def ranges(rows: DataFrame) -> DataFrame:
     """doc_id, tie, from, to: all ranges to be removed, not yet merged."""
-    found = _segment_rows(rows)
-    keys = found.groupBy("key").agg(F.count("*").alias("times"), F.max("inside").alias("in_any")).where("times > 1 OR in_any")
-    shared = stash(found.join(keys.select("key"), "key"), "suffix-segments")
-    place = F.struct("doc_id", "tie", "start")
-    classes = shared.groupBy("key", "digest", "n").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.max("inside").alias("inside"))
+    keys = _key_rows(rows).groupBy("key").agg(F.count("*").alias("times"), F.max("inside").alias("in_any")).where("times > 1 OR in_any")
+    shared = stash(_segment_rows(rows).join(keys.select("key"), "key"), "suffix-segments")
+    place, same = F.struct("doc_id", "tie", "start"), ["key", "d1", "d2", "n"]
+    classes = shared.groupBy(*same).agg(F.min(place).alias("first"), F.count("*").alias("times"), F.max("inside").alias("inside"))
     classes = stash(classes, "suffix-classes")
-    copies = shared.join(classes.where("times > 1").select("key", "digest", "n", "first"), ["key", "digest", "n"]).where(place != F.col("first"))
+    copies = shared.join(classes.where("times > 1").select(*same, "first"), same).where(place != F.col("first"))
     whole = copies.selectExpr("doc_id", "tie", "start AS `from`", f"start + n + {LENGTH - 1} AS `to`")
     several = classes.groupBy("key").agg(F.count("*").alias("kinds"), F.max("inside").alias("in_any")).where("kinds > 1 OR in_any")
     todo = classes.join(several, "key").select("key", (F.col("kinds") > MANY).alias("many"), "first.*", "n")
     cut = stash(_class_bytes(rows, todo), "suffix-bytes")
-    return whole.unionByName(_sorted_ranges(cut)).unionByName(_window_ranges(cut))
+    found = whole.unionByName(_sorted_ranges(cut))
+    return found if cut.where("many").isEmpty() else found.unionByName(_window_ranges(cut, crews(rows.sparkSession)))
 
 
 def merge(spans: list) -> list[tuple[int, int]]:
