@@ -4,8 +4,9 @@ Learning (only rows outside the held-out fold; one row of each distinct text):
 document frequencies of words and of word beginnings are counted by label;
 each gets a log-odds ratio under an informative Dirichlet prior (its own overall
 frequency, `PRIOR` times the number of documents), less one standard deviation.
-Terms for which that leaves at least `ODDS_MIN` form the model, at most `MAX_TERMS`
-of them; weaker ones mostly tell topics and copied texts.
+Terms for which that leaves at least `ODDS_MIN` form the model, all of them; weaker
+ones mostly tell topics and copied texts. A term of fewer than a handful of labelled
+documents never gets there, so the model is much smaller than the labelled texts.
 
 Scoring: a word's score is that of its strongest term less a drift that makes
 the expected score negative. A linear-time scan finds all maximal
@@ -37,11 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import bounded_sample, chunks, fold, held_out, texts
+from nivalis.llm.common import bounded_sample, chunks, fold, held_out, small, texts
 from nivalis.llm.decontam import words_of
 
 MAX_LABELLED = 200_000
-MAX_TERMS = 50_000
 PRIOR = 0.005
 ODDS_MIN = 1.5
 DRIFT = 0.25
@@ -113,7 +113,7 @@ def _learning_rows(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     return bounded_sample(once.select("doc_id", "toxic"), F.col("doc_id"), limit)
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     rows = _learning_rows(docs, labels, max_labelled).collect()  # two numbers for each of at most max_labelled rows
     sizes = Counter(int(r.toxic) for r in rows)
     if not sizes[0] or not sizes[1]:
@@ -123,15 +123,15 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     sample = spark.createDataFrame([(r.doc_id, int(r.toxic)) for r in rows], "doc_id long, toxic int")
     own = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
     own = own.select("toxic", "text", (fold(F.col("doc_id")) == 3).alias("calibrates"))
-    terms = _terms(own.where("NOT calibrates"), max_terms)
+    terms = _terms(own.where("NOT calibrates"))
     model = Model(terms=terms)
     _calibrate(own.where("calibrates"), model)
     return model
 
 
-def _terms(own: DataFrame, max_terms: int) -> dict:
+def _terms(own: DataFrame) -> dict:
     def count(batches):
-        for batch in batches:
+        for batch in small(batches):
             data, labels = texts(batch), batch.column("toxic").to_pylist()
             for start, stop in chunks(data):
                 by_label = (Counter(), Counter())
@@ -152,7 +152,7 @@ def _terms(own: DataFrame, max_terms: int) -> dict:
     )
     sure = odds - F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
     kept = counts.select("term", sure.alias("odds")).where(F.col("odds") >= ODDS_MIN)
-    return {bytes(r.term): r.odds for r in kept.orderBy(F.desc("odds"), "term").limit(max_terms).collect()}
+    return {bytes(r.term): r.odds for r in kept.collect()}
 
 
 def _calibrate(own: DataFrame, model: Model) -> None:
@@ -161,7 +161,7 @@ def _calibrate(own: DataFrame, model: Model) -> None:
 
     def histogram(batches):
         scores = WordScores(terms.value)
-        for batch in batches:
+        for batch in small(batches):
             seen: Counter = Counter()
             for text in texts(batch):
                 seen.update(round(s / BIN) for s in map(scores.__getitem__, words_of(text)))
@@ -213,7 +213,7 @@ def _scanner(terms, model: Model | None):
 
     def run(batches):
         scores = WordScores(terms.value)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text in texts(batch):
                 n, found = _scan(text, scores)
@@ -248,7 +248,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         scores = WordScores(terms.value)
-        for batch in batches:
+        for batch in small(batches):
             values, passages = _scored(batch, scores, rest)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(values, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"]
@@ -265,7 +265,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def run(batches):
         scores = WordScores(terms.value)
-        for batch in batches:
+        for batch in small(batches):
             yield batch.filter(pa.array([v < threshold for v in _scored(batch, scores, rest)[0]], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
