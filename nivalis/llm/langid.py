@@ -6,8 +6,9 @@ of 5 characters, or else of 4, and so on down to 1 (a caret and a dollar sign ma
 the word's ends). The language with the largest sum over the whole text wins.
 
 The classifier is fitted on a bounded sample of labelled documents (`MAX_DOCS`,
-chosen by hash, outside the held-out fold) and keeps at most `MAX_WORDS` words
-and `MAX_GRAMS` n-grams, the most frequent ones; so what is broadcast is bounded.
+chosen by hash, outside the held-out fold). All their words (but those that occur
+once) and all n-grams are the model, broadcast as arrays; its size follows the sample's,
+not the table's.
 
 Defined results. A null text or one without a letter is `und` with score 0; so is
 everything if no labelled row can be learned from. Else the score is the winner's
@@ -17,20 +18,18 @@ judged alike; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import bounded_sample, held_out
+from nivalis.llm.common import bounded_sample, held_out, small, stash
 
 MAX_DOCS = 20_000
-MAX_WORDS = 150_000
-MAX_GRAMS = 300_000
+CACHED = 100_000
 ORDERS = (5, 4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -44,14 +43,14 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(len(w) - n + 1)]
 
 
-def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
+def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> dict:
     """The model: languages, words and n-grams with their log frequencies by language."""
     told = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = bounded_sample(told.select("doc_id"), F.col("doc_id"), max_docs).distinct()
+    ids = bounded_sample(told.select("doc_id").distinct(), F.col("doc_id"), max_docs)
     own = told.select("doc_id", "lang", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").drop("doc_id")
 
     def count_words(batches):
-        for batch in batches:
+        for batch in small(batches):
             seen: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 seen.update((lang, w) for w in words_of(text))
@@ -62,7 +61,7 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
             )
 
     def count_grams(batches):
-        for batch in batches:
+        for batch in small(batches, 1 << 20):
             seen: Counter = Counter()
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "term", "n"))):
                 for order in ORDERS:
@@ -75,67 +74,65 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
             )
 
     schema = "lang string, term string, n long"
-    words = own.mapInArrow(count_words, schema).groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    words = stash(own.mapInArrow(count_words, schema).groupBy("lang", "term").agg(F.sum("n").alias("n")), "lang-words")
     grams = words.mapInArrow(count_grams, schema).groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    known = _most_frequent(words, max_words, 2)
-    pieces = _most_frequent(grams, max_grams, 1)
-    langs = sorted({lang for counts in (known, pieces) for _, of in counts for lang, _ in of})
-    return {
-        "langs": langs,
-        "words": _log_frequencies(known, langs, lambda t: 0),
-        "grams": _log_frequencies(pieces, langs, len),
-    }
-
-
-def _most_frequent(counts: DataFrame, most: int, least: int) -> list:
-    by_term = counts.groupBy("term").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("of"))
-    table = by_term.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(most).select("term", "of").toArrow()
-    return [(term, tuple(of)) for b in table.to_batches(max_chunksize=10_000) for term, of in zip(*(c.to_pylist() for c in b.columns))]
-
-
-def _log_frequencies(counts: list, langs: list, group) -> dict:
-    """Add-a-half smoothed log shares, within each group (all words; n-grams by length)."""
-    totals: Counter = Counter()
-    sizes: Counter = Counter()
-    for term, of in counts:
-        sizes[group(term)] += 1
-        for lang, n in of:
-            totals[group(term), lang] += n
-    out = {}
-    for term, of in counts:
-        found = dict(of)
-        out[term] = tuple(math.log((found.get(lang, 0) + 0.5) / (totals[group(term), lang] + 0.5 * sizes[group(term)])) for lang in langs)
-    return out
+    langs = [r.lang for r in words.select("lang").distinct().orderBy("lang").collect()]
+    return {"langs": langs, "words": _log_frequencies(words, langs, F.lit(0), 2), "grams": _log_frequencies(grams, langs, F.char_length("term"), 1)}
+
+
+def _log_frequencies(counts: DataFrame, langs: list, group: Column, least: int) -> tuple[pa.Array, np.ndarray]:
+    """Terms with `least` occurrences and their add-a-half smoothed log shares by language, within each group (all words; n-grams by length)."""
+    of = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
+    table = counts.groupBy("term", group.alias("g")).agg(*of, F.sum("n").alias("n")).where(F.col("n") >= least).drop("n").toArrow().combine_chunks()
+    if not langs or not table.num_rows:
+        return pa.array([], pa.string()), np.zeros((0, len(langs)))
+    n = np.stack([table.column(f"n{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
+    _, which = np.unique(table.column("g").to_numpy(), return_inverse=True)
+    totals, sizes = np.zeros((which.max() + 1, len(langs))), np.bincount(which)
+    np.add.at(totals, which, n)
+    return table.column("term").combine_chunks(), np.log((n + 0.5) / (totals[which] + 0.5 * sizes[which][:, None]))
 
 
 class WordVectors(dict):
-    """Log frequencies of words by language, worked out once each; emptied when large."""
+    """Numbers of the rows of `table` that hold words' log frequencies by language, worked out once each; emptied when large."""
 
     def __init__(self, model: dict):
         super().__init__()
-        self.words, self.grams = model["words"], model["grams"]
-        self.none = (0.0,) * len(model["langs"])
-
-    def __missing__(self, word: str) -> tuple:
-        if len(self) > 300_000:
-            self.clear()
-        vector = self.words.get(word)
-        if vector is None:
-            vector = self.none
+        self.words, self.grams = ({t: i for i, t in enumerate(model[k][0].to_pylist())} for k in ("words", "grams"))
+        self.known, self.pieces = model["words"][1], model["grams"][1]
+        self.table = np.zeros((CACHED, len(model["langs"])))
+
+    def __missing__(self, word: str) -> int:
+        at = self.words.get(word)
+        if at is not None:
+            vector = self.known[at]
+        else:
+            vector = 0.0
             for order in ORDERS:
-                known = [g for g in map(self.grams.get, grams_of(word, order)) if g is not None]
-                if known:
-                    vector = tuple(sum(v) / len(known) for v in zip(*known))
+                found = [g for g in map(self.grams.get, grams_of(word, order)) if g is not None]
+                if found:
+                    vector = self.pieces[found].mean(axis=0)
                     break
-        self[word] = vector
-        return vector
+        row = self[word] = len(self)
+        self.table[row] = vector
+        return row
+
+    def total(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(self.table.shape[1])
+        for at in range(0, len(words), CACHED // 2):
+            part = words[at : at + CACHED // 2]
+            if len(self) + len(part) > CACHED:
+                self.clear()
+            rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            out += self.table[rows].sum(axis=0)
+        return out
 
 
 def judge(text: str | None, vectors: WordVectors, langs: list[str]) -> tuple[str, float]:
     words = words_of(text) if text else []
     if not words or not langs:
         return "und", 0.0
-    total = np.array([vectors[w] for w in words]).sum(axis=0)
+    total = vectors.total(words)
     share = np.exp(total - total.max())
     best = int(total.argmax())
     return langs[best], float(share[best] / share.sum())
@@ -148,7 +145,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         model = shared.value
         vectors = WordVectors(model)
-        for batch in batches:
+        for batch in small(batches):
             rows = [judge(t, vectors, model["langs"]) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
