@@ -2,7 +2,7 @@
 
 An Aho-Corasick automaton over the vocabulary lists every piece that ends at each
 character; dynamic programming carries the best score and its number of tokens
-only, no path. Ties follow the usual unigram tokenizer: at an end, starts are
+only, no path, for as many characters as the longest piece has. Ties follow the usual unigram tokenizer: at an end, starts are
 tried from left to right and a later one must score strictly better; a character
 that is no piece itself may stand alone at the lowest score less 10, and counts
 one token for each of its UTF-8 bytes (byte fallback).
@@ -23,12 +23,15 @@ result; further columns are ignored. Texts of any length are counted whole.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nivalis.llm.common import small
+
 PENALTY = 10.0
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -56,6 +59,7 @@ class Counts(dict):
         for piece, value in pieces:
             self.automaton.add_word(piece, (len(piece), value))
         self.automaton.make_automaton()
+        self.ring = 1 + max(len(piece) for piece, _ in pieces)
         self.alone = min(v for _, v in pieces) - PENALTY
 
     def __missing__(self, part: str) -> int:
@@ -67,24 +71,26 @@ class Counts(dict):
         return n
 
     def count(self, part: str) -> int:
-        size = len(part)
-        ends: list[list] = [[] for _ in range(size)]
-        for end, (length, value) in self.automaton.iter(part):
-            ends[end].append((length, value))
-        best, count = [0.0] * (size + 1), [0] * (size + 1)
-        for end in range(1, size + 1):
-            top, n, single = None, 0, False
-            for length, value in sorted(ends[end - 1], reverse=True):  # longest first: starts from left to right
+        """Matches come in the order of their ends, longer ones first (starts from left to right); only the last `ring` places are held."""
+        ring, alone = self.ring, self.alone
+        best, count = [0.0] * ring, [0] * ring
+        at, top, n, single = 0, None, 0, False
+        for end, (length, value) in chain(self.automaton.iter(part), ((len(part), (0, 0.0)),)):
+            while at < end:  # all pieces that end at this character are known
+                if not single:
+                    score = best[at % ring] + alone
+                    if top is None or score > top:
+                        top, n = score, count[at % ring] + len(part[at].encode())
+                at += 1
+                best[at % ring], count[at % ring] = top, n
+                top, single = None, False
+            if length:
                 single |= length == 1
-                score = best[end - length] + value
-                if top is None or score > top:
-                    top, n = score, count[end - length] + 1
-            if not single:
-                score = best[end - 1] + self.alone
+                start = (end + 1 - length) % ring
+                score = best[start] + value
                 if top is None or score > top:
-                    top, n = score, count[end - 1] + len(part[end - 1].encode())
-            best[end], count[end] = top, n
-        return count[size]
+                    top, n = score, count[start] + 1
+        return count[at % ring]
 
 
 def parts_of(text: str) -> list[str]:
@@ -101,7 +107,7 @@ def count_tokens(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     def run(batches):
         counts = Counts(shared.value)
         get = counts.__getitem__
-        for batch in batches:
+        for batch in small(batches):
             data = batch.column("text").to_pylist()
             n = [None if t is None else sum(map(get, parts_of(t))) for t in data]
             yield pa.RecordBatch.from_arrays(
