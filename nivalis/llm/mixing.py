@@ -18,7 +18,9 @@ or not, over 4096 keys. All draws come from hashes, so reruns agree.
 Defined results. A null text has size 0. A null source is a source of its own,
 in the last place. A null doc_id falls into a block by its text's hash. Rows
 repeated in the input are documents of their own. An empty table gives an
-empty mix. Further columns are carried by mix() and ignored by mix_plan().
+empty mix. Further columns are carried by mix() and ignored by mix_plan(); columns
+mix_copy and mix_shard of the input are replaced. No document is drawn more
+often than MAX_REPEAT says, an empty one neither.
 """
 
 from __future__ import annotations
@@ -91,7 +93,7 @@ def block_draws(blocks: DataFrame, per_source: DataFrame) -> DataFrame:
     )
     own = W.partitionBy("source")
     run = F.sum("words").over(own.orderBy("perm").rowsBetween(W.unboundedPreceding, 0))
-    b = b.withColumn("in_run", run <= F.col("rest"))
+    b = b.withColumn("in_run", (run <= F.col("rest")) & (F.col("rest") > 0))
     gap = F.col("rest") - F.coalesce(F.sum(F.when(F.col("in_run"), F.col("words"))).over(own), F.lit(0))
     b = b.withColumn("gap", gap).withColumn("miss", F.abs(F.col("words") - F.col("gap")))
     best = F.row_number().over(W.partitionBy("source", "in_run").orderBy("miss", "perm")) == 1
@@ -189,11 +191,11 @@ def plan_blocks(own: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
 def mix(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
     """The mix itself: the rows of docs, repeated as planned, with `mix_shard`; in hashed order inside each shard."""
     ident = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
-    own = docs.withColumn("_mix_block", block_of(ident))
-    plan = plan_blocks(sized(docs), shards, **options).selectExpr("source AS _mix_source", "block AS _mix_block", "shards AS _mix_shards")
-    plan = plan.withColumnRenamed("_mix_block", "_mix_of_block")
-    rows = own.join(plan, F.col("source").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_block") == F.col("_mix_of_block")))
-    rows = rows.select(*docs.columns, F.posexplode("_mix_shards").alias("mix_copy", "mix_shard"))
-    return rows.repartition("mix_shard", F.pmod(F.xxhash64("doc_id"), F.lit(16))).sortWithinPartitions(
-        "mix_shard", F.xxhash64("doc_id", "mix_copy", F.lit("order"))
-    )
+    own = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").alias("own_source"), block_of(ident).alias("own_block"))
+    plan = plan_blocks(sized(docs), shards, **options).select("source", "block", "shards")
+    rows = own.join(plan, F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_block") == F.col("block")))
+    rows = rows.select("doc", F.posexplode("shards").alias("copy", "shard"))
+    own_id = F.col("doc.doc_id")
+    rows = rows.repartition("shard", F.pmod(F.xxhash64(own_id), F.lit(16))).sortWithinPartitions("shard", F.xxhash64(own_id, "copy", F.lit("order")))
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_shard")]
+    return rows.select(*kept, F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"))

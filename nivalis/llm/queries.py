@@ -36,7 +36,7 @@ b AS (
          md5(coalesce(blocks.source, '') || ':' || block) AS perm
   FROM blocks JOIN targets ON blocks.source IS NOT DISTINCT FROM targets.source),
 r AS (SELECT *, target - passes * source_size AS rest,
-         sum(words) OVER (PARTITION BY source ORDER BY perm ROWS UNBOUNDED PRECEDING) <= target - passes * source_size AS in_run FROM b),
+         sum(words) OVER (PARTITION BY source ORDER BY perm ROWS UNBOUNDED PRECEDING) <= target - passes * source_size AND target - passes * source_size > 0 AS in_run FROM b),
 g AS (SELECT *, rest - coalesce(sum(words) FILTER (WHERE in_run) OVER (PARTITION BY source), 0) AS gap FROM r),
 d AS (SELECT *, passes + (in_run OR (abs(words - gap) < gap
          AND row_number() OVER (PARTITION BY source, in_run ORDER BY abs(words - gap), perm) = 1))::INT AS draws FROM g)
