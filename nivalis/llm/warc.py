@@ -5,7 +5,7 @@ whole-file gzip streams, the blank lines that end a record being the line
 separator. Of pages with equal payloads of at least `REVISIT_BYTES` bytes one is
 stored as a response, the others as revisits without payload. The decision is
 made on digests (SHA-1, length and an independent hash must agree), first within
-64 crews of pages, then over these; so a payload that a third of all pages share
+crews of pages (as many as shuffle partitions, 64 at least), then over these; so a payload that a third of all pages share
 makes no hot key.
 
 normalise() inflates each whole-file stream once, rewrites every record as a gzip
@@ -17,8 +17,8 @@ read_back() finds every record through the sidecar index and inflates that
 member only.
 
 Archives lie in the shared folder (or any folder that pyarrow's file systems
-reach). An archive has at most `RECORDS` records; a task holds one compressed
-archive and one record.
+reach). An archive has as many records as make `BYTES` bytes on average, `RECORDS` at
+most; archives are read as streams, so a task holds one record and an index.
 
 Defined results. A null html is an empty payload; a null url is left out of the
 record; line ends in a url are percent-encoded. A null page_id is stored as
@@ -39,11 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import new_folder, stash
+from nivalis.llm.common import crews, new_folder, stash
 
 REVISIT_BYTES = 1000
 RECORDS = 5000
-CREWS = 64
+BYTES = 64 << 20
+MOST_TASKS = 20_000
 DIGEST = ["sha", "length", "other"]
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 DATE = "2025-01-01T00:00:00Z"
@@ -59,12 +60,12 @@ def decided(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
         F.sha1(payload.cast("binary")).alias("sha"),
         F.octet_length(payload).cast("long").alias("length"),
         F.xxhash64(payload).alias("other"),
-        F.pmod(F.xxhash64(F.lit("crew"), "page_id"), F.lit(CREWS)).alias("crew"),
+        F.pmod(F.xxhash64(F.lit("crew"), "page_id"), F.lit(crews(pages.sparkSession))).alias("crew"),
     )
-    crews = own.where(F.col("length") >= least).groupBy(*DIGEST, "crew").agg(F.max("page_id").alias("page"), F.count("*").alias("n"))
-    crews = stash(crews, "warc-digests")
-    shared = crews.groupBy(*DIGEST).agg(F.max("page").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
-    routes = crews.select(*DIGEST, "crew").join(shared, DIGEST)
+    by_crew = own.where(F.col("length") >= least).groupBy(*DIGEST, "crew").agg(F.max("page_id").alias("page"), F.count("*").alias("n"))
+    by_crew = stash(by_crew, "warc-digests")
+    shared = by_crew.groupBy(*DIGEST).agg(F.max("page").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    routes = by_crew.select(*DIGEST, "crew").join(shared, DIGEST)
     return own.join(routes, [*DIGEST, "crew"], "left").withColumn(
         "first", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     )
@@ -93,8 +94,10 @@ def records(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     return own.select(F.concat(header, block).alias("value"))
 
 
-def write(pages: DataFrame, folder: str, least: int = REVISIT_BYTES, per_archive: int = RECORDS) -> None:
+def write(pages: DataFrame, folder: str, least: int = REVISIT_BYTES, most_records: int = RECORDS, most_bytes: int = BYTES) -> None:
     """Monolithic archives: each file one gzip stream of whole records."""
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)) + 500)).first()[0] or 1
+    per_archive = max(1, min(most_records, int(most_bytes / mean)))
     out = records(pages, least).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_archive)
     out.option("compression", "gzip").text(folder)
 
@@ -102,20 +105,18 @@ def write(pages: DataFrame, folder: str, least: int = REVISIT_BYTES, per_archive
 class Inflated:
     """Reads a compressed file of one or several gzip members as one stream."""
 
-    def __init__(self, data: bytes, step: int = 1 << 18):
-        self.data, self.at, self.step, self.held = memoryview(data), 0, step, bytearray()
+    def __init__(self, source, step: int = 1 << 18):
+        self.source, self.step, self.rest, self.held = source, step, b"", bytearray()
         self.stream = zlib.decompressobj(31)
 
     def _more(self) -> bool:
-        if self.at >= len(self.data) and not self.stream.unconsumed_tail:
-            return False
-        if self.stream.eof:
-            self.at -= len(self.stream.unused_data)
+        part = self.rest or self.source.read(self.step)
+        if self.stream.eof and part:
             self.stream = zlib.decompressobj(31)
-        part = self.data[self.at : self.at + self.step]
-        self.at += len(part)
-        self.held += self.stream.decompress(part)
-        return True
+        more = self.stream.decompress(part, 4 * self.step)  # the rest of a part that inflates to more waits
+        self.rest = self.stream.unused_data if self.stream.eof else self.stream.unconsumed_tail
+        self.held += more
+        return bool(part or more)
 
     def until(self, mark: bytes) -> bytes | None:
         """Up to and with the mark; None at the end of the data."""
@@ -142,9 +143,9 @@ def fields(header: bytes) -> dict[str, str]:
     return {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:] if x)}
 
 
-def raw_records(data: bytes):
-    """(header fields, whole record with its ending blank lines) of each record of a compressed archive."""
-    stream = Inflated(data)
+def raw_records(source):
+    """(header fields, whole record with its ending blank lines) of each record of a compressed archive, an open file."""
+    stream = Inflated(source)
     while (header := stream.until(b"\r\n\r\n")) is not None:
         named = fields(header)
         body = stream.take(int(named["content-length"]) + 4)
@@ -171,19 +172,21 @@ def normalise(spark, folder: str, out: str, level: int = 6) -> DataFrame:
 
         for batch in batches:
             done = []
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
+            for path in batch.column("path").to_pylist():
                 archive = f"{out}/{path.rsplit('/', 1)[-1].split('.')[0]}.warc.gz"
                 system, target = FileSystem.from_uri(archive)
+                origin, at_origin = FileSystem.from_uri(path)
                 system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 index, at = [], 0
 
                 def members():
                     nonlocal at
-                    for named, record in raw_records(data.as_py()):
-                        member = gzip.compress(record, level, mtime=0)
-                        index.append({"offset": at, "length": len(member), "type": named["warc-type"], "id": named["warc-record-id"]})
-                        at += len(member)
-                        yield member
+                    with origin.open_input_stream(at_origin, compression=None) as source:
+                        for named, record in raw_records(source):
+                            member = gzip.compress(record, level, mtime=0)
+                            index.append({"offset": at, "length": len(member), "type": named["warc-type"], "id": named["warc-record-id"]})
+                            at += len(member)
+                            yield member
 
                 _put(system, target, members())
                 _put(system, target + ".idx", (json.dumps(x).encode() + b"\n" for x in index))
@@ -191,7 +194,7 @@ def normalise(spark, folder: str, out: str, level: int = 6) -> DataFrame:
             cols = list(zip(*done)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64())], ["archive", "n"])
 
-    files = spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "content")
+    files = spark.read.format("binaryFile").load(folder).where("length > 0").select("path")
     return stash(files.mapInArrow(run, schema), "warc-archives")
 
 
@@ -239,7 +242,7 @@ def read_back(archives: DataFrame, payloads: bool = True) -> DataFrame:
                             rows.append(row if payloads else row | {"payload": None})
                         yield pa.RecordBatch.from_pylist(rows, READ)
 
-    return archives.repartition("archive").select("archive").mapInArrow(run, READ_SQL)
+    return archives.select("archive").repartition(max(1, min(MOST_TASKS, archives.count()))).mapInArrow(run, READ_SQL)
 
 
 def round_trip(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
