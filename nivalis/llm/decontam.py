@@ -1,12 +1,14 @@
 """Benchmark decontamination: a broadcast set of test n-grams against all training windows.
 
 The benchmark's windows (n consecutive words, or a shorter item's all words)
-are cut and counted by Spark. They go to the executors as hash sets of at most
-`SLICE` windows each, which bounds what is broadcast; a larger benchmark takes
-several slices, one scan after another over the same rows. A scan maps words to
-the benchmark's vocabulary, hashes all windows of a chunk of documents at once,
-looks the hashes up and verifies every hit word for word. Documents are never
-shuffled, so copies and hot sources do not matter.
+are cut and counted by Spark. They go to the executors as a hash set if they are
+at most `SLICE` bytes. A larger benchmark is cut into slices of that size by the
+windows' hashes: each slice is broadcast, scanned for, its hits written to the shared
+folder, and dropped before the next one, so neither the driver nor a worker ever
+holds more than one; at last the hits of equal texts are put together. A scan maps
+words to the benchmark's vocabulary, hashes all windows of a chunk of documents at
+once, looks the hashes up and verifies every hit word for word. Documents are not
+shuffled for one slice; for several, only by the digest of texts that have hits.
 
 Words: runs of [0-9a-z] and non-ASCII characters after lower-casing A-Z.
 
@@ -27,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import chunks, texts
+from nivalis.llm.common import chunks, small, stash, texts
 
 N = 10
-SLICE = 200_000
+SLICE = 32 << 20  # bytes of windows and item names
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z.
 TABLE = bytes(
@@ -116,14 +118,70 @@ def scan(docs: list[list[bytes]], table: dict):
     return masks, found
 
 
-def _slices(benchmark: DataFrame, n: int, size: int) -> list:
-    """Broadcast hash sets of at most about `size` windows."""
-    windows = benchmark_windows(benchmark, n)
-    count = windows.count()
-    slices = max(1, -(-count // size))
-    part = F.pmod(F.xxhash64("gram"), F.lit(slices))
-    spark = benchmark.sparkSession
-    return [spark.sparkContext.broadcast(build_index(windows.where(part == k).toLocalIterator())) for k in range(slices)]
+def _slices(benchmark: DataFrame, n: int, size: int) -> list[DataFrame]:
+    """The benchmark's windows in slices of about `size` bytes."""
+    windows = stash(benchmark_windows(benchmark, n), "leak-windows")
+    width = F.octet_length("gram") + F.aggregate("items", F.lit(0).cast("long"), lambda b, i: b + F.octet_length(i))
+    count = max(1, -(-(windows.agg(F.sum(width)).first()[0] or 0) // size))
+    part = F.pmod(F.xxhash64("gram"), F.lit(count))
+    return [windows.where(part == k) for k in range(count)]
+
+
+def _shared(windows: DataFrame):
+    """A broadcast hash set of one slice."""
+    return windows.sparkSession.sparkContext.broadcast(build_index(windows.toLocalIterator()))
+
+
+def ranges_of(mask: np.ndarray | None) -> list[dict]:
+    """The runs of a mask as (start, end), end excluded."""
+    if mask is None:
+        return []
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))).tolist()
+    return [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
+
+
+def scanned(data: list[bytes], table: dict):
+    """Number of words, mask of hit words (or None) and items of each text, by chunks."""
+    for start, stop in chunks(data):
+        words = [words_of(b) for b in data[start:stop]]
+        yield from zip(map(len, words), *scan(words, table))
+
+
+HITS = "hits array<struct<start:int,end:int>>, items array<string>"
+HITS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _hits_by_slices(docs: DataFrame, slices: list[DataFrame]) -> DataFrame:
+    """leak_key (a digest of the text), hits and items of all distinct texts with hits, one slice in memory at a time."""
+    found = None
+    for windows in slices:
+        table = _shared(windows)
+
+        def run(batches, table=table):
+            for batch in small(batches):
+                rows = [(i, ranges_of(mask), sorted(items)) for i, (_, mask, items) in enumerate(scanned(texts(batch), table.value)) if mask is not None]
+                at, hits, items = list(zip(*rows)) or [(), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("leak_key").take(pa.array(at, pa.int64())), pa.array(hits, HITS_TYPE), pa.array(items, pa.list_(pa.string()))],
+                    ["leak_key", "hits", "items"],
+                )
+
+        own = docs.select(leak_key().alias("leak_key"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+        part = stash(own.mapInArrow(run, f"leak_key string, {HITS}").dropDuplicates(["leak_key"]), "leak-hits")
+        table.destroy()
+        found = part if found is None else found.unionByName(part)
+    # Ranges of several slices may overlap: in order of their starts, each joins the last one that it reaches.
+    every = found.groupBy("leak_key").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    step = """aggregate(h, CAST(array() AS array<struct<start:int,end:int>>), (a, x) -> CASE
+        WHEN size(a) > 0 AND x.start <= element_at(a, -1).end
+        THEN concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end))))
+        ELSE concat(a, array(x)) END)"""
+    return every.select("leak_key", F.expr(step).alias("hits"), "items")
+
+
+def leak_key():
+    """What tells texts apart where hits are joined back to them."""
+    return F.sha2(F.col("text").cast("binary"), 256)
 
 
 def cut_spans(text: bytes, mask: np.ndarray) -> bytes:
@@ -137,62 +195,76 @@ def cut_spans(text: bytes, mask: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def find(docs: DataFrame, benchmark: DataFrame, n: int = N, slice_windows: int = SLICE) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, n: int = N, slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, n_words, hits (ranges of word positions, end excluded) and items (sorted) for every row of docs."""
-    tables = _slices(benchmark, n, slice_windows)
-    columns = ["doc_id", "n_words", "hits", "items"]
-    hits_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    slices = _slices(benchmark, n, slice_bytes)
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long"
+    if len(slices) > 1:
+        sizes = own.withColumn("leak_key", leak_key()).mapInArrow(_word_counts, f"{kind}, leak_key string")
+        none = (F.expr("CAST(array() AS array<struct<start:int,end:int>>)"), F.expr("CAST(array() AS array<string>)"))
+        rows = sizes.join(_hits_by_slices(docs, slices), "leak_key", "left")
+        return rows.select("doc_id", "n_words", *[F.coalesce(c, x).alias(c) for c, x in zip(("hits", "items"), none)])
+    table = _shared(slices[0])
+
+    def run(batches):
+        for batch in small(batches):
+            sizes, masks, items = list(zip(*scanned(texts(batch), table.value))) or [(), (), ()]
+            arrays = [pa.array(sizes, pa.int64()), pa.array(map(ranges_of, masks), HITS_TYPE), pa.array(map(sorted, items), pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_words", "hits", "items"])
+
+    return own.mapInArrow(run, f"{kind}, {HITS}")
+
+
+def _word_counts(batches):
+    for batch in small(batches):
+        sizes = [len(words_of(t)) for t in texts(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), batch.column("leak_key")], ["doc_id", "n_words", "leak_key"])
 
-    def scan_all(batches):
-        for batch in batches:
-            data = texts(batch)
-            sizes, hits, items = [], [], []
-            for start, stop in chunks(data):
-                docs_words = [words_of(b) for b in data[start:stop]]
-                merged, names = [None] * len(docs_words), [set() for _ in docs_words]
-                for table in tables:
-                    for d, (mask, found) in enumerate(zip(*scan(docs_words, table.value))):
-                        if mask is not None:
-                            merged[d] = mask if merged[d] is None else merged[d] | mask
-                            names[d] |= found
-                for words, mask, found in zip(docs_words, merged, names):
-                    sizes.append(len(words))
-                    edges = [] if mask is None else np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))).tolist()
-                    hits.append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
-                    items.append(sorted(found))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(hits, hits_type), pa.array(items, pa.list_(pa.string()))], columns
-            )
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, hits array<struct<start:int,end:int>>, items array<string>"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(scan_all, schema)
+def without_spans(text: bytes, hits: list) -> bytes:
+    """The text without the words in `hits` (ranges) and what stands between neighbouring ones."""
+    mask = np.zeros(len(words_of(text)), bool)
+    for h in hits:
+        mask[h["start"] : h["end"]] = True
+    return cut_spans(text, mask)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", n: int = N, slice_windows: int = SLICE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", n: int = N, slice_bytes: int = SLICE) -> DataFrame:
     """The rows of docs without contaminated documents (mode "drop") or without the hit spans (mode "spans")."""
     if mode not in ("drop", "spans"):
         raise ValueError("mode is drop or spans")
-    tables = _slices(benchmark, n, slice_windows)
-
-    def apply(batches):
-        for batch in batches:
-            data, keep, new = texts(batch), [], []
-            for start, stop in chunks(data):
-                docs_words = [words_of(b) for b in data[start:stop]]
-                merged = [None] * len(docs_words)
-                for table in tables:
-                    for d, mask in enumerate(scan(docs_words, table.value)[0]):
-                        if mask is not None:
-                            merged[d] = mask if merged[d] is None else merged[d] | mask
-                keep += [mask is None for mask in merged]
-                if mode == "spans":
-                    new += [b if m is None else cut_spans(b, m) for b, m in zip(data[start:stop], merged)]
-            if mode == "drop":
-                yield batch.filter(pa.array(keep, pa.bool_()))
+    slices = _slices(benchmark, n, slice_bytes)
+    if len(slices) > 1:
+        found = _hits_by_slices(docs, slices)
+        keyed = docs.select(F.struct(*docs.columns).alias("doc"), leak_key().alias("leak_key"))
+        if mode == "drop":
+            return keyed.join(found, "leak_key", "left_anti").select("doc.*")
+        hits_name = _free(docs.columns, "hits")
+        rows = keyed.join(found, "leak_key", "left").select("doc.*", F.col("hits").alias(hits_name))
+    else:
+        table, rows, hits_name = _shared(slices[0]), docs, None
+
+    def run(batches):
+        for batch in small(batches):
+            data = texts(batch)
+            if hits_name is None:
+                hits = [ranges_of(mask) for _, mask, _ in scanned(data, table.value)]
             else:
-                at = batch.schema.get_field_index("text")
-                old = batch.column("text")
-                column = pa.array([None if gone else b.decode() for gone, b in zip(old.is_null().to_pylist(), new)], old.type)
-                yield batch.set_column(at, batch.schema.field(at), column)
+                hits = batch.column(hits_name).to_pylist()
+                batch = batch.drop_columns([hits_name])
+            if mode == "drop":
+                yield batch.filter(pa.array([not h for h in hits], pa.bool_()))
+                continue
+            at, old = batch.schema.get_field_index("text"), batch.column("text")
+            new = [None if gone else (without_spans(b, h) if h else b).decode() for gone, b, h in zip(old.is_null().to_pylist(), data, hits)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(new, old.type))
+
+    return rows.mapInArrow(run, docs.schema)
+
 
-    return docs.mapInArrow(apply, docs.schema)
+def _free(columns: list[str], name: str) -> str:
+    """The name, with underscores in front until no column has it."""
+    while name in columns:
+        name = "_" + name
+    return name
