@@ -146,9 +146,16 @@ def test_deep_shallow_sort_orders_and_groups():
     rng = random.Random(5)
     strings = [bytes(rng.choice(b"ab") for _ in range(100)) for _ in range(40)]
     strings += [strings[0][:60] + bytes(rng.choice(b"ab") for _ in range(40)) for _ in range(40)] + strings[:10]
-    groups = list(suffix.sorted_groups(strings))
-    assert [strings[g[0]] for g in groups] == sorted(set(strings))
-    assert all(len({strings[i] for i in g}) == 1 for g in groups) and sum(map(len, groups)) == len(strings)
+    strings += [strings[0][:i] + bytes([c]) * (100 - i) for i in range(20, 100, 3) for c in (0, 97, 255)]
+    rng.shuffle(strings)
+    keys = np.array([i % 3 for i in range(len(strings))])
+    data, at = np.frombuffer(b"".join(strings), np.uint8), np.arange(len(strings)) * 100
+    order, heads = suffix.deep_shallow(data, at, keys)
+    found = [(int(keys[i]), strings[i]) for i in order]
+    assert found == sorted(found)
+    assert all((found[k] == found[k - 1]) == (heads[k] == heads[k - 1]) for k in range(1, len(found)))
+    later = suffix.repeats(data, at, keys, (np.arange(len(at))[::-1], np.zeros(len(at)), at))
+    assert [bool(x) for x in later] == [(int(keys[i]), s) in {(int(keys[j]), strings[j]) for j in range(i + 1, len(at))} for i, s in enumerate(strings)]
 
 
 def brute_hits(docs, items):
@@ -169,17 +176,17 @@ def brute_hits(docs, items):
     return out
 
 
-@pytest.mark.parametrize("size", [decontam.SLICE, 7])
+@pytest.mark.parametrize("size", [decontam.SLICE, 900])
 def test_decontamination(spark, corpus, size):
     texts = dict(corpus)
     items = [(1, texts[95][100:400]), (2, "One, TWO!"), (3, None), (4, "..."), (5, texts[3]), (5, texts[3]), (None, texts[4][:120])]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs, expected = documents(spark, corpus), brute_hits(corpus, items)
-    for r in decontam.find(docs, benchmark, slice_windows=size).collect():
+    for r in decontam.find(docs, benchmark, slice_bytes=size).collect():
         assert (r.n_words, sum(h["end"] - h["start"] for h in r.hits), list(r["items"])) == expected[r.doc_id]
-    kept = {r.doc_id for r in decontam.clean(docs, benchmark, slice_windows=size).collect()}
+    kept = {r.doc_id for r in decontam.clean(docs, benchmark, slice_bytes=size).collect()}
     assert kept == {i for i, e in expected.items() if not e[1]}
-    spans = {r.doc_id: r.text for r in decontam.clean(docs, benchmark, "spans").collect()}
+    spans = {r.doc_id: r.text for r in decontam.clean(docs, benchmark, "spans", slice_bytes=size).collect()}
     assert len(spans) == len(texts) and spans[111].strip() == "" and spans[109] is None and spans[7] == texts[7]
     assert decontam.find(documents(spark, []), benchmark).count() == 0
     assert decontam.clean(docs, benchmark.where("false")).count() == len(corpus)
@@ -426,3 +433,126 @@ def test_a_dense_group_of_near_misses(spark):
             parent[y] = x
     found = neardup.components(documents(spark, rows)).collect()
     assert {r.doc_id: r.component_id for r in found} == {i: root(i) for i in sets}
+
+
+def test_token_counts_of_a_long_part_hold_a_ring_only(spark):
+    """Letters without a space: as many characters as the longest piece are held, and counts equal those of the whole dynamic program."""
+    import tracemalloc
+
+    pieces = [("a", -1.0), ("ab", -1.5), ("b", -1.0), ("abab", -2.0), ("▁", -1.0)]
+    counts = tokens.Counts(pieces)
+    rng = random.Random(8)
+    part = "".join(rng.choices("abé", k=300))
+    best = [(0.0, 0)]
+    for end in range(1, len(part) + 1):
+        options = [(best[end - len(p)][0] + v, best[end - len(p)][1] + 1) for p, v in sorted(pieces, key=lambda x: -len(x[0])) if part[:end].endswith(p)]
+        if not any(part[end - 1] == p for p, _ in pieces):
+            options.append((best[end - 1][0] + counts.alone, best[end - 1][1] + len(part[end - 1].encode())))
+        top = max(s for s, _ in options)
+        best.append(next(o for o in options if o[0] == top))
+    assert counts.count(part) == best[-1][1]
+    long = "ab" * 2_500_000
+    tracemalloc.start()
+    assert counts.count(long) == 1_250_000
+    assert tracemalloc.get_traced_memory()[1] < 5 * len(long)  # the automaton copies the text, 4 bytes a character
+    tracemalloc.stop()
+    assert tokens.count_tokens(documents(spark, [])).count() == 0
+
+
+def test_mixing_edges(spark):
+    """Empty documents of a source at its cap are not drawn a third time; clashing columns are replaced."""
+    docs = documents(spark, [(i, "w " * 5 if i < 30 else None, "en", "a" if i % 2 else "b") for i in range(50)])
+    docs = docs.withColumns({"mix_shard": F.lit("x"), "mix_copy": F.lit("y"), "_mix_block": F.lit(1), "doc": F.lit(2), "shards": F.lit(3)})
+    rows = mixing.mix(docs, shards=4, share=5.0)
+    assert rows.columns == [*[c for c in docs.columns if c not in ("mix_shard", "mix_copy")], "mix_copy", "mix_shard"]
+    found = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("shards").alias("s")).collect()
+    assert max(r.n for r in found) <= 2 and {r.s for r in found} == {3}
+
+
+def test_hypergeometric_draws_have_their_probabilities(spark):
+    """Of an urn of 3 and 5 draws in two shards, over many seeds: the first half's share of the first source follows the distribution."""
+    from math import comb
+
+    trees = spark.range(3000).selectExpr("id", "3L AS a", "5L AS b")
+    draw = mixing._HYPERGEOMETRIC
+    v = "named_struct('total', a + b, 'marked', a, 'drawn', 4L, 'low', 0L, 'high', least(a, 4L), 'u', (shiftrightunsigned(xxhash64(id), 11) + 0.5D) / 9007199254740992.0D)"
+    found = trees.selectExpr(f"transform(array({v}), v -> {draw})[0] AS x").groupBy("x").count().collect()
+    shares = {r.x: r["count"] / 3000 for r in found}
+    for x in range(4):
+        assert shares[x] == pytest.approx(comb(3, x) * comb(5, 4 - x) / comb(8, 4), abs=0.03)
+
+
+def test_mix_runs_cover_all_slots_once(spark):
+    docs = documents(spark, [(i, "w " * (1 + i % 7), "en", "abc"[i % 3]) for i in range(300)])
+    own = mixing.sized(docs)
+    plan = mixing.plan_blocks(own, 8).collect()
+    drawn = {(r.source, r.block): r.draws for r in mixing.block_draws(own.groupBy("source", "block").agg(F.sum("size").alias("words")), mixing.targets(own.groupBy("source", "block").agg(F.sum("size").alias("words")))).collect()}
+    assert {(r.source, r.block): len(r.shards) for r in plan} == drawn
+
+
+def test_warc_archives_by_bytes(spark, tmp_path):
+    """Few bytes an archive; repeated rows and clashing columns; texts longer than a read."""
+    rng = random.Random(3)
+    long = "".join(rng.choices("abcdef<>", k=900_000)) + "x" * 3_000_000
+    rows = [(i, "u", f"{i}" + "y" * 500, 1, "s") for i in range(60)] + [(100, "u", long, 2, "t"), (100, "u", long, 2, "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, crew int, sha string")
+    warc.write(pages.repartition(1), f"file://{tmp_path}/whole", most_bytes=1 << 20)
+    archives = warc.normalise(spark, f"file://{tmp_path}/whole", f"file://{tmp_path}/members")
+    found = warc.read_back(archives).collect()
+    assert archives.count() > 3 and len(found) == len(rows)
+    assert all(bytes(r.payload).decode() == (long if r.page_id == 100 else f"{r.page_id}" + "y" * 500) for r in found)
+
+
+def test_language_scores_against_plain_counts(spark):
+    """The whole model by hand: log shares of words, then of the longest known n-grams."""
+    import math
+
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("aba abab cab", "x"), ("aba dede cab cab", "y"), ("dede abad ed", "y"), ("", "x"), (None, "y")])]
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    words, grams = defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(int))
+    for _, t, lang in learned:
+        for w in (t or "").split():
+            words[w][lang] += 1
+            for n in (1, 2, 3, 4, 5):
+                for i in range(len(w) + 2 - n + 1):
+                    grams[f"^{w}$"[i : i + n]][lang] += 1
+    words = {w: c for w, c in words.items() if sum(c.values()) > 1}
+    langs = sorted({lang for c in grams.values() for lang in c})
+
+    def share(table, term, group):
+        peers = [c for t, c in table.items() if group is None or len(t) == group]
+        return [math.log((table[term][lang] + 0.5) / (sum(c[lang] for c in peers) + 0.5 * len(peers))) for lang in langs]
+
+    def vector(w):
+        if w in words:
+            return share(words, w, None)
+        for n in (5, 4, 3, 2, 1):
+            known = [f"^{w}$"[i : i + n] for i in range(len(w) + 2 - n + 1) if f"^{w}$"[i : i + n] in grams]
+            if known:
+                return [sum(share(grams, g, n)[k] for g in known) / len(known) for k in range(len(langs))]
+        return [0.0] * len(langs)
+
+    docs = documents(spark, rows)
+    found = {r.doc_id: r for r in langid.identify(docs, langid.learn(docs)).collect()}
+    for i, t, _ in rows:
+        if t:
+            total = [sum(vector(w)[k] for w in t.split()) for k in range(len(langs))]
+            best = max(range(len(langs)), key=lambda k: (total[k], -k))
+            odds = [math.exp(x - max(total)) for x in total]
+            assert found[i].lang_pred == langs[best] and found[i].score == pytest.approx(odds[best] / sum(odds))
+    assert langid.identify(documents(spark, []), langid.learn(docs)).count() == 0
+
+
+@pytest.mark.parametrize("outer", [16])
+def test_repeats_of_one_passage_in_a_third_of_all_documents(spark, monkeypatch, outer):
+    """Its keys have more classes than one task sorts: they are split by the outer bytes and sorted in crews."""
+    monkeypatch.setattr(suffix, "MANY", 5)
+    monkeypatch.setattr(suffix, "TOGETHER", 300)
+    rng = random.Random(21)
+    passage = prose(rng, 25)
+    rows = [(i, prose(rng, 12) + (passage[: rng.choice((90, 140, 999))] if i % 3 == 0 else "") + prose(rng, 12)) for i in range(120)]
+    rows += [(200, "z" * 50_000), (201, passage * 3)]
+    expected = brute_repeats(rows)
+    for r in suffix.remove_repeats(documents(spark, rows)).collect():
+        removed = sum(s["to"] - s["from"] for s in r.spans)
+        assert (r.n_bytes, removed, len(r.spans), bytes(r.kept)) == expected[r.doc_id]
