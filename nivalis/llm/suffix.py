@@ -8,18 +8,18 @@ strings are judged on the input; overlaps count.
    `GRAM`-byte strings, so equal windows have equal keys. Consecutive windows of
    one key form a segment (about 3 for 100 bytes). Segments whose key occurs
    once, and only once within itself, hold nothing that repeats.
-2. Equal segments need to be sorted only once: those of one key, length and 128-bit
-   hash form a class, of which the first occurrence goes on; the windows of the
-   others repeat it and are removed.
-3. The suffixes at the window starts of a key's classes are sorted deep-shallow:
-   multikey quicksort, 8 bytes being one character, to a depth of `SHALLOW` bytes, and
-   blind tries for the groups that still agree. Many keys are sorted together, each
-   step of the sort as one array operation. Suffixes that agree over LENGTH bytes are
-   compared byte for byte there; all but the earliest are removed.
-   A key's suffixes are sorted in one task. A key with more than `MANY` classes,
-   such as that of a line common to all documents, is first split by the outer bytes of
-   its windows, and what is still together is sorted in crews, then the first ones of
-   all crews once more; so no group grows with the data.
+2. The bytes of all other segments are brought together by key and sorted deep-shallow: the
+   suffixes at their starts first (multikey quicksort, 8 bytes being one character, to a depth
+   of `SHALLOW` bytes, and blind tries for the groups that still agree), then those at
+   their ends, which tells equal segments; all but the earliest of these are removed. Of
+   keys that have several different segments, the suffixes at all window starts of the
+   earliest ones are sorted likewise. Suffixes that agree over LENGTH bytes are compared
+   byte for byte there; all but the earliest are removed. Many keys are sorted together, each
+   step of the sort as one array operation.
+3. A key's suffixes are sorted in one task. A key with more than `MANY` segments, such as
+   that of a line common to all documents, is sorted in crews first. What is left of it is
+   split into windows, these by their outer bytes, and sorted in crews and then once more
+   over all crews; so no group grows with the data.
 4. Removed ranges are merged per document and cut out.
 
 Defined results. A null text is empty. Documents without an id come after all
@@ -45,37 +45,32 @@ SHALLOW = 24
 MANY = 2000
 OUTER = 16
 LONGEST = 200  # windows in a segment
-TOGETHER = 1 << 18  # suffixes sorted together, if their keys allow
+TOGETHER = 1 << 16  # suffixes sorted together, if their keys allow
 PIECE = 1 << 20
 CHUNK = 1 << 18
 LAST = (1 << 63) - 1
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+BASE = 0x9E3779B97F4A7C15
 ROW = ["doc_id", "tie"]
 
 
 class Hashes:
     """Polynomial hashes modulo 2^64 of substrings, from running sums over a buffer."""
 
-    tables: dict = {}
+    tables: list = []
 
-    def __init__(self, data: np.ndarray, base: int):
+    def __init__(self, data: np.ndarray):
         n = len(data) + 1
-        if base not in self.tables or len(self.tables[base][0]) < n:
-            size = max(n, CHUNK * 2)
-            made = []
-            for b in (base, pow(base, -1, 1 << 64)):
+        if not self.tables or len(self.tables[0]) < n:
+            size, made = max(n, CHUNK * 2), []
+            for b in (BASE, pow(BASE, -1, 1 << 64)):
                 table = np.full(size, b, np.uint64)
                 table[0] = 1
                 made.append(np.multiply.accumulate(table))
-            self.tables[base] = made
-        up, self.down = self.tables[base]
+            Hashes.tables = made
+        up, self.down = self.tables
         self.sums = np.zeros(n, np.uint64)
         np.cumsum((data + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
 
-    def of(self, start, end) -> np.ndarray:
-        h = (self.sums[end] - self.sums[start]) * self.down[start]
-        return mixed(h)
-
     def every(self, n: int) -> np.ndarray:
         """Of all substrings of n bytes."""
         count = len(self.sums) - n
@@ -98,16 +93,15 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def segments(pieces: list[bytes], digests: bool = True):
-    """For texts laid end to end: key, whether it repeats inside, and, if asked for, piece, start, number of windows and two digests."""
+def segments(pieces: list[bytes]):
+    """For texts laid end to end: key, whether it repeats inside, piece, start and number of windows of each segment."""
     sizes = np.array([len(p) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return (none, np.zeros(0, bool), *([none] * 5 if digests else ()))
+        return none, np.zeros(0, bool), none, none, none
     width = LENGTH - GRAM + 1
-    first = Hashes(data, BASES[0])
-    grams = first.every(GRAM)
+    grams = Hashes(data).every(GRAM)
     low = sliding(grams, width, np.minimum)  # of the window at each start
     ends = np.cumsum(sizes)
     begins = ends - sizes
@@ -132,11 +126,8 @@ def segments(pieces: list[bytes], digests: bool = True):
         starts, counts = np.repeat(starts, parts) + at * LONGEST, np.minimum(LONGEST, np.repeat(counts, parts) - at * LONGEST)
     key = low[starts]
     inside = np.isin(key, repeated) if len(repeated) else np.zeros(len(key), bool)
-    if not digests:
-        return key.view(np.int64), inside
-    found = [Hashes(data, base).of(starts, starts + counts + LENGTH - 1).view(np.int64) for base in BASES[1:]]
     owner = np.searchsorted(ends, starts, side="right")
-    return key.view(np.int64), inside, owner, starts - begins[owner], counts, *found
+    return key.view(np.int64), inside, owner, starts - begins[owner], counts
 
 
 def _rows(docs: DataFrame, unique: bool) -> DataFrame:
@@ -167,7 +158,7 @@ def _key_rows(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for _, pieces in _pieces(batches):
-            key, inside = segments([p[2] for p in pieces], digests=False)
+            key, inside, *_ = segments([p[2] for p in pieces])
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(inside)], ["key", "inside"])
 
     return rows.select("text").mapInArrow(run, "key long, inside boolean")
@@ -178,14 +169,11 @@ def _segment_rows(rows: DataFrame) -> DataFrame:
         for batch, pieces in _pieces(batches):
             ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
             which, at = np.array([p[0] for p in pieces], np.int64), np.array([p[1] for p in pieces], np.int64)
-            key, inside, owner, start, n, d1, d2 = segments([p[2] for p in pieces])
+            key, _, owner, start, n = segments([p[2] for p in pieces])
             doc = which[owner]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, d1, d2, ids[doc], ties[doc], at[owner] + start, n.astype(np.int32), inside)],
-                ["key", "d1", "d2", "doc_id", "tie", "start", "n", "inside"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[doc], ties[doc], at[owner] + start, n.astype(np.int32))], ["key", "doc_id", "tie", "start", "n"])
 
-    return rows.mapInArrow(run, "key long, d1 long, d2 long, doc_id long, tie long, start long, n int, inside boolean")
+    return rows.mapInArrow(run, "key long, doc_id long, tie long, start long, n int")
 
 
 def _regrouped(places: np.ndarray, heads: np.ndarray, *columns) -> np.ndarray:
@@ -255,6 +243,30 @@ def repeats(data: np.ndarray, at: np.ndarray, keys: np.ndarray, place: tuple) ->
     return later
 
 
+def equal_segments(data: np.ndarray, begins: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Numbers of the segments (n windows each, n + LENGTH - 1 bytes) that are equal for equal segments of one key.
+
+    Sorted at their starts, then, where one window does not cover them, at their ends and in between.
+    """
+    by = np.lexsort((n, keys))
+    same = np.empty(len(n), np.int64)
+    same[by] = _regrouped(np.arange(len(n)), keys[by], n[by])
+    steps = [np.zeros(len(n), np.int64), n - 1, *(np.where(n - 1 > t, t, 0) for t in range(LENGTH, int(n.max(initial=1)) - 1, LENGTH))]
+    for k, offset in enumerate(steps):
+        rows = np.flatnonzero(offset > 0) if k else np.arange(len(n))
+        order, heads = deep_shallow(data, (begins + offset)[rows], same[rows])
+        same[rows[order]] = heads + (k + 1) * len(n)
+    return same
+
+
+def firsts(same: np.ndarray, place: tuple) -> np.ndarray:
+    """Whether each row is the earliest one of those with its number."""
+    by = np.lexsort((*reversed(place), same))
+    first = np.ones(len(by), bool)
+    first[by[1:]] = same[by[1:]] != same[by[:-1]]
+    return first
+
+
 def merged_ranges(doc: np.ndarray, tie: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """doc_id, tie, from, to of the runs that strings of LENGTH bytes at these places cover."""
     by = np.lexsort((at, tie, doc))
@@ -293,97 +305,110 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _windows(table: pa.Table, key: str, n: np.ndarray):
-    """The strings of a table's rows (bytes, n window starts): data, offsets, keys, row numbers and window numbers in a row."""
-    chunks = [c for c in table.column("bytes").chunks if len(c)]
-    data = np.frombuffer(b"".join(v for c in chunks for v in c.to_pylist()), np.uint8)
-    begins = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
-    row = np.repeat(np.arange(len(n)), n)
-    t = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    return data, begins[row] + t, _column(table, key)[row], row, t
-
-
-def _class_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """key, many, bytes and place of each class's first occurrence."""
-    per_doc = stash(classes.groupBy(*ROW).agg(F.collect_list(F.struct("key", "many", "start", "n")).alias("cuts")), "suffix-cuts")
-    out = ["key", "many", "bytes", "doc_id", "tie", "start", "n"]
+def _segment_bytes(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """The segments with their bytes."""
+    per_doc = shared.groupBy(*ROW).agg(F.collect_list(F.struct("key", "many", "inside", "start", "n")).alias("cuts"))
+    out = ["key", "many", "inside", "bytes", "doc_id", "tie", "start", "n"]
 
     def run(batches):
-        for batch in small(batches):
+        for batch in small(batches, 1 << 20):
             texts_, cuts = batch.column("text").to_pylist(), batch.column("cuts")
             doc = np.repeat(np.arange(batch.num_rows), np.diff(cuts.offsets.to_numpy()))
-            key, many, start, n = cuts.flatten().flatten()
+            key, many, inside, start, n = cuts.flatten().flatten()
             data = [texts_[d][a:b] for d, a, b in zip(doc.tolist(), start.to_pylist(), (start.to_numpy() + n.to_numpy() + LENGTH - 1).tolist())]
             ids = [pa.array(batch.column(c).to_numpy()[doc]) for c in ROW]
-            yield pa.RecordBatch.from_arrays([key, many, pa.array(data, pa.binary()), *ids, start, n], out)
-
-    return rows.join(per_doc, ROW).mapInArrow(run, "key long, many boolean, bytes binary, doc_id long, tie long, start long, n int")
-
-
-def _sorted_ranges(cut: DataFrame) -> DataFrame:
-    """Ranges to be removed, from the classes of each key; keys are dealt over the cluster, groups are bounded."""
-
-    def run(batches):
-        for table in _whole_keys(batches, "key", lambda batch: batch.column("n").to_numpy()):
-            n = _column(table, "n").astype(np.int64)
-            data, at, keys, row, t = _windows(table, "key", n)
-            doc, tie, start = (_column(table, c)[row] for c in ("doc_id", "tie", "start"))
-            later = repeats(data, at, keys, (doc, tie, start + t))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged_ranges(doc[later], tie[later], (start + t)[later])], ["doc_id", "tie", "from", "to"])
-
-    own = cut.where("NOT many").select("key", "bytes", "doc_id", "tie", "start", "n").repartition("key").sortWithinPartitions("key")
-    return own.mapInArrow(run, "doc_id long, tie long, `from` long, `to` long")
-
-
-def _window_ranges(cut: DataFrame, parts: int) -> DataFrame:
-    """The same for keys of very many classes: each window under a finer key, sorted in crews, then the first ones of the crews."""
+            yield pa.RecordBatch.from_arrays([key, many, inside, pa.array(data, pa.binary()), *ids, start, n], out)
+
+    return rows.join(per_doc, ROW).mapInArrow(run, "key long, many boolean, inside boolean, bytes binary, doc_id long, tie long, start long, n int")
+
+
+PARTS = "doc_id long, tie long, `from` long, `to` long, key long, bytes binary"  # bytes: of what is not settled yet
+
+
+def _settled(table: pa.Table):
+    """Ranges to be removed from whole keys, and the segments of crews that are still to be held against those of other crews."""
+    n = _column(table, "n").astype(np.int64)
+    data, begins = _laid_out(table, n)
+    key, many = _column(table, "group"), _column(table, "many")
+    doc, tie, start = place = tuple(_column(table, c) for c in ("doc_id", "tie", "start"))
+    same = equal_segments(data, begins, n, key)
+    first = firsts(same, place)
+    found = [(doc[~first], tie[~first], start[~first], (start + n)[~first] + LENGTH - 1)]
+    # Windows of different segments of a key, and of segments that repeat inside.
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    kinds, inside = np.add.reduceat(first.astype(np.int64), edges[:-1]), np.logical_or.reduceat(_column(table, "inside"), edges[:-1])
+    several = np.repeat((kinds > 1) | inside, np.diff(edges))
+    rows = np.flatnonzero(first & ~many & several)
+    runs = np.flatnonzero(np.concatenate([[True], key[rows][1:] != key[rows][:-1]])) if len(rows) else rows
+    before = (np.cumsum(n[rows]) - n[rows])[runs] // TOGETHER
+    starts = [0, *runs[1:][before[1:] != before[:-1]].tolist(), len(rows)]
+    for a, b in zip(starts, starts[1:]):
+        part = rows[a:b]
+        row = np.repeat(part, n[part])
+        t = np.arange(len(row)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
+        later = repeats(data, begins[row] + t, key[row], (doc[row], tie[row], start[row] + t))
+        found.append(merged_ranges(doc[row][later], tie[row][later], (start[row] + t)[later]))
+    yield pa.RecordBatch.from_arrays(
+        [*(pa.array(np.concatenate(c)) for c in zip(*found)), *(pa.nulls(sum(len(f[0]) for f in found), k) for k in (pa.int64(), pa.binary()))], ["doc_id", "tie", "from", "to", "key", "bytes"]
+    )
+    rest = table.filter(pa.array(first & many)).select(["doc_id", "tie", "start", "n", "key", "bytes"])
+    end = pa.array(_column(rest, "start") + _column(rest, "n") + LENGTH - 1)
+    yield from rest.set_column(3, "to", end).rename_columns(["doc_id", "tie", "from", "to", "key", "bytes"]).to_batches()
+
+
+def _laid_out(table: pa.Table, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows end to end, and where each row's begin."""
+    data = np.frombuffer(b"".join(v for c in table.column("bytes").chunks for v in c.to_pylist()), np.uint8)
+    return data, np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
+
+
+def _window_ranges(rest: DataFrame, parts: int) -> DataFrame:
+    """Of keys of very many segments: each window under a finer key, sorted in crews, then the first ones of the crews."""
+    names = ["fine", "bytes", "doc_id", "tie", "start"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "fine long, bytes binary, doc_id long, tie long, start long"
 
     def windows(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                rows = []
-                columns = (batch.column(c).slice(i, 1000).to_pylist() for c in ("key", "bytes", "doc_id", "tie", "start", "n"))
-                for key, data, doc, tie, start, n in zip(*columns):
-                    for t in range(n):
-                        w = data[t : t + LENGTH]
-                        outer = hashlib.blake2b(key.to_bytes(8, "little", signed=True) + w[:OUTER] + w[-OUTER:], digest_size=8).digest()
-                        rows.append((int.from_bytes(outer, "little", signed=True), w, doc, tie, start + t))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], names)
+        for batch in small(batches, 1 << 17):
+            rows = []
+            for key, data, doc, tie, start in zip(*(batch.column(c).to_pylist() for c in ("key", "bytes", "doc_id", "tie", "from"))):
+                for t in range(len(data) - LENGTH + 1):
+                    w = data[t : t + LENGTH]
+                    outer = hashlib.blake2b(key.to_bytes(8, "little", signed=True) + w[:OUTER] + w[-OUTER:], digest_size=8).digest()
+                    rows.append((int.from_bytes(outer, "little", signed=True), w, doc, tie, start + t))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], names)
 
     def sort(batches):
         for table in _whole_keys(batches, "group", lambda batch: np.ones(batch.num_rows, np.int64)):
-            data, at, keys, _, _ = _windows(table, "group", np.ones(table.num_rows, np.int64))
-            later = repeats(data, at, keys, tuple(_column(table, c) for c in ("doc_id", "tie", "start")))
-            table = table.append_column("later", pa.array(later))
-            yield from table.select([*names, "later"]).to_batches()
-
-    names = ["fine", "bytes", "doc_id", "tie", "start"]
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    schema = "fine long, bytes binary, doc_id long, tie long, start long"
+            data, at = _laid_out(table, np.ones(table.num_rows, np.int64))
+            later = repeats(data, at, _column(table, "group"), tuple(_column(table, c) for c in ("doc_id", "tie", "start")))
+            yield from table.append_column("later", pa.array(later)).select([*names, "later"]).to_batches()
 
     def turn(rows: DataFrame, *salt: Column) -> DataFrame:
         grouped = rows.withColumn("group", F.xxhash64("fine", *salt)).repartition("group").sortWithinPartitions("group")
         return stash(grouped.mapInArrow(sort, f"{schema}, later boolean"), "suffix-windows")
 
-    crew = turn(cut.where("many").mapInArrow(windows, schema), F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
+    crew = turn(rest.mapInArrow(windows, schema), F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
     last = turn(crew.where("NOT later").drop("later"))
     return crew.union(last).where("later").selectExpr("doc_id", "tie", "start AS `from`", f"start + {LENGTH} AS `to`")
 
 
 def ranges(rows: DataFrame) -> DataFrame:
     """doc_id, tie, from, to: all ranges to be removed, not yet merged."""
-    keys = _key_rows(rows).groupBy("key").agg(F.count("*").alias("times"), F.max("inside").alias("in_any")).where("times > 1 OR in_any")
-    shared = stash(_segment_rows(rows).join(keys.select("key"), "key"), "suffix-segments")
-    place, same = F.struct("doc_id", "tie", "start"), ["key", "d1", "d2", "n"]
-    classes = shared.groupBy(*same).agg(F.min(place).alias("first"), F.count("*").alias("times"), F.max("inside").alias("inside"))
-    classes = stash(classes, "suffix-classes")
-    copies = shared.join(classes.where("times > 1").select(*same, "first"), same).where(place != F.col("first"))
-    whole = copies.selectExpr("doc_id", "tie", "start AS `from`", f"start + n + {LENGTH - 1} AS `to`")
-    several = classes.groupBy("key").agg(F.count("*").alias("kinds"), F.max("inside").alias("in_any")).where("kinds > 1 OR in_any")
-    todo = classes.join(several, "key").select("key", (F.col("kinds") > MANY).alias("many"), "first.*", "n")
-    cut = stash(_class_bytes(rows, todo), "suffix-bytes")
-    found = whole.unionByName(_sorted_ranges(cut))
-    return found if cut.where("many").isEmpty() else found.unionByName(_window_ranges(cut, crews(rows.sparkSession)))
+    keys = _key_rows(rows).groupBy("key").agg(F.count("*").alias("times"), F.max("inside").alias("inside")).where("times > 1 OR inside")
+    shared = _segment_rows(rows).join(keys.select("key", "inside", (F.col("times") > MANY).alias("many")), "key")
+    cut = _segment_bytes(rows, stash(shared, "suffix-segments"))
+    parts = crews(rows.sparkSession)
+    crew = F.when(F.col("many"), F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
+    grouped = cut.withColumn("group", F.xxhash64("key", crew)).repartition("group").sortWithinPartitions("group", "key")
+
+    def sort(batches):
+        for table in _whole_keys(batches, "group", lambda batch: batch.column("n").to_numpy() // 8 + 1):
+            yield from _settled(table)
+
+    found = stash(grouped.mapInArrow(sort, PARTS), "suffix-sorted")
+    rest, done = found.where("bytes IS NOT NULL"), found.where("bytes IS NULL").select("doc_id", "tie", "from", "to")
+    return done if rest.isEmpty() else done.unionByName(_window_ranges(rest, parts))
 
 
 def merge(spans: list) -> list[tuple[int, int]]:
