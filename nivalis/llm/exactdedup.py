@@ -1,11 +1,13 @@
 """Exact de-duplication by a tree-merge of sorted digest runs.
 
-Each input partition gives one run: its digests in order, every digest once,
-with the smallest identifier and a count. In each round the runs of `fan_in`
-neighbouring partitions (a power of two, so a binomial tree is folded a few
-levels at a time) exchange rows by digest and are merged in digest order; each
-merge keeps the smallest identifier. A text that fills a third of all rows
-thus arrives at any task as at most `fan_in` rows. Two rows only count as
+Each input partition is one run: every digest once, with the smallest identifier and a
+count. In each round the runs of `fan_in` neighbouring partitions (a power of two,
+so a binomial tree is folded a few levels at a time) exchange rows by digest
+and become one run. Spark's sort-based aggregation does the merging: it brings
+what a task gets into digest order (spilling if it must) and keeps the smallest identifier
+of equal digests in one pass; a round's result is written to the shared folder, so a
+lost executor costs its share of that round only. A text that fills a third of all
+rows thus arrives at any task as at most `fan_in` rows. Two rows only count as
 copies if SHA-256, length and an independent 64-bit hash all agree; this
 verification is part of the merge key at every level. The decisions then walk
 down the tree again, so that no join key is hot either.
@@ -55,12 +57,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = digests(docs, id_col, text_col).select(
         "*", F.spark_partition_id().cast("long").alias("run"), F.monotonically_increasing_id().alias("row")
     )
-    slim = stash(slim.sortWithinPartitions(*KEY), "digest-runs")
+    slim = stash(slim, "digest-runs")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    levels = [merge_round(slim.select(*KEY, "run", first.alias("first"), F.lit(1).cast("long").alias("n")), fan_in)]
+    levels = [stash(merge_round(slim.select(*KEY, "run", first.alias("first"), F.lit(1).cast("long").alias("n")), fan_in), "digest-level")]
     runs = (slim.agg(F.max("run")).first()[0] or 0) // fan_in + 1
     while runs > 1:
-        levels.append(merge_round(levels[-1], fan_in))
+        levels.append(stash(merge_round(levels[-1], fan_in), "digest-level"))
         runs = -(-runs // fan_in)
     # Back down: only digests with copies, first to the lowest level's runs, then to the rows.
     copies = levels[-1].where("n > 1").select(*KEY, "first", F.col("n").alias("group_size"))
