@@ -58,8 +58,8 @@ def angle_weight(along: Column, cross: Column) -> Column:
 
 
 def observation_weight(flags: dict[str, Column], others: list[Column], tables=WEIGHTS) -> Column:
-    """The least of the flags' weights and the other ones; 0 counts as 1."""
-    looked_up = [F.element_at(F.array(*map(F.lit, tables[name])), value.cast("int") + 1) for name, value in flags.items()]
+    """The least of the flags' weights and the other ones; 0 counts as 1. Flag values without a weight do not count."""
+    looked_up = [F.try_element_at(F.array(*map(F.lit, tables[name])), value.cast("int") + 1) for name, value in flags.items()]
     least = F.least(*looked_up, *others)
     return F.when(least == 0, 1).otherwise(least).cast("int")
 

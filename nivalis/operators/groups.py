@@ -98,12 +98,17 @@ def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, co
     asked = present.groupBy(*day).agg(F.sort_array(F.collect_set("from_band")).alias("have")).withColumn("band", F.explode(bands))
     up = F.array_min(F.filter("have", lambda b: b >= F.col("band")))
     asked = asked.select(*day, "band", F.coalesce(up, F.array_max("have")).alias("from_band"))
-    out = own.join(asked, [*day, "band"], "left")
-    found = None
+    # The finest cell tells all coarser ones, so the pyramid is settled for cells; pixels are joined once.
+    fine = LEVELS[0]
+    side = F.sequence(F.lit(0), F.lit(fine - 1))
+    table = present.select(*day, "from_band", F.explode(side).alias("_cr")).withColumn("_cc", F.explode(side))
     for level, n in enumerate(LEVELS):
-        here = medians.where(F.col("c.level") == level).select(*day, "from_band", F.col("c.cr").alias("_cr"), F.col("c.cc").alias("_cc"), F.col("median").alias(f"_m{level}"))
-        out = out.withColumns({"_cr": F.expr(f"row * {n} div {rows}"), "_cc": F.expr(f"col * {n} div {cols}")}).join(here, [*day, "from_band", "_cr", "_cc"], "left")
-        found = F.col(f"_m{level}") if found is None else F.coalesce(found, F.col(f"_m{level}"))
-    filled = F.when(F.col("_target"), found).otherwise(F.col(value))
-    drop = ["band", "from_band", "_cr", "_cc", "_target", *[f"_m{i}" for i in range(len(LEVELS))]]
-    return out.withColumn(f"{value}_spatial", filled).drop(*drop)
+        here = medians.where(F.col("c.level") == level).select(*day, "from_band", F.col("c.cr").alias("_r"), F.col("c.cc").alias("_c"), F.col("median").alias(f"_m{level}"))
+        coarse = table.withColumns({"_r": F.expr(f"_cr div {fine // n}"), "_c": F.expr(f"_cc div {fine // n}")})
+        table = coarse.join(here, [*day, "from_band", "_r", "_c"], "left").drop("_r", "_c")
+    around = F.coalesce(*[F.col(f"_m{level}") for level in range(len(LEVELS))])
+    table = asked.join(table.select(*day, "from_band", "_cr", "_cc", around.alias("_around")), [*day, "from_band"]).drop("from_band")
+    out = own.withColumns({"_cr": F.expr(f"row * {fine} div {rows}"), "_cc": F.expr(f"col * {fine} div {cols}")})
+    out = out.join(table, [*day, "band", "_cr", "_cc"], "left")
+    filled = F.when(F.col("_target"), F.col("_around")).otherwise(F.col(value))
+    return out.withColumn(f"{value}_spatial", filled).drop("band", "_cr", "_cc", "_target", "_around")

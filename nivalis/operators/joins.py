@@ -23,15 +23,18 @@ def resample_join(fine: DataFrame, coarse: DataFrame, value: str, factor: int =
     if method == "nearest":
         at = fine.withColumns({"c_row": F.expr(f"row div {factor}"), "c_col": F.expr(f"col div {factor}")})
         return at.join(own, [*on, "c_row", "c_col"], "left").drop("c_row", "c_col")
-    place = {c: (F.col(c) + 0.5) / factor - 0.5 for c in ("row", "col")}
-    corners = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
-    at = fine.withColumns({"_r": place["row"], "_c": place["col"]}).withColumn("_k", F.explode(corners))
-    at = at.withColumns({"c_row": (F.floor("_r") + F.col("_k.i")).cast("int"), "c_col": (F.floor("_c") + F.col("_k.j")).cast("int")})
-    near = at.join(own, [*on, "c_row", "c_col"], "left")
-    weight = (1 - F.abs(F.col("_r") - F.col("c_row"))) * (1 - F.abs(F.col("_c") - F.col("c_col")))
-    seen = F.when(F.col(value).isNotNull(), weight)
-    mean = F.sum(seen * F.col(value)) / F.nullif(F.sum(seen), F.lit(0.0))
-    return near.groupBy(*fine.columns).agg(mean.alias(value))
+    # A row for each corner between four cells holds all four values, so the fine grid is joined once.
+    sides = [(i, j) for i in (0, 1) for j in (0, 1)]
+    spread = own.withColumn("_k", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in sides])))
+    spread = spread.groupBy(*on, (F.col("c_row") - F.col("_k.i")).alias("c_row"), (F.col("c_col") - F.col("_k.j")).alias("c_col"))
+    corners = spread.agg(*[F.max(F.when((F.col("_k.i") == i) & (F.col("_k.j") == j), F.col(value))).alias(f"_v{i}{j}") for i, j in sides])
+    at = fine.withColumns({f"_{c}": (F.col(c) + 0.5) / factor - 0.5 for c in ("row", "col")})
+    at = at.withColumns({f"c_{c}": F.floor(f"_{c}").cast("int") for c in ("row", "col")}).join(corners, [*on, "c_row", "c_col"], "left")
+    share = {c: F.col(f"_{c}") - F.col(f"c_{c}") for c in ("row", "col")}
+    weight = {(i, j): (share["row"] if i else 1 - share["row"]) * (share["col"] if j else 1 - share["col"]) for i, j in sides}
+    total = lambda of: sum((F.coalesce(of(k, F.col(f"_v{k[0]}{k[1]}")), F.lit(0.0)) for k in sides), F.lit(0.0))
+    mean = total(lambda k, v: weight[k] * v) / F.nullif(total(lambda k, v: F.when(v.isNotNull(), weight[k])), F.lit(0.0))
+    return at.select(*fine.columns, mean.alias(value))
 
 
 def coarsen(fine: DataFrame, value: str, factor: int = 2, on=("tile", "obs_date")) -> DataFrame:
@@ -49,6 +52,12 @@ def region_tiles(pixels: DataFrame, links: DataFrame) -> DataFrame:
     return pixels.select("tile").distinct().join(links.where("is_active = 1"), "tile")
 
 
+def version_for_tile(pixels: DataFrame, versions: DataFrame, label: str, output_version: str) -> DataFrame:
+    """Tiles with the version of their input for an output version and data label; tiles that are not configured drop."""
+    chosen = versions.where((F.col("data_label") == label) & (F.col("output_version") == output_version))
+    return pixels.select("tile").distinct().join(chosen.select("tile", "output_version", "input_version").distinct(), "tile")
+
+
 def with_subdivision(px: DataFrame, mask: DataFrame, types: list[str] | None = None) -> DataFrame:
     """Each pixel-day once for every subdivision the pixel is in."""
     chosen = mask.where(F.col("type").isin(types)) if types else mask

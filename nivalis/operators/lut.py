@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 MOST_VALUES = 20_000_000
 
 
+def shared_table(spark, axes: list[np.ndarray], values: np.ndarray):
+    """A broadcast of a table whose size has been checked."""
+    if values.size > MOST_VALUES:
+        raise ValueError(f"a look-up table of {values.size} values is not broadcast")
+    return spark.sparkContext.broadcast((axes, values))
+
+
 def lut_arrays(lut: DataFrame, axes: list[str], value: str) -> tuple[list[np.ndarray], np.ndarray]:
     """Axes and values of a long table that has a row for each combination; its size is checked before it is collected."""
     n = lut.count()
@@ -46,7 +53,7 @@ def interpolate(axes: list[np.ndarray], values: np.ndarray, points: np.ndarray)
 
 def lut_interpolate(df: DataFrame, axes: list[np.ndarray], values: np.ndarray, inputs: list, out: str) -> DataFrame:
     """Adds the interpolated value; null where an input is null or outside the table."""
-    shared = df.sparkSession.sparkContext.broadcast((axes, values))
+    shared = shared_table(df.sparkSession, axes, values)
 
     @F.pandas_udf("double")
     def look_up(columns: pd.DataFrame) -> pd.Series:

@@ -105,16 +105,44 @@ def cloud_margin(px: DataFrame, cloud: str, day: list[str], block: int = BLOCK)
     return over_blocks(own, day, 7, [cloud, "band_a", "band_b"], work, {"is_margin": "boolean"}, block)
 
 
-def idw_fill(px: DataFrame, value: str, target: str, day: list[str], decimals: int = 6) -> DataFrame:
+def inverse_distance_means(value: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """At every place of a raster the mean of the valid values, weighted by 1 / distance (a place itself does not count); nan without any.
+
+    Both sums are convolutions with the weights, so the work grows as n log n with the raster's size.
+    """
+    n, m = value.shape
+    size = (2 * n, 2 * m)
+    i, j = np.minimum(np.arange(2 * n), 2 * n - np.arange(2 * n)), np.minimum(np.arange(2 * m), 2 * m - np.arange(2 * m))
+    with np.errstate(divide="ignore"):
+        weights = 1 / np.hypot(i[:, None], j[None, :])
+    weights[0, 0] = 0
+    weights = np.fft.rfft2(weights)
+    middle = value[valid].mean() if valid.any() else 0.0  # keeps what rounding can add small
+    sums = [np.fft.irfft2(np.fft.rfft2(x, size) * weights, size)[:n, :m] for x in (np.where(valid, value - middle, 0.0), valid.astype(float))]
+    return middle + sums[0] / np.where(sums[1] > 1e-9, sums[1], np.nan)
+
+
+def idw_fill(px: DataFrame, value: str, target: str, day: list[str]) -> DataFrame:
     """day, row, col and `<value>_idw` for target pixels: the mean of all valid pixels of the tile-day, weighted by 1 / distance.
 
-    Valid pixels with equal values and places are few once spectra are grouped; sources are joined by
-    tile-day, targets stay where they are.
+    A group is one raster of a tile-day, whose size is fixed; only targets and valid pixels go there. Targets of a
+    tile-day without valid pixels are left out.
     """
-    sources = px.where(F.col(value).isNotNull() & ~F.col(target)).select(*day, F.col("row").alias("s_row"), F.col("col").alias("s_col"), F.col(value).alias("s"))
-    pairs = px.where(F.col(target)).select(*day, "row", "col").join(sources, day)
-    w = 1 / F.sqrt((F.pow(F.col("row") - F.col("s_row"), F.lit(2)) + F.pow(F.col("col") - F.col("s_col"), F.lit(2))))
-    return pairs.groupBy(*day, "row", "col").agg((F.sum(w * F.col("s")) / F.sum(w)).alias(f"{value}_idw"))
+    kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, c = pdf.row.to_numpy() - int(pdf.row.min()), pdf.col.to_numpy() - int(pdf.col.min())
+        wanted, given = pdf[target].to_numpy(bool), pdf[value].to_numpy(dtype=float, na_value=np.nan)
+        a, valid = np.zeros((int(r.max()) + 1, int(c.max()) + 1)), np.zeros((int(r.max()) + 1, int(c.max()) + 1), bool)
+        a[r[~wanted], c[~wanted]], valid[r[~wanted], c[~wanted]] = given[~wanted], True
+        out = pdf.loc[wanted, [*day, "row", "col"]].copy()
+        out[f"{value}_idw"] = inverse_distance_means(a, valid)[r[wanted], c[wanted]]
+        return out.dropna(subset=[f"{value}_idw"])
+
+    own = px.select(*day, "row", "col", F.col(value).cast("double").alias(value), F.coalesce(F.col(target), F.lit(False)).alias(target))
+    own = own.where(F.col(target) | F.col(value).isNotNull())
+    schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), f"row {kinds['row']}", f"col {kinds['col']}", f"{value}_idw double"])
+    return own.groupBy(*day).applyInPandas(run, schema)
 
 
 #: Steps of conjugate gradients on any raster; ten for each cell come on top. In exact arithmetic one for each hole is enough.
@@ -122,8 +150,8 @@ MOST_STEPS = 1000
 
 
 def springs(a: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
-    """Fills nans by springs between neighbours (nodes with slack zero; each hole is the mean of its 8 neighbours, diagonal ones weaker)."""
-    return _solved(a, [(i, j, 1 / np.hypot(i, j)) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j], tolerance)
+    """Fills nans by springs between horizontal and vertical neighbours: each hole is the mean of its neighbours, of which the rim has fewer."""
+    return _solved(a, [(-1, 0, 1.0), (1, 0, 1.0), (0, -1, 1.0), (0, 1, 1.0)], tolerance)
 
 
 def plate(a: np.ndarray, tolerance: float = 1e-6) -> np.ndarray:

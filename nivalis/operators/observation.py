@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.flags import STATUS
@@ -42,9 +42,11 @@ def observation_status(df: DataFrame, snow: str, low_snow: int = 10, most_zenith
     return df.withColumns({c: F.when(~F.col("_wrong"), F.col(c)) for c in others}).drop("_wrong") if others else df.drop("_wrong")
 
 
-def zero_zenith_anomaly(px: DataFrame, limit: float, status: Column | None = None) -> DataFrame:
+def zero_zenith_anomaly(px: DataFrame, limit: float, status: str | None = None) -> DataFrame:
     """Adds is_anomalous: per tile and month, zeniths of 0 if the next distinct one is at least `limit` away or there is none.
 
+    With the name of a status column, that is set to "unknown solar zenith" there, if it says observed, temporary or unavailable.
+
     Two smallest distinct values by a partial aggregation; the result, a row per tile and month, is joined back.
     """
     own = px.withColumn("_month", F.trunc("obs_date", "month"))
@@ -53,4 +55,7 @@ def zero_zenith_anomaly(px: DataFrame, limit: float, status: Column | None = Non
     )
     bad = least.where((F.col("low") == 0) & (F.col("next").isNull() | (F.col("next") >= limit))).select("tile", "_month", F.lit(True).alias("_bad"))
     out = own.join(bad, ["tile", "_month"], "left").withColumn("is_anomalous", F.col("_bad").isNotNull() & F.coalesce(F.col("solar_zenith") == 0, F.lit(False)))
+    if status:
+        may = F.col("is_anomalous") & F.col(status).isin([STATUS[k] for k in ("observed", "temporary", "unavailable")])
+        out = out.withColumn(status, F.when(may, STATUS["unknown_solar_zenith"]).otherwise(F.col(status)))
     return out.drop("_month", "_bad")

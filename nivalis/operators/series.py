@@ -1,7 +1,8 @@
 """The time series of each pixel: run lengths, persistence, filling, smoothing by medians.
 
 All frames count rows, so the table must have one row per pixel and day: densify()
-first. Every operator uses the same window (pixel, by date): Spark sorts once.
+first. Every operator uses the same window (pixel, by date) and, where it looks forward, its
+reverse: one shuffle, a sort for each direction.
 """
 
 from __future__ import annotations
@@ -31,18 +32,15 @@ def densify(px: DataFrame, first: Column, last: Column, keys=PIXEL, date: str =
     return days.join(px, [*keys, date], "left")
 
 
-def _island(changes: Column, w) -> Column:
-    return F.sum(changes.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))
-
-
 def unobserved_runs(px: DataFrame, observed: Column, keys=PIXEL) -> DataFrame:
     """Adds days_since_last_observation (place in the run of unobserved days) and days_without_observation (its length); 0 on observed days."""
-    w = by_day(keys)
-    px = px.withColumn("_seen", observed).withColumn("_run", _island(F.col("_seen"), w))
-    run = W.partitionBy(*keys, "_run", "_seen")
-    since = F.when(F.col("_seen"), 0).otherwise(F.row_number().over(run.orderBy("obs_date")))
-    length = F.when(F.col("_seen"), 0).otherwise(F.count(F.lit(1)).over(run))
-    return px.withColumns({"days_since_last_observation": since.cast("int"), "days_without_observation": length.cast("int")}).drop("_seen", "_run")
+    back, ahead = by_day(keys), W.partitionBy(*keys).orderBy(F.desc("obs_date"))
+    since = lambda w: F.row_number().over(w) - F.coalesce(F.max("_at").over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(0))
+    px = px.withColumn("_seen", F.coalesce(observed, F.lit(False)))
+    px = px.withColumn("_at", F.when(F.col("_seen"), F.row_number().over(back))).withColumn("_since", since(back))
+    px = px.withColumn("_at", F.when(F.col("_seen"), F.row_number().over(ahead))).withColumn("_until", since(ahead))
+    length = F.when(F.col("_seen"), 0).otherwise(F.col("_since") + F.col("_until") - 1)
+    return px.withColumns({"days_since_last_observation": F.col("_since").cast("int"), "days_without_observation": length.cast("int")}).drop("_seen", "_at", "_since", "_until")
 
 
 def stretches(px: DataFrame, snow: Column, keys=PIXEL) -> DataFrame:
@@ -52,13 +50,21 @@ def stretches(px: DataFrame, snow: Column, keys=PIXEL) -> DataFrame:
     data neither break a stretch nor count, and every day of a stretch gets its total. On days
     of the other kind the count is 0.
     """
-    w = by_day(keys)
-    px = px.withColumns({"_zero": snow == 0, "_snow": snow > 0})
-    zero, some = (F.coalesce(F.col(c), F.lit(False)) for c in ("_zero", "_snow"))
-    px = px.withColumns({"_a": _island(zero, w), "_b": _island(some, w)})
-    snowy = F.when(zero, 0).otherwise(F.count(F.when(some, 1)).over(W.partitionBy(*keys, "_a")))
-    absent = F.when(some, 0).otherwise(F.count(F.when(zero, 1)).over(W.partitionBy(*keys, "_b")))
-    return px.withColumns({"days_with_snow": snowy.cast("int"), "days_with_absent_snow": absent.cast("int")}).drop("_zero", "_snow", "_a", "_b")
+    so_far = by_day(keys).rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy(*keys).orderBy(F.desc("obs_date")).rowsBetween(W.unboundedPreceding, 0)
+    px = px.withColumns({"_zero": F.coalesce(snow == 0, F.lit(False)), "_snow": F.coalesce(snow > 0, F.lit(False))})
+    zero, some = F.col("_zero"), F.col("_snow")
+    # A stretch's total is the difference of the running counts at the days that end it.
+    px = px.withColumns({"_ns": F.count(F.when(some, 1)).over(so_far), "_nz": F.count(F.when(zero, 1)).over(so_far)})
+    px = px.withColumns({"_s0": F.last(F.when(zero, F.col("_ns")), True).over(so_far), "_z0": F.last(F.when(some, F.col("_nz")), True).over(so_far)})
+    px = px.withColumns({
+        "_s1": F.coalesce(F.last(F.when(zero, F.col("_ns")), True).over(ahead), F.first("_ns").over(ahead)),
+        "_z1": F.coalesce(F.last(F.when(some, F.col("_nz")), True).over(ahead), F.first("_nz").over(ahead)),
+    })
+    snowy = F.when(zero, 0).otherwise(F.col("_s1") - F.coalesce("_s0", F.lit(0)))
+    absent = F.when(some, 0).otherwise(F.col("_z1") - F.coalesce("_z0", F.lit(0)))
+    px = px.withColumns({"days_with_snow": snowy.cast("int"), "days_with_absent_snow": absent.cast("int")})
+    return px.drop("_zero", "_snow", "_ns", "_nz", "_s0", "_z0", "_s1", "_z1")
 
 
 def rare_observations(px: DataFrame, snow: str, least_snow: int = 3, least_absent: int = 3, keys=PIXEL) -> DataFrame:
@@ -92,35 +98,24 @@ def interpolate_linear(px: DataFrame, column: str, ends: str = "extrapolate", ke
 
     A pixel with one value has that value everywhere, one without any stays null.
     """
-    w = by_day(keys)
-    at = F.when(F.col(column).isNotNull(), F.struct(F.unix_date("obs_date").alias("d"), F.col(column).cast("double").alias("v")))
     # Looking forward is looking back in the reversed order: a frame up to the last row would be evaluated anew for every row.
-    before = w.rowsBetween(W.unboundedPreceding, 0)
-    after = W.partitionBy(*keys).orderBy(F.desc("obs_date")).rowsBetween(W.unboundedPreceding, 0)
-    px = px.withColumns({"_p": F.last(at, True).over(before), "_n": F.last(at, True).over(after)})
-    if ends == "extrapolate":
-        ranks = px.withColumns({"_up": F.count(column).over(before), "_down": F.count(column).over(after)})
-        own = F.when(F.col(column).isNotNull(), F.struct(F.unix_date("obs_date").alias("d"), F.col(column).cast("double").alias("v")))
-        whole = by_pixel(keys)
-        pick = lambda c, k: F.max(F.when((F.col(c) == k) & F.col(column).isNotNull(), own)).over(whole)
-        px = ranks.withColumns({"_f1": pick("_up", 1), "_f2": pick("_up", 2), "_l1": pick("_down", 2), "_l2": pick("_down", 1)})
-        px = px.withColumns({
-            "_p": F.coalesce("_p", F.when(F.col("_f2").isNotNull(), F.col("_f1"))),
-            "_n": F.coalesce("_n", F.when(F.col("_l1").isNotNull(), F.col("_l2"))),
-        })
-        lead = F.unix_date("obs_date") < F.col("_f1.d")
-        tail = F.unix_date("obs_date") > F.col("_l2.d")
-        px = px.withColumns({
-            "_a": F.when(lead & F.col("_f2").isNotNull(), F.col("_f1")).when(tail & F.col("_l1").isNotNull(), F.col("_l1")).otherwise(F.col("_p")),
-            "_b": F.when(lead & F.col("_f2").isNotNull(), F.col("_f2")).when(tail & F.col("_l1").isNotNull(), F.col("_l2")).otherwise(F.col("_n")),
-        })
-    else:
-        px = px.withColumns({"_a": F.col("_p"), "_b": F.col("_n")})
+    back, ahead = by_day(keys), W.partitionBy(*keys).orderBy(F.desc("obs_date"))
+    known = F.col(column).isNotNull()
+    at = F.when(known, F.struct(F.unix_date("obs_date").alias("d"), F.col(column).cast("double").alias("v")))
+    for w, one, two in ((back, "_p", "_pp"), (ahead, "_n", "_nn")):
+        # The last known value and the one known before it.
+        px = px.withColumn(two, F.last(at, True).over(w.rowsBetween(W.unboundedPreceding, -1)))
+        px = px.withColumn(one, F.last(F.when(known, F.struct(at.alias("at"), F.col(two).alias("next"))), True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    p, n = F.col("_p.at"), F.col("_n.at")
+    outer = lambda side: F.col(f"{side}.next") if ends == "extrapolate" else F.lit(None).cast("struct<d:int,v:double>")
+    px = px.withColumns({
+        "_a": F.when(F.col("_p").isNull(), n).when(F.col("_n").isNull() & outer("_p").isNotNull(), outer("_p")).otherwise(p),
+        "_b": F.when(F.col("_p").isNull(), outer("_n")).when(F.col("_n").isNull(), p).otherwise(n),
+    })
     d = F.unix_date("obs_date")
     slope = (F.col("_b.v") - F.col("_a.v")) / F.nullif(F.col("_b.d") - F.col("_a.d"), F.lit(0))
-    value = F.coalesce(F.col("_a.v") + slope * (d - F.col("_a.d")), F.col("_a.v"), F.col("_b.v"))
-    extra = [c for c in ("_p", "_n", "_a", "_b", "_up", "_down", "_f1", "_f2", "_l1", "_l2") if c in px.columns]
-    return px.withColumn(f"{column}_filled", value).drop(*extra)
+    value = F.coalesce(F.col("_a.v") + slope * (d - F.col("_a.d")), F.col("_a.v"))
+    return px.withColumn(f"{column}_filled", value).drop("_p", "_pp", "_n", "_nn", "_a", "_b")
 
 
 def hold_ends(value: Column, observed: Column, keys=PIXEL) -> Column:

@@ -149,3 +149,29 @@ def smoothing_spline(px: DataFrame, value: str, weight: str | None = None, p: fl
     schema = f"tile string, row {kinds['row']}, col {kinds['col']}, obs_date date, {value}_smooth double"
     slim = pixel_groups(px.select(*PIXEL, "obs_date", *columns), cols)
     return slim.groupBy("tile", "_group").applyInPandas(run, schema)
+
+
+def fix_peaks(px: DataFrame, grain: str, dust: str, weight: str, cols: int = 2400, keys=(*PIXEL, "water_year"), grain_range=(40, 1190), dust_range=(0, 950)) -> DataFrame:
+    """Adds `<grain>_fixed` and `<dust>_fixed` on all days of each season (see fix_peak), clipped to their ranges.
+
+    One row per pixel and day is needed; values outside the ranges are not used, a null weight counts as 1.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
+    seasons = [k for k in keys if k not in PIXEL]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        days = np.unique(pdf["obs_date"].to_numpy().astype("datetime64[D]"))
+        _, at, a = matrix(pdf, [grain, dust, weight], days)
+        g, d = a[grain], a[dust]
+        with np.errstate(invalid="ignore"):
+            g_ok = (g >= grain_range[0]) & (g <= grain_range[1])
+            d_ok = g_ok & (d >= dust_range[0]) & (d <= dust_range[1])
+        fixed = fix_peak(g, d, g_ok, d_ok, np.nan_to_num(a[weight], nan=1.0), least_grain=grain_range[0])
+        out = pdf[[*keys, "obs_date"]].copy()
+        for name, x, limits in zip((grain, dust), fixed, (grain_range, dust_range)):
+            out[f"{name}_fixed"] = np.clip(x, *limits)[at[0], at[1]]
+        return out
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "obs_date date", f"{grain}_fixed double", f"{dust}_fixed double"])
+    slim = pixel_groups(px.select(*keys, "obs_date", grain, dust, weight), cols)
+    return slim.groupBy("tile", "_group", *seasons).applyInPandas(run, schema)

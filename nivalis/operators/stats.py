@@ -55,8 +55,12 @@ def smoothed_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     From histograms, so a group of any size reaches a task as its distinct values only.
     """
+    return smoothed_median_of(histogram(df, keys, value), keys)
+
+
+def smoothed_median_of(h: DataFrame, keys: list[str]) -> DataFrame:
+    """The same from histograms (keys, value, n)."""
     own = W.partitionBy(*keys)
-    h = histogram(df, keys, value)
     h = h.withColumns({"total": F.sum("n").over(own), "upto": F.sum("n").over(own.orderBy("value").rowsBetween(W.unboundedPreceding, 0))})
     lower = F.min(F.when(F.col("upto") >= F.ceil(F.col("total") / 2), F.col("value"))).over(own)
     upper = F.min(F.when(F.col("upto") >= F.floor(F.col("total") / 2) + 1, F.col("value"))).over(own)

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from nivalis.operators.lut import interpolate
+from nivalis.operators.lut import interpolate, shared_table
 
 GRAIN = (30.0**0.5, 1200.0**0.5)
 DUST = (0.0, 1e-3)
@@ -77,7 +77,7 @@ def unmix(df: DataFrame, bands: list[str], ground: list[str], cos_zenith: str, a
     are percent. Spectra brighter than 100 are scaled down. The fit without ground is taken if its
     snow fraction differs by less than `near`. Nulls in a spectrum give nulls.
     """
-    shared = df.sparkSession.sparkContext.broadcast((axes, table))
+    shared = shared_table(df.sparkSession, axes, table)
     new = ["snow_fraction", "shade_fraction", "grain_size", "dust", "residual"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,32 +6,48 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.functions.bits import flags_of, get_bit, pack_masks, set_bit, unpack_bits
+from nivalis.functions.bits import flags_of, get_bit, pack_masks, set_bit, squeeze_viirs, unpack_bits
 from nivalis.functions.codec import cut_min_max
-from nivalis.functions.flags import angle_weight, bright_cloud, combine_classification, grain_dust_flags, inversion_candidates, observation_weight, zero_flags
+from nivalis.functions.flags import VIIRS_WEIGHTS, WEIGHTS, angle_weight, bright_cloud, combine_classification, grain_dust_flags, inversion_candidates, observation_weight, zero_flags
 from nivalis.functions.optics import canopy_correction, corrected_snow_fraction, pixel_size, spectral_indices
-from nivalis.operators.groups import BANDS, distinct_spectra, spectrum_bins
+from nivalis.operators.grid import cell_of_pixel
+from nivalis.operators.groups import BANDS, distinct_spectra, saltpan_flag, spatial_median_fill, spectrum_bins
 from nivalis.operators.neighbourhood import cloud_margin
 from nivalis.operators.unmix import unmix
 
 DAY = ["tile", "obs_date"]
+SOLVED = ["snow_fraction", "shade_fraction", "grain_size", "dust", "residual"]
 
 
-def ingest_job(px: DataFrame, static: DataFrame, block: int = 200) -> DataFrame:
-    """Adds nodata_filter, zero_filter, weight, sensor_mask and ndsi. Needs bands, zeniths, state_1km, class; narrow but for the cloud margin and the static join."""
+def ingest_job(px: DataFrame, static: DataFrame, block: int = 200, viirs: bool = False, coarse: DataFrame | None = None, background: DataFrame | None = None) -> DataFrame:
+    """Adds nodata_filter, zero_filter, weight, sensor_mask and ndsi.
+
+    Needs bands, zeniths, state_1km and class; for VIIRS qf1, qf2 and qf7 instead of the last two (there is no
+    classifier, so bits 2 and 1 stay off and the margin is that of bright clouds). With `coarse`, a grid of half the
+    resolution, its columns beyond tile, day, row and col are joined first; with `background`, pixels without one get
+    bit 3. Narrow but for these joins, the cloud margin and the static join.
+    """
+    if coarse is not None:
+        near = coarse.withColumnsRenamed({"row": "_row", "col": "_col"})
+        px = px.withColumns({"_row": F.expr("row div 2"), "_col": F.expr("col div 2")}).join(near, [*DAY, "_row", "_col"], "left").drop("_row", "_col")
     px = px.join(static.select("tile", "row", "col", "elevation", "is_water"), ["tile", "row", "col"], "left")
     cuts = {b: cut_min_max(F.col(b), 0, 100) for b in BANDS}
     px = px.withColumn("sensor_mask", pack_masks([m for _, m in cuts.values()]))
     px = px.withColumns({b: v for b, (v, _) in cuts.items()})
-    state = {c: unpack_bits(F.col("state_1km"))[i] for i, c in enumerate(("cloud", "cloudshadow", "landwater", "aerosol", "cirrus", "saltpan"))}
+    flags = squeeze_viirs(F.col("qf1"), F.col("qf2"), F.col("qf7")) if viirs else F.col("state_1km")
+    state = {c: unpack_bits(flags)[i] for i, c in enumerate(("cloud", "cloudshadow", "landwater", "aerosol", "cirrus", "saltpan"))}
     px = px.withColumn("ndsi", spectral_indices([F.col(b) for b in BANDS])["ndsi"])
     nodata = F.when(F.coalesce(F.col("sensor_mask"), F.lit(1)) != 0, 1).otherwise(0)
     zero = flags_of({k: v for k, v in zero_flags(F.col("ndsi"), F.col("elevation"), F.col("is_water"), F.lit(None), F.lit(None)).items() if k in (2, 5, 6)})
-    nodata, zero = combine_classification(F.col("class"), state["cloud"], state["saltpan"], nodata, zero)
+    if not viirs:
+        nodata, zero = combine_classification(F.col("class"), state["cloud"], state["saltpan"], nodata, zero)
+    if background is not None:
+        px = px.join(background.select("tile", "row", "col", F.lit(True).alias("_ground")).distinct(), ["tile", "row", "col"], "left")
+        nodata = set_bit(nodata, 3, F.col("_ground").isNull())
     nodata = set_bit(nodata, 5, bright_cloud([F.col(b) for b in BANDS[:6]]))
     others = [angle_weight(*pixel_size(F.col("sensor_zenith"))), F.greatest(F.lit(1), F.round(F.cos(F.radians("solar_zenith")) * 100)).cast("int")]
-    weight = observation_weight({k: v for k, v in state.items() if k != "saltpan"}, others)
-    px = px.withColumns({"nodata_filter": nodata, "zero_filter": zero, "weight": weight})
+    weight = observation_weight({k: v for k, v in state.items() if k != "saltpan"}, others, VIIRS_WEIGHTS if viirs else WEIGHTS)
+    px = px.withColumns({"nodata_filter": nodata, "zero_filter": zero, "weight": weight}).drop("_ground")
     px = px.withColumn("is_cloud_bit", get_bit(F.col("nodata_filter"), 2) | get_bit(F.col("nodata_filter"), 5))
     margin = cloud_margin(px, "is_cloud_bit", DAY, block)
     px = px.join(margin, [*DAY, "row", "col"], "left")
@@ -39,17 +55,20 @@ def ingest_job(px: DataFrame, static: DataFrame, block: int = 200) -> DataFrame:
 
 
 def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: list[np.ndarray], table: np.ndarray, tolerance: int = 7, viirs: bool = False) -> DataFrame:
-    """Fractions, grain size, dust and their flags for the pixels worth unmixing; one solution per group of close spectra."""
+    """Fractions, grain size, dust and their flags for the pixels worth unmixing; one solution per group of close spectra.
+
+    Columns of px with names of results (SOLVED) are replaced. Pixels without background, or with a null in a band, get nulls.
+    """
     ground = background.select("tile", "row", "col", *[F.col(b).alias(f"g{i + 1}") for i, b in enumerate(BANDS)])
     fixed = static.select("tile", "row", "col", "canopy_cover", "ice_fraction")
-    own = px.where(inversion_candidates(F.col("nodata_filter"), F.col("zero_filter"), viirs)).join(ground, ["tile", "row", "col"]).join(fixed, ["tile", "row", "col"], "left")
+    own = px.drop(*SOLVED).where(inversion_candidates(F.col("nodata_filter"), F.col("zero_filter"), viirs)).join(ground, ["tile", "row", "col"], "left").join(fixed, ["tile", "row", "col"], "left")
     values = [*BANDS, *[f"g{i + 1}" for i in range(7)], "solar_zenith"]
     groups = distinct_spectra(own, values, [*DAY, "row", "col"], tolerance)
     keys = [f"q_{v}" for v in values]
     spectra = groups.select(*keys, "s.*").withColumn("mu0", F.cos(F.radians("solar_zenith")))
     solved = unmix(spectra, BANDS, [f"g{i + 1}" for i in range(7)], "mu0", axes, table)
-    solved = solved.select(*keys, "snow_fraction", "shade_fraction", "grain_size", "dust", "residual")
-    out = own.select("*", *spectrum_bins(values, tolerance)).join(solved, keys, "left").drop(*keys)
+    binned = own.select("*", *spectrum_bins(values, tolerance))
+    out = binned.join(solved.select(*keys, *SOLVED), keys, "left").drop(*keys)
     canopy = canopy_correction(F.col("canopy_cover"), F.col("sensor_zenith"))
     snow = F.round("snow_fraction").cast("int")
     out = out.withColumns({"viewable_snow_fraction": snow, "grain": F.round("grain_size").cast("int"), "dust_ppm": F.round("dust").cast("int")})
@@ -62,3 +81,20 @@ def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: lis
         "zero_filter": zero,
         "grain_size_dust": grain_dust_flags(F.col("viewable_snow_fraction"), F.col("grain"), F.col("dust_ppm")),
     })
+
+
+def spatial_job(px: DataFrame, rows: int = 2400, cols: int = 2400, base: str = "is_base") -> DataFrame:
+    """What neighbours tell about unmixed pixels: salt pans (bit 7 of nodata_filter), grain size and dust from the medians around.
+
+    Needs viewable_snow_fraction, grain, dust_ppm, grain_size_dust, elevation and a boolean `base` (the pixels whose snow
+    share counts for the salt pans). Adds grain_spatial and dust_ppm_spatial; a value is valid if its
+    three bits of grain_size_dust are off.
+    """
+    cell_row, cell_col = cell_of_pixel(F.col("row"), F.col("col"), rows, cols)
+    own = px.withColumns({"snow": F.col("viewable_snow_fraction"), "is_base": F.col(base), "cell_row": cell_row, "cell_col": cell_col})
+    own = saltpan_flag(own, DAY).withColumn("nodata_filter", set_bit(F.col("nodata_filter"), 7, F.col("is_saltpan")))
+    own = own.withColumn("snow", F.coalesce(F.col("snow") > 0, F.lit(False)))
+    for value, bits in (("grain", 0b000111), ("dust_ppm", 0b111000)):
+        valid = F.coalesce(F.col("grain_size_dust").bitwiseAND(F.lit(bits)) == 0, F.lit(False)) & F.col(value).isNotNull()
+        own = spatial_median_fill(own.withColumn("valid", valid), value, DAY, rows, cols)
+    return own.drop("snow", "valid", "is_base" if base != "is_base" else "_", "cell_row", "cell_col", "is_saltpan")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.wateryear import day_of_water_year, water_year
-from nivalis.operators.stats import DAILY_IDS, daily_stats, latest_stat, stat_upsert, web_series
+from nivalis.operators.stats import DAILY_IDS, PIXEL_KM2, latest_stat, smoothed_median_of, stat_upsert, web_series
 
 
 def daily_job(px: DataFrame, mask: DataFrame, snow: str, value: str, var_id: int, least_elevation: int = 0, least_snow: int = 0) -> DataFrame:
@@ -22,25 +22,13 @@ def daily_job(px: DataFrame, mask: DataFrame, snow: str, value: str, var_id: int
     rows = own.groupBy("obs_date", "ids", F.col(snow).alias("s"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
     dealt = rows.withColumn("subdivision_id", F.explode("ids")).drop("ids")
     counted = dealt.groupBy("obs_date", "subdivision_id", "s", "v").agg(F.sum("n").alias("n"))
-    from pyspark.sql.window import Window as W
-
-    from nivalis.operators.stats import PIXEL_KM2
-
     group = ["obs_date", "subdivision_id"]
     sums = counted.groupBy(*group).agg(
         (F.sum(F.col("s").cast("long") * F.col("n")) / 100 * PIXEL_KM2).alias("snow_area_km2"),
         (F.sum(F.col("v").cast("long") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n")))).alias("mean_value"),
     )
-    values = counted.where("v IS NOT NULL").groupBy(*group, "v").agg(F.sum("n").alias("n"))
-    w = W.partitionBy(*group)
-    values = values.withColumns({"total": F.sum("n").over(w), "upto": F.sum("n").over(w.orderBy("v").rowsBetween(W.unboundedPreceding, 0))})
-    low = F.min(F.when(F.col("upto") >= F.ceil(F.col("total") / 2), F.col("v"))).over(w)
-    high = F.min(F.when(F.col("upto") >= F.floor(F.col("total") / 2) + 1, F.col("v"))).over(w)
-    values = values.withColumn("m", (low + high) / 2).groupBy(*group, "total", "m").agg(
-        F.sum(F.when(F.col("v") < F.col("m"), F.col("n")).otherwise(0)).alias("below"), F.sum(F.when(F.col("v") == F.col("m"), F.col("n")).otherwise(0)).alias("equal")
-    )
-    median = ((F.col("total") / 2 - F.col("below")) / (F.col("equal") + 0.1) + F.col("m") - 0.5).alias("smoothed_median")
-    wide = sums.join(values.select(*group, median), group, "left")
+    values = counted.where("v IS NOT NULL").groupBy(*group, F.col("v").alias("value")).agg(F.sum("n").alias("n"))
+    wide = sums.join(smoothed_median_of(values, group).select(*group, "smoothed_median"), group, "left")
     pairs = ", ".join(f"{i}, {name}" for name, i in DAILY_IDS.items())
     return wide.select(
         water_year(F.col("obs_date")).alias("water_year"), day_of_water_year(F.col("obs_date")).alias("day"), "subdivision_id",
@@ -52,6 +40,3 @@ def statistics_job(old: DataFrame, new: DataFrame, current: int, stat_id: int =
     """The web series after an update: new days replace old ones, the latest rows count."""
     stat = latest_stat(stat_upsert(old, new)).where(F.col("stat_id") == stat_id)
     return web_series(stat.select("water_year", "day", "subdivision_id", "var_id", "stat_value"), current)
-
-
-__all__ = ["daily_job", "daily_stats", "statistics_job"]

@@ -123,10 +123,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY tile, obs_date ORDER BY edit_ts
 
 
 def _plan_sql(mode: int) -> str:
-    again = {0: (), 99: incremental.STEPS, 20: ("corrected_snow",)}[mode]
-    lack = mode in (0, 99)
+    again = {0: (), 1: ("weight", "inversion", "corrected_snow", "spatial"), 11: ("weight",), 19: ("ingest", "weight"), 20: ("corrected_snow",), 80: ("spatial",), 99: incremental.STEPS}[mode]
+    lack = mode in (0, 1, 99)
     step = lambda s: (
-        f"CASE WHEN none THEN false WHEN fresh THEN true ELSE (ok OR known) AND ({str(s in again and (s != 'ingest' or mode == 99)).lower()}"
+        f"CASE WHEN none THEN false WHEN fresh THEN {str(mode != 19 or s in again).lower()} ELSE (ok OR known) AND ({str(s in again).lower()}"
         + (f" OR NOT s_{s}" if lack and s != "ingest" else "") + ") END"
     )
     flags_ = ", ".join(f"coalesce({step(s)}, false) AS do_{s}" for s in incremental.STEPS)
@@ -142,7 +142,7 @@ def _plan_sql(mode: int) -> str:
     return sql("latest", body, days=_DAYS, done=_STATUS, base=base)
 
 
-for _mode in (0, 20, 99):
+for _mode in (0, 1, 11, 19, 20, 80, 99):
     QUERIES[f"o06_incremental_plan_{_mode}"] = _plan(_mode)
     SQL[f"o06_incremental_plan_{_mode}"] = _plan_sql(_mode)
 
@@ -403,6 +403,15 @@ def o29_zero_zenith_anomaly(spark, d):
     return observation.zero_zenith_anomaly(A.pixel_days(spark, d), 2).select(*ID, "is_anomalous")
 
 
+@query(sql("px", f"""SELECT {IDS}, CASE WHEN solar_zenith = 0 AND low = 0 AND (next IS NULL OR next >= 2) AND status IN (0, 1, 255) THEN 21 ELSE status END AS status
+FROM (SELECT px.*, low, next, CASE class WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 255 END AS status FROM px JOIN
+  (SELECT tile, date_trunc('month', obs_date) AS m, min(solar_zenith) AS low, min(solar_zenith) FILTER (WHERE solar_zenith <> 0) AS next FROM px GROUP BY ALL) s
+  ON s.tile = px.tile AND s.m = date_trunc('month', px.obs_date))"""))
+def o29_unknown_zenith_status(spark, d):
+    px = A.pixel_days(spark, d).withColumn("status", F.expr("CASE class WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 255 END"))
+    return observation.zero_zenith_anomaly(px, 2, "status").select(*ID, "status")
+
+
 @query("""SELECT o_orderkey, year(d) + (month(d) >= 10)::INT AS wy_north, year(d) + (month(d) >= 4)::INT AS wy_south, datediff('day', s, d) + 1 AS day, datediff('day', s, s + INTERVAL 1 YEAR) AS days,
   s AS first_date, (s + INTERVAL 1 YEAR)::DATE - 1 AS last_date, CASE WHEN d > DATE '2001-06-01' - INTERVAL 2 MONTH THEN 'nrt' ELSE 'hist' END AS mode
 FROM (SELECT *, make_date(year(d) - (month(d) < 10)::INT, 10, 1) AS s FROM (SELECT *, o_orderdate::DATE AS d FROM orders))""")
@@ -497,6 +506,15 @@ def o38_region_tiles(spark, d):
     return joins.region_tiles(A.pixel_days(spark, d), A.links(spark, d)).select("tile", "region", "is_active")
 
 
+@query(sql("px", """SELECT DISTINCT tile, 'v1' AS output_version, input_version FROM px JOIN
+(SELECT 'h08v0' || (4 + s_suppkey % 2) AS tile, 'in' || max(s_suppkey) AS input_version FROM supplier WHERE s_suppkey % 3 = 1 GROUP BY 1) USING (tile)"""))
+def o38_version_for_tile(spark, d):
+    versions = A.table(spark, d, "supplier").selectExpr(
+        "CONCAT('h08v0', CAST(4 + s_suppkey % 2 AS STRING)) AS tile", "CONCAT('v', CAST(s_suppkey % 3 AS STRING)) AS output_version", "'daily' AS data_label", "s_suppkey"
+    ).groupBy("tile", "output_version", "data_label").agg(F.concat(F.lit("in"), F.max("s_suppkey")).alias("input_version"))
+    return joins.version_for_tile(A.pixel_days(spark, d), versions, "daily", "v1")
+
+
 @query(sql("px bridge", f"SELECT {IDS}, snow, type, subdivision_id FROM px JOIN bridge USING (tile, \"row\", col)"))
 def o39_with_subdivision(spark, d):
     return joins.with_subdivision(A.pixel_days(spark, d).select(*ID, "snow"), A.bridge(spark, d)).select(*ID, "snow", "type", "subdivision_id")
@@ -762,17 +780,12 @@ def o64_hold_ends(spark, d):
     return px.select(*ID, series.hold_ends(F.col("v"), F.col("snow").isNotNull()).alias("held"))
 
 
-@query(sql("dense", f"""SELECT {IDS}, CASE WHEN abs(g - m) > 2 * 1.4826::DOUBLE * mad THEN m ELSE g END AS grain FROM
-(SELECT *, median(abs(x - m)) AS mad FROM (SELECT *, unnest(CASE WHEN len(xs) > 0 THEN xs ELSE [NULL] END) AS x FROM
- (SELECT {IDS}, grain::DOUBLE AS g, median(grain) OVER w AS m, list(grain) FILTER (WHERE grain IS NOT NULL) OVER w AS xs FROM dense WINDOW w AS ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))) GROUP BY ALL)"""))
+@query(sql("dense", f"""SELECT {IDS}, CASE WHEN abs(g - m) > 2 * 1.4826::DOUBLE * list_aggregate(list_transform(xs, lambda x: abs(x - m)), 'median') THEN m ELSE g END AS grain
+FROM (SELECT {IDS}, grain::DOUBLE AS g, median(grain) OVER w AS m, list(grain) FILTER (WHERE grain IS NOT NULL) OVER w AS xs FROM dense WINDOW w AS ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))"""))
 def o65_hampel(spark, d):
     return _dense(spark, d).select(*ID, series.hampel("grain").alias("grain"))
 
 
-SQL["o65_hampel"] = sql("dense", f"""SELECT {IDS}, CASE WHEN abs(g - m) > 2 * 1.4826::DOUBLE * list_aggregate(list_transform(xs, lambda x: abs(x - m)), 'median') THEN m ELSE g END AS grain
-FROM (SELECT {IDS}, grain::DOUBLE AS g, median(grain) OVER w AS m, list(grain) FILTER (WHERE grain IS NOT NULL) OVER w AS xs FROM dense WINDOW w AS ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))""")
-
-
 @query(sql("px", f"""SELECT {IDS}, n < 180 AS too_few, CASE WHEN n < 180 THEN 0 ELSE snow END AS snow, CASE WHEN n >= 180 THEN grain END AS grain, CASE WHEN n >= 180 THEN dust END AS dust
 FROM (SELECT *, count(*) FILTER (WHERE snow > 0) OVER ({PIX}) AS n FROM px)"""))
 def o68_too_few_observations(spark, d):
@@ -877,7 +890,7 @@ def o87_display_range(spark, d):
 
 
 # --- look-up tables, splines, neighbours, unmixing, jobs ------------------------
-# No SQL: held against brute force, exact cases and properties in the tests. The look-up
+# Those without SQL are held against brute force, exact cases and properties in the tests. The look-up
 # tables are smooth made-up ones (a product's own are an argument); all pixels come from the tables.
 
 
@@ -905,12 +918,13 @@ def _snow_lut():
     return axes, np.clip(shine, 1, 100)
 
 
-@query()
+# The made-up table is linear in every axis, so its multilinear interpolation is the formula it was made from.
+@query(sql("px", f"SELECT {IDS}, round(92 - 0.8 * sqrt(grain) + 8 * (1 - cos(radians(solar_zenith))) - 8000 * (dust / 1e6), 6) AS albedo FROM px"))
 def o60_lut_interpolate(spark, d):
     from nivalis.operators.lut import lut_interpolate
 
     px = A.pixel_days(spark, d).select(*ID, F.cos(F.radians("solar_zenith")).alias("mu0"), F.sqrt(F.col("grain").cast("double")).alias("root_grain"), (F.col("dust") / 1e6).alias("dust"))
-    return lut_interpolate(px, *_albedo_lut(), ["mu0", "mu0", "root_grain", "dust", F.lit(0.0)], "albedo").select(*ID, "albedo")
+    return lut_interpolate(px, *_albedo_lut(), ["mu0", "mu0", "root_grain", "dust", F.lit(0.0)], "albedo").select(*ID, F.round("albedo", 6).alias("albedo"))
 
 
 @query()
@@ -921,6 +935,22 @@ def o66_smoothing_spline(spark, d):
 
 
 @query()
+def o67_fix_peak(spark, d):
+    """Every water year of the data, its days without gaps."""
+    from nivalis.operators.spline import fix_peaks
+
+    keys = [*series.PIXEL, "water_year"]
+    px = A.pixel_days(spark, d).withColumn("water_year", wateryear.water_year(F.col("obs_date")))
+    first, last = (F.make_date(F.col("water_year") - back, F.lit(month), F.lit(day)) for back, month, day in ((1, 10, 1), (0, 9, 30)))
+    return fix_peaks(series.densify(px, first, last, keys), "grain", "dust", "weight", cols=10, keys=keys)
+
+
+_CLOUDS = """SELECT tile, obs_date, "row", col, elevation, class = 1 AS cloud, coalesce(class = 1 AND n > 3, false) AS kept FROM grid LEFT JOIN
+(SELECT tile, obs_date, "row", col, count(*) AS n FROM (SELECT tile, obs_date, "row" + i AS "row", col + j AS col FROM grid, (SELECT unnest(range(-2, 3)) AS i), (SELECT unnest(range(-2, 3)) AS j) WHERE class = 1) GROUP BY ALL)
+USING (tile, obs_date, "row", col)"""
+
+
+@query(sql("grid", "SELECT tile, obs_date, \"row\", col, kept AS is_cloud FROM clouds", clouds=_CLOUDS))
 def o70_cloud_despeckle(spark, d):
     from nivalis.operators.neighbourhood import cloud_despeckle
 
@@ -928,7 +958,15 @@ def o70_cloud_despeckle(spark, d):
     return cloud_despeckle(px, "cloud", ["tile", "obs_date"], block=100)
 
 
-@query()
+def _margin_share(band: str) -> str:
+    return f"coalesce(floor(100 * (sum(w) FILTER (WHERE o.{band} = t.{band} AND o.kept) / sum(w) FILTER (WHERE o.{band} = t.{band})) + 0.5), 0)"
+
+
+@query(sql("grid", f"""SELECT tile, obs_date, "row", col, greatest(a, b) > 1 AND NOT cloud AS is_margin FROM
+(SELECT t.tile, t.obs_date, t."row", t.col, any_value(t.cloud) AS cloud, {_margin_share("band_a")} AS a, {_margin_share("band_b")} AS b FROM banded t
+ JOIN (SELECT *, "row" + i AS to_row, col + j AS to_col, 1 / (sqrt(i * i + j * j) + 1) AS w FROM banded, (SELECT unnest(range(-5, 6)) AS i), (SELECT unnest(range(-5, 6)) AS j)) o
+ ON o.tile = t.tile AND o.obs_date = t.obs_date AND o.to_row = t."row" AND o.to_col = t.col GROUP BY t.tile, t.obs_date, t."row", t.col)""",
+           clouds=_CLOUDS, banded=f"SELECT *, {_steps(joins.MARGIN_STEPS_A)} AS band_a, {_steps(joins.MARGIN_STEPS_B)} AS band_b FROM clouds"))
 def o71_cloud_margin(spark, d):
     from nivalis.operators.neighbourhood import cloud_margin
 
@@ -936,15 +974,14 @@ def o71_cloud_margin(spark, d):
     return cloud_margin(px, "cloud", ["tile", "obs_date"], block=100)
 
 
-@query(sql("grid", """SELECT t.tile, t.obs_date, t."row", t.col, round(sum(s.grain / w) / sum(1 / w), 6) AS grain_idw FROM
-(SELECT t.tile, t.obs_date, t."row", t.col, s.grain, sqrt(pow(t."row" - s."row", 2) + pow(t.col - s.col, 2)) AS w FROM grid t JOIN grid s USING (tile, obs_date)
- WHERE t.snow IS NOT NULL AND t.snow < 4 AND NOT coalesce(s.snow < 4, false) AND s.snow > 96) x
-GROUP BY ALL""".replace("t.tile, t.obs_date, t.\"row\", t.col, round(sum(s.grain / w)", "tile, obs_date, \"row\", col, round(sum(grain / w)").replace("SELECT t.tile, t.obs_date, t.\"row\", t.col, s.grain", "SELECT tile, obs_date, t.\"row\", t.col, s.grain")))
+@query(sql("grid", f"""SELECT {IDS}, round(sum(v / w) / sum(1 / w), 3) AS grain_idw FROM
+(SELECT t.tile, t.obs_date, t."row", t.col, s.grain AS v, sqrt(pow(t."row" - s."row", 2) + pow(t.col - s.col, 2)) AS w FROM grid t JOIN grid s USING (tile, obs_date)
+ WHERE t.snow < 4 AND NOT coalesce(s.snow < 4, false) AND s.snow > 96) GROUP BY ALL"""))
 def o72_idw_fill(spark, d):
     from nivalis.operators.neighbourhood import idw_fill
 
     px = A.grid_days(spark, d).withColumns({"grain": F.when(F.col("snow") > 96, F.col("grain")), "little": F.coalesce(F.col("snow") < 4, F.lit(False))})
-    return idw_fill(px, "grain", "little", ["tile", "obs_date"]).withColumn("grain_idw", F.round("grain_idw", 6))
+    return idw_fill(px, "grain", "little", ["tile", "obs_date"]).withColumn("grain_idw", F.round("grain_idw", 3))
 
 
 def _inpaint(method):
@@ -970,6 +1007,30 @@ def o82_ingest_job(spark, d):
     return found.select(*ID, "nodata_filter", "zero_filter", "weight", "sensor_mask", F.round("ndsi", 6).alias("ndsi"))
 
 
+@query()
+def o82_ingest_job_viirs(spark, d):
+    """Flags of a grid of half the resolution, pixels without background, no classifier."""
+    from nivalis.plans.ingest import ingest_job
+
+    flags = A.pixel_days(spark, d).groupBy("tile", "obs_date", F.expr("row div 2").alias("row"), F.expr("col div 2").alias("col")).agg(F.min("state_1km").alias("f"))
+    flags = flags.select("tile", "obs_date", "row", "col", F.expr("f % 256 AS qf1"), F.expr("f div 8 % 256 AS qf2"), F.expr("f div 64 % 256 AS qf7"))
+    px, ground = A.pixel_days(spark, d), groups.background_reflectance(A.pixel_days(spark, d))
+    found = ingest_job(px.drop("class", "state_1km"), A.static(spark, d), viirs=True, coarse=flags, background=ground)
+    return found.select(*ID, "nodata_filter", "zero_filter", "weight", "sensor_mask", F.round("ndsi", 6).alias("ndsi"))
+
+
+@query()
+def o82_spatial_job(spark, d):
+    """Salt pans and medians around, of the grid view's snow, grain size and dust."""
+    from nivalis.plans.ingest import spatial_job
+
+    px = A.grid_days(spark, d).withColumns({
+        "viewable_snow_fraction": F.coalesce("snow", F.lit(0)), "dust_ppm": F.col("dust"), "is_base": F.col("class") < 2,
+        "grain_size_dust": F.when(F.col("class") == 0, 0).when(F.col("class") == 1, 1).otherwise(8),
+    })
+    return spatial_job(px, _ROWS, _COLS).select(*ID, "nodata_filter", "grain_spatial", "dust_ppm_spatial")
+
+
 @query()
 def o81_unmix_job(spark, d):
     from nivalis.plans.ingest import unmix_job
@@ -1025,11 +1086,21 @@ def o85_daily_statistics(spark, d):
     return daily_job(px, A.bridge(spark, d), "snow", "grain", 7, 500, 10).withColumn("stat_value", F.round("stat_value", 6))
 
 
-@query()
+_ALL = _SUB.replace("elevation >= 500 AND snow >= 10", "elevation >= 0 AND snow >= 0")
+_WEB_ROUNDED = "SELECT subdivision_id, var_id, day, " + ", ".join(f"round({c}, 4) AS {c}" for c in _ROUND) + f" FROM ({_WEB})"
+
+
+@query(sql("px static bridge stat", _WEB_ROUNDED, sub=_ALL, med=_MEDIAN.format(k="obs_date, subdivision_id", v="grain", t="sub"),
+           w=f"""SELECT * FROM (SELECT obs_date, subdivision_id, sum(snow) / 100.0::DOUBLE * {stats.PIXEL_KM2!r}::DOUBLE AS snow_area_km2, avg(grain) AS mean_value FROM sub GROUP BY ALL)
+             LEFT JOIN med USING (obs_date, subdivision_id)""",
+           fresh=_STACK, updated="""SELECT water_year, day, subdivision_id, var_id, stat_id, stat_value, update_date FROM stat WHERE (water_year, day) NOT IN (SELECT (water_year, day) FROM fresh)
+             UNION ALL SELECT water_year, day, subdivision_id, var_id, stat_id, stat_value, DATE '2002-01-01' FROM fresh""",
+           daily="""SELECT * FROM (SELECT *, rank() OVER (PARTITION BY water_year, day, subdivision_id, var_id, stat_id ORDER BY update_date DESC) AS r FROM updated) WHERE r = 1 AND stat_id = 2""",
+           past=_PAST, years=_years("mean", "past"), q=_QUANTILES))
 def o85_statistics_job(spark, d):
     """Daily statistics, put among older ones, to web series."""
     from nivalis.plans.statistics import daily_job, statistics_job
 
     px = joins.with_static(A.pixel_days(spark, d), A.static(spark, d).select("tile", "row", "col", "elevation"))
     new = daily_job(px, A.bridge(spark, d), "snow", "grain", 7).withColumn("update_date", F.lit("2002-01-01").cast("date"))
-    return statistics_job(A.stat(spark, d), new, _NOW)
+    return statistics_job(A.stat(spark, d), new, _NOW).select("subdivision_id", "var_id", "day", *[F.round(c, 4).alias(c) for c in _ROUND])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,8 +12,10 @@ _own: list[str] = []
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below spark.checkpoint.dir, or below one of our own where that is unset (tests)."""
+    """A new folder below spark.checkpoint.dir, or on one machine (tests) below one of our own where that is unset."""
     told = spark.conf.get("spark.checkpoint.dir", None)
+    if not told and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not told and not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="spark-"))
     return f"{(told or _own[0]).rstrip('/')}/nivalis-{label}-{uuid.uuid4().hex}"

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from nivalis import adapters, queries
-from nivalis.operators import joins
-from nivalis.plans import albedo, gapfill, statistics
+from nivalis.operators import joins, lut
+from nivalis import streaming
+from nivalis.operators import spline
+from nivalis.plans import albedo, gapfill, ingest, statistics
 
 DATA = "/root/testdata/sf0.001"
 PIXEL = ("tile", "row", "col")
@@ -180,3 +182,89 @@ def test_queries_equal_their_sql(spark, name):
         columns = [c[0] for c in cursor.description]
         expected = sorted(map(repr, cursor.fetchall()))
     assert sorted(repr(tuple(r)) for r in queries.QUERIES[name](spark, DATA).select(*columns).collect()) == expected
+
+
+def test_unmix_job_recovers_mixtures(spark):
+    """Of columns that clash with its results, of a pixel without background, of one that is no candidate."""
+    axes, table = queries._snow_lut()
+    truth = [(0.7, 0.1, 400.0, 3e-4), (0.4, 0.2, 150.0, 1e-4), (0.5, 0.05, 900.0, 6e-4)]
+    ground = [10.0, 20.0, 8.0, 12.0, 30.0, 25.0, 15.0]
+    bands = [f"b{k}" for k in range(1, 8)]
+    mu = math.cos(math.radians(50))
+    rows, grounds = [], []
+    for i, (f, s, g, dust) in enumerate([*truth, truth[0], truth[0]]):
+        snow = lut.interpolate(axes, table, np.array([[mu, g**0.5, dust]]))[0]
+        r = (f * snow + (1 - f - s) * np.array(ground)).tolist()
+        rows.append(("h00v00", 0, i, dt.date(2000, 1, 1), *r, 50, 0, 2 if i == 4 else 0, 0, 0.9, -1, -2, "kept"))
+        if i != 3:
+            grounds.append(("h00v00", 0, i, *ground))
+    doubles = ", ".join(f"{b} double" for b in bands)
+    px = spark.createDataFrame(rows, f"tile string, row int, col int, obs_date date, {doubles}, solar_zenith int, sensor_zenith int, nodata_filter int, zero_filter int, ndsi double, dust int, snow_fraction int, note string")
+    background = spark.createDataFrame(grounds, f"tile string, row int, col int, {doubles}")
+    static = spark.createDataFrame([("h00v00", 0, i, 0, 0) for i in range(5)], "tile string, row int, col int, canopy_cover int, ice_fraction int")
+    found = {r.col: r for r in ingest.unmix_job(px, background, static, axes, table, tolerance=1).collect()}
+    assert set(found) == {0, 1, 2, 3}
+    for i, (f, s, g, dust) in enumerate(truth):
+        r = found[i]
+        assert r.note == "kept" and r.residual < 0.5 and r.viewable_snow_fraction == pytest.approx(100 * f, abs=3)
+        assert r.grain_size == pytest.approx(g, rel=0.15) and r.dust == pytest.approx(dust * 1e6, rel=0.25) and r.zero_filter == 0
+    assert found[3].viewable_snow_fraction is None and found[3].dust is None
+
+
+def test_unmix_query_solves_every_candidate(spark):
+    found = queries.QUERIES["o81_unmix_job"](spark, DATA)
+    assert found.count() == adapters.pixel_days(spark, DATA).where("class NOT IN (1, 2)").count() > 0
+
+
+def test_ingest_job_for_viirs(spark):
+    """Flags of the coarse grid, no classifier, pixels without background."""
+    bands = [f"b{k}" for k in range(1, 8)]
+    rows = [("h00v00", r, c, dt.date(2000, 1, 1), *([60] * 7 if (r, c) == (0, 0) else [10, 20, 10, 20, 20, 20, 5]), 0, 0) for r in range(2) for c in range(4)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, " + ", ".join(f"{b} int" for b in bands) + ", solar_zenith int, sensor_zenith int")
+    coarse = spark.createDataFrame([("h00v00", dt.date(2000, 1, 1), 0, 0, 0b0100, 0b0001, 0), ("h00v00", dt.date(2000, 1, 1), 0, 1, 0b1000, 0b0001, 0b10000)], "tile string, obs_date date, row int, col int, qf1 int, qf2 int, qf7 int")
+    static = spark.createDataFrame([("h00v00", r, c, 1000, False) for r in range(2) for c in range(4)], "tile string, row int, col int, elevation int, is_water boolean")
+    ground = spark.createDataFrame([("h00v00", r, c) for r in range(2) for c in range(4) if c], "tile string, row int, col int")
+    found = {(r.row, r.col): r for r in ingest.ingest_job(px, static, viirs=True, coarse=coarse, background=ground).collect()}
+    assert len(found) == 8
+    for (r, c), x in found.items():
+        bit = lambda k: x.nodata_filter >> (k - 1) & 1  # noqa: E731, B023
+        assert (bit(2), bit(3), bit(5)) == (0, int(c == 0), int((r, c) == (0, 0)))
+        assert x.weight == (100 if c < 2 else 25)
+        assert x.zero_filter & 1 == 0
+
+
+def test_spatial_job_fills_from_around_and_flags_salt_pans(spark):
+    rows = [("h00v00", r, c, dt.date(2000, 1, 1), 50, 100 + c, 10, 0 if c else 9, 1000, 0, True) for r in range(6) for c in range(6)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, viewable_snow_fraction int, grain int, dust_ppm int, grain_size_dust int, elevation int, nodata_filter int, is_base boolean")
+    found = {(r.row, r.col): r for r in ingest.spatial_job(px, 6, 6).collect()}
+    assert all(x.nodata_filter == 0 for x in found.values())
+    assert found[0, 0].grain_spatial == 103 and found[0, 0].dust_ppm_spatial == 10
+    assert all(x.grain_spatial == 100 + c for (_, c), x in found.items() if c)
+
+
+def test_fix_peaks_is_fix_peak_of_each_season(spark):
+    rng = np.random.default_rng(5)
+    first, days = dt.date(1999, 10, 1), 366
+    grain = {p: [int(x) if rng.random() < 0.4 else None for x in np.linspace(60, 900, days) + rng.normal(0, 20, days)] for p in range(3)}
+    rows = [("h00v00", 0, p, 2000, first + dt.timedelta(i), g, 50 + i % 9, 90) for p, gs in grain.items() for i, g in enumerate(gs)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, water_year int, obs_date date, grain int, dust int, weight int")
+    found = {(r.col, r.obs_date): r for r in spline.fix_peaks(px, "grain", "dust", "weight", cols=10).collect()}
+    for p, gs in grain.items():
+        g = np.array([[np.nan if x is None else x for x in gs]], float)
+        d = np.array([[50 + i % 9 for i in range(days)]], float)
+        ok = (g >= 40) & (g <= 1190)
+        expected = spline.fix_peak(g, d, ok, ok, np.full(g.shape, 90.0))
+        for i in (0, 100, 250, days - 1):
+            r = found[p, first + dt.timedelta(i)]
+            assert r.grain_fixed == pytest.approx(np.clip(expected[0][0, i], 40, 1190)) and r.dust_fixed == pytest.approx(np.clip(expected[1][0, i], 0, 950))
+
+
+def test_files_are_planned_as_they_come(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ['{"file_name": "MOD09GA.A2000001.h08v04.061.1.hdf", "edit_ts": "2000-01-02T00:00:00"}', '{"file_name": "MOD09GA.A2000001.h08v04.061.2.hdf", "edit_ts": "2000-01-03T00:00:00"}', '{"file_name": "readme.txt", "edit_ts": "2000-01-03T00:00:00"}']
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    fields = "tile string, obs_date date, input_file_name string, input_edit_ts timestamp, discarded_file_name string, discarded_edit_ts timestamp"
+    status = spark.createDataFrame([], fields + "".join(f", status_of_{s} int" for s in ("ingest", "weight", "inversion", "corrected_snow", "spatial")))
+    seen = []
+    streaming.plan_as_files_come(streaming.file_stream(spark, str(tmp_path / "in")), lambda: status, lambda df, i: seen.extend(df.collect()), str(tmp_path / "checkpoint")).awaitTermination()
+    assert [(r.file_name[-5], r.action, r.do_inversion) for r in seen] == [("2", "ingest", True)]

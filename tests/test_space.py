@@ -145,3 +145,39 @@ def test_inpaint_says_when_it_does_not_converge(monkeypatch):
     monkeypatch.setattr(neighbourhood, "MOST_STEPS", -10 * holed.size)
     with pytest.raises(RuntimeError):
         neighbourhood.springs(holed)
+
+
+def test_springs_are_the_least_squares_of_horizontal_and_vertical_springs():
+    x = np.linspace(0, 1, 101)
+    true = np.exp(x[:, None] + x[None, :])
+    holed = true[:14, :15].copy()
+    holed[3:9, 2:11] = holed[0, :4] = holed[12:, 13:] = np.nan
+    n, m = holed.shape
+    number = np.arange(n * m).reshape(n, m)
+    pairs = [(number[i, j], number[i + a, j + b]) for i in range(n) for j in range(m) for a, b in ((1, 0), (0, 1)) if i + a < n and j + b < m]
+    flat, hole = holed.ravel(), np.isnan(holed.ravel())
+    pairs = [p for p in pairs if hole[p[0]] or hole[p[1]]]
+    system, right = np.zeros((len(pairs), n * m)), np.zeros(len(pairs))
+    for k, (a, b) in enumerate(pairs):
+        for node, sign in ((a, 1.0), (b, -1.0)):
+            if hole[node]:
+                system[k, node] = sign
+            else:
+                right[k] -= sign * flat[node]
+    expected = flat.copy()
+    expected[hole] = np.linalg.lstsq(system[:, hole], right, rcond=None)[0]
+    assert np.allclose(neighbourhood.springs(holed).ravel(), expected, atol=1e-6)
+    whole = true.copy()
+    whole[20:50, 35:90] = np.nan
+    assert np.abs(neighbourhood.plate(whole) - true).max() < 0.05
+
+
+def test_inverse_distance_means_against_loops():
+    rng = np.random.default_rng(2)
+    value, valid = rng.uniform(100, 900, (9, 12)), rng.random((9, 12)) < 0.3
+    found = neighbourhood.inverse_distance_means(value, valid)
+    for i in range(9):
+        for j in range(12):
+            w = [(1 / np.hypot(a - i, b - j), value[a, b]) for a in range(9) for b in range(12) if valid[a, b] and (a, b) != (i, j)]
+            assert found[i, j] == pytest.approx(sum(x * v for x, v in w) / sum(x for x, _ in w))
+    assert np.isnan(neighbourhood.inverse_distance_means(value, np.zeros((9, 12), bool))).all()
