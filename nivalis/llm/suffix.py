@@ -42,10 +42,11 @@ from nivalis.llm.common import crews, small, stash, text_bytes, texts
 LENGTH = 100
 GRAM = 32
 SHALLOW = 24
-MANY = 2000
+MANY = 1 << 16
 OUTER = 16
 LONGEST = 200  # windows in a segment
 TOGETHER = 1 << 16  # suffixes sorted together, if their keys allow
+STEP = 1 << 15  # strings compared at a time
 PIECE = 1 << 20
 CHUNK = 1 << 18
 LAST = (1 << 63) - 1
@@ -206,24 +207,19 @@ def deep_shallow(data: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np
     places = np.arange(len(at))
     heads = _regrouped(places, keys[order]) if len(at) else places
     done = np.zeros(len(at), bool)
+    if not len(at):
+        return order, heads
+    strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
     for depth in range(0, SHALLOW, 8):
         live = _open_places(heads, done)
         items = order[live]
-        word = data[(at[items] + depth)[:, None] + np.arange(8)].view(">u8")[:, 0].astype(np.uint64)
+        word = np.ascontiguousarray(strings[:, depth : depth + 8][at[items]]).view(">u8")[:, 0].astype(np.uint64)
         by = np.lexsort((word, heads[live]))
         order[live] = items[by]
         heads[live] = _regrouped(live, heads[live], word[by])
-    rest = np.arange(SHALLOW, LENGTH)
     while len(live := _open_places(heads, done)):
         items, leaf = order[live], order[heads[live]]
-        own = data[at[items][:, None] + rest]
-        differs = own != data[at[leaf][:, None] + rest]
-        depth = np.where(differs.any(1), differs.argmax(1), len(rest))  # where it leaves the leaf
-        inner = np.minimum(depth, len(rest) - 1)
-        byte = own[np.arange(len(items)), inner].astype(np.int64)
-        of_leaf = data[at[leaf] + SHALLOW + inner].astype(np.int64)
-        side = np.where(depth == len(rest), 0, np.sign(byte - of_leaf))
-        byte[side == 0] = 0
+        depth, byte, side = (np.concatenate(x) for x in zip(*(_branches(strings, at[items[i : i + STEP]], at[leaf[i : i + STEP]]) for i in range(0, len(live), STEP))))
         by = np.lexsort((byte, -side * depth, side, heads[live]))
         order[live] = items[by]
         heads[live] = _regrouped(live, heads[live], side[by], depth[by], byte[by])
@@ -231,6 +227,18 @@ def deep_shallow(data: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np
     return order, heads
 
 
+def _branches(strings: np.ndarray, at: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each string leaves the leaf of its trie: depth, byte and side (-1 before it, 1 after it, 0 equal)."""
+    own, other = strings[:, SHALLOW:][at], strings[:, SHALLOW:][leaf]
+    differs = own != other
+    depth = differs.argmax(1)
+    rows = np.arange(len(at))
+    byte, of_leaf = own[rows, depth].astype(np.int64), other[rows, depth].astype(np.int64)
+    side = np.sign(byte - of_leaf)
+    byte[side == 0] = 0
+    return depth, byte, side
+
+
 def repeats(data: np.ndarray, at: np.ndarray, keys: np.ndarray, place: tuple) -> np.ndarray:
     """For each string of LENGTH bytes: whether an equal one of its key has an earlier place (doc_id, tie, start)."""
     order, heads = deep_shallow(data, at, keys)
