@@ -189,13 +189,15 @@ def plan_blocks(own: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
-    """The mix itself: the rows of docs, repeated as planned, with `mix_shard`; in hashed order inside each shard."""
+    """The mix itself: the rows of docs, repeated as planned, with `mix_shard`; in hashed order inside each piece of a shard."""
     ident = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
     own = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").alias("own_source"), block_of(ident).alias("own_block"))
     plan = plan_blocks(sized(docs), shards, **options).select("source", "block", "shards")
     rows = own.join(plan, F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_block") == F.col("block")))
     rows = rows.select("doc", F.posexplode("shards").alias("copy", "shard"))
     own_id = F.col("doc.doc_id")
-    rows = rows.repartition("shard", F.pmod(F.xxhash64(own_id), F.lit(16))).sortWithinPartitions("shard", F.xxhash64(own_id, "copy", F.lit("order")))
+    # A shard is written by several tasks, the more the more partitions there are.
+    pieces = max(16, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    rows = rows.repartition("shard", F.pmod(F.xxhash64(own_id), F.lit(pieces))).sortWithinPartitions("shard", F.xxhash64(own_id, "copy", F.lit("order")))
     kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_shard")]
     return rows.select(*kept, F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"))
