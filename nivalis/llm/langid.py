@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from nivalis.llm.common import bounded_sample, held_out, small, stash
 
 MAX_DOCS = 20_000
-CACHED = 100_000
+CACHED = 200_000
 ORDERS = (5, 4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -101,22 +101,38 @@ class WordVectors(dict):
         self.words, self.grams = ({t: i for i, t in enumerate(model[k][0].to_pylist())} for k in ("words", "grams"))
         self.known, self.pieces = model["words"][1], model["grams"][1]
         self.table = np.zeros((CACHED, len(model["langs"])))
+        self.known_rows, self.known_at, self.rows, self.counts, self.flat, self.none = ([] for _ in range(6))
 
     def __missing__(self, word: str) -> int:
+        """The row for the word; what it holds is worked out by settle(), for many words at once."""
+        row = self[word] = len(self)
         at = self.words.get(word)
         if at is not None:
-            vector = self.known[at]
-        else:
-            vector = 0.0
-            for order in ORDERS:
-                found = [g for g in map(self.grams.get, grams_of(word, order)) if g is not None]
-                if found:
-                    vector = self.pieces[found].mean(axis=0)
-                    break
-        row = self[word] = len(self)
-        self.table[row] = vector
+            self.known_rows.append(row)
+            self.known_at.append(at)
+            return row
+        get, w = self.grams.get, f"^{word}$"
+        for n in ORDERS:
+            found = [g for i in range(len(w) - n + 1) if (g := get(w[i : i + n])) is not None]
+            if found:
+                self.rows.append(row)
+                self.counts.append(len(found))
+                self.flat += found
+                return row
+        self.none.append(row)
         return row
 
+    def settle(self) -> None:
+        if self.known_rows:
+            self.table[self.known_rows] = self.known[self.known_at]
+        if self.rows:
+            counts = np.array(self.counts)
+            self.table[self.rows] = np.add.reduceat(self.pieces[self.flat], np.cumsum(counts) - counts, axis=0) / counts[:, None]
+        if self.none:
+            self.table[self.none] = 0
+        for held in (self.known_rows, self.known_at, self.rows, self.counts, self.flat, self.none):
+            held.clear()
+
     def total(self, words: list[str]) -> np.ndarray:
         out = np.zeros(self.table.shape[1])
         for at in range(0, len(words), CACHED // 2):
@@ -124,6 +140,7 @@ class WordVectors(dict):
             if len(self) + len(part) > CACHED:
                 self.clear()
             rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            self.settle()
             out += self.table[rows].sum(axis=0)
         return out
 
