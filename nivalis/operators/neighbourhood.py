@@ -21,9 +21,9 @@ BLOCK = 200
 
 
 def in_blocks(px: DataFrame, day: list[str], halo: int, block: int = BLOCK) -> DataFrame:
-    """Each pixel once for every block whose halo it lies in (four at most), with block_row and block_col."""
+    """Each pixel once for every block whose halo it lies in (four at most), with block_row and block_col. Rows and columns count from 0."""
     for c in ("row", "col"):
-        near = F.sequence(F.floor((F.col(c) - halo) / block), F.floor((F.col(c) + halo) / block))
+        near = F.sequence(F.greatest(F.lit(0).cast("long"), F.floor((F.col(c) - halo) / block)), F.floor((F.col(c) + halo) / block))
         px = px.withColumn(f"block_{c}", F.explode(near))
     return px
 

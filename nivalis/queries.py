@@ -268,10 +268,11 @@ def o14_set_get_bit(spark, d):
     return A.pixel_days(spark, d).select(*ID, bits.set_bit(F.col("nodata_filter"), 4, F.col("snow") > 10).alias("field"), bits.get_bit(F.col("zero_filter"), 5).alias("low"))
 
 
-_MASKS = " | ".join(f"(CASE WHEN b{k} < 5 THEN 2 WHEN b{k} > 90 THEN 4 ELSE 0 END << {3 * (k - 1)})" for k in range(1, 8))
+def _masks(low: int, high: int) -> str:
+    return " | ".join(f"(CASE WHEN b{k} < {low} THEN 2 WHEN b{k} > {high} THEN 4 ELSE 0 END << {3 * (k - 1)})" for k in range(1, 8))
 
 
-@query(sql("px", f"SELECT {IDS}, m AS sensor_mask, m <> 0 AS no_input FROM (SELECT *, {_MASKS} AS m FROM px)"))
+@query(sql("px", f"SELECT {IDS}, m AS sensor_mask, m <> 0 AS no_input FROM (SELECT *, {_masks(5, 90)} AS m FROM px)"))
 def o15_pack_sensor_mask(spark, d):
     m = bits.pack_masks([codec.cut_min_max(b, 5, 90)[1] for b in _bands()])
     return A.pixel_days(spark, d).select(*ID, m.alias("sensor_mask"), (m != 0).alias("no_input"))
@@ -945,11 +946,16 @@ def o67_fix_peak(spark, d):
     return fix_peaks(series.densify(px, first, last, keys), "grain", "dust", "weight", cols=10, keys=keys)
 
 
-_CLOUDS = """SELECT tile, obs_date, "row", col, elevation, class = 1 AS cloud, coalesce(class = 1 AND n > 3, false) AS kept FROM grid LEFT JOIN
-(SELECT tile, obs_date, "row", col, count(*) AS n FROM (SELECT tile, obs_date, "row" + i AS "row", col + j AS col FROM grid, (SELECT unnest(range(-2, 3)) AS i), (SELECT unnest(range(-2, 3)) AS j) WHERE class = 1) GROUP BY ALL)
+def _clouds(table: str, cloud: str) -> str:
+    """The table's pixels with cloud, and kept: clouds with more than 3 in the 5 x 5 around."""
+    return f"""SELECT *, {cloud} AS cloud, coalesce({cloud} AND n > 3, false) AS kept FROM {table} LEFT JOIN
+(SELECT tile, obs_date, "row", col, count(*) AS n FROM (SELECT tile, obs_date, "row" + i AS "row", col + j AS col FROM {table}, (SELECT unnest(range(-2, 3)) AS i), (SELECT unnest(range(-2, 3)) AS j) WHERE {cloud}) GROUP BY ALL)
 USING (tile, obs_date, "row", col)"""
 
 
+_CLOUDS = _clouds("grid", "class = 1")
+
+
 @query(sql("grid", "SELECT tile, obs_date, \"row\", col, kept AS is_cloud FROM clouds", clouds=_CLOUDS))
 def o70_cloud_despeckle(spark, d):
     from nivalis.operators.neighbourhood import cloud_despeckle
@@ -962,11 +968,14 @@ def _margin_share(band: str) -> str:
     return f"coalesce(floor(100 * (sum(w) FILTER (WHERE o.{band} = t.{band} AND o.kept) / sum(w) FILTER (WHERE o.{band} = t.{band})) + 0.5), 0)"
 
 
-@query(sql("grid", f"""SELECT tile, obs_date, "row", col, greatest(a, b) > 1 AND NOT cloud AS is_margin FROM
+_MARGIN = f"""SELECT tile, obs_date, "row", col, greatest(a, b) > 1 AND NOT cloud AS is_margin FROM
 (SELECT t.tile, t.obs_date, t."row", t.col, any_value(t.cloud) AS cloud, {_margin_share("band_a")} AS a, {_margin_share("band_b")} AS b FROM banded t
  JOIN (SELECT *, "row" + i AS to_row, col + j AS to_col, 1 / (sqrt(i * i + j * j) + 1) AS w FROM banded, (SELECT unnest(range(-5, 6)) AS i), (SELECT unnest(range(-5, 6)) AS j)) o
- ON o.tile = t.tile AND o.obs_date = t.obs_date AND o.to_row = t."row" AND o.to_col = t.col GROUP BY t.tile, t.obs_date, t."row", t.col)""",
-           clouds=_CLOUDS, banded=f"SELECT *, {_steps(joins.MARGIN_STEPS_A)} AS band_a, {_steps(joins.MARGIN_STEPS_B)} AS band_b FROM clouds"))
+ ON o.tile = t.tile AND o.obs_date = t.obs_date AND o.to_row = t."row" AND o.to_col = t.col GROUP BY t.tile, t.obs_date, t."row", t.col)"""
+_BANDED = f"SELECT *, {_steps(joins.MARGIN_STEPS_A)} AS band_a, {_steps(joins.MARGIN_STEPS_B)} AS band_b FROM clouds"
+
+
+@query(sql("grid", _MARGIN, clouds=_CLOUDS, banded=_BANDED))
 def o71_cloud_margin(spark, d):
     from nivalis.operators.neighbourhood import cloud_margin
 
@@ -999,7 +1008,21 @@ QUERIES["o73_inpaint_springs"] = _inpaint("springs")
 QUERIES["o73_inpaint_plate"] = _inpaint("plate")
 
 
-@query()
+_BRIGHT = "b1 > 35 AND b2 > 35 AND b3 > 31 AND b4 > 31 AND b5 > 30 AND b6 > 22"
+_ALONG = f"(cos(th) * (6371.007181::DOUBLE + 705.0) - sqrt(1 - pow({_FAR} * sin(th), 2)) * 6371.007181::DOUBLE) / 705.0"
+_ACROSS = f"(asin(sin(th + be) * {_FAR}) - asin(sin(th - be) * {_FAR}) - be * 2) * 6371.007181::DOUBLE"
+
+
+@query(sql("px static", f"""SELECT {IDS}, CASE WHEN is_margin THEN nodata | 32 ELSE nodata END AS nodata_filter, zero AS zero_filter, weight, sensor_mask, round(ndsi, 6) AS ndsi
+FROM flagged JOIN margin USING (tile, obs_date, "row", col)""",
+           base=f"""SELECT *, {_masks(0, 100)} AS sensor_mask, {_STATE}, (b3 - b6) / nullif((b3 + b6)::DOUBLE, 0) AS ndsi,
+             asin(sin(radians(sensor_zenith)) / ({_FAR})) AS th, atan(1.0 / 1410.0) AS be FROM px JOIN static USING (tile, "row", col)""",
+           limits="SELECT *, (CASE WHEN ndsi < -0.5 THEN 2 ELSE 0 END) | (CASE WHEN elevation < 500 THEN 16 ELSE 0 END) | (CASE WHEN is_water THEN 32 ELSE 0 END) AS zf, (sensor_mask <> 0)::INT AS nf FROM base",
+           flagged=f"""SELECT * EXCLUDE (weight), (CASE WHEN class = 1 AND nf = 0 AND zf = 0 THEN nf | 2 ELSE nf END) | (CASE WHEN {_BRIGHT} THEN 16 ELSE 0 END) AS nodata,
+             CASE WHEN (class = 2 AND cloud NOT IN (1, 2)) OR saltpan = 1 THEN zf | 1 ELSE zf END AS zero,
+             greatest(1, least([100, 50, 50, 100][cloud + 1], [100, 80][cloudshadow + 1], [80, 100, 80, 80, 80, 0, 0, 0][landwater + 1], [100, 100, 50, 25][aerosol + 1], [100, 100, 50, 25][cirrus + 1],
+               least(100, round(100 / (({_ALONG}) * ({_ACROSS}))))::INT, greatest(1, round(cos(radians(solar_zenith)) * 100))::INT))::INT AS weight FROM limits""",
+           clouds=_clouds("(SELECT * EXCLUDE (cloud) FROM flagged)", "(nodata & 18) <> 0"), banded=_BANDED, margin=_MARGIN))
 def o82_ingest_job(spark, d):
     from nivalis.plans.ingest import ingest_job
 
