@@ -8,6 +8,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -401,7 +402,7 @@ def test_links_near_the_limit_are_found(spark):
         for k, own in enumerate((union[:common] + union[common : common + rest], union[:common] + union[common + rest :])):
             own = sorted(own)
             rows.append((2 * i + k, len(own), own))
-    made = spark.createDataFrame(rows, "cls long, n long, members array<bigint>")
+    made = spark.createDataFrame(pa.table({k: pa.array(c, t) for k, c, t in zip(("cls", "n", "members"), zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int64())))}))
     reps = made.select("cls", "n", F.slice("members", 1, neardup.K).alias("sketch"))
     posted = neardup.lists(reps)
     met = neardup._likely(neardup._hub_pairs(neardup._with_comp(posted, None), neardup._in_size()), reps)
