@@ -24,8 +24,8 @@ strings are judged on the input; overlaps count.
 
 Defined results. A null text is empty. Documents without an id come after all
 others. If ids repeat, different texts of one id are documents of their own, in
-the order of their hashes; equal rows are one document and treated alike. An empty
-table gives an empty result; further columns are ignored.
+the order of their hashes; equal rows are one document, searched once, and treated alike:
+what one of them keeps, each of them keeps. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -447,7 +447,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ids = docs.select("doc_id").groupBy("doc_id").count()
     unique = ids.where("count > 1").isEmpty()
     rows = _rows(docs, unique)
-    per_doc = stash(_merged(ranges(rows)), "suffix-ranges")
+    # Of equal rows one is searched, else each would count as the other's earlier copy.
+    per_doc = stash(_merged(ranges(rows if unique else rows.dropDuplicates(ROW))), "suffix-ranges")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def run(batches):
