@@ -11,7 +11,8 @@ threshold; that is calibrated on a fifth of the rule-decided urls, which the
 counts leave out, as the cut that best separates the two kinds.
 
 Models of at most `MAX_STRINGS` strings each are broadcast. Larger ones stay in Spark,
-whole, and urls are scored by joins, with the same results.
+whole, and urls are scored by joins, with the same results. The threshold is looked for in
+steps of 1 / `BINS`; differences beyond 5 either way count as 5.
 
 Defined results. A null url, or one without ://, has empty host and path, fits no
 rule and is judged as the empty string. Without urls of both kinds everything
@@ -184,9 +185,11 @@ def _scored_by_joins(urls: DataFrame, counts: DataFrame, order: int = ORDER) ->
     return rows.join(sums, "_row").withColumn("difference", F.col("d") / length).select(*urls.columns, "difference")
 
 
-def _scored(urls: DataFrame, models) -> DataFrame:
+def _scored(urls: DataFrame, counts) -> DataFrame:
+    """urls with their difference, from a broadcast pair of plain dicts (accepted, rejected): what is broadcast is unpickled without this package."""
+
     def run(batches):
-        pair = models.value
+        pair = tuple(Markov(c) for c in counts.value)
         for batch in batches:
             d = [difference(u, *pair) for u in batch.column("url").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d, pa.float64())], [*batch.schema.names, "difference"])
@@ -223,8 +226,8 @@ def judge(pages: DataFrame, rules=RULES, max_strings: int = MAX_STRINGS) -> Data
     if len(sizes) == 2:
         if max(sizes.values()) <= max_strings:
             of = lambda kind: {r.s: r.n for r in counts.where(F.col("kind") == kind).select("s", "n").collect()}
-            models = pages.sparkSession.sparkContext.broadcast((Markov(of("allow")), Markov(of("block"))))
-            score = lambda urls: _scored(urls, models)
+            pair = pages.sparkSession.sparkContext.broadcast((of("allow"), of("block")))
+            score = lambda urls: _scored(urls, pair)
         else:
             score = lambda urls: _scored_by_joins(urls, counts)
         cut = _threshold(score(ruled.where(calibrates).select("url", "by_rule")))
