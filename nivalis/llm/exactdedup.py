@@ -78,15 +78,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns.
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever these are called.
 
-    The join back is on identifier and digest, so a hot text is no hot key.
+    The join back is on identifier and digest, so a hot text is no hot key. Repeated rows
+    (same identifier and text) meet there, and one of them stays, without another shuffle.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha")
-    )
-    own = docs.withColumn("_kept_sha", F.unhex(F.sha2(normalised(text_col), 256)))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (own["_kept_sha"] == kept["_kept_sha"])
-    # Repeated rows (same identifier and text) all match; the join has already brought them together.
-    once = own.join(kept, same, "left_semi").dropDuplicates([id_col, "_kept_sha"])
-    return once.select(*docs.columns)
+    key = lambda ident, sha: F.concat_ws(":", F.isnull(ident).cast("string"), F.coalesce(ident.cast("string"), F.lit("")), sha)
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.select(F.struct(*columns).alias("doc"), key(F.col(id_col), F.sha2(normalised(text_col), 256)).alias("key"))
+    once = own.join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return once.select(*(F.col(f"doc.`{c}`") for c in docs.columns))
