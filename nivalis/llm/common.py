@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _own_dir: list[str] = []
 
@@ -111,3 +112,56 @@ def chunks(items: list[bytes], most: int = 4 << 20):
         held += len(item)
     if start < len(items):
         yield start, len(items)
+
+
+def running(df: DataFrame, group: str, order: list, label: str, value: str | None = None) -> DataFrame:
+    """df with `before`: the sum of `value` (rows, where none is named) over the earlier rows of each row's group.
+
+    Rows are dealt by ranges of (group, order), so a group of any size is spread over many tasks.
+    Only the first group of a partition can have begun in an earlier one; what is carried over is
+    one number for each partition, added up on the driver. `group` holds integers without
+    nulls, `value` none below 0, and `order` should end in what tells rows apart, else its ties meet in one task.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    spark = df.sparkSession
+    keys = [F.col(group).asc(), *order]
+    worth = F.lit(1).cast("long") if value is None else F.col(value).cast("long")
+    dealt = df.withColumn("_worth", worth).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    dealt = dealt.sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
+    kind = T.StructType([*dealt.schema, T.StructField("before", T.LongType()), T.StructField("_leads", T.BooleanType())])
+    names = kind.names
+
+    def run(batches):
+        lead = last = None
+        total = 0  # of the last group so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys_, own = batch.column(group).to_numpy(), batch.column("_worth").to_numpy()
+            lead = keys_[0] if lead is None else lead
+            ends = np.cumsum(own)
+            new = np.concatenate([[True], keys_[1:] != keys_[:-1]])
+            at = np.flatnonzero(new)
+            base = (ends - own)[at]
+            if last == keys_[0]:
+                base[0] -= total
+            before = ends - own - base[np.cumsum(new) - 1]
+            last, total = keys_[-1], int(before[-1] + own[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.int64()), pa.array(keys_ == lead)], names)
+
+    local = stash(dealt.mapInArrow(run, kind), label)
+    ends = local.groupBy("_part").agg(
+        F.min(group).alias("first"), F.max(F.struct(group, F.col("before") + F.col("_worth"))).alias("last"), F.sum(F.when(F.col("_leads"), F.col("_worth"))).alias("led")
+    )
+    carried, held, before = [], 0, None
+    for r in sorted(ends.collect()):
+        if r["first"] != before:
+            held = 0
+        carried.append((r["_part"], held))
+        held = held + r["led"] if r["first"] == r["last"][0] else r["last"][1]
+        before = r["last"][0]
+    carries = spark.createDataFrame([c for c in carried if c[1]], "_part int, _carry long")
+    summed = F.col("before") + F.when(F.col("_leads"), F.coalesce("_carry", F.lit(0))).otherwise(0)
+    return local.join(F.broadcast(carries), "_part", "left").withColumn("before", summed).drop("_part", "_carry", "_leads", "_worth")

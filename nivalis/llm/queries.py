@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, suffix, tokens, toxicity, urls, warc
+from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, prefixes, suffix, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -177,6 +177,37 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.rebuilt_trie(read(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, sha256(strlen(r) || ':' || r || x) AS d, strlen(x)::BIGINT AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+ids AS (
+  SELECT c, xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda ch: ord(ch)::BIGINT), lambda crc, b:
+           list_reduce(range(8), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, b)), 4294967295::BIGINT),
+           4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+turns AS (
+  SELECT ids.c, t.pos, 0 AS own, d, bytes FROM ids JOIN t ON t.c = ids.c - ids.c % 5 AND pos <= h
+  UNION ALL SELECT ids.c, t.pos, 1, d, bytes FROM ids JOIN t ON t.c = ids.c AND pos > h),
+seq AS (SELECT *, row_number() OVER w AS depth, sha256(string_agg(d, ',') OVER w) AS name FROM turns WINDOW w AS (PARTITION BY c ORDER BY own, pos)),
+named AS (SELECT c, depth, name, lag(name, 1, 'root') OVER (PARTITION BY c ORDER BY depth) AS parent, bytes FROM seq
+          UNION ALL SELECT c, 0, 'root', NULL, 0 FROM ids),
+nodes AS (SELECT name, min(parent) AS parent, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes FROM named GROUP BY name),
+kids AS (SELECT parent AS name, count(*) AS n_children FROM nodes GROUP BY parent),
+own AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM nodes LEFT JOIN kids USING (name)),
+sums AS (SELECT named.name, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+         FROM own JOIN named ON named.c = own.conv_id AND named.depth <= own.depth GROUP BY named.name),
+ends AS (SELECT name, string_agg(c::VARCHAR, ',' ORDER BY c) AS x FROM (SELECT c, max_by(name, depth) AS name FROM named GROUP BY c) GROUP BY name)
+SELECT own.conv_id, own.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens, sha256(coalesce(x, '')) AS ends_sha256
+FROM own JOIN sums USING (name) LEFT JOIN own up ON up.name = own.parent LEFT JOIN ends ON ends.name = own.name
+"""
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
@@ -188,5 +219,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "op11_prefix_trie": op11_prefix_trie,
 }
-SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op11_prefix_trie": OP11_SQL}
