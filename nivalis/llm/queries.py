@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, prefixes, suffix, tokens, toxicity, urls, warc
+from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, prefixes, search, suffix, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -208,6 +208,30 @@ FROM own JOIN sums USING (name) LEFT JOIN own up ON up.name = own.parent LEFT JO
 """
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+q AS (SELECT item_id, t, count(*) AS q FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM i) GROUP BY ALL),
+sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, totals GROUP BY t, docs),
+impacts AS (SELECT r, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))) AS x
+            FROM tf JOIN sizes USING (r) JOIN weights USING (t), totals),
+scores AS (SELECT item_id, r, doc_id, sum(q * x)::BIGINT AS score FROM impacts JOIN q USING (t) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
@@ -220,5 +244,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_search": op12_search,
 }
-SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op11_prefix_trie": OP11_SQL}
+SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op11_prefix_trie": OP11_SQL, "op12_search": OP12_SQL}
