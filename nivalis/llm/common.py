@@ -119,11 +119,12 @@ def running(df: DataFrame, group: str, order: list, label: str, value: str | Non
 
     Rows are dealt by ranges of (group, order), so a group of any size is spread over many tasks.
     Only the first group of a partition can have begun in an earlier one; what is carried over is
-    one number for each partition, added up on the driver. `group` holds integers without
-    nulls, `value` none below 0, and `order` should end in what tells rows apart, else its ties meet in one task.
+    one number for each partition, added up on the driver. `group` has no nulls, `value`
+    nothing below 0, and `order` should end in what tells rows apart, else its ties meet in one task.
     """
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     spark = df.sparkSession
     keys = [F.col(group).asc(), *order]
@@ -139,17 +140,16 @@ def running(df: DataFrame, group: str, order: list, label: str, value: str | Non
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys_, own = batch.column(group).to_numpy(), batch.column("_worth").to_numpy()
+            keys_, own = batch.column(group), batch.column("_worth").to_numpy()
             lead = keys_[0] if lead is None else lead
             ends = np.cumsum(own)
-            new = np.concatenate([[True], keys_[1:] != keys_[:-1]])
-            at = np.flatnonzero(new)
-            base = (ends - own)[at]
+            new = np.concatenate([[True], pc.not_equal(keys_[1:], keys_[:-1]).to_numpy(zero_copy_only=False)])
+            base = (ends - own)[np.flatnonzero(new)]
             if last == keys_[0]:
                 base[0] -= total
             before = ends - own - base[np.cumsum(new) - 1]
             last, total = keys_[-1], int(before[-1] + own[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.int64()), pa.array(keys_ == lead)], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.int64()), pc.equal(keys_, lead)], names)
 
     local = stash(dealt.mapInArrow(run, kind), label)
     ends = local.groupBy("_part").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, prefixes, search, suffix, tokens, toxicity, urls, warc
+from nivalis.llm import decontam, exactdedup, langid, mixing, neardup, prefixes, search, sharding, suffix, tokens, toxicity, urls, warc
 from nivalis.llm.common import held_out, read
 
 
@@ -232,6 +232,11 @@ WHERE rank <= 10
 """
 
 
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.plan_shards(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
@@ -245,5 +250,6 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_search": op12_search,
+    "op13_shards": op13_shards,
 }
 SQL = {"op1_mix": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_warc": OP3_SQL, "op6_repeats": OP6_SQL, "op7_near_dedup": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op11_prefix_trie": OP11_SQL, "op12_search": OP12_SQL}
