@@ -2,8 +2,8 @@
 
 The pixels of a tile-day are dealt to square blocks with a halo as wide as the operator
 looks; a block is a task's group of bounded size, and only its own pixels come back. So no
-pixel is exploded to all its neighbours, and no tile is held whole (but for inpaint, whose
-solution needs the whole connected hole).
+pixel is exploded to all its neighbours, and no tile is held whole (but for idw_fill, whose
+sums go over the whole raster).
 """
 
 from __future__ import annotations
@@ -143,91 +143,3 @@ def idw_fill(px: DataFrame, value: str, target: str, day: list[str]) -> DataFram
     own = own.where(F.col(target) | F.col(value).isNotNull())
     schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), f"row {kinds['row']}", f"col {kinds['col']}", f"{value}_idw double"])
     return own.groupBy(*day).applyInPandas(run, schema)
-
-
-#: Steps of conjugate gradients on any raster; ten for each cell come on top. In exact arithmetic one for each hole is enough.
-MOST_STEPS = 1000
-
-
-def springs(a: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
-    """Fills nans by springs between horizontal and vertical neighbours: each hole is the mean of its neighbours, of which the rim has fewer."""
-    return _solved(a, [(-1, 0, 1.0), (1, 0, 1.0), (0, -1, 1.0), (0, 1, 1.0)], tolerance)
-
-
-def plate(a: np.ndarray, tolerance: float = 1e-6) -> np.ndarray:
-    """Fills nans by a thin plate (fourth derivatives vanish): conjugate gradients on the squared Laplacian over the holes."""
-    holes = np.isnan(a)
-    if not holes.any() or holes.all():
-        return a
-
-    def laplacian(x):
-        out = np.zeros_like(x)
-        out[1:-1] += x[2:] - 2 * x[1:-1] + x[:-2]
-        out[:, 1:-1] += x[:, 2:] - 2 * x[:, 1:-1] + x[:, :-2]
-        return out
-
-    def adjoint(y):
-        out = np.zeros_like(y)
-        inner = y[1:-1]
-        out[2:] += inner
-        out[1:-1] -= 2 * inner
-        out[:-2] += inner
-        inner = y[:, 1:-1]
-        out[:, 2:] += inner
-        out[:, 1:-1] -= 2 * inner
-        out[:, :-2] += inner
-        return out
-
-    x = springs(a)
-    apply = lambda v: np.where(holes, adjoint(laplacian(v)), 0.0)
-    return _conjugate(x, -apply(x), apply, 1.0, tolerance)
-
-
-def _solved(a: np.ndarray, offsets: list, tolerance: float) -> np.ndarray:
-    """Each hole the weighted mean of its neighbours, by conjugate gradients until the residual is small."""
-    holes = np.isnan(a)
-    if not holes.any() or holes.all():
-        return a
-    n, m = a.shape
-    around = lambda v: (lambda p: sum(w * p[1 + i : 1 + i + n, 1 + j : 1 + j + m] for i, j, w in offsets))(np.pad(v, 1))
-    total = around(np.ones((n, m)))
-    apply = lambda v: np.where(holes, total * v - around(v), 0.0)
-    x = np.where(holes, np.nanmean(a), a)
-    r = -apply(x)
-    return _conjugate(x, r, apply, total, tolerance)
-
-
-def _conjugate(x, r, apply, scale, tolerance: float) -> np.ndarray:
-    """Conjugate gradients from x with residual r, scaled by the diagonal; raises if the residual does not fall below the tolerance's share of the first one."""
-    first = float(np.sqrt((r * r).sum()))
-    z = r / scale
-    p, rz = z.copy(), float((r * z).sum())
-    for _ in range(MOST_STEPS + 10 * r.size):
-        if float(np.sqrt((r * r).sum())) <= tolerance * max(first, 1e-12):
-            return x
-        q = apply(p)
-        step = rz / max(float((p * q).sum()), 1e-300)
-        x, r = x + step * p, r - step * q
-        z = r / scale
-        new = float((r * z).sum())
-        p, rz = z + new / rz * p, new
-    raise RuntimeError(f"holes were not filled to a tolerance of {tolerance}")
-
-
-def inpaint(px: DataFrame, value: str, day: list[str], rows: int, cols: int, method: str = "springs") -> DataFrame:
-    """day, row, col and `<value>_filled` for every cell of a rows x cols tile: nulls filled from around, known values unchanged.
-
-    A group is one raster of a tile-day, whose size is fixed. Rasters without any value stay null.
-    """
-    kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
-    solve = {"springs": springs, "plate": plate}[method]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a = np.full((rows, cols), np.nan)
-        a[pdf.row.to_numpy(), pdf.col.to_numpy()] = pdf[value].to_numpy(dtype=float, na_value=np.nan)
-        filled = solve(a)
-        r, c = np.mgrid[0:rows, 0:cols]
-        return pd.DataFrame({d: pdf[d].iloc[0] for d in day} | {"row": r.ravel(), "col": c.ravel(), f"{value}_filled": filled.ravel()})
-
-    schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), "row int", "col int", f"{value}_filled double"])
-    return px.select(*day, "row", "col", value).groupBy(*day).applyInPandas(run, schema)

@@ -995,7 +995,7 @@ def o72_idw_fill(spark, d):
 
 def _inpaint(method):
     def run(spark, d):
-        from nivalis.operators.neighbourhood import inpaint
+        from nivalis.operators.holes import inpaint
 
         g = A.grid_days(spark, d).select(*ID, "solar_zenith")
         rows = g.agg(F.max("row")).first()[0] + 1

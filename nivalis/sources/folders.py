@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -19,3 +19,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     if not told and not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="spark-"))
     return f"{(told or _own[0]).rstrip('/')}/nivalis-{label}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, label: str) -> DataFrame:
+    """df as a Parquet table in a new shared folder: computed once, and read again where an executor is lost."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

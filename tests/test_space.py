@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nivalis.operators import lut, neighbourhood, stats, unmix
+from nivalis.operators import lut, holes, neighbourhood, stats, unmix
 
 DAY = ["tile", "obs_date"]
 WHEN = dt.date(2000, 1, 1)
@@ -64,7 +64,7 @@ def test_inpaint_a_smooth_surface(spark, method, error):
     true = np.exp(x[:, None] + x[None, :])
     holed = true.copy()
     holed[5:8, 5:8] = holed[15, 12:16] = np.nan
-    found = as_array(neighbourhood.inpaint(tile(spark, z=holed), "z", DAY, 21, 21, method), "z_filled", true.shape)
+    found = as_array(holes.inpaint(tile(spark, z=holed), "z", DAY, 21, 21, method), "z_filled", true.shape)
     known = ~np.isnan(holed)
     assert np.allclose(found[known], true[known]) and np.abs(found - true).max() < error
 
@@ -136,15 +136,15 @@ def test_inpaint_converges_in_a_hole_of_100_pixels(method):
     true = np.tile(np.linspace(0, 90, 120), (120, 1)) + np.arange(120)[:, None] / 3
     holed = true.copy()
     holed[10:110, 10:110] = np.nan
-    assert np.abs(getattr(neighbourhood, method)(holed) - true).max() < 1e-2
+    assert np.abs(getattr(holes, method)(holed) - true).max() < 1e-2
 
 
 def test_inpaint_says_when_it_does_not_converge(monkeypatch):
     holed = np.tile(np.arange(30.0), (30, 1))
     holed[5:25, 5:25] = np.nan
-    monkeypatch.setattr(neighbourhood, "MOST_STEPS", -10 * holed.size)
+    monkeypatch.setattr(holes, "MOST_STEPS", 1)
     with pytest.raises(RuntimeError):
-        neighbourhood.springs(holed)
+        holes.springs(holed)
 
 
 def test_springs_are_the_least_squares_of_horizontal_and_vertical_springs():
@@ -166,10 +166,10 @@ def test_springs_are_the_least_squares_of_horizontal_and_vertical_springs():
                 right[k] -= sign * flat[node]
     expected = flat.copy()
     expected[hole] = np.linalg.lstsq(system[:, hole], right, rcond=None)[0]
-    assert np.allclose(neighbourhood.springs(holed).ravel(), expected, atol=1e-6)
+    assert np.allclose(holes.springs(holed).ravel(), expected, atol=1e-6)
     whole = true.copy()
     whole[20:50, 35:90] = np.nan
-    assert np.abs(neighbourhood.plate(whole) - true).max() < 0.05
+    assert np.abs(holes.plate(whole) - true).max() < 0.05
 
 
 def test_inverse_distance_means_against_loops():
@@ -181,3 +181,66 @@ def test_inverse_distance_means_against_loops():
             w = [(1 / np.hypot(a - i, b - j), value[a, b]) for a in range(9) for b in range(12) if valid[a, b] and (a, b) != (i, j)]
             assert found[i, j] == pytest.approx(sum(x * v for x, v in w) / sum(x for x, _ in w))
     assert np.isnan(neighbourhood.inverse_distance_means(value, np.zeros((9, 12), bool))).all()
+
+
+def dense(holed, method):
+    """The same systems as matrices."""
+    n, m = holed.shape
+    energy = np.zeros((n * m, n * m))
+    for k in range(n * m):
+        unit = np.zeros(n * m)
+        unit[k] = 1
+        energy[:, k] = holes.ENERGY[method](unit.reshape(n, m)).ravel()
+    flat, hole = holed.ravel().copy(), np.isnan(holed.ravel())
+    flat[hole] = np.linalg.solve(energy[np.ix_(hole, hole)], -energy[np.ix_(hole, ~hole)] @ flat[~hole])
+    return flat.reshape(n, m)
+
+
+def squared_laplacians(x):
+    n, m = x.shape
+    total = 0.0
+    for i in range(n):
+        for j in range(m):
+            bend = (x[i + 1, j] - 2 * x[i, j] + x[i - 1, j] if 0 < i < n - 1 else 0) + (x[i, j + 1] - 2 * x[i, j] + x[i, j - 1] if 0 < j < m - 1 else 0)
+            total += bend**2
+    return total
+
+
+@pytest.mark.parametrize("block", [200, 7])
+@pytest.mark.parametrize("method", ["springs", "plate"])
+def test_holes_across_blocks_equal_a_dense_solution(spark, method, block):
+    """Noise; holes within a block, across borders and corners, at the edges, side by side; absent cells, empty blocks."""
+    rng = np.random.default_rng(8)
+    true = rng.normal(0, 9, (26, 31))
+    holed = true.copy()
+    for cells in (np.s_[1:3, 1:3], np.s_[5:9, 4:17], np.s_[12:16, 12:16], np.s_[0:2, 20:24], np.s_[20:26, 25:31], np.s_[18, :12], np.s_[20, :12], np.s_[9:12, 6], np.s_[14:21, 20:23], np.s_[10, 24:30:2]):
+        holed[cells] = np.nan
+    expected = dense(holed, method)
+    if method == "plate":  # the least energy of all
+        assert all(squared_laplacians(expected) < squared_laplacians(np.where(np.isnan(holed), expected + rng.normal(0, 0.1, true.shape), true)) for _ in range(5))
+    px = tile(spark, z=holed).where("z IS NOT NULL AND NOT isnan(z) OR row < 12")
+    found = as_array(holes.inpaint(px, "z", DAY, 26, 31, method, block), "z_filled", true.shape)
+    assert np.abs(found - expected).max() < 1e-5
+
+
+def test_rasters_without_a_value_stay_null(spark):
+    px = tile(spark, z=np.full((4, 5), np.nan))
+    for block in (200, 2):
+        found = holes.inpaint(px, "z", DAY, 4, 5, "springs", block).collect()
+        assert len(found) == 20 and all(r.z_filled is None or np.isnan(r.z_filled) for r in found)
+    assert holes.inpaint(px.where("row > 9"), "z", DAY, 4, 5).count() == 0
+
+
+@pytest.mark.parametrize(("method", "most"), [("springs", 20), ("plate", 45)])
+def test_steps_hardly_depend_on_the_width_of_a_hole(method, most):
+    steps = []
+    for width in (50, 100, 200, 400):
+        rng = np.random.default_rng(width)
+        a = rng.normal(0, 5, (width + 40, width + 40))
+        mask = np.zeros(a.shape, bool)
+        mask[20:-20, 20:-20] = True
+        filled, n = holes.solve(np.where(mask, 0.0, a), mask, method)
+        steps.append(n)
+        left = np.where(mask, holes.ENERGY[method](filled), 0.0)
+        assert np.abs(left).max() < 1e-5 * np.abs(np.where(mask, holes.ENERGY[method](np.where(mask, 0.0, a)), 0.0)).max()
+    assert max(steps) <= most and steps[-1] <= 2 * steps[0]
