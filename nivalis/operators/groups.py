@@ -46,41 +46,42 @@ def distinct_spectra(px: DataFrame, columns: list[str], ident: list[str], tolera
     return bins.groupBy(*[f"q_{c}" for c in columns]).agg(F.min("s").alias("s"), F.count("*").alias("members"))
 
 
-def saltpan_flag(px: DataFrame, day: list[str], step: int = 10, above: int = 40, least_pixels: int = 25, least_bins: int = 5, percent: float = 5, low: int = -50, high: int = 5400) -> DataFrame:
-    """Adds is_saltpan: snow where the elevations around are free of snow.
+def saltpan_flag(px: DataFrame, day: list[str], snow: str = "snow", base: str = "is_base", step: int = 10, above: int = 40, least_pixels: int = 25, least_bins: int = 5, percent: float = 5, low: int = -50, high: int = 5400) -> DataFrame:
+    """Adds is_saltpan: base pixels with snow where the elevations around are free of snow.
 
     Per day, cell and elevation bin: the share of base pixels with snow. A bin counts as snow-free
-    if, of it and the bins above, enough have a share below `percent`; the topmost ones are never.
+    if, of it and the `above` bins above, enough have a share below `percent`; bins without that many
+    above them are never.
     """
     key = [*day, "cell_row", "cell_col"]
     own = px.withColumn("bin", F.floor((F.col("elevation") - low) / step).cast("int"))
     top = (high - low) // step
-    shares = own.where(F.col("is_base") & F.col("bin").between(0, top - 1)).groupBy(*key, "bin").agg(
-        F.count("*").alias("n"), F.count(F.when(F.col("snow") > 0, 1)).alias("snowy")
+    shares = own.where(F.col(base) & F.col("bin").between(0, top - 1)).groupBy(*key, "bin").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col(snow) > 0, 1)).alias("snowy")
     )
     free = shares.where((F.col("n") >= least_pixels) & (F.col("snowy") * 100 < F.col("n") * percent)).select(*key, "bin")
     # A free bin speaks for itself and the `above` bins below it.
     votes = free.select(*key, F.explode(F.sequence(F.col("bin") - above, F.col("bin"))).alias("bin")).groupBy(*key, "bin").agg(F.count("*").alias("votes"))
-    votes = votes.where((F.col("votes") >= least_bins) & F.col("bin").between(0, top - 1 - above))
+    votes = votes.where((F.col("votes") >= least_bins) & F.col("bin").between(0, top - above))
     flagged = own.join(votes, [*key, "bin"], "left")
-    return flagged.withColumn("is_saltpan", F.col("votes").isNotNull() & F.coalesce(F.col("snow") > 0, F.lit(False))).drop("votes", "bin")
+    return flagged.withColumn("is_saltpan", F.col("votes").isNotNull() & F.coalesce(F.col(base) & (F.col(snow) > 0), F.lit(False))).drop("votes", "bin")
 
 
-def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10) -> DataFrame:
+def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10, snow: str = "snow", valid: str = "valid") -> DataFrame:
     """Adds `<value>_spatial`: for snow pixels without a valid value, the median around them; else the value.
 
-    Needs snow and valid (booleans), elevation, row and col. For a pixel of elevation band k the bands
+    Needs booleans `snow` and `valid`, elevation, row and col. For a pixel of elevation band k the bands
     k, k + 1, ... top, then the others downwards are asked; in each, the smallest cell of a
     pyramid (24 ... 1 per side) with more than `least` valid values above 0 (any at the
     top) gives the median, rounded. All medians come from histograms of integers; the order of
     bands is settled on the small table of (day, band).
     """
-    own = px.withColumns({"band": elevation_band(F.col("elevation"), edges), "_target": F.col("snow") & ~F.col("valid")})
+    own = px.withColumns({"band": elevation_band(F.col("elevation"), edges), "_target": F.col(snow) & ~F.col(valid)})
     cells = F.array(*[
         F.struct(F.lit(level).alias("level"), F.expr(f"row * {n} div {rows}").alias("cr"), F.expr(f"col * {n} div {cols}").alias("cc"))
         for level, n in enumerate(LEVELS)
     ])
-    good = own.where(F.col("snow") & F.col("valid") & (F.col(value) > 0) & F.col("band").isNotNull())
+    good = own.where(F.col(snow) & F.col(valid) & (F.col(value) > 0) & F.col("band").isNotNull())
     hist = good.withColumn("c", F.explode(cells)).groupBy(*day, "band", "c", F.col(value).alias("v")).agg(F.count("*").alias("n"))
     w = W.partitionBy(*day, "band", "c")
     hist = hist.withColumns({"total": F.sum("n").over(w), "upto": F.sum("n").over(w.orderBy("v").rowsBetween(W.unboundedPreceding, 0))})

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.bits import flags_of, get_bit, pack_masks, set_bit, squeeze_viirs, unpack_bits
@@ -83,18 +83,37 @@ def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: lis
     })
 
 
-def spatial_job(px: DataFrame, rows: int = 2400, cols: int = 2400, base: str = "is_base") -> DataFrame:
+#: Filter bits that make a pixel no snow for the medians; the class of a classifier (2 and 1) is left out for VIIRS.
+NOT_SNOW = {False: (range(1, 9), range(1, 9)), True: ((1, 3, 5, 6, 7), (2, 3, 4, 5, 6, 7))}
+MOST_CANOPY = 30
+
+
+def _off(filter_: str, bits) -> Column:
+    """Whether all of the filter's bits are off; a null filter is not."""
+    return F.coalesce(F.col(filter_).bitwiseAND(F.lit(sum(1 << b - 1 for b in bits))) == 0, F.lit(False))
+
+
+def saltpan_base(viirs: bool = False) -> Column:
+    """Pixels whose snow counts for the salt pans: low canopy, no cloud, not of little snow or small grains."""
+    clouds = (5, 6) if viirs else (2, 5, 6)
+    return F.coalesce(F.col("canopy_cover") < MOST_CANOPY, F.lit(False)) & _off("nodata_filter", clouds) & _off("zero_filter", (3, 4))
+
+
+def spatial_job(px: DataFrame, rows: int = 2400, cols: int = 2400, viirs: bool = False, **saltpans) -> DataFrame:
     """What neighbours tell about unmixed pixels: salt pans (bit 7 of nodata_filter), grain size and dust from the medians around.
 
-    Needs viewable_snow_fraction, grain, dust_ppm, grain_size_dust, elevation and a boolean `base` (the pixels whose snow
-    share counts for the salt pans). Adds grain_spatial and dust_ppm_spatial; a value is valid if its
-    three bits of grain_size_dust are off.
+    Needs viewable_snow_fraction, grain, dust_ppm, grain_size_dust, both filters, elevation and canopy_cover. Salt pans are
+    flagged first; snow is then what no filter excludes, flagged pixels included in these, and a value is valid if its three
+    bits of grain_size_dust are off. Adds grain_spatial and dust_ppm_spatial, and keeps all columns; further
+    arguments go to saltpan_flag.
     """
+    kept = [F.col(f"`{c}`") for c in px.columns if c not in ("grain_spatial", "dust_ppm_spatial")]
     cell_row, cell_col = cell_of_pixel(F.col("row"), F.col("col"), rows, cols)
-    own = px.withColumns({"snow": F.col("viewable_snow_fraction"), "is_base": F.col(base), "cell_row": cell_row, "cell_col": cell_col})
-    own = saltpan_flag(own, DAY).withColumn("nodata_filter", set_bit(F.col("nodata_filter"), 7, F.col("is_saltpan")))
-    own = own.withColumn("snow", F.coalesce(F.col("snow") > 0, F.lit(False)))
-    for value, bits in (("grain", 0b000111), ("dust_ppm", 0b111000)):
-        valid = F.coalesce(F.col("grain_size_dust").bitwiseAND(F.lit(bits)) == 0, F.lit(False)) & F.col(value).isNotNull()
-        own = spatial_median_fill(own.withColumn("valid", valid), value, DAY, rows, cols)
-    return own.drop("snow", "valid", "is_base" if base != "is_base" else "_", "cell_row", "cell_col", "is_saltpan")
+    own = px.select(*kept).withColumns({"_base": saltpan_base(viirs), "cell_row": cell_row, "cell_col": cell_col})
+    own = saltpan_flag(own, DAY, "viewable_snow_fraction", "_base", **saltpans).withColumn("nodata_filter", set_bit(F.col("nodata_filter"), 7, F.col("is_saltpan")))
+    nodata, zero = NOT_SNOW[viirs]
+    own = own.withColumn("_snow", _off("nodata_filter", nodata) & _off("zero_filter", zero))
+    for value, bits in (("grain", (1, 2, 3)), ("dust_ppm", (4, 5, 6))):
+        own = own.withColumn("_valid", _off("grain_size_dust", bits) & F.col(value).isNotNull())
+        own = spatial_median_fill(own, value, DAY, rows, cols, snow="_snow", valid="_valid")
+    return own.select(*kept, "grain_spatial", "dust_ppm_spatial")

@@ -653,15 +653,23 @@ def o51_distinct_spectra(spark, d):
     return found.select(*[f"q_{c}" for c in columns], "members", *[f"s.{c}" for c in ID])
 
 
-@query(sql("grid", f"""SELECT {IDS}, coalesce(v.votes >= 2 AND bin BETWEEN 0 AND 544 - 40, false) AND coalesce(snow > 0, false) AS is_saltpan
-FROM (SELECT *, floor((elevation + 50) / 10.0)::INT AS bin, least("row" // 8, 5) AS cr, least(col // 8, 5) AS cc FROM grid) g
-LEFT JOIN (SELECT tile, obs_date, cr, cc, b AS bin, count(*) AS votes FROM (SELECT *, unnest(range(bin - 40, bin + 1)) AS b FROM
-  (SELECT tile, obs_date, least("row" // 8, 5) AS cr, least(col // 8, 5) AS cc, floor((elevation + 50) / 10.0)::INT AS bin, count(*) AS n, count(*) FILTER (WHERE snow > 0) AS s
-   FROM grid WHERE class < 2 AND floor((elevation + 50) / 10.0) BETWEEN 0 AND 544 GROUP BY ALL) WHERE n >= 1 AND s * 100 < n * 5) GROUP BY ALL) v
-USING (tile, obs_date, cr, cc, bin)"""))
+def _saltpans(table: str, snow: str, base: str, least_pixels: int, least_bins: int, cells: str) -> str:
+    """The table with bin, cr and cc, and is_saltpan: 546 elevations from -50 on make 545 bins; a bin is asked if all of 40 above it are elevations of the list."""
+    return f"""SELECT t.*, coalesce(({base}) AND {snow} > 0 AND bin BETWEEN 0 AND 505 AND votes >= {least_bins}, false) AS is_saltpan
+FROM (SELECT *, floor((elevation + 50) / 10.0)::INT AS bin, {cells} FROM {table}) t LEFT JOIN
+(SELECT a.tile, a.obs_date, a.cr, a.cc, a.bin, count(*) AS votes FROM
+  (SELECT DISTINCT tile, obs_date, floor((elevation + 50) / 10.0)::INT AS bin, {cells} FROM {table}) a JOIN
+  (SELECT tile, obs_date, floor((elevation + 50) / 10.0)::INT AS bin, {cells} FROM {table} WHERE ({base}) AND elevation BETWEEN -50 AND 5399
+   GROUP BY ALL HAVING count(*) >= {least_pixels} AND 100.0 * count(*) FILTER (WHERE {snow} > 0) / count(*) < 5) f
+  ON a.tile = f.tile AND a.obs_date = f.obs_date AND a.cr = f.cr AND a.cc = f.cc AND f.bin BETWEEN a.bin AND a.bin + 40 GROUP BY ALL) v
+USING (tile, obs_date, cr, cc, bin)"""
+
+
+@query(sql("grid", f"SELECT {IDS}, is_saltpan FROM pans", high="SELECT * REPLACE ((elevation + 100)::INT AS elevation) FROM grid",
+           pans=_saltpans("high", "snow", "class < 2", 1, 2, 'least("row" // 8, 5) AS cr, least(col // 8, 5) AS cc')))
 def o52_saltpan_flag(spark, d):
     cr, cc = F.expr("least(row div 8, 5)"), F.expr("least(col div 8, 5)")
-    px = A.grid_days(spark, d).withColumns({"is_base": F.col("class") < 2, "cell_row": cr, "cell_col": cc})
+    px = A.grid_days(spark, d).withColumns({"is_base": F.col("class") < 2, "cell_row": cr, "cell_col": cc, "elevation": F.col("elevation") + 100})
     return groups.saltpan_flag(px, ["tile", "obs_date"], least_pixels=1, least_bins=2).select(*ID, "is_saltpan")
 
 
@@ -1042,16 +1050,60 @@ def o82_ingest_job_viirs(spark, d):
     return found.select(*ID, "nodata_filter", "zero_filter", "weight", "sensor_mask", F.round("ndsi", 6).alias("ndsi"))
 
 
-@query()
-def o82_spatial_job(spark, d):
-    """Salt pans and medians around, of the grid view's snow, grain size and dust."""
+def _medians_around(value: str, valid: str) -> dict[str, str]:
+    """Common table expressions: the view spat's `value`, or where it is snow and not valid the median around, as <value>_around."""
+    return {
+        f"{value}_good": f"SELECT * FROM spat WHERE snowy AND {valid} AND {value} > 0",
+        f"{value}_med": f"""SELECT tile, obs_date, band, level, "row" * per_side // {_ROWS} AS cr, col * per_side // {_COLS} AS cc, round(median({value}))::INT AS median
+          FROM {value}_good CROSS JOIN lv GROUP BY ALL HAVING count(*) > 10 OR level = 5""",
+        f"{value}_asked": f"""SELECT tile, obs_date, band, coalesce(min(b) FILTER (WHERE b >= band), max(b)) AS from_band
+          FROM (SELECT DISTINCT tile, obs_date, band AS b FROM {value}_good), (SELECT DISTINCT band FROM spat) GROUP BY ALL""",
+        f"{value}_around": f"""SELECT t.tile, t.obs_date, t."row", t.col, arg_min(m.median, m.level) AS fill FROM
+          (SELECT spat.*, from_band FROM spat JOIN {value}_asked USING (tile, obs_date, band) WHERE snowy AND NOT {valid}) t CROSS JOIN lv
+          JOIN {value}_med m ON m.tile = t.tile AND m.obs_date = t.obs_date AND m.band = t.from_band AND m.level = lv.level AND m.cr = t."row" * per_side // {_ROWS} AND m.cc = t.col * per_side // {_COLS}
+          GROUP BY ALL""",
+    }
+
+
+#: Filters with every bit in some pixel, and most often off, so that salt pans, snow and fills all occur.
+_NODATA, _ZERO = "CASE WHEN b1 % 3 = 0 THEN nodata_filter % 64 ELSE 0 END", "CASE WHEN b2 % 3 = 0 THEN zero_filter ELSE 0 END"
+_SPATIAL_CELLS = f'least("row" // {_ROWS // 6}, 5) AS cr, least(col // {_COLS // 6}, 5) AS cc'
+
+
+def _spatial_sql(viirs: bool) -> str:
+    clouds, nodata, zero = (16 | 32, 1 | 4 | 16 | 32 | 64, 2 | 4 | 8 | 16 | 32 | 64) if viirs else (2 | 16 | 32, 255, 255)
+    return sql(
+        "grid", f"""SELECT tile, obs_date, "row", col, nodata_filter, CASE WHEN snowy AND NOT g_valid THEN g.fill ELSE grain END AS grain_spatial,
+        CASE WHEN snowy AND NOT d_valid THEN d.fill ELSE dust END AS dust_ppm_spatial
+        FROM spat LEFT JOIN grain_around g USING (tile, obs_date, "row", col) LEFT JOIN dust_around d USING (tile, obs_date, "row", col)""",
+        base=f"""SELECT * EXCLUDE (nodata_filter, zero_filter), {_NODATA} AS nodata, {_ZERO} AS zero, b3 % 40 AS canopy, CASE WHEN class = 0 THEN 0 WHEN class = 1 THEN 1 + b4 % 7 ELSE 8 << (b5 % 3) END AS gd
+          FROM grid""",
+        pans=_saltpans("base", "snow", f"canopy < 30 AND nodata & {clouds} = 0 AND zero & 12 = 0", 2, 2, _SPATIAL_CELLS),
+        spat=f"""SELECT *, nodata | CASE WHEN is_saltpan THEN 64 ELSE 0 END AS nodata_filter, (nodata | CASE WHEN is_saltpan THEN 64 ELSE 0 END) & {nodata} = 0 AND zero & {zero} = 0 AS snowy,
+          gd & 7 = 0 AS g_valid, gd & 56 = 0 AS d_valid, {_steps(joins.MEDIAN_STEPS)} AS band FROM pans""",
+        lv=_LEVELS, **_medians_around("grain", "g_valid"), **_medians_around("dust", "d_valid"),
+    )
+
+
+def _spatial(spark, d, viirs):
     from nivalis.plans.ingest import spatial_job
 
     px = A.grid_days(spark, d).withColumns({
-        "viewable_snow_fraction": F.coalesce("snow", F.lit(0)), "dust_ppm": F.col("dust"), "is_base": F.col("class") < 2,
-        "grain_size_dust": F.when(F.col("class") == 0, 0).when(F.col("class") == 1, 1).otherwise(8),
+        "viewable_snow_fraction": F.col("snow"), "dust_ppm": F.col("dust"), "canopy_cover": F.col("b3") % 40, "nodata_filter": F.expr(_NODATA), "zero_filter": F.expr(_ZERO),
+        "grain_size_dust": F.when(F.col("class") == 0, 0).when(F.col("class") == 1, 1 + F.col("b4") % 7).otherwise(F.expr("shiftleft(8, b5 % 3)")),
     })
-    return spatial_job(px, _ROWS, _COLS).select(*ID, "nodata_filter", "grain_spatial", "dust_ppm_spatial")
+    return spatial_job(px, _ROWS, _COLS, viirs, least_pixels=2, least_bins=2).select(*ID, "nodata_filter", "grain_spatial", "dust_ppm_spatial")
+
+
+@query(_spatial_sql(False))
+def o82_spatial_job(spark, d):
+    """Salt pans and medians around, of the grid view's snow, grain size and dust."""
+    return _spatial(spark, d, False)
+
+
+@query(_spatial_sql(True))
+def o82_spatial_job_viirs(spark, d):
+    return _spatial(spark, d, True)
 
 
 @query()

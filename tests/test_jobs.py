@@ -233,13 +233,45 @@ def test_ingest_job_for_viirs(spark):
         assert x.zero_filter & 1 == 0
 
 
-def test_spatial_job_fills_from_around_and_flags_salt_pans(spark):
-    rows = [("h00v00", r, c, dt.date(2000, 1, 1), 50, 100 + c, 10, 0 if c else 9, 1000, 0, True) for r in range(6) for c in range(6)]
-    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, viewable_snow_fraction int, grain int, dust_ppm int, grain_size_dust int, elevation int, nodata_filter int, is_base boolean")
-    found = {(r.row, r.col): r for r in ingest.spatial_job(px, 6, 6).collect()}
-    assert all(x.nodata_filter == 0 for x in found.values())
-    assert found[0, 0].grain_spatial == 103 and found[0, 0].dust_ppm_spatial == 10
-    assert all(x.grain_spatial == 100 + c for (_, c), x in found.items() if c)
+def spatial_table(spark, rows):
+    kinds = "row int, col int, viewable_snow_fraction int, grain int, dust_ppm int, grain_size_dust int, elevation int, canopy_cover int, nodata_filter int, zero_filter int"
+    return spark.createDataFrame([("h00v00", dt.date(2000, 1, 1), *r, "own", True) for r in rows], f"tile string, obs_date date, {kinds}, snow string, valid boolean")
+
+
+def test_spatial_job_fills_from_pixels_without_filters_only(spark):
+    """Half of the tile under bit 3 with other grains; pixels without own values; the caller's snow and valid columns stay."""
+    rows = [(r, c, 50, 100 if c < 3 else 900, 10 if c < 3 else 70, 9 if (r, c) == (0, 0) else 0, 1000, 50, 0 if c < 3 else 4, 0) for r in range(6) for c in range(6)]
+    table = spatial_table(spark, rows)
+    out = ingest.spatial_job(table, 6, 6)
+    assert out.columns == [*table.columns, "grain_spatial", "dust_ppm_spatial"]
+    found = {(r.row, r.col): r for r in out.collect()}
+    assert found[0, 0].grain_spatial == 100 and found[0, 0].dust_ppm_spatial == 10 and found[0, 0].snow == "own" and found[0, 0].valid
+    assert all(x.grain_spatial == (100 if c < 3 else 900) and x.nodata_filter == (0 if c < 3 else 4) for (_, c), x in found.items())
+    # VIIRS takes no notice of the classifier's bits, but of the others.
+    cloudy = spatial_table(spark, [(r, c, 50, 500, 10, 1 if c == 0 else 0, 1000, 50, 2, 1) for r in range(6) for c in range(6)])
+    assert {x.grain_spatial for x in ingest.spatial_job(cloudy, 6, 6).collect()} == {500}
+    changed = cloudy.withColumn("grain", F.when(F.col("col") == 0, 7).otherwise(F.col("grain")))
+    assert {x.grain_spatial for x in ingest.spatial_job(changed, 6, 6).where("col = 0").collect()} == {7}  # no snow, nothing to fill
+    assert {x.grain_spatial for x in ingest.spatial_job(changed, 6, 6, viirs=True).where("col = 0").collect()} == {500}
+
+
+def test_spatial_job_flags_salt_pans_of_the_base_only(spark):
+    """Five and more snow-free bins above 5000 m: snow of the base in them is salt, under clouds, canopy or little snow it is not."""
+    rows = []
+    for b in range(8):  # bins 4950 to 5020 m, a row of 36 pixels each; in one cell of a 6 x 6 grid of cells
+        for c in range(36):
+            snowy = c == 0
+            rows.append((b, c, 60 if snowy else 0, 300, 10, 0, 4950 + 10 * b, 0, 0, 0))
+    odd = [(20, 0, 60, 300, 10, 0, 4951, 30, 0, 0), (20, 1, 60, 300, 10, 0, 4951, 0, 2, 0), (20, 2, 60, 300, 10, 0, 4951, 0, 16, 0), (20, 3, 60, 300, 10, 0, 4951, 0, 0, 4), (20, 4, 60, 300, 10, 0, 4951, 0, 0, 8), (20, 5, 60, 300, 10, 0, 4951, 29, 1, 1)]
+    rows += [(90 + b, c, 60 if c == 0 else 0, 300, 10, 0, 5000 + b, 0, 0, 0) for b in range(1) for c in range(36)]
+    flag = lambda found: {k for k, r in found.items() if r.nodata_filter & 64}
+    found = {(r.row, r.col): r for r in ingest.spatial_job(spatial_table(spark, rows + odd), 216, 216).collect()}
+    # Bins 4950, 4960, 4970 and 4980 see five snow-free ones; those from 4990 on do not. Of the odd ones only the last is base.
+    assert flag(found) == {(0, 0), (1, 0), (2, 0), (3, 0), (20, 5)}
+    high = [(b, c, 60 if c == 0 else 0, 300, 10, 0, 5000 + 10 * b, 0, 0, 0) for b in range(9) for c in range(36)]
+    found = {(r.row, r.col): r for r in ingest.spatial_job(spatial_table(spark, high), 216, 216).collect()}
+    assert flag(found) == {(0, 0)}  # the bin 5000 to 5010 m is asked, the next has no 40 bins above it
+    assert all(found[k].grain_spatial is not None for k in found)
 
 
 def test_fix_peaks_is_fix_peak_of_each_season(spark):
