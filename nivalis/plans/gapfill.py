@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.flags import nodata_or_zero
 from nivalis.functions.wateryear import water_year
-from nivalis.operators.series import PIXEL, densify, rare_observations, snow_cover_days, unobserved_runs
-from nivalis.operators.spline import fix_peak, held, matrix, pixel_groups, smooth
+from nivalis.operators.series import PIXEL
+from nivalis.operators.spline import fix_peak, held, pixel_groups, smooth
 
 OUT = ["viewable_snow_fraction", "snow_fraction", "grain_size", "dust"]
 
@@ -43,45 +43,99 @@ def fill_seasons(a: dict[str, np.ndarray], fix: bool, limit: float = 10, least_d
     return dict(zip(OUT, (view, total, grain, dust)))
 
 
+def runs(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place in, and length of, the run of unobserved days of each pixel and day; 0 on observed days."""
+    t = np.arange(1, seen.shape[1] + 1)
+    since = t - np.maximum.accumulate(np.where(seen, t, 0), axis=1)
+    until = (t - np.maximum.accumulate(np.where(seen[:, ::-1], t, 0), axis=1))[:, ::-1]
+    return since, np.where(seen, 0, since + until - 1)
+
+
+def stretch_days(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Snow days between two observed zeros, and zeros between two observed snows, for all days between them; 0 on days of the other kind."""
+
+    def between(kind, ends):
+        t, days = np.arange(z.shape[1]), z.shape[1]
+        count = np.concatenate([np.zeros((len(z), 1), int), np.cumsum(kind, axis=1)], axis=1)  # before each day, and in all
+        last = np.maximum.accumulate(np.where(ends, t, -1), axis=1)
+        following = days - 1 - np.maximum.accumulate(np.where(ends[:, ::-1], t, -1), axis=1)[:, ::-1]
+        total = np.take_along_axis(count, np.minimum(following, days), axis=1) - np.take_along_axis(count, np.maximum(last, 0), axis=1)
+        return np.where(ends, 0, total)
+
+    with np.errstate(invalid="ignore"):
+        zero, some = z == 0, z > 0
+    return between(some, zero), between(zero, some)
+
+
+def season(a: dict[str, np.ndarray], days: np.ndarray, fix: bool, least_snow: int = 3, least_absent: int = 3) -> dict[str, np.ndarray]:
+    """All that gap filling gives of pixels x days: run lengths of the observations, rare ones taken out, splines, days of snow cover."""
+    since, length = runs(~np.isnan(a["snow"]))
+    snowy, absent = stretch_days(a["snow"])
+    rare = ((snowy >= 1) & (snowy < least_snow)) | ((absent >= 1) & (absent < least_absent))
+    filled = fill_seasons(a | {"snow": np.where(rare, np.nan, a["snow"])}, fix)
+    years = days.astype("datetime64[Y]").astype(int) + 1970 + (days.astype("datetime64[M]").astype(int) % 12 >= 9)
+    with np.errstate(invalid="ignore"):
+        covered = np.cumsum(filled["snow_fraction"] > 10, axis=1)
+    begins = np.searchsorted(years, years)  # the first day of each day's water year
+    before = np.concatenate([np.zeros((len(covered), 1), int), covered], axis=1)[:, begins]
+    out = {"days_since_last_observation": since, "days_without_observation": length, "is_rare": rare, **filled}
+    return out | {"water_year": np.broadcast_to(years, since.shape), "snow_cover_days": covered - before}
+
+
 def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None = None, version: int = 1, viirs: bool = False, months_for_peak: int = 8, cols: int = 2400, by_year: bool = False) -> DataFrame:
     """Gap-free rows of every pixel and day of the window, with run lengths, flags and snow-cover days.
 
-    Needs snow, total, grain, dust, weight and both filters. One shuffle brings the pixels' days
-    together for the windows, a second one the pixel groups for the splines. With by_year each water
-    year of the window that a pixel has rows in is a season of its own (cut off at the window's ends).
+    Needs snow, total, grain, dust, weight and both filters. One shuffle brings the rows of 1,024 neighbouring
+    pixels together, the static ones as rows among them; all else happens on their matrix of pixels and days, which also
+    makes the absent days. With by_year each water year of the window that a pixel has rows in is a season
+    of its own (cut off at the window's ends), and a group of its own.
     """
-    start, end = F.to_date(F.lit(first)), F.to_date(F.lit(last))
-    own, keys = px.where(F.col("obs_date").between(start, end)), list(PIXEL)
-    if by_year:
-        own, keys = own.withColumn("water_year", water_year(F.col("obs_date"))), [*PIXEL, "water_year"]
-        start = F.greatest(start, F.make_date(F.col("water_year") - 1, F.lit(10), F.lit(1)))
-        end = F.least(end, F.make_date(F.col("water_year"), F.lit(9), F.lit(30)))
-    days = densify(own, start, end, keys)
+    window, keys = (np.datetime64(first), np.datetime64(last)), ["water_year"] if by_year else []
     missing, free = nodata_or_zero(F.coalesce("nodata_filter", F.lit(1)), F.coalesce("zero_filter", F.lit(0)), version, viirs)
-    z = F.when(missing, None).when(free, 0).otherwise(F.col("snow"))
-    days = days.withColumn("snow", z)
-    days = unobserved_runs(days, F.col("snow").isNotNull(), keys)
-    days = rare_observations(days, "snow", keys=keys)
+    values = ["snow", "total", "grain", "dust", "weight"]
+    own = px.where(F.col("obs_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+    own = own.withColumn("snow", F.when(missing, None).when(free, 0).otherwise(F.col("snow")))
+    own = own.select(*PIXEL, "obs_date", water_year(F.col("obs_date")).cast("int").alias("water_year"), *[F.col(v).cast("float").alias(v) for v in values])
     if static is not None:
-        days = days.join(static.select(*PIXEL, F.col("ice_fraction").alias("ice")), PIXEL, "left")
+        low, high = (int(str(d)[:4]) + (int(str(d)[5:7]) >= 10) for d in window)
+        seasons_ = F.explode(F.sequence(F.lit(low), F.lit(high))) if by_year else F.lit(low)
+        fixed = static.select(*PIXEL, seasons_.alias("water_year"), F.col("ice_fraction").cast("float").alias("ice"))
+        own = own.unionByName(fixed, allowMissingColumns=True)
     else:
-        days = days.withColumn("ice", F.lit(0))
-    kinds = {f.name: f.dataType.simpleString() for f in days.schema.fields}
-    carried = ["days_since_last_observation", "days_without_observation", "is_rare"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        grid = np.unique(pdf["obs_date"].to_numpy().astype("datetime64[D]"))
-        _, at, a = matrix(pdf, ["snow", "total", "grain", "dust", "weight", "ice"], grid)
-        filled = fill_seasons(a, len(grid) >= months_for_peak * 30)
-        out = pdf[[*PIXEL, "obs_date", *carried]].copy()
-        for name in OUT:
-            x = filled[name][at[0], at[1]]
-            out[name] = pd.Series(x, index=out.index).astype(object).where(~np.isnan(x), None).astype("Int64")
-        return out
-
-    fields = [*PIXEL, "obs_date", *carried]
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in fields), *(f"{c} int" for c in OUT)])
-    slim = pixel_groups(days.select(*fields, *keys[len(PIXEL) :], "snow", "total", "grain", "dust", "weight", "ice"), cols)
-    filled = slim.groupBy("tile", "_group", *keys[len(PIXEL) :]).applyInPandas(run, schema)
-    filled = filled.withColumn("water_year", water_year(F.col("obs_date")))
-    return filled.withColumn("snow_cover_days", snow_cover_days(F.col("snow_fraction")))
+        own = own.withColumn("ice", F.lit(None).cast("float"))
+    kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
+
+    def run(table: pa.Table) -> pa.Table:
+        row, col = (table.column(c).to_numpy().astype(np.int64) for c in ("row", "col"))
+        dated = table.column("obs_date").is_valid().to_numpy()
+        pixels, first_at, at = np.unique((row * cols + col)[dated], return_index=True, return_inverse=True)
+        begin, end = window
+        if by_year and len(pixels):
+            year = table.column("water_year")[0].as_py()
+            begin, end = max(begin, np.datetime64(f"{year - 1}-10-01")), min(end, np.datetime64(f"{year}-09-30"))
+        days = np.arange(begin, end + 1) if len(pixels) else np.zeros(0, "datetime64[D]")
+        day = (table.column("obs_date").drop_null().to_numpy().astype("datetime64[D]") - begin).astype(int)
+        a = {}
+        for v in values:
+            a[v] = np.full((len(pixels), len(days)), np.nan)
+            a[v][at, day] = table.column(v).to_numpy()[dated]
+        a["ice"] = np.zeros((len(pixels), 1))
+        rest, ice = (row * cols + col)[~dated], table.column("ice").to_numpy()[~dated]
+        place = np.searchsorted(pixels, rest)
+        here = place < len(pixels)
+        here[here] = pixels[place[here]] == rest[here]
+        a["ice"][place[here], 0] = ice[here]
+        # A season's splines and peaks need at least one pixel and day.
+        found = season(a, days, len(days) >= months_for_peak * 30) if len(pixels) else {}
+        n = len(pixels) * len(days)
+        columns = [pa.repeat(table.column("tile")[0], n), *(pa.array(np.repeat(x[dated][first_at], len(days)), pa.int64()) for x in (row, col)), pa.array(np.tile(days, len(pixels)), pa.date32())]
+        for name in names[4:]:
+            x = np.asarray(found[name]).ravel() if found else np.zeros(0)
+            columns.append(pa.array(x) if name == "is_rare" and n else pa.array(np.nan_to_num(x).astype(np.int32), mask=np.isnan(x.astype(float))))
+        return pa.table([c.cast(t) for c, t in zip(columns, types)], names=names)
+
+    names = [*PIXEL, "obs_date", "days_since_last_observation", "days_without_observation", "is_rare", *OUT, "water_year", "snow_cover_days"]
+    whole = {"int": pa.int32(), "bigint": pa.int64(), "smallint": pa.int16()}
+    types = [pa.string(), *(whole[kinds[c]] for c in ("row", "col")), pa.date32(), *(pa.bool_() if c == "is_rare" else pa.int32() for c in names[4:])]
+    schema = f"tile string, row {kinds['row']}, col {kinds['col']}, obs_date date, " + ", ".join(f"{c} {'boolean' if c == 'is_rare' else 'int'}" for c in names[4:])
+    return pixel_groups(own, cols).groupBy("tile", "_group", *keys).applyInArrow(run, schema)

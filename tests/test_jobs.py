@@ -300,3 +300,33 @@ def test_files_are_planned_as_they_come(spark, tmp_path):
     seen = []
     streaming.plan_as_files_come(streaming.file_stream(spark, str(tmp_path / "in")), lambda: status, lambda df, i: seen.extend(df.collect()), str(tmp_path / "checkpoint")).awaitTermination()
     assert [(r.file_name[-5], r.action, r.do_inversion) for r in seen] == [("2", "ingest", True)]
+
+
+def exchanges(df):
+    """Exchanges in the plan as Spark would run it, without those that adaptive execution adds no more."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_gap_filling_is_one_shuffle(spark):
+    first, last = dt.date(1999, 10, 1), dt.date(2000, 9, 30)
+    px = seasons(spark, first, last)
+    static = spark.createDataFrame([("h00v00", 0, p, 5) for p in range(2)], "tile string, row int, col int, ice_fraction int")
+    for by_year in (False, True):
+        assert exchanges(gapfill.gap_fill_job(px, str(first), str(last), static, cols=10, by_year=by_year)) == 1
+
+
+def test_runs_and_stretches_of_matrices_are_those_of_the_windows(spark):
+    from nivalis.operators import series
+
+    rng = np.random.default_rng(12)
+    first, days = dt.date(1999, 10, 1), 120
+    z = rng.choice([np.nan, 0.0, 30.0], (6, days), p=[0.6, 0.2, 0.2])
+    z[0], z[1], z[2] = np.nan, 0.0, 30.0
+    rows = [("h00v00", 0, p, first + dt.timedelta(i), None if np.isnan(z[p, i]) else int(z[p, i])) for p in range(6) for i in range(days)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, snow int")
+    px = series.stretches(series.unobserved_runs(px, F.col("snow").isNotNull()), F.col("snow"))
+    since, length = gapfill.runs(~np.isnan(z))
+    snowy, absent = gapfill.stretch_days(z)
+    for r in px.collect():
+        at = r.col, (r.obs_date - first).days
+        assert (r.days_since_last_observation, r.days_without_observation, r.days_with_snow, r.days_with_absent_snow) == (since[at], length[at], snowy[at], absent[at]), at
