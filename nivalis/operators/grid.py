@@ -112,14 +112,35 @@ def target_grid(spark: SparkSession, x0: float, y0: float, step: float, rows: in
     return grid.select("*", ((F.col("t_col") + 0.5) * step + x0).alias("tx"), (F.lit(y0) - (F.col("t_row") + 0.5) * step).alias("ty"))
 
 
-def reproject_nearest(px: DataFrame, grid: DataFrame, crs: str = "EPSG:4326", size: int = SIZE, processed: str = "snow") -> DataFrame:
-    """Each target cell with the pixel it lies in; cells without one keep nulls; notprocessed tells where the variable is null."""
+def reprojection_index(grid: DataFrame, crs: str = "EPSG:4326", size: int = SIZE) -> DataFrame:
+    """grid with the pixel (tile, row, col) that each target cell lies in: the same for all days and variables."""
     if crs == "EPSG:4326":
         lat, lon = F.col("ty"), F.col("tx")
     elif crs == "EPSG:3857":
         lat, lon = latlon_of_web_mercator(F.col("tx"), F.col("ty"))
     else:
         raise ValueError("EPSG:4326 or EPSG:3857")
-    x, y = sinusoidal_of(lat, lon)
-    out = grid.withColumns(pixel_of(x, y, size)).join(px, PIXEL, "left")
+    return grid.withColumns(pixel_of(*sinusoidal_of(lat, lon), size))
+
+
+def write_index(index: DataFrame, path: str) -> DataFrame:
+    """Stores an index by tile, to be read for every day and variable."""
+    index.repartition("tile").sortWithinPartitions("tile", "row", "col").write.mode("overwrite").partitionBy("tile").parquet(path)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+
+def reproject_indexed(px: DataFrame, index: DataFrame, processed: str = "snow") -> DataFrame:
+    """Each target cell of a stored index with its pixel; cells without one keep nulls; notprocessed tells where the variable is null.
+
+    Only tiles that the target meets are read: their names (648 in all the world) are looked up first, and the
+    condition on them reaches the scan, as a partition filter where pixels are stored by tile.
+    """
+    tiles = [r.tile for r in index.select("tile").distinct().collect()]
+    out = index.join(px.where(F.col("tile").isin(tiles)), PIXEL, "left")
+    return out.withColumn("notprocessed", F.col(processed).isNull())
+
+
+def reproject_nearest(px: DataFrame, grid: DataFrame, crs: str = "EPSG:4326", size: int = SIZE, processed: str = "snow") -> DataFrame:
+    """The same without a stored index."""
+    out = reprojection_index(grid, crs, size).join(px, PIXEL, "left")
     return out.withColumn("notprocessed", F.col(processed).isNull())

@@ -9,10 +9,27 @@ from nivalis.operators.series import PIXEL
 
 
 def with_static(px: DataFrame, static: DataFrame) -> DataFrame:
-    """Elevation, slope and the like onto pixel-days. Bucket both by tile, row and col to spare the shuffle."""
+    """Elevation, slope and the like onto pixel-days. Tables of write_pixel_buckets join without a shuffle."""
     return px.join(static, PIXEL, "left")
 
 
+#: A key with more than one in SHARE of all rows is hot; so there are fewer than SHARE hot keys.
+SHARE = 1000
+
+
+def split_join(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> DataFrame:
+    """A left join to a table with one row per key whose hot rows meet their partners by broadcast, the others by a shuffle.
+
+    `hot` is a condition on right that fewer than SHARE rows fulfil, such as a count above one in SHARE of all.
+    """
+    new = [c for c in right.columns if c not in on]
+    found = F.struct(*[F.col(c) for c in new]).alias("_hot")
+    tagged = left.join(F.broadcast(right.where(hot).select(*on, found)), on, "left")
+    easy = tagged.where(F.col("_hot").isNotNull()).select(*left.columns, *[F.col("_hot")[c].alias(c) for c in new])
+    rest = tagged.where(F.col("_hot").isNull()).drop("_hot").join(right.where(~hot), on, "left")
+    return easy.unionByName(rest.select(*left.columns, *new))
+
+
 def resample_join(fine: DataFrame, coarse: DataFrame, value: str, factor: int = 2, method: str = "nearest", on=("tile", "obs_date")) -> DataFrame:
     """A coarse grid's value onto the fine grid: that of the cell the pixel lies in, or bilinear from four cells.
 

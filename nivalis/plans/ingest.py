@@ -12,8 +12,10 @@ from nivalis.functions.flags import VIIRS_WEIGHTS, WEIGHTS, angle_weight, bright
 from nivalis.functions.optics import canopy_correction, corrected_snow_fraction, pixel_size, spectral_indices
 from nivalis.operators.grid import cell_of_pixel
 from nivalis.operators.groups import BANDS, distinct_spectra, saltpan_flag, spatial_median_fill, spectrum_bins
+from nivalis.operators.joins import SHARE, split_join
 from nivalis.operators.neighbourhood import cloud_margin
 from nivalis.operators.unmix import unmix
+from nivalis.sources.folders import stash
 
 DAY = ["tile", "obs_date"]
 SOLVED = ["snow_fraction", "shade_fraction", "grain_size", "dust", "residual"]
@@ -65,10 +67,12 @@ def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: lis
     values = [*BANDS, *[f"g{i + 1}" for i in range(7)], "solar_zenith"]
     groups = distinct_spectra(own, values, [*DAY, "row", "col"], tolerance)
     keys = [f"q_{v}" for v in values]
-    spectra = groups.select(*keys, "s.*").withColumn("mu0", F.cos(F.radians("solar_zenith")))
-    solved = unmix(spectra, BANDS, [f"g{i + 1}" for i in range(7)], "mu0", axes, table)
+    spectra = groups.select(*keys, "members", "s.*").withColumn("mu0", F.cos(F.radians("solar_zenith")))
+    # Few bins hold most snow and cloud: those with more than a thousandth of all pixels are broadcast.
+    solved = stash(unmix(spectra, BANDS, [f"g{i + 1}" for i in range(7)], "mu0", axes, table).select(*keys, "members", *SOLVED), "unmixed")
+    many = F.col("members") > (solved.agg(F.sum("members")).first()[0] or 0) / SHARE
     binned = own.select("*", *spectrum_bins(values, tolerance))
-    out = binned.join(solved.select(*keys, *SOLVED), keys, "left").drop(*keys)
+    out = split_join(binned, solved, keys, many).drop(*keys, "members")
     canopy = canopy_correction(F.col("canopy_cover"), F.col("sensor_zenith"))
     snow = F.round("snow_fraction").cast("int")
     out = out.withColumns({"viewable_snow_fraction": snow, "grain": F.round("grain_size").cast("int"), "dust_ppm": F.round("dust").cast("int")})

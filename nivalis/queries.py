@@ -516,6 +516,25 @@ def o38_version_for_tile(spark, d):
     return joins.version_for_tile(A.pixel_days(spark, d), versions, "daily", "v1")
 
 
+def _bucketed(name, df, *order):
+    """df as a table bucketed by pixel, in a folder and under a name of its own."""
+    path = folders.new_folder(df.sparkSession, name)
+    return tables.write_pixel_buckets(df, path.rpartition("/")[2].replace("-", "_"), path, 8, order)
+
+
+@query(sql("px static", f"SELECT {IDS}, snow, elevation, slope, aspect, canopy_cover, ice_fraction, is_water FROM px JOIN static USING (tile, \"row\", col)"))
+def o35_with_static_bucketed(spark, d):
+    """The same of stored tables that need no shuffle to join."""
+    px = _bucketed("pixel-days", A.pixel_days(spark, d).select(*ID, "snow"), "obs_date")
+    return joins.with_static(px, _bucketed("static", A.static(spark, d)))
+
+
+@query(sql("px bridge", f"SELECT {IDS}, snow, type, subdivision_id FROM px JOIN bridge USING (tile, \"row\", col)"))
+def o39_with_subdivision_bucketed(spark, d):
+    px = _bucketed("pixel-days", A.pixel_days(spark, d).select(*ID, "snow"), "obs_date")
+    return joins.with_subdivision(px, _bucketed("mask", A.bridge(spark, d), "type")).select(*ID, "snow", "type", "subdivision_id")
+
+
 @query(sql("px bridge", f"SELECT {IDS}, snow, type, subdivision_id FROM px JOIN bridge USING (tile, \"row\", col)"))
 def o39_with_subdivision(spark, d):
     return joins.with_subdivision(A.pixel_days(spark, d).select(*ID, "snow"), A.bridge(spark, d)).select(*ID, "snow", "type", "subdivision_id")
@@ -568,6 +587,20 @@ def o43_reproject_nearest(spark, d):
     return found.select("t_row", "t_col", *ID, "snow", "notprocessed")
 
 
+@query(sql("px", f"""SELECT t_row, t_col, g.tile, g."row", g.col, p.obs_date, p.snow, p.snow IS NULL AS notprocessed FROM
+(SELECT *, 'h' || lpad((gx // 10)::VARCHAR, 2, '0') || 'v' || lpad((gy // 10)::VARCHAR, 2, '0') AS tile, (gy % 10)::INT AS "row", (gx % 10)::INT AS col FROM
+  (SELECT *, floor((lon * cos(lat) + pi()) * 6371007.181::DOUBLE / {_CELL!r}::DOUBLE)::INT AS gx, floor((pi() / 2 - lat) * 6371007.181::DOUBLE / {_CELL!r}::DOUBLE)::INT AS gy FROM
+    (SELECT t_row, t_col, tx / 6378137.0::DOUBLE AS lon, atan(sinh(ty / 6378137.0::DOUBLE)) AS lat FROM
+      (SELECT i // 60 AS t_row, i % 60 AS t_col, (i % 60 + 0.5::DOUBLE) * 78000 - 15584000 AS tx, 6800000 - (i // 60 + 0.5::DOUBLE) * 78000 AS ty FROM range(2400) t(i))))) g
+LEFT JOIN px p ON p.tile = g.tile AND p."row" = g."row" AND p.col = g.col"""))
+def o43_reproject_mercator(spark, d):
+    """By an index that is stored once for the grid."""
+    index = grid.reprojection_index(grid.target_grid(spark, -15584000.0, 6800000.0, 78000.0, 40, 60), "EPSG:3857", 10)
+    index = grid.write_index(index, folders.new_folder(spark, "index"))
+    found = grid.reproject_indexed(A.pixel_days(spark, d).select(*ID, "snow"), index)
+    return found.select("t_row", "t_col", *ID, "snow", "notprocessed")
+
+
 # --- aggregations --------------------------------------------------------------
 
 

@@ -72,6 +72,19 @@ def write_daily(df: DataFrame, path: str, first_month: int = 10) -> None:
     out.option("partitionOverwriteMode", "dynamic").partitionBy("tile", "water_year", "obs_date").parquet(path)
 
 
+def write_pixel_buckets(df: DataFrame, table: str, path: str, buckets: int, order: tuple[str, ...] = ()) -> DataFrame:
+    """Writes df as a table bucketed and sorted by pixel (tile, row, col), one file per bucket, and returns it.
+
+    Pixel-days, static rasters and masks that are written with the same number of buckets join without a
+    shuffle, and windows over a pixel need none. The buckets go by the pixel, not by cells of the tile, as Spark
+    takes buckets as they are only if they go by all keys of a join.
+    """
+    keys = ["tile", "row", "col"]
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, *order).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 WEB_COLUMNS = ["day", "min_year_value", "max_year_value", "prc25", "median", "prc75", "year_to_date"]
 
 
