@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 from nivalis.functions.optics import normalised_difference
 from nivalis.operators.joins import MEDIAN_STEPS, elevation_band
 from nivalis.operators.series import PIXEL
+from nivalis.sources.folders import stash
 
 BANDS = [f"b{k}" for k in range(1, 8)]
 LEVELS = (24, 12, 6, 3, 2, 1)
@@ -67,16 +68,15 @@ def saltpan_flag(px: DataFrame, day: list[str], snow: str = "snow", base: str =
     return flagged.withColumn("is_saltpan", F.col("votes").isNotNull() & F.coalesce(F.col(base) & (F.col(snow) > 0), F.lit(False))).drop("votes", "bin")
 
 
-def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10, snow: str = "snow", valid: str = "valid") -> DataFrame:
-    """Adds `<value>_spatial`: for snow pixels without a valid value, the median around them; else the value.
+def spatial_medians(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10, snow: str = "snow", valid: str = "valid") -> DataFrame:
+    """Per day, elevation band and finest cell (_cr, _cc) the median of the valid snow pixels' values around, as _around.
 
-    Needs booleans `snow` and `valid`, elevation, row and col. For a pixel of elevation band k the bands
-    k, k + 1, ... top, then the others downwards are asked; in each, the smallest cell of a
+    For band k the bands k, k + 1, ... top, then the others downwards are asked; in each, the smallest cell of a
     pyramid (24 ... 1 per side) with more than `least` valid values above 0 (any at the
-    top) gives the median, rounded. All medians come from histograms of integers; the order of
-    bands is settled on the small table of (day, band).
+    top) gives the median, rounded. All medians come from histograms of integers, and are stored once, as each
+    level asks them; the order of bands is settled on the small table of (day, band).
     """
-    own = px.withColumns({"band": elevation_band(F.col("elevation"), edges), "_target": F.col(snow) & ~F.col(valid)})
+    own = px.withColumn("band", elevation_band(F.col("elevation"), edges))
     cells = F.array(*[
         F.struct(F.lit(level).alias("level"), F.expr(f"row * {n} div {rows}").alias("cr"), F.expr(f"col * {n} div {cols}").alias("cc"))
         for level, n in enumerate(LEVELS)
@@ -93,6 +93,7 @@ def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, co
     medians = medians.where((F.col("total") > least) | (F.col("c.level") == top)).select(
         *day, F.col("band").alias("from_band"), "c", F.round((F.col("lo") + F.col("hi")) / 2).cast("int").alias("median")
     )
+    medians = stash(medians, "medians")
     # The band to ask: the first at or above with any valid pixel in the tile, else the first below the top.
     present = medians.where(F.col("c.level") == top).select(*day, "from_band")
     bands = F.array(*[F.lit(i) for i in range(1, len(edges))])
@@ -108,8 +109,17 @@ def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, co
         coarse = table.withColumns({"_r": F.expr(f"_cr div {fine // n}"), "_c": F.expr(f"_cc div {fine // n}")})
         table = coarse.join(here, [*day, "from_band", "_r", "_c"], "left").drop("_r", "_c")
     around = F.coalesce(*[F.col(f"_m{level}") for level in range(len(LEVELS))])
-    table = asked.join(table.select(*day, "from_band", "_cr", "_cc", around.alias("_around")), [*day, "from_band"]).drop("from_band")
-    out = own.withColumns({"_cr": F.expr(f"row * {fine} div {rows}"), "_cc": F.expr(f"col * {fine} div {cols}")})
-    out = out.join(table, [*day, "band", "_cr", "_cc"], "left")
-    filled = F.when(F.col("_target"), F.col("_around")).otherwise(F.col(value))
-    return out.withColumn(f"{value}_spatial", filled).drop("band", "_cr", "_cc", "_target", "_around")
+    return stash(asked.join(table.select(*day, "from_band", "_cr", "_cc", around.alias("_around")), [*day, "from_band"]).drop("from_band"), "medians-around")
+
+
+def with_medians(px: DataFrame, medians: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, snow: str = "snow", valid: str = "valid") -> DataFrame:
+    """Adds `<value>_spatial` from spatial_medians: for snow pixels without a valid value, the median around them; else the value."""
+    fine, target = LEVELS[0], F.col(snow) & ~F.col(valid)
+    out = px.withColumns({"band": elevation_band(F.col("elevation"), edges), "_cr": F.expr(f"row * {fine} div {rows}"), "_cc": F.expr(f"col * {fine} div {cols}")})
+    out = out.join(medians, [*day, "band", "_cr", "_cc"], "left")
+    return out.withColumn(f"{value}_spatial", F.when(target, F.col("_around")).otherwise(F.col(value))).drop("band", "_cr", "_cc", "_around")
+
+
+def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10) -> DataFrame:
+    """Adds `<value>_spatial` (see with_medians). Needs snow and valid (booleans), elevation, row and col."""
+    return with_medians(px, spatial_medians(px, value, day, rows, cols, edges, least), value, day, rows, cols, edges)

@@ -11,7 +11,7 @@ from nivalis.functions.codec import cut_min_max
 from nivalis.functions.flags import VIIRS_WEIGHTS, WEIGHTS, angle_weight, bright_cloud, combine_classification, grain_dust_flags, inversion_candidates, observation_weight, zero_flags
 from nivalis.functions.optics import canopy_correction, corrected_snow_fraction, pixel_size, spectral_indices
 from nivalis.operators.grid import cell_of_pixel
-from nivalis.operators.groups import BANDS, distinct_spectra, saltpan_flag, spatial_median_fill, spectrum_bins
+from nivalis.operators.groups import BANDS, distinct_spectra, saltpan_flag, spatial_medians, spectrum_bins, with_medians
 from nivalis.operators.joins import SHARE, split_join
 from nivalis.operators.neighbourhood import cloud_margin
 from nivalis.operators.unmix import unmix
@@ -118,6 +118,9 @@ def spatial_job(px: DataFrame, rows: int = 2400, cols: int = 2400, viirs: bool =
     nodata, zero = NOT_SNOW[viirs]
     own = own.withColumn("_snow", _off("nodata_filter", nodata) & _off("zero_filter", zero))
     for value, bits in (("grain", (1, 2, 3)), ("dust_ppm", (4, 5, 6))):
-        own = own.withColumn("_valid", _off("grain_size_dust", bits) & F.col(value).isNotNull())
-        own = spatial_median_fill(own, value, DAY, rows, cols, snow="_snow", valid="_valid")
+        own = own.withColumn(f"_valid_{value}", _off("grain_size_dust", bits) & F.col(value).isNotNull())
+    own = stash(own, "snow-around")  # read by both medians and the fill
+    medians = {v: spatial_medians(own, v, DAY, rows, cols, snow="_snow", valid=f"_valid_{v}") for v in ("grain", "dust_ppm")}
+    for value, table in medians.items():
+        own = with_medians(own, table, value, DAY, rows, cols, snow="_snow", valid=f"_valid_{value}")
     return own.select(*kept, "grain_spatial", "dust_ppm_spatial")

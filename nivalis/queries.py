@@ -960,13 +960,25 @@ def _snow_lut():
     return axes, np.clip(shine, 1, 100)
 
 
-# The made-up table is linear in every axis, so its multilinear interpolation is the formula it was made from.
-@query(sql("px", f"SELECT {IDS}, round(92 - 0.8 * sqrt(grain) + 8 * (1 - cos(radians(solar_zenith))) - 8000 * (dust / 1e6), 6) AS albedo FROM px"))
+def _product_lut():
+    """Products of up to four axes, each linear: what multilinear interpolation gives exactly, if every corner has its weight."""
+    import numpy as np
+
+    axes = [np.linspace(0, 1, 5), np.linspace(0, 1, 4), np.linspace(5, 35, 7), np.linspace(0, 1e-3, 3), np.linspace(0, 2, 3)]
+    mu0, mu, grain, dust, soot = np.meshgrid(*axes, indexing="ij")
+    return axes, 92 - 0.8 * grain + 3 * mu0 * mu - 0.2 * grain * mu0 + 700 * dust * grain * mu - 90 * mu0 * mu * grain * dust + 4 * soot * mu0
+
+
+# The table is a sum of products of its axes, so its multilinear interpolation is the formula it was made from.
+@query(sql("px", f"""SELECT {IDS}, round(92 - 0.8 * g + 3 * mu0 * mu - 0.2 * g * mu0 + 700 * d * g * mu - 90 * mu0 * mu * g * d + 4 * 0.7 * mu0, 6) AS albedo
+FROM (SELECT *, cos(radians(solar_zenith)) AS mu0, cos(radians(sensor_zenith)) AS mu, sqrt(grain) AS g, dust / 1e6 AS d FROM px)"""))
 def o60_lut_interpolate(spark, d):
     from nivalis.operators.lut import lut_interpolate
 
-    px = A.pixel_days(spark, d).select(*ID, F.cos(F.radians("solar_zenith")).alias("mu0"), F.sqrt(F.col("grain").cast("double")).alias("root_grain"), (F.col("dust") / 1e6).alias("dust"))
-    return lut_interpolate(px, *_albedo_lut(), ["mu0", "mu0", "root_grain", "dust", F.lit(0.0)], "albedo").select(*ID, F.round("albedo", 6).alias("albedo"))
+    px = A.pixel_days(spark, d).select(
+        *ID, F.cos(F.radians("solar_zenith")).alias("mu0"), F.cos(F.radians("sensor_zenith")).alias("mu"), F.sqrt(F.col("grain").cast("double")).alias("root_grain"), (F.col("dust") / 1e6).alias("dust")
+    )
+    return lut_interpolate(px, *_product_lut(), ["mu0", "mu", "root_grain", "dust", F.lit(0.7)], "albedo").select(*ID, F.round("albedo", 6).alias("albedo"))
 
 
 @query()
