@@ -278,6 +278,7 @@ def inpaint(px: DataFrame, value: str, day: list[str], rows: int, cols: int, met
 
     slim = px.select(*day, "row", "col", F.col(value).cast("double").alias("value"))
     dealt = in_blocks(slim.where("value IS NOT NULL AND NOT isnan(value)"), day, halo, block)
+    dealt = dealt.where((F.col("block_row") <= (rows - 1) // block) & (F.col("block_col") <= (cols - 1) // block))  # beyond the last one lies only halo
     count = lambda n: F.sequence(F.lit(0).cast("long"), F.lit((n - 1) // block).cast("long"))
     every = slim.select(*day).distinct().select(*day, F.explode(count(rows)).alias("block_row")).withColumn("block_col", F.explode(count(cols)))
     parts = dealt.unionByName(every, allowMissingColumns=True).groupBy(*day, "block_row", "block_col")

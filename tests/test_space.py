@@ -206,7 +206,7 @@ def squared_laplacians(x):
     return total
 
 
-@pytest.mark.parametrize("block", [200, 7])
+@pytest.mark.parametrize("block", [200, 13, 7])  # 13: blocks end where the raster does
 @pytest.mark.parametrize("method", ["springs", "plate"])
 def test_holes_across_blocks_equal_a_dense_solution(spark, method, block):
     """Noise; holes within a block, across borders and corners, at the edges, side by side; absent cells, empty blocks."""
