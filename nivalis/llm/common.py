@@ -88,11 +88,17 @@ def text_bytes(column: str = "text") -> Column:
 
 
 def small(batches, most: int = 4 << 20):
-    """Slices of Arrow batches with about `most` bytes each (on average, one row at least), so that Python holds few objects at a time."""
+    """Slices of Arrow batches with about `most` bytes each (on average, one row at least), so that Python holds few objects at a time.
+
+    After each batch Arrow gives back the memory it does not use: workers outlive their tasks, and several of them share an executor.
+    """
+    import pyarrow as pa
+
     for batch in batches:
         step = max(1, most * batch.num_rows // max(1, batch.nbytes))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+        pa.default_memory_pool().release_unused()
 
 
 def texts(batch, column: str = "text") -> list[bytes]:
