@@ -1052,12 +1052,29 @@ def _inpaint(method):
 
         g = A.grid_days(spark, d).select(*ID, "solar_zenith")
         rows = g.agg(F.max("row")).first()[0] + 1
-        return inpaint(g.withColumn("solar_zenith", F.when(F.col("row") % 4 != 1, F.col("solar_zenith"))), "solar_zenith", ["tile", "obs_date"], rows, 50, method)
+        found = inpaint(g.withColumn("solar_zenith", F.when(F.col("row") % 4 != 1, F.col("solar_zenith"))), "solar_zenith", ["tile", "obs_date"], rows, 50, method)
+        return found.withColumn("solar_zenith_filled", F.round("solar_zenith_filled", 4))
 
     return run
 
 
 QUERIES["o73_inpaint_springs"] = _inpaint("springs")
+# Holes of one row mostly: each cell the mean of its neighbours, over and over, until nothing changes.
+SQL["o73_inpaint_springs"] = sql(
+    "grid", f"""SELECT {", ".join("cells." + c for c in IDS.split(", "))}, round(coalesce(cells.x, turns.x), 4) AS solar_zenith_filled
+FROM cells LEFT JOIN turns ON turns.k = 200 AND cells.tile = turns.tile AND cells.obs_date = turns.obs_date AND cells."row" = turns."row" AND cells.col = turns.col""",
+    cells="""SELECT d.tile, d.obs_date, r."row", c.col, v.x FROM (SELECT DISTINCT tile, obs_date FROM grid) d CROSS JOIN (SELECT unnest(range((SELECT max("row") + 1 FROM grid)))::INT AS "row") r
+      CROSS JOIN (SELECT unnest(range(50))::INT AS col) c LEFT JOIN (SELECT tile, obs_date, "row", col, solar_zenith::DOUBLE AS x FROM grid WHERE "row" % 4 <> 1) v
+      ON v.tile = d.tile AND v.obs_date = d.obs_date AND v."row" = r."row" AND v.col = c.col""",
+    near="""SELECT a.tile, a.obs_date, a."row", a.col, b."row" AS nr, b.col AS nc, b.x FROM cells a CROSS JOIN (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) o(i, j)
+      JOIN cells b ON b.tile = a.tile AND b.obs_date = a.obs_date AND b."row" = a."row" + i AND b.col = a.col + j WHERE a.x IS NULL""",
+    base='SELECT tile, obs_date, "row", col, count(*) AS n, coalesce(sum(x), 0) AS c FROM near GROUP BY ALL',
+    pairs="""SELECT near.tile, near.obs_date, near."row", near.col, nr, nc, 1.0::DOUBLE AS w, n, c FROM near JOIN base USING (tile, obs_date, "row", col) WHERE x IS NULL
+      UNION ALL SELECT tile, obs_date, "row", col, "row", col, 0.0::DOUBLE, n, c FROM base""",
+    turns="""SELECT tile, obs_date, "row", col, 0 AS k, c / n AS x FROM base
+      UNION ALL SELECT p.tile, p.obs_date, p."row", p.col, t.k + 1, (any_value(p.c) + sum(p.w * t.x)) / any_value(p.n) FROM turns t
+      JOIN pairs p ON p.tile = t.tile AND p.obs_date = t.obs_date AND p.nr = t."row" AND p.nc = t.col WHERE t.k < 200 GROUP BY p.tile, p.obs_date, p."row", p.col, t.k""",
+).replace("WITH ", "WITH RECURSIVE ", 1)
 QUERIES["o73_inpaint_plate"] = _inpaint("plate")
 
 
