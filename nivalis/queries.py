@@ -947,7 +947,7 @@ def _albedo_lut():
 def _luts():
     axes, albedo = _albedo_lut()
     dust, mu0 = axes[3][None, None, None, :, None], axes[0][:, None, None, None, None]
-    return {"albedo": (axes, albedo), "deltavis": (axes, albedo * 0 + 7e4 * dust), "radiative_forcing": (axes, albedo * 0 + 4e5 * dust * mu0)}
+    return {"albedo": (axes, albedo), "deltavis": (axes, albedo * 0 + 70003 * dust), "radiative_forcing": (axes, albedo * 0 + 4e5 * dust * mu0)}
 
 
 def _snow_lut():
@@ -1210,6 +1210,31 @@ def o84_albedo_job(spark, d):
     return found.select(*ID, "albedo_mu0", "albedo_muz", "deltavis", "radiative_forcing", "albedo_observed_mu0", "albedo_observed_muz")
 
 
+def _filled(c: str) -> str:
+    """The column filled in time, nearest at the ends of a pixel's days."""
+    back, ahead = f"({W} ROWS UNBOUNDED PRECEDING)", f"({W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    at = f"CASE WHEN {c} IS NOT NULL THEN obs_date END"
+    pv, pd, nv, nd = (f"{f}({x} IGNORE NULLS) OVER {w}" for f, w in (("last_value", back), ("first_value", ahead)) for x in (c, at))
+    return f"CASE WHEN {pv} IS NULL THEN {nv} WHEN {nv} IS NULL OR {pd} = {nd} THEN {pv} ELSE {pv} + ({nv} - {pv})::DOUBLE / ({nd} - {pd}) * (obs_date - {pd}) END"
+
+
+@query(sql("px static", f"""SELECT {IDS}, a0 AS albedo_mu0, az AS albedo_muz, dv AS deltavis, rf AS radiative_forcing, round(a0 - dv * 0.63::DOUBLE)::INT AS albedo_observed_mu0, round(az - dv * 0.63::DOUBLE)::INT AS albedo_observed_muz
+FROM (SELECT *, round(92 - 0.8::DOUBLE * g + 8 * (1 - mu0))::INT AS a0, round(92 - 0.8::DOUBLE * g + 6 * (1 - muz) + 2 * (1 - mu0))::INT AS az, round(70003::DOUBLE * dust / 1e7)::INT AS dv, round(4e5::DOUBLE * dust / 1e7 * mu0)::INT AS rf FROM
+  (SELECT *, sqrt(grain) AS g, greatest(0, least(1, mu0 * cos(radians(slope)) + sqrt(1 - mu0 * mu0) * sin(radians(slope)) * cos(radians(phi - aspect)))) AS muz FROM
+    (SELECT *, cos(radians(zen)) AS mu0, CASE WHEN 180 - azi > 180 THEN -180 - azi WHEN 180 - azi < -180 THEN 540 - azi ELSE 180 - azi END AS phi FROM
+      (SELECT *, {_filled("z")} AS zen, {_filled("a")} AS azi FROM
+        (SELECT *, CASE WHEN class <> 2 THEN solar_zenith END AS z, CASE WHEN class <> 1 THEN b1 * 3 END AS a FROM px))) JOIN static USING (tile, "row", col)))"""))
+def o84_albedo_of_days(spark, d):
+    """Of observed days, the sun's angles missing on some."""
+    from nivalis.plans.albedo import albedo_job
+
+    px = A.pixel_days(spark, d).select(
+        *ID, F.col("grain").alias("grain_size"), "dust", F.when(F.col("class") != 2, F.col("solar_zenith")).alias("solar_zenith"), F.when(F.col("class") != 1, F.col("b1") * 3).alias("solar_azimuth")
+    )
+    found = albedo_job(px, A.static(spark, d), _luts())
+    return found.select(*ID, "albedo_mu0", "albedo_muz", "deltavis", "radiative_forcing", "albedo_observed_mu0", "albedo_observed_muz")
+
+
 _STACK = "\nUNION ALL ".join(f"SELECT {_WY} AS water_year, datediff('day', make_date(year(obs_date) - (month(obs_date) < 10)::INT, 10, 1), obs_date) + 1 AS day, subdivision_id, 7 AS var_id, {i} AS stat_id, round({c}, 6) AS stat_value FROM w" for c, i in stats.DAILY_IDS.items())
 
 
