@@ -1,8 +1,8 @@
-"""Groups of pixels: backgrounds, equal spectra, salt pans, medians of a pyramid of cells."""
+"""Groups of pixels: backgrounds, salt pans, medians of a pyramid of cells."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -34,19 +34,6 @@ def background_reflectance(px: DataFrame, months=(8, 9), most_zenith: float = 30
     return found.select(*PIXEL, pick.alias("s")).select(*PIXEL, F.col("s.obs_date").alias("background_date"), *[F.col(f"s.{b}").alias(b) for b in BANDS])
 
 
-def spectrum_bins(columns: list[str], tolerance: int) -> list[Column]:
-    return [F.expr(f"cast(floor({c} / {tolerance}) as int)").alias(f"q_{c}") for c in columns]
-
-
-def distinct_spectra(px: DataFrame, columns: list[str], ident: list[str], tolerance: int = 7) -> DataFrame:
-    """Per group of pixels whose values fall into the same steps of a fixed grid: its representative (smallest ident) and size.
-
-    Partial aggregation shrinks the few bins that hold most pixels before the shuffle.
-    """
-    bins = px.select(*spectrum_bins(columns, tolerance), F.struct(*ident, *columns).alias("s"))
-    return bins.groupBy(*[f"q_{c}" for c in columns]).agg(F.min("s").alias("s"), F.count("*").alias("members"))
-
-
 def saltpan_flag(px: DataFrame, day: list[str], snow: str = "snow", base: str = "is_base", step: int = 10, above: int = 40, least_pixels: int = 25, least_bins: int = 5, percent: float = 5, low: int = -50, high: int = 5400) -> DataFrame:
     """Adds is_saltpan: base pixels with snow where the elevations around are free of snow.
 

@@ -11,14 +11,17 @@ from nivalis.functions.codec import cut_min_max
 from nivalis.functions.flags import VIIRS_WEIGHTS, WEIGHTS, angle_weight, bright_cloud, combine_classification, grain_dust_flags, inversion_candidates, observation_weight, zero_flags
 from nivalis.functions.optics import canopy_correction, corrected_snow_fraction, pixel_size, spectral_indices
 from nivalis.operators.grid import cell_of_pixel
-from nivalis.operators.groups import BANDS, distinct_spectra, saltpan_flag, spatial_medians, spectrum_bins, with_medians
+from nivalis.operators.groups import BANDS, saltpan_flag, spatial_medians, with_medians
 from nivalis.operators.joins import SHARE, split_join
 from nivalis.operators.neighbourhood import cloud_margin
+from nivalis.operators.spectra import distinct_spectra, spectrum_id
 from nivalis.operators.unmix import unmix
 from nivalis.sources.folders import stash
 
 DAY = ["tile", "obs_date"]
 SOLVED = ["snow_fraction", "shade_fraction", "grain_size", "dust", "residual"]
+#: How far values of one group of spectra may lie from its representative, and for VIIRS.
+TOLERANCE = {False: 7, True: 12}
 
 
 def ingest_job(px: DataFrame, static: DataFrame, block: int = 200, viirs: bool = False, coarse: DataFrame | None = None, background: DataFrame | None = None) -> DataFrame:
@@ -56,23 +59,24 @@ def ingest_job(px: DataFrame, static: DataFrame, block: int = 200, viirs: bool =
     return px.withColumn("nodata_filter", set_bit(F.col("nodata_filter"), 6, F.coalesce("is_margin", F.lit(False)))).drop("is_margin", "is_cloud_bit")
 
 
-def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: list[np.ndarray], table: np.ndarray, tolerance: int = 7, viirs: bool = False) -> DataFrame:
-    """Fractions, grain size, dust and their flags for the pixels worth unmixing; one solution per group of close spectra.
+def unmix_job(px: DataFrame, background: DataFrame, static: DataFrame, axes: list[np.ndarray], table: np.ndarray, tolerance: float | None = None, viirs: bool = False) -> DataFrame:
+    """Fractions, grain size, dust and their flags for the pixels worth unmixing; one solution per group of close spectra (TOLERANCE, or the one given).
 
     Columns of px with names of results (SOLVED) are replaced. Pixels without background, or with a null in a band, get nulls.
     """
     ground = background.select("tile", "row", "col", *[F.col(b).alias(f"g{i + 1}") for i, b in enumerate(BANDS)])
     fixed = static.select("tile", "row", "col", "canopy_cover", "ice_fraction")
-    own = px.drop(*SOLVED).where(inversion_candidates(F.col("nodata_filter"), F.col("zero_filter"), viirs)).join(ground, ["tile", "row", "col"], "left").join(fixed, ["tile", "row", "col"], "left")
+    own = px.drop(*SOLVED, "spectrum_id", "members").where(inversion_candidates(F.col("nodata_filter"), F.col("zero_filter"), viirs)).join(ground, ["tile", "row", "col"], "left").join(fixed, ["tile", "row", "col"], "left")
     values = [*BANDS, *[f"g{i + 1}" for i in range(7)], "solar_zenith"]
-    groups = distinct_spectra(own, values, [*DAY, "row", "col"], tolerance)
-    keys = [f"q_{v}" for v in values]
-    spectra = groups.select(*keys, "members", "s.*").withColumn("mu0", F.cos(F.radians("solar_zenith")))
-    # Few bins hold most snow and cloud: those with more than a thousandth of all pixels are broadcast.
-    solved = stash(unmix(spectra, BANDS, [f"g{i + 1}" for i in range(7)], "mu0", axes, table).select(*keys, "members", *SOLVED), "unmixed")
+    ground = [f"g{i + 1}" for i in range(7)]
+    net = distinct_spectra(own, values, TOLERANCE[viirs] if tolerance is None else tolerance)
+    net = stash(net.withColumnsRenamed({f"v{i}": v for i, v in enumerate(values)}), "net")
+    chosen = net.where(F.col("spectrum_id") == F.col("representative")).withColumn("mu0", F.cos(F.radians("solar_zenith")))
+    solved = unmix(chosen.select("representative", *BANDS, *ground, "mu0"), BANDS, ground, "mu0", axes, table)
+    solved = stash(net.select("spectrum_id", "members", "representative").join(solved.select("representative", *SOLVED), "representative").drop("representative"), "unmixed")
+    # Few spectra hold most snow and cloud: those of more than a thousandth of all pixels are broadcast.
     many = F.col("members") > (solved.agg(F.sum("members")).first()[0] or 0) / SHARE
-    binned = own.select("*", *spectrum_bins(values, tolerance))
-    out = split_join(binned, solved, keys, many).drop(*keys, "members")
+    out = split_join(own.withColumn("spectrum_id", spectrum_id(own, values)), solved, ["spectrum_id"], many).drop("spectrum_id", "members")
     canopy = canopy_correction(F.col("canopy_cover"), F.col("sensor_zenith"))
     snow = F.round("snow_fraction").cast("int")
     out = out.withColumns({"viewable_snow_fraction": snow, "grain": F.round("grain_size").cast("int"), "dust_ppm": F.round("dust").cast("int")})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nivalis import adapters as A
 from nivalis.functions import bits, codec, flags, optics, wateryear
-from nivalis.operators import grid, groups, joins, observation, series, stats
+from nivalis.operators import grid, groups, joins, observation, series, spectra, stats
 from nivalis.oracle import sql
 from nivalis.plans import incremental, tree
 from nivalis.sources import folders, tables
@@ -665,25 +665,44 @@ def o49_web_series(spark, d):
     return _web(spark, d)
 
 
-@query(sql("px", f"""SELECT tile, "row", col, CASE WHEN mn > 0 OR g.obs_date IS NULL THEN k.obs_date ELSE g.obs_date END AS background_date,
+_MONTHS = "SELECT *, (b2 - b1) / nullif((b2 + b1)::DOUBLE, 0) AS ndvi FROM px WHERE month(obs_date) IN (8, 9) AND sensor_zenith <= 30"
+_BACKGROUND = f"""SELECT tile, "row", col, CASE WHEN mn > 0 OR g.obs_date IS NULL THEN k.obs_date ELSE g.obs_date END AS background_date,
   {", ".join(f"CASE WHEN mn > 0 OR g.obs_date IS NULL THEN k.b{i} ELSE g.b{i} END AS b{i}" for i in range(1, 8))}
 FROM (SELECT tile, "row", col, min((b3 - b6) / nullif((b3 + b6)::DOUBLE, 0)) AS mn FROM s GROUP BY ALL)
 LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER ({PIX} ORDER BY ndvi DESC, obs_date) AS rn FROM s WHERE class = 2 AND ndvi IS NOT NULL) WHERE rn = 1) g USING (tile, "row", col)
-LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER ({PIX} ORDER BY b3, obs_date) AS rn FROM s WHERE b3 >= 10) WHERE rn = 1) k USING (tile, "row", col)""",
-           s="SELECT *, (b2 - b1) / nullif((b2 + b1)::DOUBLE, 0) AS ndvi FROM px WHERE month(obs_date) IN (8, 9) AND sensor_zenith <= 30"))
-def o50_background_reflectance(spark, d):
-    return groups.background_reflectance(A.pixel_days(spark, d))
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER ({PIX} ORDER BY b3, obs_date) AS rn FROM s WHERE b3 >= 10) WHERE rn = 1) k USING (tile, "row", col)"""
 
 
-_Q = ", ".join(f"floor({c} / 7.0)::INT AS q_{c}" for c in ("b1", "b2", "b3", "solar_zenith"))
+@query(sql("px", _BACKGROUND, s=_MONTHS))
+def o50_background_reflectance(spark, d):
+    return groups.background_reflectance(A.pixel_days(spark, d))
 
 
-@query(sql("px", f"""SELECT q_b1, q_b2, q_b3, q_solar_zenith, count(*) AS members, arg_min(tile, (tile, "row", col, obs_date)) AS tile, arg_min("row", (tile, "row", col, obs_date)) AS "row",
-  arg_min(col, (tile, "row", col, obs_date)) AS col, arg_min(obs_date, (tile, "row", col, obs_date)) AS obs_date FROM (SELECT *, {_Q} FROM px) GROUP BY q_b1, q_b2, q_b3, q_solar_zenith"""))
+_SPECTRUM = [*(f"b{i}" for i in range(1, 8)), *(f"g{i}" for i in range(1, 8)), "solar_zenith"]
+_NEAR = " AND ".join(f"abs(a.{c} - b.{c}) <= 7" for c in _SPECTRUM)
+_BESIDE = "SELECT *, unnest([b1 // 8 - 1, b1 // 8, b1 // 8 + 1]) AS k1, k2 FROM (SELECT *, unnest([b2 // 8 - 1, b2 // 8, b2 // 8 + 1]) AS k2 FROM {})"
+# Round by round: who stands for a cell of steps of 7, who of these has no smaller one near, and who is near one of those.
+_NET = f"""SELECT {", ".join(_SPECTRUM)}, members, id AS spectrum_id, representative FROM (
+WITH RECURSIVE net AS (SELECT *, NULL::VARCHAR AS representative FROM spectra
+UNION ALL (
+  WITH still AS (SELECT * EXCLUDE (representative) FROM net WHERE representative IS NULL),
+  stands AS (SELECT * FROM still WHERE id IN (SELECT min(id) FROM still GROUP BY {", ".join(f"{c} // 7" for c in _SPECTRUM)})),
+  elected AS (SELECT * FROM stands WHERE id NOT IN
+    (SELECT a.id FROM stands a JOIN ({_BESIDE.format("stands")}) b ON a.b1 // 8 = b.k1 AND a.b2 // 8 = b.k2 AND b.id < a.id AND {_NEAR})),
+  told AS (SELECT a.id, min(b.id) AS representative FROM still a JOIN ({_BESIDE.format("elected")}) b ON a.b1 // 8 = b.k1 AND a.b2 // 8 = b.k2 AND {_NEAR} GROUP BY a.id)
+  SELECT still.*, told.representative FROM still LEFT JOIN told USING (id)))
+SELECT * FROM net WHERE representative IS NOT NULL)"""
+
+
+@query(sql("px", _NET, s=_MONTHS, ground=f"SELECT tile, \"row\", col, {', '.join(f'b{i} AS g{i}' for i in range(1, 8))} FROM ({_BACKGROUND})",
+           spectra=f"""SELECT {", ".join(_SPECTRUM)}, md5(concat_ws(',', {", ".join(_SPECTRUM)})) AS id, count(*) AS members
+FROM px JOIN ground USING (tile, "row", col) WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _SPECTRUM)} GROUP BY ALL"""))
 def o51_distinct_spectra(spark, d):
-    columns = ["b1", "b2", "b3", "solar_zenith"]
-    found = groups.distinct_spectra(A.pixel_days(spark, d), columns, ID)
-    return found.select(*[f"q_{c}" for c in columns], "members", *[f"s.{c}" for c in ID])
+    px = A.pixel_days(spark, d)
+    ground = groups.background_reflectance(px).select("tile", "row", "col", *[F.col(f"b{i}").alias(f"g{i}") for i in range(1, 8)])
+    found = spectra.distinct_spectra(px.join(ground, ["tile", "row", "col"]), _SPECTRUM)
+    text = {c: F.lower(F.hex(c)) for c in ("spectrum_id", "representative")}
+    return found.withColumnsRenamed({f"v{i}": c for i, c in enumerate(_SPECTRUM)}).withColumns(text)
 
 
 def _saltpans(table: str, snow: str, base: str, least_pixels: int, least_bins: int, cells: str) -> str:
