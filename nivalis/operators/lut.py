@@ -30,10 +30,10 @@ def lut_arrays(lut: DataFrame, axes: list[str], value: str) -> tuple[list[np.nda
     return grid, pdf[value].to_numpy(dtype=float).reshape([len(g) for g in grid])
 
 
-def interpolate(axes: list[np.ndarray], values: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """At points (n x axes); nan outside the grid. Leading axes of `values` beyond the given ones are last in the result."""
-    n, dims = points.shape
-    low, share, outside = [], [], np.zeros(n, bool)
+def _corners(axes: list[np.ndarray], points: np.ndarray):
+    """Of points (n x axes): the lower corner, the share of the way to the upper one, the steps, and who is outside the grid."""
+    n = len(points)
+    low, share, steps, outside = [], [], [], np.zeros(n, bool)
     for d, axis in enumerate(axes):
         x = points[:, d]
         outside |= ~((x >= axis[0]) & (x <= axis[-1]))
@@ -41,13 +41,29 @@ def interpolate(axes: list[np.ndarray], values: np.ndarray, points: np.ndarray)
         step = axis[i + 1] - axis[i] if len(axis) > 1 else np.ones(n)
         low.append(i)
         share.append((x - axis[i]) / step if len(axis) > 1 else np.zeros(n))
-    out = np.zeros((n, *values.shape[dims:]))
+        steps.append(step)
+    return low, share, steps, outside
+
+
+def interpolate(axes: list[np.ndarray], values: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """At points (n x axes); nan outside the grid. Leading axes of `values` beyond the given ones are last in the result."""
+    return interpolate_with_slopes(axes, values, points, [])[0]
+
+
+def interpolate_with_slopes(axes: list[np.ndarray], values: np.ndarray, points: np.ndarray, along: list[int]) -> list[np.ndarray]:
+    """The values, then their slopes along some axes; on a node's border those of the upper cell."""
+    n, dims = points.shape
+    low, share, steps, outside = _corners(axes, points)
+    out = [np.zeros((n, *values.shape[dims:])) for _ in range(1 + len(along))]
     for corner in range(1 << dims):
         bits = [(corner >> d) & 1 for d in range(dims)]
-        weight = np.prod([s if b else 1 - s for s, b in zip(share, bits)], axis=0)
-        at = tuple(np.minimum(i + b, len(a) - 1) for i, b, a in zip(low, bits, axes))
-        out += weight.reshape(-1, *[1] * (out.ndim - 1)) * values[at]
-    out[outside] = np.nan
+        weights = [s if b else 1 - s for s, b in zip(share, bits)]
+        found = values[tuple(np.minimum(i + b, len(a) - 1) for i, b, a in zip(low, bits, axes))]
+        for k, axis in enumerate([None, *along]):
+            weight = np.prod([w if d != axis else (1 if bits[d] else -1) / steps[d] for d, w in enumerate(weights)], axis=0)
+            out[k] += weight.reshape(-1, *[1] * (found.ndim - 1)) * found
+    for x in out:
+        x[outside] = np.nan
     return out
 
 
