@@ -21,11 +21,13 @@ from pyspark.sql.window import Window as W
 
 from nivalis.functions.flags import inversion_candidates
 from nivalis.functions.wateryear import water_year
+from nivalis.plans.albedo import albedo_job
 from nivalis.plans.gapfill import gap_fill_job
 from nivalis.plans.ingest import ingest_job, spatial_job, unmix_job
 from nivalis.plans.statistics import daily_job
 
 DAY, YEAR = ["tile", "obs_date"], ["tile", "water_year"]
+ALBEDOS = ["albedo_mu0", "albedo_muz", "deltavis", "radiative_forcing", "albedo_observed_mu0", "albedo_observed_muz"]
 STATUS = T.StructType([
     T.StructField("step", T.StringType()), T.StructField("tile", T.StringType()), T.StructField("obs_date", T.DateType()), T.StructField("water_year", T.IntegerType()),
     T.StructField("stamp", T.StringType()), T.StructField("version", T.StringType()), T.StructField("at", T.TimestampType()),
@@ -83,10 +85,12 @@ def commit(spark: SparkSession, folder: str, step: str, todo: DataFrame, version
 
 
 def run_chain(folder: str, files: DataFrame, px: DataFrame, static: DataFrame, background: DataFrame, lut: tuple[list[np.ndarray], np.ndarray], mask: DataFrame,
-              rows: int = 2400, cols: int = 2400, block: int = 200, var_id: int = 7) -> dict[str, int]:
-    """Ingest, unmixing, the spatial step, gap filling and daily statistics of whatever is new in `files`; items done per step.
+              rows: int = 2400, cols: int = 2400, block: int = 200, var_id: int = 7, albedo: dict[str, tuple] | None = None) -> dict[str, int]:
+    """Ingest, unmixing, the spatial step, gap filling, albedo and daily statistics of whatever is new in `files`; items done per step.
 
     `files` has tile, obs_date and edit_ts of the latest input of each tile-day; px the pixels of (at least) those that are due.
+    `albedo` is the look-up tables of albedo_job, which then needs solar_azimuth in px, and slope and aspect in static; without it
+    there is no albedo step.
     """
     spark, counts = px.sparkSession, {}
     of = lambda rows_, todo, keys: rows_.join(todo.select(*keys), keys, "left_semi")
@@ -110,6 +114,14 @@ def run_chain(folder: str, files: DataFrame, px: DataFrame, static: DataFrame, b
         low, high = own.agg(F.min("obs_date"), F.max("obs_date")).first()
         return gap_fill_job(own, f"{low.year - (low.month < 10)}-10-01", str(high), static, cols=cols, by_year=True)
 
+    def albedos(todo: DataFrame) -> DataFrame:
+        days = of(committed(spark, folder, "spatial", DAY).withColumn("water_year", water_year(F.col("obs_date"))), todo, YEAR)
+        place = ["tile", "row", "col", "obs_date"]
+        seasons = of(committed(spark, folder, "gap_fill", YEAR), todo, YEAR).select(*place, "water_year", "grain_size", "dust")
+        seen = seasons.join(days.select(*place, "solar_zenith", "solar_azimuth"), place, "left")
+        found = albedo_job(seen, static, albedo, keys=["tile", "row", "col", "water_year"])
+        return found.select(*place, "water_year", *ALBEDOS)
+
     def statistics(todo: DataFrame) -> DataFrame:
         days = committed(spark, folder, "gap_fill", YEAR).join(todo.select("water_year"), "water_year", "left_semi")
         return daily_job(days.join(static.select("tile", "row", "col", "elevation"), ["tile", "row", "col"]), mask, "viewable_snow_fraction", "grain_size", var_id)
@@ -123,5 +135,8 @@ def run_chain(folder: str, files: DataFrame, px: DataFrame, static: DataFrame, b
     years = after("spatial", DAY).withColumn("water_year", water_year(F.col("obs_date")))
     stamp = lambda *cols_: F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", *cols_)))), 256).alias("stamp")
     counts["gap_fill"] = do(spark, folder, "gap_fill", years.groupBy(*YEAR).agg(stamp("obs_date", "version")), YEAR, gap_filled)
+    if albedo is not None:
+        # Versions of gap-filled years change with any of their days, so with the sun's angles too.
+        counts["albedo"] = do(spark, folder, "albedo", after("gap_fill", YEAR).select(*YEAR, F.col("version").alias("stamp")), YEAR, albedos)
     counts["statistics"] = do(spark, folder, "statistics", after("gap_fill", YEAR).groupBy("water_year").agg(stamp("tile", "version")), ["water_year"], statistics)
     return counts
