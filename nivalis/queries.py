@@ -1000,11 +1000,40 @@ def o60_lut_interpolate(spark, d):
     return lut_interpolate(px, *_product_lut(), ["mu0", "mu", "root_grain", "dust", F.lit(0.7)], "albedo").select(*ID, F.round("albedo", 6).alias("albedo"))
 
 
-@query()
+# Normal equations of value and slope per day, (w y, 0) on their right side: one day's 2 x 2 block after the other is eliminated
+# upwards, then solved downwards; the coupling of a day with the next one is 0.9 times ((-12, 6), (-6, 2)).
+_SPLINE = """SELECT tile, "row", col, obs_date, CASE WHEN seen >= 2 THEN round(greatest(0, least(100, x0)), 4) END AS snow_smooth FROM (
+WITH RECURSIVE up AS (
+  SELECT k, t, a11 / (a00 * a11 - a01 * a01) AS i00, -a01 / (a00 * a11 - a01 * a01) AS i01, a00 / (a00 * a11 - a01 * a01) AS i11, r0, r1
+  FROM (SELECT k, t, 10.8::DOUBLE + w + 1e-12 AS a00, 5.4::DOUBLE AS a01, 3.6::DOUBLE + 1e-12 AS a11, w * y AS r0, 0.0::DOUBLE AS r1 FROM days WHERE t = 0)
+  UNION ALL
+  SELECT k, t, a11 / (a00 * a11 - a01 * a01), -a01 / (a00 * a11 - a01 * a01), a00 / (a00 * a11 - a01 * a01), r0, r1 FROM (
+    SELECT k, t, p00 - (c00 * -10.8 + c01 * -5.4) AS a00, p01 - (c00 * 5.4 + c01 * 1.8) AS a01, p11 - (c10 * 5.4 + c11 * 1.8) AS a11,
+      w * y - (c00 * r0 + c01 * r1) AS r0, -(c10 * r0 + c11 * r1) AS r1 FROM (
+      SELECT d.k, d.t, d.w, d.y, u.r0, u.r1, -10.8::DOUBLE * i00 - 5.4::DOUBLE * i01 AS c00, -10.8::DOUBLE * i01 - 5.4::DOUBLE * i11 AS c01,
+        5.4::DOUBLE * i00 + 1.8::DOUBLE * i01 AS c10, 5.4::DOUBLE * i01 + 1.8::DOUBLE * i11 AS c11,
+        CASE WHEN d.t < top THEN 21.6::DOUBLE ELSE 10.8 END + d.w + 1e-12 AS p00, CASE WHEN d.t < top THEN 0::DOUBLE ELSE -5.4 END AS p01,
+        CASE WHEN d.t < top THEN 7.2::DOUBLE ELSE 3.6 END + 1e-12 AS p11
+      FROM up u JOIN days d ON d.k = u.k AND d.t = u.t + 1))),
+steps AS MATERIALIZED (SELECT * FROM up),
+down AS (
+  SELECT k, t, i00 * r0 + i01 * r1 AS x0, i01 * r0 + i11 * r1 AS x1 FROM steps WHERE t = (SELECT max(top) FROM days)
+  UNION ALL
+  SELECT k, t, i00 * q0 + i01 * q1, i01 * q0 + i11 * q1 FROM (
+    SELECT s.k, s.t, i00, i01, i11, r0 - (-10.8::DOUBLE * x0 + 5.4::DOUBLE * x1) AS q0, r1 - (-5.4::DOUBLE * x0 + 1.8::DOUBLE * x1) AS q1
+    FROM down JOIN steps s ON s.k = down.k AND s.t = down.t - 1))
+SELECT * FROM down JOIN days USING (k, t))"""
+_DAYS_OF = """SELECT tile, "row", col, obs_date, dense_rank() OVER (ORDER BY tile, "row", col) AS k, obs_date - min(obs_date) OVER () AS t, max(obs_date) OVER () - min(obs_date) OVER () AS top,
+  CASE WHEN snow IS NOT NULL AND weight > 0 THEN 0.1::DOUBLE * weight ELSE 0 END AS w, coalesce(snow, 0)::DOUBLE AS y,
+  count(*) FILTER (WHERE snow IS NOT NULL AND weight > 0) OVER (PARTITION BY tile, "row", col) AS seen FROM dense"""
+
+
+@query(sql("dense", _SPLINE, days=_DAYS_OF))
 def o66_smoothing_spline(spark, d):
     from nivalis.operators.spline import smoothing_spline
 
-    return smoothing_spline(_dense(spark, d).select(*ID, "snow", "weight"), "snow", "weight", 0.1, 0, 100, cols=10)
+    found = smoothing_spline(_dense(spark, d).select(*ID, "snow", "weight"), "snow", "weight", 0.1, 0, 100, cols=10)
+    return found.withColumn("snow_smooth", F.round("snow_smooth", 4))
 
 
 @query()
