@@ -252,6 +252,13 @@ def o12_unpack_bits(spark, d):
     return A.pixel_days(spark, d).select(*ID, *bits.unpack_bits(F.col("state_1km")))
 
 
+@query(sql("px", f"""SELECT {IDS}, (qc & 3)::INT AS modland, ((qc >> 30) & 1)::INT AS atmos_corr, ((qc >> 31) & 1)::INT AS adj_corr
+  FROM (SELECT *, state_1km::BIGINT * 131071 % 4294967296 AS qc FROM px)"""))
+def o12_unpack_qc(spark, d):
+    qc = bits.squeeze_qc(F.expr("CAST(state_1km AS BIGINT) * 131071 % 4294967296"))
+    return A.pixel_days(spark, d).select(*ID, *bits.unpack_bits(qc, bits.QC_500M))
+
+
 @query(sql("px", f"""SELECT {IDS}, state_1km & {0b100111111111111} AS state,
   ((qc & 3) | (((qc >> 30) & 1) << 2) | (((qc >> 31) & 1) << 3))::INT AS qc,
   ((b1 >> 2) & 3) | (((b2 >> 3) & 1) << 2) | ((b2 & 7) << 3) | (((b3 >> 2) & 7) << 6) AS qf
@@ -1000,51 +1007,82 @@ def o60_lut_interpolate(spark, d):
     return lut_interpolate(px, *_product_lut(), ["mu0", "mu", "root_grain", "dust", F.lit(0.7)], "albedo").select(*ID, F.round("albedo", 6).alias("albedo"))
 
 
-# Normal equations of value and slope per day, (w y, 0) on their right side: one day's 2 x 2 block after the other is eliminated
-# upwards, then solved downwards; the coupling of a day with the next one is 0.9 times ((-12, 6), (-6, 2)).
-_SPLINE = """SELECT tile, "row", col, obs_date, CASE WHEN seen >= 2 THEN round(greatest(0, least(100, x0)), 4) END AS snow_smooth FROM (
-WITH RECURSIVE up AS (
-  SELECT k, t, a11 / (a00 * a11 - a01 * a01) AS i00, -a01 / (a00 * a11 - a01 * a01) AS i01, a00 / (a00 * a11 - a01 * a01) AS i11, r0, r1
-  FROM (SELECT k, t, 10.8::DOUBLE + w + 1e-12 AS a00, 5.4::DOUBLE AS a01, 3.6::DOUBLE + 1e-12 AS a11, w * y AS r0, 0.0::DOUBLE AS r1 FROM days WHERE t = 0)
+def _spline(days: str, p: float) -> str:
+    """k, t and x0, the spline's value, of days (k, t, top: its last day, w, y) by the normal equations of value and slope per day.
+
+    (w y, 0) is on their right side. One day's 2 x 2 block after the other is eliminated upwards, then solved downwards; the
+    coupling of a day with the next one is 1 - p times ((-12, 6), (-6, 2)).
+    """
+    c2, c4, c6, c12 = (f"{(1 - p) * c!r}::DOUBLE" for c in (2, 4, 6, 12))
+    inverse = "a11 / (a00 * a11 - a01 * a01) AS i00, -a01 / (a00 * a11 - a01 * a01) AS i01, a00 / (a00 * a11 - a01 * a01) AS i11"
+    return f"""(WITH RECURSIVE own AS MATERIALIZED (SELECT k, t, top, {p!r}::DOUBLE * w AS w, y FROM {days}),
+up AS (
+  SELECT k, t, {inverse}, r0, r1 FROM (SELECT k, t, {c12} + w + 1e-12 AS a00, {c6} AS a01, {c4} + 1e-12 AS a11, w * y AS r0, 0.0::DOUBLE AS r1 FROM own WHERE t = 0)
   UNION ALL
-  SELECT k, t, a11 / (a00 * a11 - a01 * a01), -a01 / (a00 * a11 - a01 * a01), a00 / (a00 * a11 - a01 * a01), r0, r1 FROM (
-    SELECT k, t, p00 - (c00 * -10.8 + c01 * -5.4) AS a00, p01 - (c00 * 5.4 + c01 * 1.8) AS a01, p11 - (c10 * 5.4 + c11 * 1.8) AS a11,
+  SELECT k, t, {inverse}, r0, r1 FROM (
+    SELECT k, t, p00 + c00 * {c12} + c01 * {c6} AS a00, p01 - (c00 * {c6} + c01 * {c2}) AS a01, p11 - (c10 * {c6} + c11 * {c2}) AS a11,
       w * y - (c00 * r0 + c01 * r1) AS r0, -(c10 * r0 + c11 * r1) AS r1 FROM (
-      SELECT d.k, d.t, d.w, d.y, u.r0, u.r1, -10.8::DOUBLE * i00 - 5.4::DOUBLE * i01 AS c00, -10.8::DOUBLE * i01 - 5.4::DOUBLE * i11 AS c01,
-        5.4::DOUBLE * i00 + 1.8::DOUBLE * i01 AS c10, 5.4::DOUBLE * i01 + 1.8::DOUBLE * i11 AS c11,
-        CASE WHEN d.t < top THEN 21.6::DOUBLE ELSE 10.8 END + d.w + 1e-12 AS p00, CASE WHEN d.t < top THEN 0::DOUBLE ELSE -5.4 END AS p01,
-        CASE WHEN d.t < top THEN 7.2::DOUBLE ELSE 3.6 END + 1e-12 AS p11
-      FROM up u JOIN days d ON d.k = u.k AND d.t = u.t + 1))),
+      SELECT d.k, d.t, d.w, d.y, u.r0, u.r1, -{c12} * i00 - {c6} * i01 AS c00, -{c12} * i01 - {c6} * i11 AS c01, {c6} * i00 + {c2} * i01 AS c10, {c6} * i01 + {c2} * i11 AS c11,
+        CASE WHEN d.t < top THEN 2 * {c12} ELSE {c12} END + d.w + 1e-12 AS p00, CASE WHEN d.t < top THEN 0 ELSE -{c6} END AS p01, CASE WHEN d.t < top THEN 2 * {c4} ELSE {c4} END + 1e-12 AS p11
+      FROM up u JOIN own d ON d.k = u.k AND d.t = u.t + 1))),
 steps AS MATERIALIZED (SELECT * FROM up),
 down AS (
-  SELECT k, t, i00 * r0 + i01 * r1 AS x0, i01 * r0 + i11 * r1 AS x1 FROM steps WHERE t = (SELECT max(top) FROM days)
+  SELECT k, t, i00 * r0 + i01 * r1 AS x0, i01 * r0 + i11 * r1 AS x1 FROM steps JOIN own USING (k, t) WHERE t = top
   UNION ALL
   SELECT k, t, i00 * q0 + i01 * q1, i01 * q0 + i11 * q1 FROM (
-    SELECT s.k, s.t, i00, i01, i11, r0 - (-10.8::DOUBLE * x0 + 5.4::DOUBLE * x1) AS q0, r1 - (-5.4::DOUBLE * x0 + 1.8::DOUBLE * x1) AS q1
+    SELECT s.k, s.t, i00, i01, i11, r0 + {c12} * x0 - {c6} * x1 AS q0, r1 + {c6} * x0 - {c2} * x1 AS q1
     FROM down JOIN steps s ON s.k = down.k AND s.t = down.t - 1))
-SELECT * FROM down JOIN days USING (k, t))"""
+SELECT k, t, x0 FROM down)"""
+
+
 _DAYS_OF = """SELECT tile, "row", col, obs_date, dense_rank() OVER (ORDER BY tile, "row", col) AS k, obs_date - min(obs_date) OVER () AS t, max(obs_date) OVER () - min(obs_date) OVER () AS top,
-  CASE WHEN snow IS NOT NULL AND weight > 0 THEN 0.1::DOUBLE * weight ELSE 0 END AS w, coalesce(snow, 0)::DOUBLE AS y,
+  CASE WHEN snow IS NOT NULL AND weight > 0 THEN weight ELSE 0 END AS w, coalesce(snow, 0)::DOUBLE AS y,
   count(*) FILTER (WHERE snow IS NOT NULL AND weight > 0) OVER (PARTITION BY tile, "row", col) AS seen FROM dense"""
 
 
-@query(sql("dense", _SPLINE, days=_DAYS_OF))
+@query(sql("dense", f"""SELECT tile, "row", col, obs_date, CASE WHEN seen >= 2 THEN round(greatest(0, least(100, x0)), 2) END AS snow_smooth
+FROM {_spline("days", 0.1)} JOIN days USING (k, t)""", days=_DAYS_OF))
 def o66_smoothing_spline(spark, d):
     from nivalis.operators.spline import smoothing_spline
 
     found = smoothing_spline(_dense(spark, d).select(*ID, "snow", "weight"), "snow", "weight", 0.1, 0, 100, cols=10)
-    return found.withColumn("snow_smooth", F.round("snow_smooth", 4))
-
-
-@query()
+    return found.withColumn("snow_smooth", F.round("snow_smooth", 2))
+
+
+def _taper(x: str, end: int) -> str:
+    """The spline x up to the peak, the plateau from there on, and in the last seven days a cubic from it to the end."""
+    share = "((t - top + 7) / 7.0::DOUBLE)"
+    return f"CASE WHEN t > top - 7 THEN plateau + ({end} - plateau) * (3 * {share} ** 2 - 2 * {share} ** 3) WHEN t < peak THEN {x} ELSE plateau END"
+
+
+@query(sql("px", f"""SELECT tile, "row", col, water_year, obs_date, CASE WHEN usable THEN round(greatest(40, least(1190, g_out)), 1) END AS grain_fixed,
+  CASE WHEN usable AND d_seen >= 2 THEN round(greatest(0, least(950, d_out)), 1) END AS dust_fixed FROM (SELECT dusty.*, {_taper("x0", 0)} AS d_out FROM dusty JOIN {_spline("dusty", 0.1)} USING (k, t))""",
+           seasons='SELECT DISTINCT tile, "row", col, year(obs_date) + (month(obs_date) >= 10)::INT AS water_year FROM px',
+           full_years="""SELECT tile, "row", col, water_year, obs_date, grain, dust, coalesce(weight, 1) AS weight, k, obs_date - make_date(water_year - 1, 10, 1) AS t, make_date(water_year, 9, 30) - make_date(water_year - 1, 10, 1) AS top,
+             coalesce(grain BETWEEN 40 AND 1190, false) AS g_ok, CASE WHEN grain BETWEEN 40 AND 1190 THEN grain END AS x
+             FROM (SELECT *, row_number() OVER () AS k, unnest(range(make_date(water_year - 1, 10, 1)::TIMESTAMP, make_date(water_year, 10, 1)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS obs_date FROM
+               (SELECT * FROM seasons)) LEFT JOIN px USING (tile, "row", col, obs_date)""",
+           windows="SELECT *, median(x) OVER w AS middle, list(x) OVER w AS around FROM full_years WINDOW w AS (PARTITION BY k ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)",
+           calm="""SELECT * EXCLUDE (around), CASE WHEN abs(x - middle) > 2 * 1.4826::DOUBLE * list_median([abs(v - middle) FOR v IN around IF v IS NOT NULL]) THEN middle ELSE x END AS g FROM windows""",
+           late="SELECT *, coalesce(max(t) FILTER (WHERE g_ok) OVER (PARTITION BY k), 0) AS last_seen FROM calm",
+           peaks="SELECT k, coalesce(arg_max(t, (g, -t)) FILTER (WHERE t > last_seen - 40 AND g IS NOT NULL), 0) AS peak FROM late GROUP BY k",
+           marked="SELECT *, g_ok AND t <= peak AS before FROM late JOIN peaks USING (k)",
+           grainy="""SELECT * EXCLUDE (middle, x), count(*) FILTER (WHERE before) OVER w >= 2 AND peak >= 2 AS usable, max(g) FILTER (WHERE t = peak) OVER w AS plateau,
+             CASE WHEN t = 0 THEN 1 WHEN before THEN weight ELSE 0 END AS w, CASE WHEN t = 0 THEN 40 WHEN before THEN g ELSE 0 END::DOUBLE AS y FROM marked WINDOW w AS (PARTITION BY k)""",
+           grains=f"SELECT grainy.* EXCLUDE (w, y, plateau), {_taper('x0', 40)} AS g_out FROM grainy JOIN {_spline('grainy', 0.8)} USING (k, t)",
+           grains_ok="SELECT *, g_ok AND t <= peak AND coalesce(dust BETWEEN 0 AND 950, false) AS d_ok FROM grains",
+           dust_of="SELECT *, CASE WHEN t < peak AND g_out <= 300 AND d_ok THEN 0 ELSE dust END AS d, coalesce(max(t) FILTER (WHERE d_ok) OVER (PARTITION BY k), 0) AS last_d FROM grains_ok",
+           dusty="""SELECT *, count(*) FILTER (WHERE d_ok) OVER w AS d_seen, max(d) FILTER (WHERE t = last_d) OVER w AS plateau,
+             CASE WHEN t = 0 THEN 1 WHEN d_ok THEN weight ELSE 0 END AS w, CASE WHEN t = 0 OR NOT d_ok THEN 0 ELSE d END::DOUBLE AS y FROM dust_of WINDOW w AS (PARTITION BY k)"""))
 def o67_fix_peak(spark, d):
-    """Every water year of the data, its days without gaps."""
+    """Every water year of the data, its days without gaps; to a tenth, as two orders of elimination agree to some 1e-9 only."""
     from nivalis.operators.spline import fix_peaks
 
     keys = [*series.PIXEL, "water_year"]
     px = A.pixel_days(spark, d).withColumn("water_year", wateryear.water_year(F.col("obs_date")))
     first, last = (F.make_date(F.col("water_year") - back, F.lit(month), F.lit(day)) for back, month, day in ((1, 10, 1), (0, 9, 30)))
-    return fix_peaks(series.densify(px, first, last, keys), "grain", "dust", "weight", cols=10, keys=keys)
+    found = fix_peaks(series.densify(px, first, last, keys), "grain", "dust", "weight", cols=10, keys=keys)
+    return found.withColumns({c: F.round(c, 1) for c in ("grain_fixed", "dust_fixed")})
 
 
 def _clouds(table: str, cloud: str) -> str:
