@@ -82,15 +82,17 @@ def spatial_medians(px: DataFrame, value: str, day: list[str], rows: int, cols:
     )
     medians = stash(medians, "medians")
     # The band to ask: the first at or above with any valid pixel in the tile, else the first below the top.
-    present = medians.where(F.col("c.level") == top).select(*day, "from_band")
+    whole = medians.where(F.col("c.level") == top)
+    present = whole.select(*day, "from_band").distinct()
     bands = F.array(*[F.lit(i) for i in range(1, len(edges))])
     asked = present.groupBy(*day).agg(F.sort_array(F.collect_set("from_band")).alias("have")).withColumn("band", F.explode(bands))
     up = F.array_min(F.filter("have", lambda b: b >= F.col("band")))
     asked = asked.select(*day, "band", F.coalesce(up, F.array_max("have")).alias("from_band"))
-    # The finest cell tells all coarser ones, so the pyramid is settled for cells; pixels are joined once.
+    # The finest cell tells all coarser ones, so the pyramid is settled for cells; pixels are joined once. A raster with
+    # more rows or columns than stated has several cells at the top, each with the finest cells below it.
     fine = LEVELS[0]
-    side = F.sequence(F.lit(0), F.lit(fine - 1))
-    table = present.select(*day, "from_band", F.explode(side).alias("_cr")).withColumn("_cc", F.explode(side))
+    side = lambda c: F.explode(F.sequence(F.col(c) * fine, F.col(c) * fine + fine - 1))
+    table = whole.select(*day, "from_band", side("c.cr").alias("_cr"), "c.cc").select(*day, "from_band", "_cr", side("cc").alias("_cc"))
     for level, n in enumerate(LEVELS):
         here = medians.where(F.col("c.level") == level).select(*day, "from_band", F.col("c.cr").alias("_r"), F.col("c.cc").alias("_c"), F.col("median").alias(f"_m{level}"))
         coarse = table.withColumns({"_r": F.expr(f"_cr div {fine // n}"), "_c": F.expr(f"_cc div {fine // n}")})

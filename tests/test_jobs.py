@@ -255,6 +255,17 @@ def test_spatial_job_fills_from_pixels_without_filters_only(spark):
     assert {x.grain_spatial for x in ingest.spatial_job(changed, 6, 6, viirs=True).where("col = 0").collect()} == {500}
 
 
+def test_medians_of_a_raster_larger_than_stated(spark):
+    """Rows beyond the stated ones have pyramids of their own; no row comes twice."""
+    from nivalis.operators import groups
+
+    day = dt.date(2000, 1, 1)
+    rows = [("h00v00", day, r, 0, 100, 10 * (1 + r // 48) if r % 2 else None, True, bool(r % 2)) for r in range(130)]
+    px = spark.createDataFrame(rows, "tile string, obs_date date, row int, col int, elevation int, grain int, snow boolean, valid boolean")
+    found = groups.spatial_median_fill(px, "grain", ["tile", "obs_date"], 48, 48).collect()
+    assert sorted((r.row, r.grain_spatial) for r in found) == [(r, 10 * (1 + r // 48)) for r in range(130)]
+
+
 def test_spatial_job_flags_salt_pans_of_the_base_only(spark):
     """Five and more snow-free bins above 5000 m: snow of the base in them is salt, under clouds, canopy or little snow it is not."""
     rows = []
