@@ -11,6 +11,8 @@ from nivalis.operators.series import PIXEL, interpolate_linear
 
 # Ranges of the outputs.
 RANGES = {"albedo": (0, 100), "deltavis": (0, 75), "radiative_forcing": (0, 500)}
+#: What sums of products of doubles can miss, so that an exact half that comes out as 4.499999999999999 is rounded as a half.
+SLACK = 1 + 1e-13
 
 
 def albedo_job(px: DataFrame, static: DataFrame, luts: dict[str, tuple], soot: float = 0.0, keys=PIXEL) -> DataFrame:
@@ -32,7 +34,7 @@ def albedo_job(px: DataFrame, static: DataFrame, luts: dict[str, tuple], soot: f
         px = lut_interpolate(px, *luts["albedo"], ["mu0", mu, "root_grain", F.lit(0.0), F.lit(soot)], f"clean_{name}")
     px = lut_interpolate(px, *luts["deltavis"], ["mu0", "muz", "root_grain", "dust_share", F.lit(soot)], "deltavis_raw")
     px = lut_interpolate(px, *luts["radiative_forcing"], ["mu0", "muz", "root_grain", "dust_share", F.lit(soot)], "forcing_raw")
-    ranged = lambda c, name: F.when(F.round(c).between(*RANGES[name]), F.round(c).cast("int"))
+    ranged = lambda c, name: F.when(F.round(c * SLACK).between(*RANGES[name]), F.round(c * SLACK).cast("int"))
     return px.withColumns({
         "albedo_mu0": ranged(F.col("clean_mu0"), "albedo"), "albedo_muz": ranged(F.col("clean_muz"), "albedo"),
         "deltavis": ranged(F.col("deltavis_raw"), "deltavis"), "radiative_forcing": ranged(F.col("forcing_raw"), "radiative_forcing"),

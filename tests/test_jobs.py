@@ -87,6 +87,15 @@ def test_albedo_job_against_the_formula(spark):
         assert r.deltavis == math.floor(7e4 * 2e-5 + 0.5)
 
 
+def test_albedo_job_rounds_halves_that_the_table_misses(spark):
+    """At a zenith of 60 degrees 325 gives 6.5 and 375 gives 7.5; the sums over the corners come out as 6.499999999999999."""
+    rows = [("h00v00", 0, i, dt.date(2000, 1, 1), 60, 0, grain, dust) for i, (grain, dust) in enumerate([(195, 325), (710, 325), (63, 375), (799, 375)])]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, solar_zenith int, solar_azimuth int, grain_size int, dust int")
+    static = spark.createDataFrame([("h00v00", 0, i, 0, 0) for i in range(4)], "tile string, row int, col int, slope int, aspect int")
+    found = albedo.albedo_job(px, static, queries._luts()).orderBy("col").collect()
+    assert [r.radiative_forcing for r in found] == [7, 7, 8, 8]
+
+
 def hazen(x, percent):
     x = sorted(x)
     at = max(1.0, min(len(x), len(x) * percent / 100 + 0.5))
