@@ -22,14 +22,29 @@ def by_day(keys=PIXEL, date: str = "obs_date") -> W:
     return W.partitionBy(*keys).orderBy(date)
 
 
-def densify(px: DataFrame, first: Column, last: Column, keys=PIXEL, date: str = "obs_date") -> DataFrame:
+#: Rows of a gap-free series that a task sorts.
+ROWS_A_TASK = 1_000_000
+
+
+def densify(px: DataFrame, first: Column, last: Column, keys=PIXEL, date: str = "obs_date", rows: int | None = None) -> DataFrame:
     """A row for each pixel and day of the range; absent days have nulls.
 
-    The calendar is exploded per distinct pixel; no cross join.
+    Each row of a pixel makes the days up to its next row, so the observed rows are shuffled, not all days. With `rows`,
+    about how many rows come out, tasks are as many as keep the rows of one bounded; windows over the pixel keep these tasks.
     """
-    pixels = px.select(*keys).distinct()
-    days = pixels.select(*keys, F.explode(F.sequence(first, last)).alias(date))
-    return days.join(px, [*keys, date], "left")
+    if rows:
+        tasks = max(int(px.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+        px = px.repartition(tasks, *keys)
+    others = [c for c in px.columns if c not in (*keys, date)]
+    # A row without a date makes no day, but its pixel has days.
+    px = px.withColumns({"_first": first, "_last": last}).withColumn("_at", F.coalesce(F.col(date), F.date_sub("_first", 1)))
+    w = W.partitionBy(*keys).orderBy("_at")
+    px = px.withColumns({"_n": F.row_number().over(w), "_next": F.lead("_at").over(w)})
+    low = F.when(F.col("_n") == 1, F.col("_first")).otherwise(F.greatest("_first", "_at"))
+    high = F.when(F.col("_next").isNull(), F.col("_last")).otherwise(F.least("_last", F.greatest("_at", F.date_sub("_next", 1))))
+    px = px.withColumns({"_low": low, "_high": high}).where(F.col("_low") <= F.col("_high"))
+    px = px.select(*keys, F.explode(F.sequence("_low", "_high")).alias("_day"), F.col(date).alias("_seen"), *[F.col(f"`{c}`") for c in others])
+    return px.select(*keys, F.col("_day").alias(date), *[F.when(F.col("_day") == F.col("_seen"), F.col(f"`{c}`")).alias(c) for c in others])
 
 
 def unobserved_runs(px: DataFrame, observed: Column, keys=PIXEL) -> DataFrame:

@@ -38,10 +38,9 @@ def _bands():
 
 
 def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pixels on all days of the whole range of dates (two scalars fetched first)."""
-    px = A.pixel_days(spark, sf_dir)
-    low, high = px.agg(F.min("obs_date"), F.max("obs_date")).first()
-    return series.densify(px, F.lit(low), F.lit(high))
+    """All pixels on all days of the whole range of dates (three scalars fetched first, of the lines that the pixel-days are made of)."""
+    low, high, pixels = A.table(spark, sf_dir, "lineitem").agg(F.min(F.col("l_shipdate").cast("date")), F.max(F.col("l_shipdate").cast("date")), F.approx_count_distinct("l_suppkey")).first()
+    return series.densify(A.pixel_days(spark, sf_dir), F.lit(low), F.lit(high), rows=pixels * ((high - low).days + 1) if low else None)
 
 
 # --- sources and sinks -----------------------------------------------------

@@ -43,6 +43,20 @@ def test_densify_an_empty_table(spark):
     assert series.densify(empty, F.lit(START), F.lit(START)).count() == 0
 
 
+def test_densify_bounds_the_rows_of_a_task_and_shuffles_observed_rows_only(spark, monkeypatch):
+    monkeypatch.setattr(series, "ROWS_A_TASK", 50)
+    day = lambda i: START + dt.timedelta(i)
+    rows = [("h00v00", 0, p, day(i), 100 * p + i) for p in range(40) for i in (-3, 2, 5, 5, 9, 30) if p % 7] + [("h00v00", 0, 0, day(40), 1), ("h00v00", 0, 7, None, 1), ("h00v00", 0, 7, None, 2)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, snow int")
+    dense = series.densify(px, F.lit(day(0)), F.lit(day(9)), rows=400)
+    own = {(p, i): 100 * p + i for p in range(40) for i in (2, 5, 9) if p % 7}
+    expected = [(p, day(i), own.get((p, i))) for p in range(40) for i in range(10) if p % 7 or p < 8 for _ in range(2 if p % 7 and i == 5 else 1)]
+    assert sorted(map(repr, (tuple(r) for r in dense.select("col", "obs_date", "snow").collect()))) == sorted(map(repr, expected))
+    runs = series.stretches(series.unobserved_runs(dense, F.col("snow").isNotNull()), F.col("snow"))
+    assert runs._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert runs.rdd.getNumPartitions() == 8 and max(runs.rdd.glom().map(len).collect()) < 150
+
+
 def test_hampel_matches_the_matrix_form(spark):
     values = [5, 6, 90, 7, None, 6, 5, 40, 6]
     ours = column(pixel(spark, values).withColumn("h", series.hampel("snow")), "h")
