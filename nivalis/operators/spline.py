@@ -28,26 +28,33 @@ def smooth(y: np.ndarray, w: np.ndarray, p: float) -> np.ndarray:
     bend = 1 - p
     stiff = bend * np.array([[12, 6, -12, 6], [6, 4, -6, 2], [-12, -6, 12, -6], [6, 2, -6, 4]], float)
     first, last, up = stiff[:2, :2], stiff[2:, 2:], stiff[:2, 2:]
-    right = np.zeros((pixels, days, 2))
-    right[:, :, 0] = weight * np.where(seen, y, 0.0)
-    inverse = np.zeros((pixels, days, 2, 2))
-    tiny = 1e-12 * np.eye(2)
+    # All by day, so that a step reads and writes whole rows.
+    weight_of, value_of = np.ascontiguousarray(weight.T), np.ascontiguousarray((weight * np.where(seen, y, 0.0)).T)
+    inverse, right = np.zeros((days, 4, pixels)), np.zeros((days, 2, pixels))
+    (u00, u01), (u10, u11) = up
     for t in range(days):
-        block = np.broadcast_to((last if t else 0) + (first if t < days - 1 else 0) + tiny, (pixels, 2, 2)).copy()
-        block[:, 0, 0] += weight[:, t]
+        (b00, b01), (b10, b11) = (last if t else 0) + (first if t < days - 1 else 0) + 1e-12 * np.eye(2)
+        b00 = b00 + weight_of[t]
+        r0, r1 = value_of[t], 0.0
         if t:
-            carry = np.einsum("ij,pjk->pik", up.T, inverse[:, t - 1])
-            block -= carry @ up
-            right[:, t] -= np.einsum("pij,pj->pi", carry, right[:, t - 1])
-        det = block[:, 0, 0] * block[:, 1, 1] - block[:, 0, 1] * block[:, 1, 0]
+            (i00, i01, i10, i11), (q0, q1) = inverse[t - 1], right[t - 1]
+            c00, c01, c10, c11 = u00 * i00 + u10 * i10, u00 * i01 + u10 * i11, u01 * i00 + u11 * i10, u01 * i01 + u11 * i11
+            b00, b01 = b00 - (c00 * u00 + c01 * u10), b01 - (c00 * u01 + c01 * u11)
+            b10, b11 = b10 - (c10 * u00 + c11 * u10), b11 - (c10 * u01 + c11 * u11)
+            r0, r1 = r0 - (c00 * q0 + c01 * q1), -(c10 * q0 + c11 * q1)
+        det = b00 * b11 - b01 * b10
         det = np.where(np.abs(det) < 1e-300, 1e-300, det)
-        inverse[:, t, 0, 0], inverse[:, t, 1, 1] = block[:, 1, 1] / det, block[:, 0, 0] / det
-        inverse[:, t, 0, 1], inverse[:, t, 1, 0] = -block[:, 0, 1] / det, -block[:, 1, 0] / det
-    out = np.zeros((pixels, days, 2))
+        inverse[t, 0], inverse[t, 1], inverse[t, 2], inverse[t, 3] = b11 / det, -b01 / det, -b10 / det, b00 / det
+        right[t, 0], right[t, 1] = r0, r1
+    found = np.zeros((days, pixels))
+    f0 = f1 = np.zeros(pixels)
     for t in range(days - 1, -1, -1):
-        rest = right[:, t] - (np.einsum("ij,pj->pi", up, out[:, t + 1]) if t < days - 1 else 0)
-        out[:, t] = np.einsum("pij,pj->pi", inverse[:, t], rest)
-    f = out[:, :, 0]
+        (i00, i01, i10, i11), (r0, r1) = inverse[t], right[t]
+        if t < days - 1:
+            r0, r1 = r0 - (u00 * f0 + u01 * f1), r1 - (u10 * f0 + u11 * f1)
+        f0, f1 = i00 * r0 + i01 * r1, i10 * r0 + i11 * r1
+        found[t] = f0
+    f = np.ascontiguousarray(found.T)
     f[seen.sum(axis=1) < 2] = np.nan
     return f
 
