@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +11,11 @@ from nivalis.sources.folders import stash
 
 #: Steps of the keys by which pairs are sought, in tolerances; an interval of two tolerances meets at most two of them.
 WIDE = 4
-#: Values that make up a key at most (a spectrum is looked up under at most 2 ** MOST_KEYS keys), the spectra by which they
-#: are chosen, and what moving one to a key costs in comparisons. These set the pace of the search, not its result.
-MOST_KEYS, CHOOSE_BY, MOVE = 10, 20_000, 30
+#: Values that make up a key at most, the spectra by which they are chosen, and how many spectra of a key are wanted (fewer
+#: in small tables, so all tasks have work); of a key with more than MOST_ROWS, each so many are a group of their own.
+MOST_KEYS, CHOOSE_BY, WANTED, MOST_ROWS = 10, 20_000, 100_000, 400_000
+#: Spectra that a task sorts, and pairs that are compared at once. These set the pace of the search, not its result.
+ROWS_A_TASK, PAIRS = 500_000, 1 << 19
 
 
 def _values(px: DataFrame, columns: list[str]) -> list[Column]:
@@ -33,31 +36,28 @@ def _step(c: str, width: float) -> Column:
 
 
 def _keys(spectra: DataFrame, names: list[str], tolerance: float) -> list[str]:
-    """Values for the keys, each the one that saves most work beside those before it, as far as the spectra of smallest id tell.
+    """Values for the keys, each the one that parts spectra best for what it adds to look up, until as few share a key as are wanted.
 
-    Work is that of moving all spectra to their keys and comparing those that meet there; values go along with each
-    other, so how many meet is counted for whole keys.
+    The spectra of smallest id tell; values go along with each other, so how many share a key is counted for whole keys.
     """
     some = spectra.orderBy("spectrum_id").select(*[F.col(n).cast("double") for n in names]).limit(CHOOSE_BY).toPandas().to_numpy()
     total, (count, width) = spectra.count(), (len(some), WIDE * tolerance)
-    if count < 2:
-        return names[:1]
+    wanted = min(WANTED, max(1000, total // (4 * int(spectra.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     steps = np.floor(some / width)
-    looked = 1 + (np.floor((some + tolerance) / width) - np.floor((some - tolerance) / width)).mean(0)
-    chosen, group, moved, best = [], np.zeros(count, int), 1.0, np.inf
-    while len(chosen) < min(MOST_KEYS, len(names)):
-        work = {}
+    looked = 1 + (np.floor((some + tolerance) / width) - np.floor((some - tolerance) / width)).mean(0) if count else []
+    chosen, group, shared = [], np.zeros(count, int), float(total)
+    while count > 1 and shared > wanted and len(chosen) < min(MOST_KEYS, len(names)):
+        work = []
         for i in set(range(len(names))) - set(chosen):
             step = np.unique(steps[:, i], return_inverse=True)[1]
             finer = np.unique(group * (step.max() + 1) + step, return_inverse=True)[1]
             sizes = np.bincount(finer).astype(float)
-            meet = total * (sizes * (sizes - 1)).sum() / count / (count - 1)
-            work[i] = (moved * looked[i] * (MOVE + meet), i, finer)
-        least, i, finer = min(work.values(), key=lambda w: w[:2])
-        if least >= best:
+            work.append((1 + total * (sizes * (sizes - 1)).sum() / count / (count - 1), i, finer))
+        least, i, finer = min(work, key=lambda w: (looked[w[1]] ** 3 * w[0], w[1]))  # keys of equal worth part by the cube of what they add
+        if least >= shared:
             break
-        chosen, group, moved, best = [*chosen, i], finer, moved * looked[i], least
-    return [names[i] for i in chosen]
+        chosen, group, shared = [*chosen, i], finer, least
+    return [names[i] for i in chosen] or names[:1]
 
 
 def _placed(df: DataFrame, keys: list[str], width: float) -> DataFrame:
@@ -73,6 +73,101 @@ def _look_up(df: DataFrame, keys: list[str], width: float, tolerance: float) ->
     return df.select(*kept, F.xxhash64(*[f"_k_{c}" for c in keys]).alias("_key"))
 
 
+def _tasks(df: DataFrame) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+
+
+def _schema(df: DataFrame, columns: list[str], more: str = "") -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join(f"{c} {kinds[c]}" for c in columns) + more
+
+
+def _candidates(spectra: DataFrame, names: list[str], tolerance: float) -> DataFrame:
+    """The spectrum of smallest id of each cell of a grid with steps of the tolerance; groups are cells by hash."""
+    parts = max(_tasks(spectra), spectra.count() // WANTED)
+    cells = spectra.select("spectrum_id", *names, F.xxhash64(*[_step(n, tolerance) for n in names]).alias("_cell"))
+
+    def run(table: pa.Table) -> pa.Table:
+        cell, order = table.column("_cell").to_numpy(), _order(table.column("spectrum_id"))
+        return table.select(["spectrum_id", *names]).take(order[np.unique(cell[order], return_index=True)[1]])
+
+    grouped = cells.withColumn("_part", F.pmod("_cell", F.lit(parts))).repartition(_tasks(spectra), "_part").groupBy("_part")
+    return grouped.applyInArrow(run, _schema(spectra, ["spectrum_id", *names]))
+
+
+def _order(ids: pa.ChunkedArray) -> np.ndarray:
+    """The places of ids (16 bytes each) in their order."""
+    halves = np.frombuffer(b"".join(ids.to_pylist()), ">u8").reshape(-1, 2).astype(np.uint64)
+    return np.lexsort((halves[:, 1], halves[:, 0]))
+
+
+def first_near(a: np.ndarray, b: np.ndarray, tolerance: float) -> np.ndarray:
+    """Of each row of a the first row of b from which no value differs by more than the tolerance, len(b) if there is none.
+
+    Rows of a are halved by the value in which they differ most, with the rows of b in reach of either half, until few
+    enough pairs are left to compare them all.
+    """
+    first, slack = np.full(len(a), len(b)), 0.0
+    if not len(a) or not len(b):
+        return first
+    most = max(np.abs(a).max(), np.abs(b).max())
+    if most < 16_000 and tolerance < 16_000 and (a == np.floor(a)).all() and (b == np.floor(b)).all():
+        a, b, tolerance = a.astype(np.int16), b.astype(np.int16), np.int16(np.floor(tolerance))
+    else:
+        slack = 1e-9 * tolerance + 4 * np.spacing(most)
+    todo = [(np.arange(len(a)), np.arange(len(b)))]
+    while todo:
+        i, j = todo.pop()
+        x, y = a[i], b[j]
+        reached = ((y >= x.min(0) - tolerance - slack) & (y <= x.max(0) + tolerance + slack)).all(1)
+        j, y = j[reached], y[reached]
+        spread = x[:: 1 + len(x) // 512].std(0, dtype=float)
+        d = int(spread.argmax())
+        if len(i) * len(j) > PAIRS and x[:, d].max() - x[:, d].min() > tolerance:
+            middle = np.median(x[:: 1 + len(x) // 512, d])
+            half = x[:, d] <= middle if (x[:, d] > middle).any() else x[:, d] < middle
+            todo += [(i[half], j), (i[~half], j)]
+            continue
+        p, q = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+        order = np.argsort(-spread, kind="stable")
+        size = max(1, PAIRS // max(1, len(j)))
+        for at in range(0, len(i) if len(j) else 0, size):
+            near = np.ones((len(i[at : at + size]), len(j)), bool)
+            for k in order[:3]:
+                near &= np.abs(p[k, at : at + size, None] - q[k]) <= tolerance
+            r, c = np.nonzero(near)
+            for k in order[3:]:
+                kept = np.abs(p[k, at + r] - q[k, c]) <= tolerance
+                r, c = r[kept], c[kept]
+            row, begin = np.unique(r, return_index=True)  # pairs are in order of both
+            own = i[at + row]
+            first[own] = np.minimum(first[own], j[c[begin]])
+    return first
+
+
+def _smallest_near(a: DataFrame, b: DataFrame, names: list[str], keys: list[str], tolerance: float) -> DataFrame:
+    """a with _first, the smallest spectrum_id of b that is near.
+
+    A row of a goes to the group of its key, one of b to all groups of the keys in reach; all else happens in there, so no
+    more is shuffled than that. A key of more than MOST_ROWS rows of a has several groups, each with all of b in reach.
+    """
+    own, width, tasks = a.columns, WIDE * tolerance, _tasks(a)
+    schema = _schema(a, own, ", _first binary")
+    a, b = _placed(a, keys, width), _look_up(b.select(*[F.col(c).alias(c) for c in ("spectrum_id", *names)]), keys, width, tolerance)  # new names: a may be b
+    crowds = F.broadcast(a.groupBy("_key").count().where(F.col("count") > MOST_ROWS).select("_key", F.ceil(F.col("count") / MOST_ROWS).alias("_parts")))
+    a = a.join(crowds, "_key", "left").withColumn("_part", F.pmod(F.xxhash64("spectrum_id"), F.coalesce("_parts", F.lit(1)))).drop("_parts")
+    b = b.join(crowds, "_key", "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.take(_order(right.column("spectrum_id")))
+        x, y = (np.column_stack([t.column(n).to_numpy().astype(float) for n in names]) for t in (left, right))
+        found = first_near(x, y, tolerance)
+        return left.select(own).append_column("_first", right.column("spectrum_id").take(pa.array(found, mask=found == len(y))))
+
+    a, b = (df.repartition(tasks, "_key", "_part").groupBy("_key", "_part") for df in (a, b))
+    return a.cogroup(b).applyInArrow(run, schema)
+
+
 def distinct_spectra(px: DataFrame, columns: list[str], tolerance: float = 7) -> DataFrame:
     """One row per distinct spectrum: spectrum_id (see there), v0, v1, ... (its values), members (rows of px) and representative (a spectrum_id).
 
@@ -83,7 +178,7 @@ def distinct_spectra(px: DataFrame, columns: list[str], tolerance: float = 7) ->
     Rounds: of each cell of a grid with steps of the tolerance, in which all are near each other, the open spectrum of
     smallest id stands for election, so of the many alike one row per cell meets others. Elected is who has no smaller
     candidate near; open spectra near an elected one join the smallest, the others stay open. Ids are hashes, so the
-    rounds are few; each ends with a stored table. Near ones are sought by keys of wide steps of the values that tell most.
+    rounds are few; each ends with a stored table. Near ones meet in groups by keys of wide steps of few values, and are told within.
     """
     names = [f"v{i}" for i in range(len(columns))]
     own = px.select(spectrum_id(px, columns).alias("spectrum_id"), *[v.alias(n) for v, n in zip(_values(px, columns), names)])
@@ -91,31 +186,15 @@ def distinct_spectra(px: DataFrame, columns: list[str], tolerance: float = 7) ->
     if tolerance <= 0:
         return spectra.withColumn("representative", F.col("spectrum_id"))
     spectra = stash(spectra, "spectra")
-    width = WIDE * tolerance
     keys = _keys(spectra, names, tolerance)
-    near = F.lit(True)
-    for n in names:
-        near = near & (F.abs(F.col(f"a.{n}") - F.col(f"b.{n}")) <= F.lit(tolerance))
-    def smallest(a: DataFrame, b: DataFrame) -> DataFrame:
-        """Of each spectrum of a that has any in b near, the smallest."""
-        pairs = a.alias("a").join(b.alias("b"), (F.col("a._key") == F.col("b._key")) & near)
-        return pairs.groupBy(F.col("a.spectrum_id").alias("spectrum_id")).agg(F.min("b.spectrum_id").alias("_first"))
-
     done, still, turn = [], spectra, 0
     while not still.isEmpty():
-        cell = F.xxhash64(*[_step(n, tolerance) for n in names])
-        stands = still.groupBy(cell.alias("_cell")).agg(F.min(F.struct("spectrum_id", *names)).alias("s")).select("s.*")
-        first = stash(smallest(_placed(still, keys, width), _look_up(stands, keys, width, tolerance)), f"spectra-{turn}-first")
-        # A candidate is its own smallest; any other spectrum has a smallest candidate, its own cell's at the latest.
-        elected = first.where(F.col("_first") == F.col("spectrum_id")).select("_first")
-        told = still.join(first, "spectrum_id").join(elected.withColumn("_elected", F.lit(True)), "_first", "left")
-        told = stash(told.select("spectrum_id", *names, "members", F.when(F.col("_elected"), F.col("_first")).alias("representative")), f"spectra-{turn}-told")
-        winners = _placed(told.where(F.col("representative") == F.col("spectrum_id")), keys, width)
-        rest = told.where(F.col("representative").isNull()).drop("representative")
-        late = smallest(_look_up(rest, keys, width, tolerance), winners).withColumnRenamed("_first", "representative")
-        late = stash(rest.join(late, "spectrum_id", "left").select(*told.columns), f"spectra-{turn}-late")
-        done += [told.where(F.col("representative").isNotNull()), late.where(F.col("representative").isNotNull())]
-        still, turn = late.where(F.col("representative").isNull()).drop("representative"), turn + 1
+        stands = stash(_candidates(still, names, tolerance), f"spectra-{turn}-stands")
+        elected = _smallest_near(stands, stands, names, keys, tolerance).where(F.col("_first") == F.col("spectrum_id")).drop("_first")
+        elected = stash(elected, f"spectra-{turn}-elected")
+        told = stash(_smallest_near(still, elected, names, keys, tolerance).withColumnRenamed("_first", "representative"), f"spectra-{turn}-told")
+        done.append(told.where(F.col("representative").isNotNull()))
+        still, turn = told.where(F.col("representative").isNull()).drop("representative"), turn + 1
     out = spectra.withColumn("representative", F.col("spectrum_id")).limit(0)
     for part in done:
         out = out.unionByName(part)

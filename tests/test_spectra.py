@@ -80,3 +80,32 @@ def test_query_merges_and_counts_every_pixel_day(spark):
     found = queries.QUERIES["o51_distinct_spectra"](spark, DATA)
     r = found.agg(F.countDistinct("representative").alias("groups"), F.count("*").alias("spectra"), F.sum("members").alias("pixels")).first()
     assert r.groups < r.spectra <= r.pixels
+
+
+def test_a_spectrum_is_looked_up_few_times(spark):
+    names = [f"v{i}" for i in range(15)]
+    some = spark.range(20_000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("spectrum_id"), *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(101))).alias(n) for i, n in enumerate(names)])
+    keys = spectra._keys(some, names, 7)
+    assert keys and spectra._look_up(some, keys, spectra.WIDE * 7, 7).count() < 6 * 20_000
+
+
+def test_net_with_several_groups_for_a_key(spark, monkeypatch):
+    for name, value in (("MOST_KEYS", 1), ("MOST_ROWS", 40), ("PAIRS", 50)):
+        monkeypatch.setattr(spectra, name, value)
+    rng = np.random.default_rng(6)
+    rows = list({tuple(r) for r in rng.integers(50, 75, (400, 3)).tolist()})
+    px = spark.createDataFrame(rows, "a int, b int, c int")
+    found = {bytes(r.spectrum_id): bytes(r.representative) for r in spectra.distinct_spectra(px, ["a", "b", "c"], 7).collect()}
+    assert found == by_pairs(rows, 7)
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_first_near_equals_all_pairs(monkeypatch, whole):
+    monkeypatch.setattr(spectra, "PAIRS", 300)
+    rng = np.random.default_rng(2)
+    a, b = (rng.uniform(0, 60, (n, 4)) for n in (500, 700))
+    a, b = (np.floor(x) if whole else x for x in (a, b))
+    a[:100], b[:50] = a[0], a[0] + 3
+    near = (np.abs(a[:, None] - b) <= 7.5).all(2)
+    assert (spectra.first_near(a, b, 7.5) == np.where(near.any(1), near.argmax(1), len(b))).all()
+    assert (spectra.first_near(a, b[:0], 7.5) == 0).all() and len(spectra.first_near(a[:0], b, 7.5)) == 0
