@@ -26,6 +26,11 @@ def by_day(keys=PIXEL, date: str = "obs_date") -> W:
 ROWS_A_TASK = 1_000_000
 
 
+def in_tasks(px: DataFrame, rows: int, keys=PIXEL) -> DataFrame:
+    """px by pixel, in as many tasks as keep those of about `rows` gap-free rows bounded; windows over the pixel and densify keep these."""
+    return px.repartition(max(int(px.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK)), *keys)
+
+
 def densify(px: DataFrame, first: Column, last: Column, keys=PIXEL, date: str = "obs_date", rows: int | None = None) -> DataFrame:
     """A row for each pixel and day of the range; absent days have nulls.
 
@@ -33,8 +38,7 @@ def densify(px: DataFrame, first: Column, last: Column, keys=PIXEL, date: str =
     about how many rows come out, tasks are as many as keep the rows of one bounded; windows over the pixel keep these tasks.
     """
     if rows:
-        tasks = max(int(px.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
-        px = px.repartition(tasks, *keys)
+        px = in_tasks(px, rows, keys)
     others = [c for c in px.columns if c not in (*keys, date)]
     # A row without a date makes no day, but its pixel has days.
     px = px.withColumns({"_first": first, "_last": last}).withColumn("_at", F.coalesce(F.col(date), F.date_sub("_first", 1)))
@@ -148,12 +152,16 @@ def _median(ordered: Column) -> Column:
     return F.when(n > 0, middle)
 
 
-def hampel(column: str, half: int = 2, times: float = 2.0, keys=PIXEL) -> Column:
-    """The value, or its window's median if it is further than times 1.4826 MAD from it; nulls are ignored and stay."""
+def hampel(column: str, half: int = 2, times: float = 2.0, keys=PIXEL, by_days: bool = False) -> Column:
+    """The value, or its window's median if it is further than times 1.4826 MAD from it; nulls are ignored and stay.
+
+    With by_days the window is `half` days on either side, not rows: observed rows alone, before densify, get what they get among all days.
+    """
     value = F.col(column).cast("double")
-    around = F.array_sort(F.collect_list(value).over(by_day(keys).rowsBetween(-half, half)))
+    w = W.partitionBy(*keys).orderBy(F.unix_date("obs_date")).rangeBetween(-half, half) if by_days else by_day(keys).rowsBetween(-half, half)
+    around = F.sort_array(F.collect_list(value).over(w))
     middle = _median(around)
-    spread = _median(F.array_sort(F.transform(around, lambda x: F.abs(x - middle))))
+    spread = _median(F.sort_array(F.transform(around, lambda x: F.abs(x - middle))))
     return F.when(F.abs(value - middle) > spread * (times * 1.4826), middle).otherwise(value)
 
 

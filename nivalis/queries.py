@@ -37,10 +37,16 @@ def _bands():
     return [F.col(f"b{k}") for k in range(1, 8)]
 
 
-def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pixels on all days of the whole range of dates (three scalars fetched first, of the lines that the pixel-days are made of)."""
+def _span(spark: SparkSession, sf_dir: str) -> tuple:
+    """First and last day, and how many rows all pixels on all days are (three scalars, of the lines that the pixel-days are made of)."""
     low, high, pixels = A.table(spark, sf_dir, "lineitem").agg(F.min(F.col("l_shipdate").cast("date")), F.max(F.col("l_shipdate").cast("date")), F.approx_count_distinct("l_suppkey")).first()
-    return series.densify(A.pixel_days(spark, sf_dir), F.lit(low), F.lit(high), rows=pixels * ((high - low).days + 1) if low else None)
+    return low, high, pixels * ((high - low).days + 1) if low else 0
+
+
+def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pixels on all days of the whole range of dates."""
+    low, high, rows = _span(spark, sf_dir)
+    return series.densify(A.pixel_days(spark, sf_dir), F.lit(low), F.lit(high), rows=rows)
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -850,7 +856,10 @@ def o64_hold_ends(spark, d):
 @query(sql("dense", f"""SELECT {IDS}, CASE WHEN abs(g - m) > 2 * 1.4826::DOUBLE * list_aggregate(list_transform(xs, lambda x: abs(x - m)), 'median') THEN m ELSE g END AS grain
 FROM (SELECT {IDS}, grain::DOUBLE AS g, median(grain) OVER w AS m, list(grain) FILTER (WHERE grain IS NOT NULL) OVER w AS xs FROM dense WINDOW w AS ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))"""))
 def o65_hampel(spark, d):
-    return _dense(spark, d).select(*ID, series.hampel("grain").alias("grain"))
+    low, high, rows = _span(spark, d)
+    # Only observed days have values, so only they go through the window; the other days are made after it.
+    px = series.in_tasks(A.pixel_days(spark, d).select(*ID, "grain"), rows)
+    return series.densify(px.select(*ID, series.hampel("grain", by_days=True).alias("grain")), F.lit(low), F.lit(high))
 
 
 @query(sql("px", f"""SELECT {IDS}, n < 180 AS too_few, CASE WHEN n < 180 THEN 0 ELSE snow END AS snow, CASE WHEN n >= 180 THEN grain END AS grain, CASE WHEN n >= 180 THEN dust END AS dust

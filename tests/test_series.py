@@ -64,6 +64,23 @@ def test_hampel_matches_the_matrix_form(spark):
     assert [None if np.isnan(x) else x for x in theirs] == ours
 
 
+def test_hampel_of_observed_days_alone_is_that_among_all_days(spark):
+    rng = np.random.default_rng(4)
+    values = [int(v) if rng.random() < 0.6 else None for v in rng.integers(0, 30, 300) ** 2]
+    px = pixel(spark, values)
+    among = column(px.withColumn("h", series.hampel("snow")), "h")
+    alone = px.where("snow IS NOT NULL").withColumn("h", series.hampel("snow", by_days=True))
+    dense = series.densify(alone.drop("snow"), F.lit(START), F.lit(START + dt.timedelta(299)))
+    assert column(dense, "h") == among and among != [None if v is None else float(v) for v in values]
+
+
+def test_hampel_query_sends_observed_rows_only_through_its_window(spark):
+    from nivalis import queries
+
+    plan = queries.QUERIES["o65_hampel"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("collect_list")  # above it in the plan, so after it
+
+
 def dense_spline(y, w, p):
     """The same energy, solved as one dense system."""
     n = len(y)
