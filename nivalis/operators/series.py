@@ -7,6 +7,8 @@ reverse: one shuffle, a sort for each direction.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -146,6 +148,11 @@ def hold_ends(value: Column, observed: Column, keys=PIXEL) -> Column:
     return F.when(F.col("obs_date") < first, F.first(at, True).over(w)["v"]).when(F.col("obs_date") > last, F.last(at, True).over(w)["v"]).otherwise(value)
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), the value evaluated once; where a lambda names an expression, it is evaluated for each element."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _median(ordered: Column) -> Column:
     n = F.size(ordered)
     middle = (F.try_element_at(ordered, ((n + 1) / 2).cast("int")) + F.try_element_at(ordered, (n / 2).cast("int") + 1)) / 2
@@ -159,10 +166,10 @@ def hampel(column: str, half: int = 2, times: float = 2.0, keys=PIXEL, by_days:
     """
     value = F.col(column).cast("double")
     w = W.partitionBy(*keys).orderBy(F.unix_date("obs_date")).rangeBetween(-half, half) if by_days else by_day(keys).rowsBetween(-half, half)
-    around = F.sort_array(F.collect_list(value).over(w))
-    middle = _median(around)
-    spread = _median(F.sort_array(F.transform(around, lambda x: F.abs(x - middle))))
-    return F.when(F.abs(value - middle) > spread * (times * 1.4826), middle).otherwise(value)
+    far = lambda around, middle: F.sort_array(F.transform(around, lambda x: F.abs(x - middle)))
+    held = lambda middle, spread: F.when(F.abs(value - middle) > spread * (times * 1.4826), middle).otherwise(value)
+    kept = lambda around: _once(_median(around), lambda middle: _once(far(around, middle), lambda apart: held(middle, _median(apart))))
+    return _once(F.sort_array(F.collect_list(value).over(w)), kept)
 
 
 def too_few_observations(px: DataFrame, snow: str, others: list[str], least: int = 3, keys=PIXEL) -> DataFrame:
