@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,30 +34,30 @@ def over_blocks(px: DataFrame, day: list[str], halo: int, values: list[str], wor
     keys = [*day, "block_row", "block_col"]
     kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(table: pa.Table) -> pa.Table:
         # Arrays as large as what the block holds; beyond it there is nothing to be seen.
-        r0, c0 = int(pdf.row.min()), int(pdf.col.min())
-        r, c = pdf.row.to_numpy() - r0, pdf.col.to_numpy() - c0
+        row, col, block_row, block_col = (table.column(k).to_numpy() for k in ("row", "col", "block_row", "block_col"))
+        r, c = row - int(row.min()), col - int(col.min())
         shape = (int(r.max()) + 1, int(c.max()) + 1)
         present = np.zeros(shape, bool)
         present[r, c] = True
         arrays = {}
         for v in values:
             a = np.full(shape, np.nan)
-            a[r, c] = pdf[v].to_numpy(dtype=float, na_value=np.nan)
+            a[r, c] = table.column(v).cast("float64").to_numpy()
             arrays[v] = a
         found = work(arrays, present)
-        own = (pdf.row.to_numpy() // block == pdf.block_row.to_numpy()) & (pdf.col.to_numpy() // block == pdf.block_col.to_numpy())
-        result = pdf.loc[own, [*day, "row", "col"]].copy()
+        own = (row // block == block_row) & (col // block == block_col)
+        result = table.select([*day, "row", "col"]).filter(pa.array(own))
         for name in out:
-            result[name] = found[name][r[own], c[own]]
+            result = result.append_column(name, pa.array(found[name][r[own], c[own]], from_pandas=True))
         return result
 
     schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), f"row {kinds['row']}", f"col {kinds['col']}", *(f"{k} {t}" for k, t in out.items())])
     slim = px.select(*day, "row", "col", *values)
     # Few bytes, much work: a stated number of partitions is not coalesced.
     tasks = int(px.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return in_blocks(slim, day, halo, block).repartition(tasks, *keys).groupBy(*keys).applyInPandas(run, schema)
+    return in_blocks(slim, day, halo, block).repartition(tasks, *keys).groupBy(*keys).applyInArrow(run, schema)
 
 
 def shifted_sum(a: np.ndarray, reach: int, weight: Callable[[int, int], float]) -> np.ndarray:
@@ -81,16 +82,27 @@ def cloud_despeckle(px: DataFrame, cloud: str, day: list[str], least: int = 3, b
 
 
 def cloud_share(cloud: np.ndarray, bands: list[np.ndarray], reach: int = 5) -> np.ndarray:
-    """Percent of cloud around, weighted by 1 / (distance + 1), among pixels of the same elevation band; the most of several band sets."""
-    weight = lambda i, j: 1 / (np.hypot(i, j) + 1)
-    out = np.zeros(cloud.shape)
-    for band in bands:
-        steps = np.unique(band[cloud & (band > 0)])
-        if len(steps):
-            here = band == steps[:, None, None]
-            share = shifted_sum((cloud & here).astype(float), reach, weight) / np.maximum(shifted_sum(here.astype(float), reach, weight), 1e-12)
-            out = np.maximum(out, np.where(here, np.floor(100 * share + 0.5), 0).max(axis=0))
-    return out
+    """Percent of cloud around, weighted by 1 / (distance + 1), among pixels of the same elevation band; the most of several band sets.
+
+    Each place around is compared with the pixel's own band, so the work does not grow with the number of bands.
+    """
+    if not cloud.any():
+        return np.zeros(cloud.shape)
+    tall = cloud.shape[0] > cloud.shape[1]
+    if tall:  # long rows are added up faster; sums keep their order
+        cloud, bands = cloud.T, [b.T for b in bands]
+    own, cloudy, (n, m) = np.stack(bands).astype(np.int16), np.pad(cloud, reach), cloud.shape
+    around = np.pad(own, [(0, 0), (reach, reach), (reach, reach)], constant_values=-1)
+    clouds, total, term = np.zeros(own.shape), np.zeros(own.shape), np.zeros(own.shape)
+    weights = 1 / (np.hypot(*np.mgrid[-reach : reach + 1, -reach : reach + 1]) + 1)
+    for (i, j), weight in np.ndenumerate(weights):
+        i, j = (j, i) if tall else (i, j)
+        alike = around[:, i : i + n, j : j + m] == own
+        total += np.multiply(alike, weight, out=term)
+        alike &= cloudy[i : i + n, j : j + m]
+        clouds += np.multiply(alike, weight, out=term)
+    out = np.where(own > 0, np.floor(100 * (clouds / np.maximum(total, 1e-12)) + 0.5), 0).max(axis=0)
+    return out.T if tall else out
 
 
 def cloud_margin(px: DataFrame, cloud: str, day: list[str], block: int = BLOCK) -> DataFrame:

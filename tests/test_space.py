@@ -244,3 +244,24 @@ def test_steps_hardly_depend_on_the_width_of_a_hole(method, most):
         left = np.where(mask, holes.ENERGY[method](filled), 0.0)
         assert np.abs(left).max() < 1e-5 * np.abs(np.where(mask, holes.ENERGY[method](np.where(mask, 0.0, a)), 0.0)).max()
     assert max(steps) <= most and steps[-1] <= 2 * steps[0]
+
+
+def test_cloud_share_compares_each_place_with_one_band(monkeypatch):
+    """As sums over one raster per band give it, without making these."""
+    from nivalis.operators import neighbourhood as nb
+
+    rng = np.random.default_rng(8)
+    cloud, bands = rng.random((40, 9)) < 0.3, [rng.integers(0, 30, (40, 9)).astype(float) for _ in range(2)]
+    weight, most = lambda i, j: 1 / (np.hypot(i, j) + 1), np.zeros(cloud.shape)
+    for band in bands:
+        for step in np.unique(band[band > 0]):
+            here = band == step
+            share = nb.shifted_sum((cloud & here).astype(float), 5, weight) / np.maximum(nb.shifted_sum(here.astype(float), 5, weight), 1e-12)
+            most = np.maximum(most, np.where(here, np.floor(100 * share + 0.5), 0))
+
+    def no_raster_per_band(a, *rest):
+        raise AssertionError(f"a raster for each band: {a.shape}")
+
+    monkeypatch.setattr(nb, "shifted_sum", no_raster_per_band)
+    assert (nb.cloud_share(cloud, bands) == most).all() and most.max() > 1
+    assert not nb.cloud_share(cloud & False, bands).any()
