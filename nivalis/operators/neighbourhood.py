@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,21 +116,39 @@ def cloud_margin(px: DataFrame, cloud: str, day: list[str], block: int = BLOCK)
     return over_blocks(own, day, 7, [cloud, "band_a", "band_b"], work, {"is_margin": "boolean"}, block)
 
 
+#: Rows whose weights are made at once, and values of a strip of frequencies. They set the memory, not the result.
+ROWS_AT_ONCE, FREQUENCIES = 1024, 1 << 18
+
+
 def inverse_distance_means(value: np.ndarray, valid: np.ndarray) -> np.ndarray:
     """At every place of a raster the mean of the valid values, weighted by 1 / distance (a place itself does not count); nan without any.
 
-    Both sums are convolutions with the weights, so the work grows as n log n with the raster's size.
+    Both sums are convolutions with the weights, so the work grows as n log n with the raster's size. Columns are transformed
+    first; then a few frequencies at a time go through the transform along the rows, so no padded raster is held.
     """
+    if value.shape[0] < value.shape[1]:
+        return inverse_distance_means(value.T, valid.T).T
     n, m = value.shape
-    size = (2 * n, 2 * m)
-    i, j = np.minimum(np.arange(2 * n), 2 * n - np.arange(2 * n)), np.minimum(np.arange(2 * m), 2 * m - np.arange(2 * m))
-    with np.errstate(divide="ignore"):
-        weights = 1 / np.hypot(i[:, None], j[None, :])
-    weights[0, 0] = 0
-    weights = np.fft.rfft2(weights)
     middle = value[valid].mean() if valid.any() else 0.0  # keeps what rounding can add small
-    sums = [np.fft.irfft2(np.fft.rfft2(x, size) * weights, size)[:n, :m] for x in (np.where(valid, value - middle, 0.0), valid.astype(float))]
-    return middle + sums[0] / np.where(sums[1] > 1e-9, sums[1], np.nan)
+    sums = [np.fft.rfft(x, 2 * m, axis=1) for x in (np.where(valid, value - middle, 0.0), valid)]
+    i = np.minimum(np.arange(2 * n), 2 * n - np.arange(2 * n))
+    j = np.minimum(np.arange(2 * m), 2 * m - np.arange(2 * m))
+    weights = np.zeros((n + 1, m + 1))  # both halves of a row or column are alike, and its transform is real
+    for at in range(0, n + 1, ROWS_AT_ONCE):
+        with np.errstate(divide="ignore"):
+            some = 1 / np.hypot(np.arange(at, min(n + 1, at + ROWS_AT_ONCE))[:, None], j)
+        if not at:
+            some[0, 0] = 0
+        weights[at : at + ROWS_AT_ONCE] = np.fft.rfft(some, axis=1).real
+    some = max(1, FREQUENCIES // n)
+    for at in range(0, m + 1, some):
+        kernel = np.fft.fft(weights[i, at : at + some], axis=0)
+        for x in sums:
+            x[:, at : at + some] = np.fft.ifft(np.fft.fft(x[:, at : at + some], 2 * n, axis=0) * kernel, axis=0)[:n]
+    del weights
+    total, share = (np.fft.irfft(x, 2 * m, axis=1)[:, :m].copy() for x in sums)
+    share[share <= 1e-9] = np.nan
+    return middle + total / share
 
 
 def idw_fill(px: DataFrame, value: str, target: str, day: list[str]) -> DataFrame:
@@ -142,16 +159,17 @@ def idw_fill(px: DataFrame, value: str, target: str, day: list[str]) -> DataFram
     """
     kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, c = pdf.row.to_numpy() - int(pdf.row.min()), pdf.col.to_numpy() - int(pdf.col.min())
-        wanted, given = pdf[target].to_numpy(bool), pdf[value].to_numpy(dtype=float, na_value=np.nan)
+    def run(table: pa.Table) -> pa.Table:
+        row, col = (table.column(k).to_numpy() for k in ("row", "col"))
+        r, c = row - int(row.min()), col - int(col.min())
+        wanted, given = table.column(target).to_numpy(), table.column(value).to_numpy()
         a, valid = np.zeros((int(r.max()) + 1, int(c.max()) + 1)), np.zeros((int(r.max()) + 1, int(c.max()) + 1), bool)
         a[r[~wanted], c[~wanted]], valid[r[~wanted], c[~wanted]] = given[~wanted], True
-        out = pdf.loc[wanted, [*day, "row", "col"]].copy()
-        out[f"{value}_idw"] = inverse_distance_means(a, valid)[r[wanted], c[wanted]]
-        return out.dropna(subset=[f"{value}_idw"])
+        found = inverse_distance_means(a, valid)[r[wanted], c[wanted]]
+        out = table.select([*day, "row", "col"]).filter(pa.array(wanted)).append_column(f"{value}_idw", pa.array(found))
+        return out.filter(pa.array(~np.isnan(found)))
 
     own = px.select(*day, "row", "col", F.col(value).cast("double").alias(value), F.coalesce(F.col(target), F.lit(False)).alias(target))
     own = own.where(F.col(target) | F.col(value).isNotNull())
     schema = ", ".join([*(f"`{d}` {kinds[d]}" for d in day), f"row {kinds['row']}", f"col {kinds['col']}", f"{value}_idw double"])
-    return own.groupBy(*day).applyInPandas(run, schema)
+    return own.groupBy(*day).applyInArrow(run, schema)

@@ -265,3 +265,28 @@ def test_cloud_share_compares_each_place_with_one_band(monkeypatch):
     monkeypatch.setattr(nb, "shifted_sum", no_raster_per_band)
     assert (nb.cloud_share(cloud, bands) == most).all() and most.max() > 1
     assert not nb.cloud_share(cloud & False, bands).any()
+
+
+@pytest.mark.parametrize("shape", [(300, 20), (20, 300), (1, 7), (5, 1)])
+def test_inverse_distance_means_strip_by_strip(monkeypatch, shape):
+    monkeypatch.setattr(neighbourhood, "FREQUENCIES", 900)
+    monkeypatch.setattr(neighbourhood, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    value, valid = rng.uniform(0, 100, shape), rng.random(shape) < 0.4
+    valid.flat[:2] = True
+    r, c = np.nonzero(np.ones(shape))
+    with np.errstate(divide="ignore"):
+        w = 1 / np.hypot(r[:, None] - r, c[:, None] - c)
+    w = np.where(np.isinf(w), 0, w) * valid.ravel()
+    assert np.allclose(neighbourhood.inverse_distance_means(value, valid).ravel(), w @ np.where(valid, value, 0).ravel() / w.sum(1))
+
+
+def test_inverse_distance_means_hold_little_more_than_the_raster():
+    import tracemalloc
+
+    value, valid = np.random.default_rng(3).uniform(0, 100, (20_000, 50)), np.random.default_rng(4).random((20_000, 50)) < 0.4
+    tracemalloc.start()
+    neighbourhood.inverse_distance_means(value, valid)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * value.nbytes
