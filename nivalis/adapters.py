@@ -43,6 +43,11 @@ def pixel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def first_and_last_day(spark: SparkSession, sf_dir: str):
+    """Of pixel_days; every date of a line item is one of its dates, so the items need not be told apart."""
+    return table(spark, sf_dir, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS d").agg(F.min("d"), F.max("d")).first()
+
+
 def grid_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as a grid of 50 columns, ship years as days; elevation by the part."""
     lines = _lines(spark, sf_dir, ["row", "col", "obs_date"], row="CAST(l_partkey div 50 AS INT)", col="CAST(l_partkey % 50 AS INT)", obs_date="CAST(date_trunc('YEAR', l_shipdate) AS DATE)")

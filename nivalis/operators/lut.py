@@ -67,6 +67,36 @@ def interpolate_with_slopes(axes: list[np.ndarray], values: np.ndarray, points:
     return out
 
 
+def at_node(axes: list[np.ndarray], values: np.ndarray, axis: int, x: float) -> tuple[list[np.ndarray], np.ndarray] | None:
+    """The table at a node of one axis, without that axis; None if x is no node, or if a value is not finite and so not cancelled by a weight of 0."""
+    found = np.flatnonzero(axes[axis] == x)
+    if not len(found) or not np.isfinite(values).all():
+        return None
+    return [*axes[:axis], *axes[axis + 1 :]], np.ascontiguousarray(values.take(found[0], axis))
+
+
+def interpolate_several(axes: list[np.ndarray], tables: list[np.ndarray], points: list[np.ndarray]) -> list[np.ndarray]:
+    """To the bit what interpolate() gives of each table over the same axes, at points given as an array for each axis; corners and weights are found once."""
+    corners, outside, shape = [(0, 1.0)], False, tables[0].shape
+    for d, (axis, x) in enumerate(zip(axes, points)):
+        outside |= ~((x >= axis[0]) & (x <= axis[-1]))
+        stride = int(np.prod(shape[d + 1 :]))
+        i = np.clip(np.searchsorted(axis, x, side="right") - 1, 0, max(len(axis) - 2, 0))
+        if len(axis) == 1:
+            continue
+        share = (x - axis[i]) / (axis[i + 1] - axis[i])
+        i = i * stride
+        corners = [(at + place, weight * part) for place, part in ((i, 1 - share), (i + stride, share)) for at, weight in corners]
+    out = []
+    for flat in (table.ravel() for table in tables):
+        found = np.zeros(len(points[0]))
+        for at, weight in corners:
+            found += weight * flat[at]
+        found[outside] = np.nan
+        out.append(found)
+    return out
+
+
 def lut_interpolate(df: DataFrame, axes: list[np.ndarray], values: np.ndarray, inputs: list, out: str) -> DataFrame:
     """Adds the interpolated value; null where an input is null or outside the table."""
     shared = shared_table(df.sparkSession, axes, values)

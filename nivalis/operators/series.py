@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -139,6 +140,23 @@ def interpolate_linear(px: DataFrame, column: str, ends: str = "extrapolate", ke
     return px.withColumn(f"{column}_filled", value).drop("_p", "_pp", "_n", "_nn", "_a", "_b")
 
 
+def fill_nearest(value: np.ndarray, known: np.ndarray, day: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """interpolate_linear() with the nearest value at the ends, of rows in order: series by series from the places in `begins`, by day; nan where a series has no value."""
+    n, at = len(value), np.arange(len(value))
+    lengths = np.diff(np.append(begins, n))
+    before = np.maximum.accumulate(np.where(known, at, -1))
+    after = np.minimum.accumulate(np.where(known, at, n)[::-1])[::-1]
+    has_before, has_after = before >= np.repeat(begins, lengths), after < np.repeat(begins + lengths, lengths)
+    low, high = np.where(has_before, before, after), np.where(has_after, after, before)
+    some = has_before | has_after
+    low, high = np.where(some, low, 0), np.where(some, high, 0)
+    filled = value[low]
+    between = np.flatnonzero((day[low] != day[high]) & ~np.isnan(day[low] + day[high] + day))
+    a, b = low[between], high[between]
+    filled[between] = value[a] + (value[b] - value[a]) / (day[b] - day[a]) * (day[between] - day[a])
+    return np.where(some, filled, np.nan)
+
+
 def hold_ends(value: Column, observed: Column, keys=PIXEL) -> Column:
     """Before the first and after the last observed day, that day's value."""
     w = by_day(keys).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

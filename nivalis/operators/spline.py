@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -72,10 +70,15 @@ def hampel(x: np.ndarray, half: int = 2, times: float = 2.0) -> np.ndarray:
     """Values further than times 1.4826 MAD from the median of their window are replaced by it; nans are ignored and stay."""
     padded = np.pad(x, ((0, 0), (half, half)), constant_values=np.nan)
     windows = np.stack([padded[:, i : i + x.shape[1]] for i in range(2 * half + 1)])
-    with warnings.catch_warnings():  # of windows without a value
-        warnings.simplefilter("ignore")
-        middle = np.nanmedian(windows, axis=0)
-        spread = np.nanmedian(np.abs(windows - middle), axis=0)
+    n = (~np.isnan(windows)).sum(axis=0)
+
+    def median(a: np.ndarray) -> np.ndarray:
+        a = np.sort(a, axis=0)  # nans last
+        low, high = (np.take_along_axis(a, i[None], axis=0)[0] for i in (np.maximum(n - 1, 0) // 2, n // 2))
+        return np.where(n % 2, low, (low + high) / 2)
+
+    middle = median(windows)
+    spread = median(np.abs(windows - middle))
     return np.where(np.abs(x - middle) > times * 1.4826 * spread, middle, x)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -82,27 +85,40 @@ def season(a: dict[str, np.ndarray], days: np.ndarray, fix: bool, least_snow: in
     return out | {"water_year": np.broadcast_to(years, since.shape), "snow_cover_days": covered - before}
 
 
-def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None = None, version: int = 1, viirs: bool = False, months_for_peak: int = 8, cols: int = 2400, by_year: bool = False) -> DataFrame:
+@dataclass
+class Further:
+    """What a job makes of the filled seasons where they are, within the groups of pixels and days."""
+
+    #: Columns of px and of static that it needs: pixels x days and pixels x 1, nan where there is none.
+    px: list[str]
+    static: list[str]
+    #: From these, all that season() gives, and the days: int columns of the result, pixels x days.
+    run: Callable[[dict[str, np.ndarray], np.ndarray], dict[str, np.ndarray]]
+    #: Columns of the result after pixel and date, of the seasons' or its own.
+    out: list[str]
+
+
+def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None = None, version: int = 1, viirs: bool = False, months_for_peak: int = 8, cols: int = 2400, by_year: bool = False, further: Further | None = None) -> DataFrame:
     """Gap-free rows of every pixel and day of the window, with run lengths, flags and snow-cover days.
 
     Needs snow, total, grain, dust, weight and both filters. One shuffle brings the rows of 1,024 neighbouring
     pixels together, the static ones as rows among them; all else happens on their matrix of pixels and days, which also
     makes the absent days. With by_year each water year of the window that a pixel has rows in is a season
-    of its own (cut off at the window's ends), and a group of its own.
+    of its own (cut off at the window's ends), and a group of its own. `further` works on the matrices before they become rows.
     """
     window, keys = (np.datetime64(first), np.datetime64(last)), ["water_year"] if by_year else []
     missing, free = nodata_or_zero(F.coalesce("nodata_filter", F.lit(1)), F.coalesce("zero_filter", F.lit(0)), version, viirs)
-    values = ["snow", "total", "grain", "dust", "weight"]
+    values, beside, fixed_ones = ["snow", "total", "grain", "dust", "weight"], further.px if further else [], further.static if further else []
     own = px.where(F.col("obs_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
     own = own.withColumn("snow", F.when(missing, None).when(free, 0).otherwise(F.col("snow")))
-    own = own.select(*PIXEL, "obs_date", water_year(F.col("obs_date")).cast("int").alias("water_year"), *[F.col(v).cast("float").alias(v) for v in values])
+    own = own.select(*PIXEL, "obs_date", water_year(F.col("obs_date")).cast("int").alias("water_year"), *[F.col(v).cast("float").alias(v) for v in values], *[F.col(v).cast("double").alias(f"_{v}") for v in beside])
     if static is not None:
         low, high = (int(str(d)[:4]) + (int(str(d)[5:7]) >= 10) for d in window)
         seasons_ = F.explode(F.sequence(F.lit(low), F.lit(high))) if by_year else F.lit(low)
-        fixed = static.select(*PIXEL, seasons_.alias("water_year"), F.col("ice_fraction").cast("float").alias("ice"))
+        fixed = static.select(*PIXEL, seasons_.alias("water_year"), F.col("ice_fraction").cast("float").alias("ice"), *[F.col(v).cast("double").alias(f"_{v}") for v in fixed_ones])
         own = own.unionByName(fixed, allowMissingColumns=True)
     else:
-        own = own.withColumn("ice", F.lit(None).cast("float"))
+        own = own.withColumns({"ice": F.lit(None).cast("float")} | {f"_{v}": F.lit(None).cast("double") for v in fixed_ones})
     kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
 
     def run(table: pa.Table) -> pa.Table:
@@ -116,17 +132,20 @@ def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None
         days = np.arange(begin, end + 1) if len(pixels) else np.zeros(0, "datetime64[D]")
         day = (table.column("obs_date").drop_null().to_numpy().astype("datetime64[D]") - begin).astype(int)
         a = {}
-        for v in values:
+        for v in [*values, *(f"_{v}" for v in beside)]:
             a[v] = np.full((len(pixels), len(days)), np.nan)
             a[v][at, day] = table.column(v).to_numpy()[dated]
-        a["ice"] = np.zeros((len(pixels), 1))
-        rest, ice = (row * cols + col)[~dated], table.column("ice").to_numpy()[~dated]
+        rest = (row * cols + col)[~dated]
         place = np.searchsorted(pixels, rest)
         here = place < len(pixels)
         here[here] = pixels[place[here]] == rest[here]
-        a["ice"][place[here], 0] = ice[here]
+        for v, absent in [("ice", 0.0), *((f"_{v}", np.nan) for v in fixed_ones)]:
+            a[v] = np.full((len(pixels), 1), absent)
+            a[v][place[here], 0] = table.column(v).to_numpy()[~dated][here]
         # A season's splines and peaks need at least one pixel and day.
         found = season(a, days, len(days) >= months_for_peak * 30) if len(pixels) else {}
+        if further and found:
+            found |= further.run(found | {v: a[f"_{v}"] for v in (*beside, *fixed_ones)}, days)
         n = len(pixels) * len(days)
         columns = [pa.repeat(table.column("tile")[0], n), *(pa.array(np.repeat(x[dated][first_at], len(days)), pa.int64()) for x in (row, col)), pa.array(np.tile(days, len(pixels)), pa.date32())]
         for name in names[4:]:
@@ -134,7 +153,8 @@ def gap_fill_job(px: DataFrame, first: str, last: str, static: DataFrame | None
             columns.append(pa.array(x) if name == "is_rare" and n else pa.array(np.nan_to_num(x).astype(np.int32), mask=np.isnan(x.astype(float))))
         return pa.table([c.cast(t) for c, t in zip(columns, types)], names=names)
 
-    names = [*PIXEL, "obs_date", "days_since_last_observation", "days_without_observation", "is_rare", *OUT, "water_year", "snow_cover_days"]
+    seasons_own = ["days_since_last_observation", "days_without_observation", "is_rare", *OUT, "water_year", "snow_cover_days"]
+    names = [*PIXEL, "obs_date", *(further.out if further else seasons_own)]
     whole = {"int": pa.int32(), "bigint": pa.int64(), "smallint": pa.int16()}
     types = [pa.string(), *(whole[kinds[c]] for c in ("row", "col")), pa.date32(), *(pa.bool_() if c == "is_rare" else pa.int32() for c in names[4:])]
     schema = f"tile string, row {kinds['row']}, col {kinds['col']}, obs_date date, " + ", ".join(f"{c} {'boolean' if c == 'is_rare' else 'int'}" for c in names[4:])

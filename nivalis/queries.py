@@ -1276,32 +1276,30 @@ def o81_unmix_job(spark, d):
 
 
 def _seasons(spark, d):
-    """All water years of the data, the last one up to the last day."""
-    from nivalis.plans.gapfill import gap_fill_job
-
+    """Pixels as gap filling needs them, its arguments: all water years of the data, the last one up to the last day."""
     px = A.pixel_days(spark, d).withColumns({
         "total": F.col("snow"), "nodata_filter": F.when(F.col("snow").isNull(), 1).otherwise(0), "zero_filter": F.when(F.col("snow") == 0, 64).otherwise(0),
     })
-    low, high = px.agg(F.min("obs_date"), F.max("obs_date")).first()
+    low, high = A.first_and_last_day(spark, d)
     if low is None:
         low = high = dt.date(1999, 10, 1)
     first = dt.date(low.year - (low.month < 10), 10, 1)
-    return gap_fill_job(px, first.isoformat(), high.isoformat(), A.static(spark, d), cols=10, by_year=True)
+    return px, first.isoformat(), high.isoformat(), A.static(spark, d)
 
 
 @query()
 def o83_gap_fill_job(spark, d):
-    return _seasons(spark, d)
+    from nivalis.plans.gapfill import gap_fill_job
+
+    return gap_fill_job(*_seasons(spark, d), cols=10, by_year=True)
 
 
 @query()
 def o84_albedo_job(spark, d):
-    from nivalis.plans.albedo import albedo_job
+    from nivalis.plans.albedo import season_albedo_job
 
-    sun = A.pixel_days(spark, d).select(*ID, "solar_zenith", (F.col("b1") * 3).alias("solar_azimuth"))
-    px = _seasons(spark, d).join(sun, ID, "left")
-    found = albedo_job(px, A.static(spark, d), _luts(), keys=["tile", "row", "col", "water_year"])
-    return found.select(*ID, "albedo_mu0", "albedo_muz", "deltavis", "radiative_forcing", "albedo_observed_mu0", "albedo_observed_muz")
+    px, *how = _seasons(spark, d)
+    return season_albedo_job(px.withColumn("solar_azimuth", F.col("b1") * 3), *how, _luts(), cols=10, by_year=True)
 
 
 def _filled(c: str) -> str:

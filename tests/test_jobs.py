@@ -96,6 +96,90 @@ def test_albedo_job_rounds_halves_that_the_table_misses(spark):
     assert [r.radiative_forcing for r in found] == [7, 7, 8, 8]
 
 
+def sunny_days(spark, seed=5):
+    """Days of two pixels' seasons and one without static row; sun, grain size and dust missing on some."""
+    rng = np.random.default_rng(seed)
+    some = lambda low, high, share: int(rng.integers(low, high)) if rng.random() < share else None
+    rows = [("h00v00", 0, p, dt.date(1999, 9, 1) + dt.timedelta(i), some(0, 95, 0.3) if p != 1 else None, some(-180, 300, 0.3), some(30, 2100, 0.8), some(0, 1100, 0.8)) for p in range(3) for i in range(60)]
+    px = spark.createDataFrame(rows, "tile string, row int, col int, obs_date date, solar_zenith int, solar_azimuth int, grain_size int, dust int")
+    px = px.withColumn("water_year", F.year("obs_date") + (F.month("obs_date") >= 10).cast("int"))
+    return px.repartition(3), spark.createDataFrame([("h00v00", 0, 0, 20, 100), ("h00v00", 0, 1, 5, -30)], "tile string, row int, col int, slope int, aspect int")
+
+
+@pytest.mark.parametrize("soot", [0.0, 2e-5])
+def test_albedo_job_is_its_steps_by_columns(spark, soot):
+    """Batches of 7 rows, which cut the series."""
+    from nivalis.functions import optics
+    from nivalis.operators.series import interpolate_linear
+
+    px, static = sunny_days(spark)
+    keys, luts = [*PIXEL, "water_year"], queries._luts()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {(r.col, r.obs_date): r.asDict() for r in albedo.albedo_job(px, static, luts, soot, keys).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    steps = interpolate_linear(interpolate_linear(px, "solar_zenith", "nearest", keys), "solar_azimuth", "nearest", keys).join(static, list(PIXEL), "left")
+    mu0 = F.cos(F.radians("solar_zenith_filled"))
+    grain = F.greatest(F.lit(1), F.least(F.lit(1999), F.col("grain_size")))
+    steps = steps.withColumns({"mu0": mu0, "muz": optics.sun_on_slope(mu0, F.col("solar_azimuth_filled"), F.col("slope"), F.col("aspect")), "g": F.sqrt(grain.cast("double")), "d": F.col("dust") / 10 / 1e6})
+    for name, table, mu, dust in (("albedo_mu0", "albedo", "mu0", F.lit(0.0)), ("albedo_muz", "albedo", "muz", F.lit(0.0)), ("deltavis", "deltavis", "muz", "d"), ("radiative_forcing", "radiative_forcing", "muz", "d")):
+        steps = lut.lut_interpolate(steps, *luts[table], ["mu0", mu, "g", dust, F.lit(soot)], f"_{name}")
+        value = F.round(F.col(f"_{name}") * albedo.SLACK)
+        steps = steps.withColumn(name, F.when(value.between(*albedo.RANGES[table]), value.cast("int")))
+    for mu in ("mu0", "muz"):
+        steps = steps.withColumn(f"albedo_observed_{mu}", optics.observed_albedo(F.col(f"albedo_{mu}"), F.col("deltavis")))
+    expected = {(r.col, r.obs_date): r.asDict() for r in steps.collect()}
+    assert len(found) == len(expected) == 180 and found.keys() == expected.keys()
+    for k, r in found.items():
+        for c, x in r.items():
+            if c in ("mu0", "muz"):
+                assert x == pytest.approx(expected[k][c], abs=1e-14), (k, c)
+            else:
+                assert x == expected[k][c], (k, c)
+    assert all(any(r[c] is not None for r in found.values()) and any(r[c] is None for r in found.values()) for c in albedo.OUT)
+
+
+def test_albedos_of_seasons_are_those_of_filled_days_under_the_sun(spark):
+    first, last = dt.date(1998, 10, 1), dt.date(2000, 3, 1)
+    px = seasons(spark, first, last).withColumns({"solar_zenith": F.when(F.col("grain") % 3 != 0, F.col("dust") % 90), "solar_azimuth": F.when(F.col("grain") % 4 != 0, F.col("dust") % 300)})
+    static = spark.createDataFrame([("h00v00", 0, 0, 5, 20, 100)], "tile string, row int, col int, ice_fraction int, slope int, aspect int")
+    how = str(first), str(last), static
+    found = albedo.season_albedo_job(px, *how, queries._luts(), cols=10, by_year=True)
+    days = gapfill.gap_fill_job(px, *how, cols=10, by_year=True).join(px.select(*PIXEL, "obs_date", "solar_zenith", "solar_azimuth"), [*PIXEL, "obs_date"], "left")
+    expected = albedo.albedo_job(days, static, queries._luts(), keys=[*PIXEL, "water_year"]).select(*found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert found.where("albedo_muz IS NOT NULL AND deltavis IS NOT NULL").count() > 0
+
+
+def test_albedo_query_shuffles_observed_rows_only(spark):
+    """Once to tell line items apart, once into groups of pixels; no window goes over the filled days."""
+    plan = queries.QUERIES["o84_albedo_job"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2 and plan.count("Window [") == 1 and "Join" not in plan
+
+
+def test_albedo_of_days_is_one_sort(spark):
+    """The two angles are filled by one pass over a series in order, not by windows in both directions."""
+    px, static = sunny_days(spark)
+    plan = albedo.albedo_job(px, static, queries._luts())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("ArrowEvalPython") == 0
+
+
+def test_several_tables_at_once_are_each_table_alone():
+    rng = np.random.default_rng(8)
+    axes = [np.linspace(0, 1, 4), np.array([0.0, 0.3, 1.0]), np.linspace(0, 2, 5), np.array([0.5])]
+    tables = [rng.random((4, 3, 5, 1)) for _ in range(2)]
+    points = np.concatenate([rng.uniform(-0.1, [1.1, 1.1, 2.1, 0.5], (500, 4)), rng.choice([0.0, 1.0], (50, 4))])
+    points[:500, 3] = 0.5
+    points[7, 1] = np.nan
+    for table, got in zip(tables, lut.interpolate_several(axes, tables, list(points.T))):
+        assert np.array_equal(got, lut.interpolate(axes, table, points), equal_nan=True)
+    less, table = lut.at_node(axes, tables[0], 1, 0.3)
+    points[:, 1] = 0.3
+    assert np.array_equal(lut.interpolate_several(less, [table], list(points[:, [0, 2, 3]].T))[0], lut.interpolate(axes, tables[0], points), equal_nan=True)
+    assert lut.at_node(axes, tables[0], 1, 0.4) is None and lut.at_node(axes, tables[0] * np.inf, 1, 0.3) is None
+
+
 def hazen(x, percent):
     x = sorted(x)
     at = max(1.0, min(len(x), len(x) * percent / 100 + 0.5))
