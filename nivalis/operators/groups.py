@@ -88,27 +88,33 @@ def spatial_medians(px: DataFrame, value: str, day: list[str], rows: int, cols:
     asked = present.groupBy(*day).agg(F.sort_array(F.collect_set("from_band")).alias("have")).withColumn("band", F.explode(bands))
     up = F.array_min(F.filter("have", lambda b: b >= F.col("band")))
     asked = asked.select(*day, "band", F.coalesce(up, F.array_max("have")).alias("from_band"))
-    # The finest cell tells all coarser ones, so the pyramid is settled for cells; pixels are joined once. A raster with
-    # more rows or columns than stated has several cells at the top, each with the finest cells below it.
+    # A median goes to the finest cells below it under each band that asks it, and of a finest cell's the smallest cell counts
+    # (level and median in one number). These rows meet by top cells, of which a raster with more rows or columns than stated has
+    # several. Parquet's size tells little of how many rows there are, so Spark must not broadcast a table of medians by it.
+    fine = LEVELS[0]
+    wide = F.element_at(F.array(*[F.lit(fine // n) for n in LEVELS]), F.col("c.level") + 1)
+    told = medians.hint("merge").join(asked, [*day, "from_band"]).select(*day, "band", "c.cr", "c.cc", wide.alias("_wide"), (F.col("c.level") * (1 << 32) + F.col("median")).alias("_told"))
+    tops = {f"_top_{c}": F.expr(f"{c} * _wide div {fine}") for c in ("cr", "cc")}
+    table = told.withColumns(tops).repartition(*day, "band", *tops)
+    for c in ("cr", "cc"):
+        table = table.withColumn(f"_{c}", F.explode(F.sequence(F.col(c) * F.col("_wide"), (F.col(c) + 1) * F.col("_wide") - 1)))
+    table = table.groupBy(*day, "band", *tops, "_cr", "_cc").agg(F.min("_told").alias("_told"))
+    return stash(table.select(*day, "band", "_cr", "_cc", (F.col("_told") % (1 << 32)).cast("int").alias("_around")), "medians-around")
+
+
+def with_medians(px: DataFrame, medians: dict[str, tuple[DataFrame, str]], day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, snow: str = "snow") -> DataFrame:
+    """Adds `<value>_spatial` for each value of `medians` (what spatial_medians gives, the column that tells valid pixels).
+
+    For snow pixels without a valid value it is the median around them; else the value. Pixels are shuffled once for all values.
+    """
     fine = LEVELS[0]
-    side = lambda c: F.explode(F.sequence(F.col(c) * fine, F.col(c) * fine + fine - 1))
-    table = whole.select(*day, "from_band", side("c.cr").alias("_cr"), "c.cc").select(*day, "from_band", "_cr", side("cc").alias("_cc"))
-    for level, n in enumerate(LEVELS):
-        here = medians.where(F.col("c.level") == level).select(*day, "from_band", F.col("c.cr").alias("_r"), F.col("c.cc").alias("_c"), F.col("median").alias(f"_m{level}"))
-        coarse = table.withColumns({"_r": F.expr(f"_cr div {fine // n}"), "_c": F.expr(f"_cc div {fine // n}")})
-        table = coarse.join(here, [*day, "from_band", "_r", "_c"], "left").drop("_r", "_c")
-    around = F.coalesce(*[F.col(f"_m{level}") for level in range(len(LEVELS))])
-    return stash(asked.join(table.select(*day, "from_band", "_cr", "_cc", around.alias("_around")), [*day, "from_band"]).drop("from_band"), "medians-around")
-
-
-def with_medians(px: DataFrame, medians: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, snow: str = "snow", valid: str = "valid") -> DataFrame:
-    """Adds `<value>_spatial` from spatial_medians: for snow pixels without a valid value, the median around them; else the value."""
-    fine, target = LEVELS[0], F.col(snow) & ~F.col(valid)
     out = px.withColumns({"band": elevation_band(F.col("elevation"), edges), "_cr": F.expr(f"row * {fine} div {rows}"), "_cc": F.expr(f"col * {fine} div {cols}")})
-    out = out.join(medians, [*day, "band", "_cr", "_cc"], "left")
-    return out.withColumn(f"{value}_spatial", F.when(target, F.col("_around")).otherwise(F.col(value))).drop("band", "_cr", "_cc", "_around")
+    for value, (table, valid) in medians.items():
+        out = out.join(table.hint("merge"), [*day, "band", "_cr", "_cc"], "left")
+        out = out.withColumn(f"{value}_spatial", F.when(F.col(snow) & ~F.col(valid), F.col("_around")).otherwise(F.col(value))).drop("_around")
+    return out.drop("band", "_cr", "_cc")
 
 
 def spatial_median_fill(px: DataFrame, value: str, day: list[str], rows: int, cols: int, edges=MEDIAN_STEPS, least: int = 10) -> DataFrame:
     """Adds `<value>_spatial` (see with_medians). Needs snow and valid (booleans), elevation, row and col."""
-    return with_medians(px, spatial_medians(px, value, day, rows, cols, edges, least), value, day, rows, cols, edges)
+    return with_medians(px, {value: (spatial_medians(px, value, day, rows, cols, edges, least), "valid")}, day, rows, cols, edges)

@@ -124,7 +124,5 @@ def spatial_job(px: DataFrame, rows: int = 2400, cols: int = 2400, viirs: bool =
     for value, bits in (("grain", (1, 2, 3)), ("dust_ppm", (4, 5, 6))):
         own = own.withColumn(f"_valid_{value}", _off("grain_size_dust", bits) & F.col(value).isNotNull())
     own = stash(own, "snow-around")  # read by both medians and the fill
-    medians = {v: spatial_medians(own, v, DAY, rows, cols, snow="_snow", valid=f"_valid_{v}") for v in ("grain", "dust_ppm")}
-    for value, table in medians.items():
-        own = with_medians(own, table, value, DAY, rows, cols, snow="_snow", valid=f"_valid_{value}")
-    return own.select(*kept, "grain_spatial", "dust_ppm_spatial")
+    medians = {v: (spatial_medians(own, v, DAY, rows, cols, snow="_snow", valid=f"_valid_{v}"), f"_valid_{v}") for v in ("grain", "dust_ppm")}
+    return with_medians(own, medians, DAY, rows, cols, snow="_snow").select(*kept, "grain_spatial", "dust_ppm_spatial")

@@ -70,3 +70,19 @@ def test_nine_of_ten_rows_under_one_key_are_not_shuffled(spark, no_broadcasts):
     rest = left.join(F.broadcast(right.where("n > 2000").select("a", "b")), ["a", "b"], "left_anti")
     sizes = sorted(r["count"] for r in rest.where("a IS NOT NULL").repartition(4, "a", "b").groupBy(F.spark_partition_id()).count().collect())
     assert sizes[-1] < 3 * sizes[len(sizes) // 2]
+
+
+def test_medians_around_are_not_broadcast(spark, monkeypatch):
+    """Neither where the tables of medians are made nor where pixels meet them; pixels are shuffled once for both values."""
+    from nivalis.operators import groups
+    from nivalis.plans import ingest
+
+    plans, kept = [], groups.stash
+    monkeypatch.setattr(groups, "stash", lambda df, label: [plans.append(plan(df)), kept(df, label)][1])
+    kinds = "row int, col int, viewable_snow_fraction int, grain int, dust_ppm int, grain_size_dust int, elevation int, canopy_cover int, nodata_filter int, zero_filter int"
+    rows = [("h00v00", dt.date(2000, 1, 1), r, c, 50, 100 + r, c, 9 if c % 3 == 0 else 0, 1000 + 90 * r, 50, 0, 0) for r in range(24) for c in range(24)]
+    found = ingest.spatial_job(spark.createDataFrame(rows, f"tile string, obs_date date, {kinds}"), 24, 24)
+    assert len(plans) == 4 and not any("BroadcastHashJoin" in x for x in plans)
+    text = plan(found)
+    assert "BroadcastHashJoin" not in text and text.count("SortMergeJoin") == 2 and text.count("Exchange") == 3
+    assert found.where("grain_spatial IS NULL OR dust_ppm_spatial IS NULL").count() == 0
