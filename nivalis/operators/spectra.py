@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.sources.folders import stash
+from nivalis.sources.folders import dropped_shuffles, stash
 
 #: Steps of the keys by which pairs are sought, in tolerances; an interval of two tolerances meets at most two of them.
 WIDE = 4
@@ -19,10 +19,10 @@ ROWS_A_TASK, PAIRS = 500_000, 1 << 19
 
 
 def _values(px: DataFrame, columns: list[str]) -> list[Column]:
-    """The columns with null instead of what is no finite number."""
+    """The columns with null instead of what is no finite number, and one zero instead of two."""
     kinds = {f.name: f.dataType.simpleString() for f in px.schema.fields}
     whole = lambda c: kinds[c] not in ("float", "double")
-    return [F.col(f"`{c}`") if whole(c) else F.when(F.abs(F.col(f"`{c}`")) < float("inf"), F.col(f"`{c}`")) for c in columns]
+    return [F.col(f"`{c}`") if whole(c) else F.when(F.abs(F.col(f"`{c}`")) < float("inf"), F.col(f"`{c}`") + F.lit(0).cast(kinds[c])) for c in columns]
 
 
 def spectrum_id(px: DataFrame, columns: list[str]) -> Column:
@@ -60,9 +60,14 @@ def _keys(spectra: DataFrame, names: list[str], tolerance: float) -> list[str]:
     return [names[i] for i in chosen] or names[:1]
 
 
-def _placed(df: DataFrame, keys: list[str], width: float) -> DataFrame:
-    """Adds _key: a hash of the wide steps that the keys' values lie in. Keys that clash cost comparisons only."""
-    return df.withColumn("_key", F.xxhash64(*[_step(c, width) for c in keys]))
+def _key(keys: list[str], tolerance: float) -> Column:
+    """A hash of the wide steps that the keys' values lie in; each holds whole steps of the tolerance. Keys that clash cost comparisons only."""
+    return F.xxhash64(*[F.floor(_step(c, tolerance) / WIDE) for c in keys])
+
+
+def _cell(names: list[str], tolerance: float) -> Column:
+    """A hash of the cell of a grid with steps of the tolerance."""
+    return F.xxhash64(*[_step(n, tolerance) for n in names])
 
 
 def _look_up(df: DataFrame, keys: list[str], width: float, tolerance: float) -> DataFrame:
@@ -82,25 +87,27 @@ def _schema(df: DataFrame, columns: list[str], more: str = "") -> str:
     return ", ".join(f"{c} {kinds[c]}" for c in columns) + more
 
 
-def _candidates(spectra: DataFrame, names: list[str], tolerance: float) -> DataFrame:
-    """The spectrum of smallest id of each cell of a grid with steps of the tolerance; groups are cells by hash."""
-    parts = max(_tasks(spectra), spectra.count() // WANTED)
-    cells = spectra.select("spectrum_id", *names, F.xxhash64(*[_step(n, tolerance) for n in names]).alias("_cell"))
-
-    def run(table: pa.Table) -> pa.Table:
-        cell, order = table.column("_cell").to_numpy(), _order(table.column("spectrum_id"))
-        return table.select(["spectrum_id", *names]).take(order[np.unique(cell[order], return_index=True)[1]])
-
-    grouped = cells.withColumn("_part", F.pmod("_cell", F.lit(parts))).repartition(_tasks(spectra), "_part").groupBy("_part")
-    return grouped.applyInArrow(run, _schema(spectra, ["spectrum_id", *names]))
+def _halves(ids: pa.ChunkedArray) -> np.ndarray:
+    """Ids (16 bytes each) as two numbers."""
+    return np.frombuffer(b"".join(ids.to_pylist()), ">u8").reshape(-1, 2).astype(np.uint64)
 
 
 def _order(ids: pa.ChunkedArray) -> np.ndarray:
-    """The places of ids (16 bytes each) in their order."""
-    halves = np.frombuffer(b"".join(ids.to_pylist()), ">u8").reshape(-1, 2).astype(np.uint64)
+    """The places of ids in their order."""
+    halves = _halves(ids)
     return np.lexsort((halves[:, 1], halves[:, 0]))
 
 
+def _array(table: pa.Table, names: list[str]) -> np.ndarray:
+    return np.column_stack([table.column(n).to_numpy().astype(float) for n in names])
+
+
+def _stands(table: pa.Table) -> pa.Table:
+    """The spectrum of smallest id of each cell, in order of ids."""
+    cell, order = table.column("_cell").to_numpy(), _order(table.column("spectrum_id"))
+    return table.take(order[np.sort(np.unique(cell[order], return_index=True)[1])])
+
+
 def first_near(a: np.ndarray, b: np.ndarray, tolerance: float) -> np.ndarray:
     """Of each row of a the first row of b from which no value differs by more than the tolerance, len(b) if there is none.
 
@@ -145,27 +152,66 @@ def first_near(a: np.ndarray, b: np.ndarray, tolerance: float) -> np.ndarray:
     return first
 
 
-def _smallest_near(a: DataFrame, b: DataFrame, names: list[str], keys: list[str], tolerance: float) -> DataFrame:
-    """a with _first, the smallest spectrum_id of b that is near.
+def _crowds(spectra: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """Keys of more than MOST_ROWS rows, and in how many parts they are taken."""
+    found = spectra.groupBy(_key(keys, tolerance).alias("_key")).count().where(F.col("count") > MOST_ROWS)
+    return found.select("_key", F.ceil(F.col("count") / MOST_ROWS).alias("_parts"))
 
-    A row of a goes to the group of its key, one of b to all groups of the keys in reach; all else happens in there, so no
-    more is shuffled than that. A key of more than MOST_ROWS rows of a has several groups, each with all of b in reach.
-    """
-    own, width, tasks = a.columns, WIDE * tolerance, _tasks(a)
-    schema = _schema(a, own, ", _first binary")
-    a, b = _placed(a, keys, width), _look_up(b.select(*[F.col(c).alias(c) for c in ("spectrum_id", *names)]), keys, width, tolerance)  # new names: a may be b
-    crowds = F.broadcast(a.groupBy("_key").count().where(F.col("count") > MOST_ROWS).select("_key", F.ceil(F.col("count") / MOST_ROWS).alias("_parts")))
-    a = a.join(crowds, "_key", "left").withColumn("_part", F.pmod(F.xxhash64("spectrum_id"), F.coalesce("_parts", F.lit(1)))).drop("_parts")
-    b = b.join(crowds, "_key", "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+
+def _own(df: DataFrame, by: Column, crowds: DataFrame, names: list[str], keys: list[str], tolerance: float, tasks: int):
+    """Each row under its own key, parts of a crowded key by the hash `by`, with _cell. Ids are made again after the shuffle, so it is spared them."""
+    parted = df.drop("spectrum_id").withColumn("_key", _key(keys, tolerance)).join(F.broadcast(crowds), "_key", "left")
+    dealt = parted.withColumn("_part", F.pmod(by, F.coalesce("_parts", F.lit(1)))).drop("_parts").repartition(tasks, "_key", "_part")
+    return dealt.withColumns({"spectrum_id": spectrum_id(df, names), "_cell": _cell(names, tolerance)}).groupBy("_key", "_part")
+
+
+def _copies(df: DataFrame, crowds: DataFrame, names: list[str], keys: list[str], tolerance: float, tasks: int):
+    """Each row under all keys in reach, in all of their parts. For few rows: with each key there come half as many more."""
+    spread = _look_up(df.select(*names), keys, WIDE * tolerance, tolerance).join(F.broadcast(crowds), "_key", "left")
+    spread = spread.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return spread.repartition(tasks, "_key", "_part").withColumn("spectrum_id", spectrum_id(df, names)).groupBy("_key", "_part")
+
+
+def _unbeaten(still: DataFrame, crowds: DataFrame, names: list[str], keys: list[str], tolerance: float) -> DataFrame:
+    """Who stands for a cell and has no smaller one near under its own key: a few more than will be elected."""
+
+    def run(table: pa.Table) -> pa.Table:
+        stands = _stands(table).select(["spectrum_id", *names])
+        x = _array(stands, names)
+        return stands.filter(pa.array(first_near(x, x, tolerance) == np.arange(len(x))))
+
+    own = _own(still.select("spectrum_id", *names), _cell(names, tolerance), crowds, names, keys, tolerance, _tasks(still))
+    return own.applyInArrow(run, _schema(still, ["spectrum_id", *names]))
+
+
+def _beaten(some: DataFrame, still: DataFrame, crowds: DataFrame, names: list[str], keys: list[str], tolerance: float) -> DataFrame:
+    """The ids of `some` that have a smaller one near, under any key, of those that stand for a cell."""
+    tasks = _tasks(still)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return left.select(["spectrum_id"]).slice(0, 0)
+        stands = _stands(right)
+        found = first_near(_array(left, names), _array(stands, names), tolerance)
+        own, other = _halves(left.column("spectrum_id")), _halves(stands.column("spectrum_id"))[np.minimum(found, len(stands) - 1)]
+        smaller = (other[:, 0] < own[:, 0]) | (other[:, 0] == own[:, 0]) & (other[:, 1] < own[:, 1])
+        return left.select(["spectrum_id"]).filter(pa.array(smaller & (found < len(stands))))
+
+    own = _own(still.select("spectrum_id", *names), _cell(names, tolerance), crowds, names, keys, tolerance, tasks)
+    return _copies(some, crowds, names, keys, tolerance, tasks).cogroup(own).applyInArrow(run, "spectrum_id binary")
+
+
+def _joined(still: DataFrame, elected: DataFrame, crowds: DataFrame, names: list[str], keys: list[str], tolerance: float) -> DataFrame:
+    """still with representative, the elected one of smallest id that is near, if any is."""
+    kept, tasks = still.columns, _tasks(still)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.take(_order(right.column("spectrum_id")))
-        x, y = (np.column_stack([t.column(n).to_numpy().astype(float) for n in names]) for t in (left, right))
-        found = first_near(x, y, tolerance)
-        return left.select(own).append_column("_first", right.column("spectrum_id").take(pa.array(found, mask=found == len(y))))
+        found = first_near(_array(left, names), _array(right, names), tolerance)
+        return left.select(kept).append_column("representative", right.column("spectrum_id").take(pa.array(found, mask=found == len(right))))
 
-    a, b = (df.repartition(tasks, "_key", "_part").groupBy("_key", "_part") for df in (a, b))
-    return a.cogroup(b).applyInArrow(run, schema)
+    own = _own(still, F.xxhash64(*names), crowds, names, keys, tolerance, tasks)
+    return own.cogroup(_copies(elected, crowds, names, keys, tolerance, tasks)).applyInArrow(run, _schema(still, kept, ", representative binary"))
 
 
 def distinct_spectra(px: DataFrame, columns: list[str], tolerance: float = 7) -> DataFrame:
@@ -178,23 +224,27 @@ def distinct_spectra(px: DataFrame, columns: list[str], tolerance: float = 7) ->
     Rounds: of each cell of a grid with steps of the tolerance, in which all are near each other, the open spectrum of
     smallest id stands for election, so of the many alike one row per cell meets others. Elected is who has no smaller
     candidate near; open spectra near an elected one join the smallest, the others stay open. Ids are hashes, so the
-    rounds are few; each ends with a stored table. Near ones meet in groups by keys of wide steps of few values, and are told within.
+    rounds are few; each ends with a stored table. Spectra meet in groups by keys of wide steps of few values, and near ones
+    are told within. All open spectra are shuffled to their own key only: there most candidates are beaten already, and
+    just the others, and those elected, go to all keys in reach.
     """
     names = [f"v{i}" for i in range(len(columns))]
-    own = px.select(spectrum_id(px, columns).alias("spectrum_id"), *[v.alias(n) for v, n in zip(_values(px, columns), names)])
-    spectra = own.where(F.col("spectrum_id").isNotNull()).groupBy("spectrum_id", *names).agg(F.count("*").alias("members"))
+    own = px.select(*[v.alias(n) for v, n in zip(_values(px, columns), names)]).dropna()
+    spectra = own.groupBy(*names).agg(F.count("*").alias("members"))
+    spectra = spectra.select(spectrum_id(own, names).alias("spectrum_id"), *names, "members")
     if tolerance <= 0:
         return spectra.withColumn("representative", F.col("spectrum_id"))
-    spectra = stash(spectra, "spectra")
-    keys = _keys(spectra, names, tolerance)
-    done, still, turn = [], spectra, 0
-    while not still.isEmpty():
-        stands = stash(_candidates(still, names, tolerance), f"spectra-{turn}-stands")
-        elected = _smallest_near(stands, stands, names, keys, tolerance).where(F.col("_first") == F.col("spectrum_id")).drop("_first")
-        elected = stash(elected, f"spectra-{turn}-elected")
-        told = stash(_smallest_near(still, elected, names, keys, tolerance).withColumnRenamed("_first", "representative"), f"spectra-{turn}-told")
-        done.append(told.where(F.col("representative").isNotNull()))
-        still, turn = told.where(F.col("representative").isNull()).drop("representative"), turn + 1
+    with dropped_shuffles(px.sparkSession):
+        spectra = stash(spectra, "spectra")
+        done, still, turn = [], spectra, 0
+        while not still.isEmpty():
+            keys = _keys(still, names, tolerance)  # fewer and fewer are open, and groups cost time
+            by = (stash(_crowds(still, keys, tolerance), f"spectra-{turn}-crowds"), names, keys, tolerance)
+            some = stash(_unbeaten(still, *by), f"spectra-{turn}-unbeaten")
+            elected = stash(some.join(_beaten(some, still, *by).hint("merge"), "spectrum_id", "left_anti"), f"spectra-{turn}-elected")
+            told = stash(_joined(still, elected, *by), f"spectra-{turn}-told")
+            done.append(told.where(F.col("representative").isNotNull()))
+            still, turn = told.where(F.col("representative").isNull()).drop("representative"), turn + 1
     out = spectra.withColumn("representative", F.col("spectrum_id")).limit(0)
     for part in done:
         out = out.unionByName(part)

@@ -109,3 +109,31 @@ def test_first_near_equals_all_pairs(monkeypatch, whole):
     near = (np.abs(a[:, None] - b) <= 7.5).all(2)
     assert (spectra.first_near(a, b, 7.5) == np.where(near.any(1), near.argmax(1), len(b))).all()
     assert (spectra.first_near(a, b[:0], 7.5) == 0).all() and len(spectra.first_near(a[:0], b, 7.5)) == 0
+
+
+def shuffled_rows(spark):
+    """Rows that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_few_spectra_go_to_more_than_one_group(spark, monkeypatch):
+    """Values far from each other in all places, each spectrum with some near ones: copies for all keys in reach would be many."""
+    monkeypatch.setattr(spectra, "WANTED", 100)
+    name, seen, kept = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], spectra.stash
+    monkeypatch.setattr(spectra, "stash", lambda df, label: [seen.append(spark.conf.get(name)), kept(df, label)][1])
+    rng, n = np.random.default_rng(8), 12_000
+    rows = (rng.integers(0, 101, (n // 40, 15))[rng.integers(0, n // 40, n)] + rng.integers(-3, 4, (n, 15))).tolist()
+    px = spark.createDataFrame(rows, ", ".join(f"c{i} int" for i in range(15)))
+    before, setting = shuffled_rows(spark), spark.conf.get(name)
+    assert spectra.distinct_spectra(px, px.columns, 7).count() == len(set(map(tuple, rows)))
+    assert shuffled_rows(spark) - before < 6 * n  # 9 when all that stood for a cell were copied
+    assert set(seen) == {"true"} and spark.conf.get(name) == setting
+
+
+def test_zeros_of_either_sign_are_one_value(spark):
+    px = spark.createDataFrame([(0.0, 2.0), (-0.0, 2.0)], "a double, b double")
+    assert [(r.v0, r.members) for r in spectra.distinct_spectra(px, ["a", "b"], 7).collect()] == [(0.0, 2)]
+    assert px.select(spectra.spectrum_id(px, ["a", "b"]).alias("i")).distinct().count() == 1
